@@ -105,10 +105,36 @@ def pad_digits(
     return F.when(cond, F.lpad(c, width, PAD_CHAR)).otherwise(c)
 
 
-def parse_date(c: str | Column, formats: Iterable[str] = DATE_FORMATS) -> Column:
+def _shape(fmt: str) -> str | None:
+    """A regex every text the pattern can parse must match, or None.
+
+    A failed parse costs a thrown and caught exception per row, so each
+    pattern is only tried on text of its exact shape. The parser reads ASCII
+    digits only; ``dd``/``MM``/``yy`` are fixed at two digits and a year
+    without a sign needs four or more, so these shapes exclude only text that
+    cannot parse (``tests/test_columns.py`` checks it against the unguarded
+    form). ``yyyyMMdd`` keeps room for a wider year.
+    """
+    shapes = {
+        "yyyy-MM-dd": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+        "dd/MM/yyyy": r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$",
+        "dd-MM-yyyy": r"^[0-9]{2}-[0-9]{2}-[0-9]{4}$",
+        "yyyy/MM/dd": r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$",
+        "yyyyMMdd": r"^[0-9]{8,10}$",
+        "dd/MM/yy": r"^[0-9]{2}/[0-9]{2}/[0-9]{2}$",
+    }
+    return shapes.get(fmt)
+
+
+def parse_date(c: str | Column, formats: Iterable[str] = DATE_FORMATS, guard: bool = True) -> Column:
     """First ``DATE_PREFIX_LEN`` characters parsed by the first matching format."""
     head = F.substring(_c(c), 1, DATE_PREFIX_LEN)
-    return F.coalesce(*[F.try_to_date(head, fmt) for fmt in formats])
+    tries = []
+    for fmt in formats:
+        attempt = F.try_to_date(head, fmt)
+        shape = _shape(fmt) if guard else None
+        tries.append(F.when(head.rlike(shape), attempt) if shape else attempt)
+    return F.coalesce(*tries)
 
 
 def strip_space(c: str | Column) -> Column:

@@ -105,6 +105,7 @@ holders_raw AS (
 )"""
 
 RUN_DATE = "2026-01-15"
+SLICE_DATE = "1998-06-01"
 
 
 def members_clean_sql(where: str = "TRUE", run_date: str = RUN_DATE) -> str:
@@ -171,4 +172,107 @@ def build() -> dict[str, str]:
     q["gold_by_period"] = gold_ctes + GOLD_SELECT.format(
         cond="m.policy_id = h.policy_id AND m.mov_year = h.mov_year AND m.mov_month = h.mov_month"
     )
+    m = with_(MEMBERS_RAW)
+    h = with_(HOLDERS_RAW)
+    doc = strip_doc_sql("doc_no")
+    q["clean_doc_numbers"] = m + f"""
+  SELECT doc_no, {doc} AS doc_clean, try_cast(right({doc}, 1) AS INTEGER) AS doc_last_digit,
+         trim(surname_1 || surname_2 || surname_1) AS surname_trimmed
+  FROM members_raw"""
+    q["pad_doc_any"] = m + f"SELECT doc_no, {pad_sql(doc)} AS doc_padded FROM members_raw"
+    hdoc = strip_doc_sql("holder_doc_no")
+    hlabel = f"(CASE {via_integer_sql('doc_type')} WHEN 1 THEN 'DNI' WHEN 6 THEN 'RUC' ELSE 'OTRO' END)"
+    q["pad_doc_typed"] = h + f"""
+  SELECT holder_doc_no, {hlabel} AS doc_label, {pad_sql(hdoc, f"{hlabel} = 'DNI'")} AS doc_padded
+  FROM holders_raw"""
+    q["whole_number_decimal"] = m + f"""
+  SELECT policy_id, {via_decimal_sql("policy_id", 20, "BIGINT")} AS policy_wide,
+         {via_decimal_sql("policy_id", 10, "BIGINT")} AS policy_narrow,
+         mov_month, {via_decimal_sql("mov_month", 10, "INTEGER")} AS month_int
+  FROM members_raw"""
+    q["whole_number_int"] = h + f"""
+  SELECT doc_type, {via_integer_sql("doc_type")} AS doc_type_int, mov_month,
+         {via_integer_sql("mov_month")} AS month_int, {via_integer_sql("mov_year")} AS year_int
+  FROM holders_raw"""
+    dcols = ("policy_start", "policy_end", "cover_start", "cover_end")
+    q["parse_dates"] = m + "SELECT " + ", ".join(
+        [f"{c} AS {c}_text" for c in dcols] + [f"{parse_date_sql(c)} AS {c}" for c in dcols]
+    ) + " FROM members_raw"
+    parts = "first_name, second_name, surname_1, surname_2"
+    q["full_name"] = m + f"""
+  SELECT {parts},
+         replace(trim(concat_ws(' ', {parts})), '  ', ' ') AS member_name,
+         regexp_replace(trim(concat_ws(' ', {parts})), ' +', ' ', 'g') AS member_name_collapsed
+  FROM members_raw"""
+    q["label_codes"] = h + f"""
+  SELECT doc_type,
+         CASE {via_decimal_sql("doc_type", 10, "INTEGER")} WHEN 1 THEN 'DNI' WHEN 2 THEN 'CE' WHEN 5 THEN 'PAS' ELSE 'OTROS' END AS member_label,
+         {hlabel} AS holder_label
+  FROM holders_raw"""
+    q["load_slice"] = m + f"""
+  SELECT policy_id, policy_start, policy_end, certificate, cover_start, cover_end, first_name, second_name,
+         surname_1, surname_2, doc_type, doc_no, mov_year, mov_month, source_file, load_date,
+         DATE '{RUN_DATE}' AS run_date
+  FROM members_raw WHERE load_date = DATE '{SLICE_DATE}'"""
+    q["required_keys"] = h + f"""
+  SELECT * FROM (
+    SELECT {via_decimal_sql("policy_id", 20, "BIGINT")} AS policy_id, holder_name, holder_doc_no FROM holders_raw
+  ) WHERE policy_id IS NOT NULL AND holder_name IS NOT NULL"""
+    q["drop_blank_rows"] = """
+  SELECT * FROM (
+    SELECT event_id,
+           CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_text,
+           CASE WHEN event_id % 4 <= 1 THEN NULL ELSE event_type END AS type_text,
+           CASE WHEN event_id % 2 = 0 THEN NULL ELSE props END AS props_text
+    FROM events
+  ) WHERE coalesce(user_text, type_text, props_text) IS NOT NULL"""
+    q["pick_by_position"] = """
+  SELECT c_mktsegment AS segment, CAST(c_custkey AS VARCHAR) AS holder_id,
+         CAST(c_nationkey AS VARCHAR) AS nation, c_name AS holder_name, CAST(NULL AS VARCHAR) AS extra
+  FROM customer"""
+    pads = [("'  '", "' '"), ("chr(9)", "chr(10)"), ("chr(12288)", "chr(160)"), ("''", "''")]
+    arms = " ".join(f"WHEN {i} THEN {a} || p_name || {b}" for i, (a, b) in enumerate(pads))
+    q["trim_all"] = f"""
+  SELECT p_partkey, name_text,
+         regexp_replace(name_text, '^[\\s\\x{{3000}}\\x{{a0}}\\x{{0b}}]+|[\\s\\x{{3000}}\\x{{a0}}\\x{{0b}}]+$', '', 'g') AS name
+  FROM (SELECT p_partkey, CASE p_partkey % 4 {arms} END AS name_text FROM part)"""
+    q["stack_feeds"] = """
+  SELECT CAST(s_suppkey AS VARCHAR) AS party_id, s_name AS party_name, CAST(s_nationkey AS VARCHAR) AS nation,
+         'supplier.parquet' AS source_file FROM supplier
+  UNION ALL
+  SELECT CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), 'customer.parquet' FROM customer"""
+    q["dedup_rows"] = "SELECT DISTINCT * FROM lineitem"
+    rest = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in ("l_shipdate",) + rest)
+    q["dedup_latest"] = f"""
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {order}) AS rn FROM lineitem
+  ) WHERE rn = 1"""
+    q["duplicate_keys"] = """
+  SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+  GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+    batches = """WITH tgt AS (SELECT * FROM orders WHERE year(o_orderdate) <= 1997),
+src AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate, o_orderpriority
+        FROM orders WHERE year(o_orderdate) >= 1996)
+"""
+    cols = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    pick = ", ".join(f"CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in cols)
+    change = "CASE WHEN s.o_orderkey IS NOT NULL AND t.o_orderkey IS NOT NULL THEN 'update' WHEN s.o_orderkey IS NOT NULL THEN 'insert' ELSE 'keep' END"
+    q["upsert_orders"] = batches + f"SELECT {pick} FROM tgt t FULL OUTER JOIN src s ON t.o_orderkey = s.o_orderkey"
+    q["upsert_metrics"] = batches + f"""
+  SELECT count(*) FILTER (WHERE ch = 'insert') AS inserted, count(*) FILTER (WHERE ch = 'update') AS updated,
+         count(*) FILTER (WHERE ch = 'keep') AS kept, count(*) AS total
+  FROM (SELECT {change} AS ch FROM tgt t FULL OUTER JOIN src s ON t.o_orderkey = s.o_orderkey)"""
+    nbatches = batches.replace("WITH tgt AS", "WITH tgt0 AS").replace("src AS (", "src0 AS (") + """,
+tgt AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END AS o_custkey) FROM tgt0),
+src AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END AS o_custkey) FROM src0)
+"""
+    npick = ", ".join(f"CASE WHEN s.present THEN s.{c} ELSE t.{c} END AS {c}" for c in cols)
+    nchange = "CASE WHEN s.present AND t.present THEN 'update' WHEN s.present THEN 'insert' ELSE 'keep' END AS _change"
+    for key, op in (("upsert_null_keys", "="), ("upsert_null_safe", "IS NOT DISTINCT FROM")):
+        q[key] = nbatches + f"""
+  SELECT {npick}, {nchange}
+  FROM (SELECT *, TRUE AS present FROM tgt) t
+  FULL OUTER JOIN (SELECT *, TRUE AS present FROM src) s
+    ON t.o_orderkey {op} s.o_orderkey AND t.o_custkey {op} s.o_custkey"""
     return q

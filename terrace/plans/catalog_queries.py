@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from terrace.plans import feeds, medallion
+from terrace.sources.tables import read_parquet
 
 RUN_DATE = "2026-01-15"
 
@@ -26,7 +27,7 @@ def register(key: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def members_raw(spark, sf_dir) -> DataFrame:
@@ -55,3 +56,248 @@ def gold_consolidated(spark, sf_dir):
 @register("gold_by_period")
 def gold_by_period(spark, sf_dir):
     return medallion.consolidate(silver_members(spark, sf_dir), silver_holders(spark, sf_dir), by_period=True)
+
+
+# --- column clean-up rules, one query each -------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from terrace.functions import columns as C  # noqa: E402
+from terrace.operators import frames, upsert  # noqa: E402
+
+SLICE_DATE = "1998-06-01"
+
+
+@register("clean_doc_numbers")
+def clean_doc_numbers(spark, sf_dir):
+    raw = members_raw(spark, sf_dir)
+    doc = C.strip_chars("doc_no")
+    return raw.select(
+        F.col("doc_no"),
+        doc.alias("doc_clean"),
+        C.last_digit(doc).alias("doc_last_digit"),
+        F.trim(F.concat(F.col("surname_1"), F.col("surname_2"), F.col("surname_1"))).alias("surname_trimmed"),
+    )
+
+
+@register("pad_doc_any")
+def pad_doc_any(spark, sf_dir):
+    raw = members_raw(spark, sf_dir)
+    doc = C.strip_chars("doc_no")
+    return raw.select(F.col("doc_no"), C.pad_digits(doc).alias("doc_padded"))
+
+
+@register("pad_doc_typed")
+def pad_doc_typed(spark, sf_dir):
+    raw = holders_raw(spark, sf_dir)
+    doc = C.strip_chars("holder_doc_no")
+    label = C.label_code(C.whole_number_via_integer("doc_type"), C.HOLDER_DOC_LABELS, C.HOLDER_DOC_OTHER)
+    return raw.select(
+        F.col("holder_doc_no"),
+        label.alias("doc_label"),
+        C.pad_digits(doc, when=label == F.lit("DNI")).alias("doc_padded"),
+    )
+
+
+@register("whole_number_decimal")
+def whole_number_decimal(spark, sf_dir):
+    raw = members_raw(spark, sf_dir)
+    return raw.select(
+        F.col("policy_id"),
+        C.whole_number_via_decimal("policy_id", C.ID_PRECISION, "bigint").alias("policy_wide"),
+        C.whole_number_via_decimal("policy_id", C.CODE_PRECISION, "bigint").alias("policy_narrow"),
+        F.col("mov_month"),
+        C.whole_number_via_decimal("mov_month", C.CODE_PRECISION, "int").alias("month_int"),
+    )
+
+
+@register("whole_number_int")
+def whole_number_int(spark, sf_dir):
+    raw = holders_raw(spark, sf_dir)
+    return raw.select(
+        F.col("doc_type"),
+        C.whole_number_via_integer("doc_type").alias("doc_type_int"),
+        F.col("mov_month"),
+        C.whole_number_via_integer("mov_month").alias("month_int"),
+        C.whole_number_via_integer("mov_year").alias("year_int"),
+    )
+
+
+@register("parse_dates")
+def parse_dates(spark, sf_dir):
+    raw = members_raw(spark, sf_dir)
+    cols = medallion.MEMBER_DATE_COLUMNS
+    return raw.select(*[F.col(c).alias(f"{c}_text") for c in cols], *[C.parse_date(c).alias(c) for c in cols])
+
+
+@register("full_name")
+def full_name(spark, sf_dir):
+    raw = members_raw(spark, sf_dir)
+    parts = ("first_name", "second_name", "surname_1", "surname_2")
+    return raw.select(
+        *parts,
+        C.join_name(*parts).alias("member_name"),
+        C.join_name(*parts, full_collapse=True).alias("member_name_collapsed"),
+    )
+
+
+@register("label_codes")
+def label_codes(spark, sf_dir):
+    raw = holders_raw(spark, sf_dir)
+    return raw.select(
+        F.col("doc_type"),
+        C.label_code(
+            C.whole_number_via_decimal("doc_type", C.CODE_PRECISION, "int"), C.MEMBER_DOC_LABELS, C.MEMBER_DOC_OTHER
+        ).alias("member_label"),
+        C.label_code(C.whole_number_via_integer("doc_type"), C.HOLDER_DOC_LABELS, C.HOLDER_DOC_OTHER).alias(
+            "holder_label"
+        ),
+    )
+
+
+@register("load_slice")
+def load_slice(spark, sf_dir):
+    raw = members_raw(spark, sf_dir)
+    batch = frames.load_slice(raw, SLICE_DATE)
+    return batch.select(*medallion.MEMBERS.raw_columns, "source_file", "load_date", C.stamp_date(RUN_DATE).alias("run_date"))
+
+
+@register("required_keys")
+def required_keys(spark, sf_dir):
+    raw = holders_raw(spark, sf_dir)
+    typed = raw.select(
+        C.whole_number_via_decimal("policy_id", C.ID_PRECISION, "bigint").alias("policy_id"),
+        F.col("holder_name"),
+        F.col("holder_doc_no"),
+    )
+    return frames.require(typed, "policy_id", "holder_name")
+
+
+@register("drop_blank_rows")
+def drop_blank_rows(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    blanked = ev.select(
+        eid,
+        F.when(eid % 4 == 0, F.lit(None)).otherwise(F.col("user_id").cast("string")).alias("user_text"),
+        F.when(eid % 4 <= 1, F.lit(None)).otherwise(F.col("event_type")).alias("type_text"),
+        F.when(eid % 2 == 0, F.lit(None)).otherwise(F.col("props")).alias("props_text"),
+    )
+    return frames.drop_blank_rows(blanked, ["user_text", "type_text", "props_text"])
+
+
+@register("pick_by_position")
+def pick_by_position(spark, sf_dir):
+    cust = table(spark, sf_dir, "customer")
+    cells = F.array(*[F.col(c).cast("string") for c in cust.columns])
+    # Position 7 is past the row's end and yields NULL, like a short sheet row.
+    picked = frames.cells_by_position(cells, (4, 0, 2, 1, 7), ("segment", "holder_id", "nation", "holder_name", "extra"))
+    return cust.select(*picked)
+
+
+# Edge padding put around part names: blanks, tab/newline, ideographic and
+# no-break spaces, or none.
+PADS = (("  ", " "), ("\t", "\n"), ("　", " "), ("", ""))
+
+
+@register("trim_all")
+def trim_all(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    k = F.col("p_partkey") % 4
+    padded = None
+    for i, (lead, trail) in enumerate(PADS):
+        val = F.concat(F.lit(lead), F.col("p_name"), F.lit(trail))
+        padded = F.when(k == i, val) if padded is None else padded.when(k == i, val)
+    df = part.select("p_partkey", padded.alias("name_text"), padded.alias("name"))
+    return frames.trim_all(df, ["name"])
+
+
+@register("stack_feeds")
+def stack_feeds(spark, sf_dir):
+    base = sf_dir.rstrip("/")
+    sup = spark.read.parquet(f"{base}/supplier.parquet")
+    cus = spark.read.parquet(f"{base}/customer.parquet")
+
+    def shape(df, key, name, nation):
+        return df.select(
+            F.col(key).cast("string").alias("party_id"),
+            F.col(name).alias("party_name"),
+            F.col(nation).cast("string").alias("nation"),
+            frames.file_name(F.col("_metadata.file_path")).alias("source_file"),
+        )
+
+    return frames.stack([shape(sup, "s_suppkey", "s_name", "s_nationkey"), shape(cus, "c_custkey", "c_name", "c_nationkey")])
+
+
+LINE_KEYS = ("l_orderkey", "l_linenumber")
+
+
+@register("dedup_rows")
+def dedup_rows(spark, sf_dir):
+    return frames.dedup_rows(table(spark, sf_dir, "lineitem"))
+
+
+@register("dedup_latest")
+def dedup_latest(spark, sf_dir):
+    return frames.dedup_latest(table(spark, sf_dir, "lineitem"), LINE_KEYS, ["l_shipdate"])
+
+
+@register("duplicate_keys")
+def duplicate_keys(spark, sf_dir):
+    return frames.duplicate_keys(table(spark, sf_dir, "lineitem"), LINE_KEYS)
+
+
+# --- upsert ----------------------------------------------------------------
+# Orders up to 1997 are the stored table; orders from 1996 on arrive as the
+# new batch with a changed price and status, so 1996-97 update, later insert.
+ORDER_KEYS = ("o_orderkey",)
+
+
+def order_batches(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    year = F.year(F.col("o_orderdate"))
+    target = orders.filter(year <= 1997)
+    source = orders.filter(year >= 1996).select(
+        "o_orderkey",
+        "o_custkey",
+        F.lit("U").alias("o_orderstatus"),
+        (F.col("o_totalprice") + F.lit(1.0)).alias("o_totalprice"),
+        "o_orderdate",
+        "o_orderpriority",
+    )
+    return target, source
+
+
+@register("upsert_orders")
+def upsert_orders(spark, sf_dir):
+    target, source = order_batches(spark, sf_dir)
+    return upsert.upsert(target, source, ORDER_KEYS)
+
+
+@register("upsert_metrics")
+def upsert_metrics(spark, sf_dir):
+    target, source = order_batches(spark, sf_dir)
+    return upsert.change_counts(upsert.merge_changes(target, source, ORDER_KEYS))
+
+
+def null_key_batches(spark, sf_dir):
+    target, source = order_batches(spark, sf_dir)
+
+    def blank(df):
+        return df.withColumn(
+            "o_custkey", F.when(F.col("o_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("o_custkey"))
+        )
+
+    return blank(target), blank(source)
+
+
+@register("upsert_null_keys")
+def upsert_null_keys(spark, sf_dir):
+    target, source = null_key_batches(spark, sf_dir)
+    return upsert.merge_changes(target, source, ("o_orderkey", "o_custkey"))
+
+
+@register("upsert_null_safe")
+def upsert_null_safe(spark, sf_dir):
+    target, source = null_key_batches(spark, sf_dir)
+    return upsert.merge_changes(target, source, ("o_orderkey", "o_custkey"), null_safe=True)

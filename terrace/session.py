@@ -19,6 +19,10 @@ BASE_CONF = {
     # the session zone only matters for timestamp rendering; pin it.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A generated method larger than the JIT's 8000-byte limit is never
+    # compiled and runs interpreted, slower than Spark's non-fused fallback;
+    # make Spark take the fallback for such stages (wide clean-up projections).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
