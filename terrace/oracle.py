@@ -275,4 +275,29 @@ src AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey
   FROM (SELECT *, TRUE AS present FROM tgt) t
   FULL OUTER JOIN (SELECT *, TRUE AS present FROM src) s
     ON t.o_orderkey {op} s.o_orderkey AND t.o_custkey {op} s.o_custkey"""
+    q["workbook_roundtrip"] = f"""
+  SELECT CAST(s_suppkey AS VARCHAR) AS supp_id, s_name AS supp_name, CAST(s_nationkey AS VARCHAR) AS nation,
+         CAST(DATE '1995-01-01' + CAST(s_suppkey AS INTEGER) AS VARCHAR) AS since, s_name AS name_inline,
+         './inbox/nation_' || s_nationkey || '.xlsx' AS source_file, DATE '{RUN_DATE}' AS load_date
+  FROM supplier"""
+    q["workbook_blank_rows"] = """
+  SELECT CAST(n_nationkey AS VARCHAR) AS nation_id, n_name AS nation_name,
+         CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE CAST(n_regionkey AS VARCHAR) END AS region_id,
+         './inbox/nation.xlsx' AS source_file
+  FROM nation"""
+    q["sheet_rejects"] = """
+  SELECT './inbox/region_' || n_regionkey || '.xlsx' AS source_file,
+         'nation_' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS sheet,
+         CAST(CASE WHEN n_nationkey % 3 = 0 THEN 5 ELSE 12 END AS INTEGER) AS width,
+         count(*) AS data_rows, (n_nationkey % 3 <> 0) AS accepted
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  GROUP BY n_regionkey, n_nationkey"""
+    q["ingest_report"] = """
+  SELECT './inbox/nation_' || s_nationkey || '.xlsx' AS source_file, count(*) AS n_rows
+  FROM supplier GROUP BY s_nationkey"""
+    q["incremental_ingest"] = """
+  SELECT CAST(n_nationkey AS VARCHAR) AS nation_id, n_name AS nation_name, CAST(n_regionkey AS VARCHAR) AS region_id,
+         './inbox/region_' || n_regionkey || '.xlsx' AS source_file,
+         CASE WHEN n_regionkey <= 2 THEN 0 ELSE 1 END AS ingest_epoch
+  FROM nation"""
     return q

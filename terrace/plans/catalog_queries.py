@@ -301,3 +301,155 @@ def upsert_null_keys(spark, sf_dir):
 def upsert_null_safe(spark, sf_dir):
     target, source = null_key_batches(spark, sf_dir)
     return upsert.merge_changes(target, source, ("o_orderkey", "o_custkey"), null_safe=True)
+
+
+# --- workbooks: written from the tables on the executors, read back --------
+
+from terrace.plans import bronze  # noqa: E402
+from terrace.session import scratch_dir  # noqa: E402
+from terrace.sources import workbooks as wb  # noqa: E402
+from terrace.sources.workbook_writer import cell, write_workbooks  # noqa: E402
+from terrace.streaming import incremental  # noqa: E402
+
+
+def _inbox(spark) -> str:
+    return scratch_dir(spark, "workbooks") + "/inbox"
+
+
+def _write(df, folder) -> None:
+    write_workbooks(df, folder).write.format("noop").mode("overwrite").save()
+
+
+SUPPLIER_POSITIONS = (1, 3, 4, 6, 7)
+SUPPLIER_NAMES = ("supp_id", "supp_name", "nation", "since", "name_inline")
+
+
+def supplier_workbooks(spark, sf_dir, folder):
+    """One workbook per nation, two sheets, twelve columns with the supplier
+    fields at fixed positions among fillers and a gap."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    cells = F.array(
+        cell("n", k),
+        cell("n", k),
+        cell("i", F.lit("x")),
+        cell("s", F.col("s_name")),
+        cell("n", F.col("s_nationkey")),
+        F.lit(None),
+        cell("d", F.date_add(F.lit("1995-01-01").cast("date"), k.cast("int"))),
+        cell("i", F.concat(F.lit("  "), F.col("s_name"), F.lit(" "))),
+        *[cell("n", k * i) for i in range(2, 6)],
+    )
+    _write(
+        s.select(
+            F.concat(F.lit("nation_"), F.col("s_nationkey").cast("string"), F.lit(".xlsx")).alias("file"),
+            F.concat(F.lit("part_"), (k % 2).cast("string")).alias("sheet"),
+            k.alias("row_no"),
+            cells.alias("cells"),
+        ),
+        folder,
+    )
+
+
+@register("workbook_roundtrip")
+def workbook_roundtrip(spark, sf_dir):
+    inbox = _inbox(spark)
+    supplier_workbooks(spark, sf_dir, inbox)
+    return wb.to_rows(wb.read_workbooks(spark, inbox), SUPPLIER_POSITIONS, SUPPLIER_NAMES, RUN_DATE)
+
+
+@register("workbook_blank_rows")
+def workbook_blank_rows(spark, sf_dir):
+    """Nations every third row, explicit empty rows between some, and the
+    region cell left out for every fifth nation."""
+    inbox = _inbox(spark)
+    n = table(spark, sf_dir, "nation")
+    key = F.col("n_nationkey")
+    data = n.select(
+        F.lit("nation.xlsx").alias("file"),
+        F.lit("all").alias("sheet"),
+        (key * 3 + 1).alias("row_no"),
+        F.array(
+            cell("n", key),
+            cell("s", F.col("n_name")),
+            cell("i", F.lit(" ")),
+            F.when(key % 5 == 0, F.lit(None)).otherwise(cell("n", F.col("n_regionkey"))),
+        ).alias("cells"),
+    )
+    empty = F.array(F.lit(None), F.lit(None)).cast("array<struct<t:string,v:string>>")
+    blanks = n.filter(key % 2 == 0).select(
+        F.lit("nation.xlsx").alias("file"), F.lit("all").alias("sheet"), (key * 3 + 2).alias("row_no"), empty.alias("cells")
+    )
+    _write(data.unionByName(blanks), inbox)
+    return wb.to_rows(
+        wb.read_workbooks(spark, inbox), (0, 1, 3), ("nation_id", "nation_name", "region_id"), blank_as_null=True
+    )
+
+
+REJECT_POSITIONS = (1, 3, 7)
+
+
+@register("sheet_rejects")
+def sheet_rejects(spark, sf_dir):
+    """A workbook per region, a sheet per nation holding its suppliers; every
+    third nation's sheet is five columns wide, too narrow for the layout."""
+    inbox = _inbox(spark)
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    j = s.join(n, s.s_nationkey == n.n_nationkey)
+    k = F.col("s_suppkey")
+    wide = F.array(*[cell("n", k + i) for i in range(12)])
+    narrow = F.array(*[cell("n", k + i) for i in range(5)])
+    _write(
+        j.select(
+            F.concat(F.lit("region_"), F.col("n_regionkey").cast("string"), F.lit(".xlsx")).alias("file"),
+            F.concat(F.lit("nation_"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("sheet"),
+            k.alias("row_no"),
+            F.when(F.col("n_nationkey") % 3 == 0, narrow).otherwise(wide).alias("cells"),
+        ),
+        inbox,
+    )
+    rep = wb.sheet_report(wb.read_workbooks(spark, inbox), REJECT_POSITIONS)
+    return rep.select(
+        wb.lineage("path").alias("source_file"), "sheet", "width", "data_rows", "accepted"
+    )
+
+
+@register("ingest_report")
+def ingest_report(spark, sf_dir):
+    folder = scratch_dir(spark, "ingest")
+    inbox = folder + "/inbox"
+    supplier_workbooks(spark, sf_dir, inbox)
+    res = bronze.ingest(spark, inbox, SUPPLIER_POSITIONS, SUPPLIER_NAMES, folder + "/bronze", RUN_DATE)
+    return res.report
+
+
+NATION_POSITIONS = (0, 1, 2)
+NATION_NAMES = ("nation_id", "nation_name", "region_id")
+
+
+def nation_drop(spark, sf_dir, folder, regions):
+    n = table(spark, sf_dir, "nation").filter(F.col("n_regionkey").isin(list(regions)))
+    _write(
+        n.select(
+            F.concat(F.lit("region_"), F.col("n_regionkey").cast("string"), F.lit(".xlsx")).alias("file"),
+            F.lit("nations").alias("sheet"),
+            F.col("n_nationkey").alias("row_no"),
+            F.array(cell("n", F.col("n_nationkey")), cell("s", F.col("n_name")), cell("n", F.col("n_regionkey"))).alias(
+                "cells"
+            ),
+        ),
+        folder,
+    )
+
+
+@register("incremental_ingest")
+def incremental_ingest(spark, sf_dir):
+    """Two drops into one inbox; the second run must load only the new files."""
+    folder = scratch_dir(spark, "incremental")
+    inbox, target, ckpt = folder + "/inbox", folder + "/bronze", folder + "/checkpoint"
+    nation_drop(spark, sf_dir, inbox, (0, 1, 2))
+    incremental.ingest_new_files(spark, inbox, NATION_POSITIONS, NATION_NAMES, target, ckpt)
+    nation_drop(spark, sf_dir, inbox, (3, 4))
+    incremental.ingest_new_files(spark, inbox, NATION_POSITIONS, NATION_NAMES, target, ckpt)
+    return spark.read.parquet(target).select(*NATION_NAMES, "source_file", incremental.EPOCH_COL)
