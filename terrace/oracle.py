@@ -300,4 +300,32 @@ src AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey
          './inbox/region_' || n_regionkey || '.xlsx' AS source_file,
          CASE WHEN n_regionkey <= 2 THEN 0 ELSE 1 END AS ingest_epoch
   FROM nation"""
+    q["compacted"] = "SELECT * FROM lineitem"
+    q["zordered"] = "SELECT * FROM lineitem"
+    q["column_stats"] = """
+  SELECT 'o_orderkey' AS col_name, CAST(min(o_orderkey) AS VARCHAR) AS min_value,
+         CAST(max(o_orderkey) AS VARCHAR) AS max_value, count(*) - count(o_orderkey) AS num_nulls FROM orders
+  UNION ALL
+  SELECT 'o_custkey', CAST(min(o_custkey) AS VARCHAR), CAST(max(o_custkey) AS VARCHAR),
+         count(*) - count(o_custkey) FROM orders"""
+    sec = "(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + second(ts))"
+    q["new_rows_gate"] = f"""
+WITH ev AS (SELECT *, CAST(floor({sec} / 600) AS BIGINT) AS run_id FROM events),
+per_run AS (
+  SELECT run_id,
+         count(*) FILTER (WHERE event_type IN ('signup', 'purchase')) AS m,
+         count(*) FILTER (WHERE event_type IN ('view', 'click')) AS h,
+         count(*) FILTER (WHERE event_type = 'error') AS e, count(*) AS n
+  FROM ev GROUP BY run_id),
+cal AS (SELECT unnest(range(min(run_id), max(run_id) + 1)) AS run_id FROM ev),
+led AS (
+  SELECT c.run_id,
+         CASE WHEN coalesce(e = n, FALSE) THEN -1 ELSE coalesce(m, 0) END AS members_rows,
+         CASE WHEN coalesce(e = n, FALSE) THEN -1 ELSE coalesce(h, 0) END AS holders_rows
+  FROM cal c LEFT JOIN per_run p ON c.run_id = p.run_id)
+SELECT run_id, CAST(members_rows AS BIGINT) AS members_rows, CAST(holders_rows AS BIGINT) AS holders_rows,
+       CASE WHEN members_rows = -1 AND holders_rows = -1 THEN 'bypass'
+            WHEN members_rows = 0 AND holders_rows = 0 THEN 'skip' ELSE 'run' END AS decision
+FROM led"""
+    q["replay_date"] = with_(MEMBERS_RAW, members_clean_sql(f"load_date = DATE '{SLICE_DATE}'", SLICE_DATE)) + "SELECT * FROM members_clean"
     return q

@@ -453,3 +453,123 @@ def incremental_ingest(spark, sf_dir):
     nation_drop(spark, sf_dir, inbox, (3, 4))
     incremental.ingest_new_files(spark, inbox, NATION_POSITIONS, NATION_NAMES, target, ckpt)
     return spark.read.parquet(target).select(*NATION_NAMES, "source_file", incremental.EPOCH_COL)
+
+
+# --- layout: compaction, clustering, statistics ---------------------------
+
+import uuid  # noqa: E402
+
+from terrace.operators import layout  # noqa: E402
+from terrace.plans import runs  # noqa: E402
+
+CLUSTER_COLS = ("l_partkey", "l_suppkey")
+CLUSTER_FILES = 16
+
+
+@register("compacted")
+def compacted(spark, sf_dir):
+    """Lineitem landed as 32 small files, compacted to ~256 KB files."""
+    folder = scratch_dir(spark, "compact")
+    table(spark, sf_dir, "lineitem").repartition(32).write.parquet(folder + "/small")
+    layout.compact_path(spark, folder + "/small", folder + "/compact", file_bytes=256 * 1024)
+    return spark.read.parquet(folder + "/compact")
+
+
+def _zordered_path(spark, sf_dir) -> str:
+    folder = scratch_dir(spark, "zorder")
+    li = table(spark, sf_dir, "lineitem")
+    layout.zorder(li, CLUSTER_COLS, CLUSTER_FILES).write.parquet(folder + "/z")
+    return folder + "/z"
+
+
+@register("zordered")
+def zordered(spark, sf_dir):
+    return spark.read.parquet(_zordered_path(spark, sf_dir))
+
+
+@register("file_skipping")
+def file_skipping(spark, sf_dir):
+    """Files a point lookup must open, clustered vs. unclustered layout, for
+    the median value of each clustering column (from file min/max)."""
+    z = spark.read.parquet(_zordered_path(spark, sf_dir))
+    folder = scratch_dir(spark, "plain")
+    table(spark, sf_dir, "lineitem").repartition(CLUSTER_FILES).write.parquet(folder + "/p")
+    plain = spark.read.parquet(folder + "/p")
+    medians = z.approxQuantile(list(CLUSTER_COLS), [0.5], 0.0)
+    ranges = (
+        layout.file_ranges(z, CLUSTER_COLS).withColumn("layout", F.lit("clustered"))
+        .unionByName(layout.file_ranges(plain, CLUSTER_COLS).withColumn("layout", F.lit("plain")))
+    )
+    clustered = F.col("layout") == "clustered"
+    out = None
+    for c, (v,) in zip(CLUSTER_COLS, medians):
+        admits = layout.admits(c, v)
+        row = ranges.agg(
+            F.lit(c).alias("column_name"),
+            F.lit(float(v)).alias("lookup"),
+            F.count_if(clustered).alias("files"),
+            F.count_if(clustered & admits).alias("read_clustered"),
+            F.count_if(~clustered & admits).alias("read_plain"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("column_stats")
+def column_stats(spark, sf_dir):
+    folder = scratch_dir(spark, "stats")
+    name = f"orders_stats_{uuid.uuid4().hex[:10]}"
+    table(spark, sf_dir, "orders").write.option("path", folder + "/orders").format("parquet").saveAsTable(name)
+    stats = layout.analyze_columns(spark, name, ["o_orderkey", "o_custkey"])
+    return stats.select("col_name", "min_value", "max_value", "num_nulls")
+
+
+# --- runs: ledger gate, replay ---------------------------------------------
+
+MEMBER_EVENTS = ("signup", "purchase")
+HOLDER_EVENTS = ("view", "click")
+RUN_SECONDS = 600
+
+
+def events_ledger(spark, sf_dir):
+    """A ledger as the raw layer would publish it, one run per 10 minutes of
+    events: members/holders rows loaded; a run with only error events was an
+    on-demand replay (both -1); a run with no event loaded nothing (0)."""
+    ev = table(spark, sf_dir, "events")
+    ts = F.col("ts")
+    sec = (
+        F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long") * 86400
+        + F.hour(ts) * 3600
+        + F.minute(ts) * 60
+        + F.second(ts)
+    )
+    bucket = F.floor(sec / RUN_SECONDS).alias("run_id")
+    et = F.col("event_type")
+    per_run = ev.groupBy(bucket).agg(
+        F.count_if(et.isin(list(MEMBER_EVENTS))).alias("m"),
+        F.count_if(et.isin(list(HOLDER_EVENTS))).alias("h"),
+        F.count_if(et == "error").alias("e"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    calendar = ev.agg(F.min(bucket).alias("lo"), F.max(bucket).alias("hi")).select(
+        F.explode(F.sequence("lo", "hi")).alias("run_id")
+    )
+    r = calendar.join(per_run, "run_id", "left")
+    on_demand = F.coalesce((F.col("e") == F.col("n")), F.lit(False))
+    m = F.when(on_demand, F.lit(runs.ON_DEMAND)).otherwise(F.coalesce("m", F.lit(0)))
+    h = F.when(on_demand, F.lit(runs.ON_DEMAND)).otherwise(F.coalesce("h", F.lit(0)))
+    return r.select(
+        "run_id",
+        F.explode(F.array(F.struct(F.lit("members").alias("feed"), m.cast("long").alias("rows")),
+                          F.struct(F.lit("holders").alias("feed"), h.cast("long").alias("rows")))).alias("x"),
+    ).select("run_id", "x.feed", "x.rows")
+
+
+@register("new_rows_gate")
+def new_rows_gate(spark, sf_dir):
+    return runs.gate(events_ledger(spark, sf_dir))
+
+
+@register("replay_date")
+def replay_date(spark, sf_dir):
+    return runs.replay(members_raw(spark, sf_dir), SLICE_DATE)
