@@ -26,16 +26,19 @@ def register(key: str):
     return deco
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = False) -> DataFrame:
+    """A warehouse table. ``spread_out`` only for inputs of CPU-heavy row-wise
+    work (the feed derivation and clean-up); aggregates and joins start with
+    a shuffle anyway and need no extra one."""
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread_out)
 
 
 def members_raw(spark, sf_dir) -> DataFrame:
-    return feeds.members_raw(table(spark, sf_dir, "lineitem"))
+    return feeds.members_raw(table(spark, sf_dir, "lineitem", spread_out=True))
 
 
 def holders_raw(spark, sf_dir) -> DataFrame:
-    return feeds.holders_raw(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+    return feeds.holders_raw(table(spark, sf_dir, "orders", spread_out=True), table(spark, sf_dir, "customer"))
 
 
 @register("silver_members")

@@ -120,9 +120,11 @@ def consolidate(members: DataFrame, holders: DataFrame, by_period: bool = False)
     period = ["mov_year", "mov_month"] if by_period else []
     m_cols = [c for c in GOLD_COLUMNS if c not in ("holder_doc_no", "holder_name")] + period
     h_keys = ["policy_id"] + period
-    m = members.select(*m_cols).distinct()
     h = holders.select(*h_keys, "holder_doc_no", "holder_name").distinct()
-    joined = m.join(h, on=h_keys, how="left").select(*GOLD_COLUMNS)
+    if not by_period:
+        m = members.select(*m_cols).distinct()
+        return m.join(h, on=h_keys, how="left").select(*GOLD_COLUMNS)
     # With the period in the join, members differing only in period project
-    # onto the same output row, so the pair argument no longer holds.
-    return joined.distinct() if by_period else joined
+    # onto the same output row, so the pair argument no longer holds: one
+    # distinct after the join, none before it on the members side.
+    return members.select(*m_cols).join(h, on=h_keys, how="left").select(*GOLD_COLUMNS).distinct()
