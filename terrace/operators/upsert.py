@@ -125,6 +125,9 @@ class UpsertResult:
     total: int
 
 
+HISTORY_SCHEMA = "table_name string, version string, mode string, inserted long, updated long, total long"
+
+
 def upsert_table(
     source: DataFrame,
     name: str,
@@ -133,29 +136,51 @@ def upsert_table(
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
     partition_by: list[str] | None = None,
+    cluster_files: int = 0,
+    stats_columns: Sequence[str] = (),
+    history: str | None = None,
 ) -> UpsertResult:
     """Upsert into the stored table ``name`` (first load when absent or empty).
 
     The merged rows are written once as a new version; the counts come from
     an ``Observation`` on that same write, so the plan runs exactly once.
+    ``cluster_files > 0`` writes the version z-ordered on the keys in that
+    many files; ``stats_columns`` are analysed afterwards; ``history`` is a
+    folder that gets one row per call (table, version, mode, counts).
     """
     spark = source.sparkSession
     src = prepare_source(source, keys, on_duplicate, order_by, null_safe)
+
+    def publish(df: DataFrame) -> str:
+        if cluster_files:
+            from terrace.operators.layout import zorder
+
+            df = zorder(df, list(keys), cluster_files)
+        return tables.publish_version(df, name, partition_by)
+
     if tables.is_empty(spark, name):
         obs = Observation("first_load")
-        observed = src.observe(obs, F.count(F.lit(1)).alias("n"))
-        version = tables.publish_version(observed, name, partition_by)
+        version = publish(src.observe(obs, F.count(F.lit(1)).alias("n")))
         n = obs.get["n"]
-        return UpsertResult("first_load", version, n, 0, n)
-    changes = merge_changes(spark.read.table(name), src, keys, null_safe)
-    obs = Observation("merge")
-    ch = F.col(CHANGE)
-    observed = changes.observe(
-        obs,
-        F.count_if(ch == INSERT).alias("inserted"),
-        F.count_if(ch == UPDATE).alias("updated"),
-        F.count(F.lit(1)).alias("total"),
-    ).drop(CHANGE)
-    version = tables.publish_version(observed, name, partition_by)
-    m = obs.get
-    return UpsertResult("merge", version, m["inserted"], m["updated"], m["total"])
+        result = UpsertResult("first_load", version, n, 0, n)
+    else:
+        changes = merge_changes(spark.read.table(name), src, keys, null_safe)
+        obs = Observation("merge")
+        ch = F.col(CHANGE)
+        observed = changes.observe(
+            obs,
+            F.count_if(ch == INSERT).alias("inserted"),
+            F.count_if(ch == UPDATE).alias("updated"),
+            F.count(F.lit(1)).alias("total"),
+        ).drop(CHANGE)
+        version = publish(observed)
+        m = obs.get
+        result = UpsertResult("merge", version, m["inserted"], m["updated"], m["total"])
+    if stats_columns:
+        from terrace.operators.layout import analyze_columns
+
+        analyze_columns(spark, result.version, stats_columns)
+    if history:
+        row = [(name, result.version, result.mode, result.inserted, result.updated, result.total)]
+        spark.createDataFrame(row, HISTORY_SCHEMA).write.mode("append").parquet(history)
+    return result

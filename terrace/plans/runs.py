@@ -20,6 +20,10 @@ from terrace.operators.frames import load_slice
 from terrace.plans import medallion
 from terrace.sources import tables
 
+# --- fixed values ---
+# Time zone whose calendar date is the default run date.
+RUN_ZONE = "America/Lima"
+# --- end of fixed values ---
 ON_DEMAND = -1
 # Used when a feed's entry cannot be found: assume there is work to do.
 MISSING_DEFAULT = 1
@@ -39,6 +43,13 @@ def parse_run_date(text: str) -> _dt.date:
     return _dt.datetime.strptime(text, "%Y-%m-%d").date()
 
 
+def local_today(zone: str = RUN_ZONE) -> _dt.date:
+    """Today's date on the calendar of ``zone`` (one shift, from UTC)."""
+    from zoneinfo import ZoneInfo
+
+    return _dt.datetime.now(ZoneInfo(zone)).date()
+
+
 def record(spark: SparkSession, ledger: str, run_id: str, counts: dict[str, int], load_date) -> None:
     """Append this run's per-feed row counts to the ledger folder."""
     rows = [(run_id, feed, int(n), parse_run_date(str(load_date))) for feed, n in counts.items()]
@@ -98,6 +109,9 @@ def refresh_silver(
     holders_table: str,
     on_duplicate: str = "latest",
     null_safe: bool = False,
+    cluster_files: int = 0,
+    stats_columns: tuple[str, ...] = (),
+    history: str | None = None,
 ) -> SilverResult:
     """Clean one load date of both feeds and upsert each by its key.
 
@@ -109,8 +123,9 @@ def refresh_silver(
     m = medallion.clean_members(raw_slice(members_raw, run_date), run_date)
     h = medallion.clean_holders(raw_slice(holders_raw, run_date), run_date)
     order = ("load_date",)
-    rm = upsert.upsert_table(m, members_table, medallion.MEMBERS.keys, null_safe, on_duplicate, order)
-    rh = upsert.upsert_table(h, holders_table, medallion.HOLDERS.keys, null_safe, on_duplicate, order)
+    opts = dict(cluster_files=cluster_files, stats_columns=stats_columns, history=history)
+    rm = upsert.upsert_table(m, members_table, medallion.MEMBERS.keys, null_safe, on_duplicate, order, **opts)
+    rh = upsert.upsert_table(h, holders_table, medallion.HOLDERS.keys, null_safe, on_duplicate, order, **opts)
     return SilverResult(rm, rh)
 
 
@@ -129,3 +144,67 @@ def refresh_gold(spark: SparkSession, members_table: str, holders_table: str, go
 def replay(raw: DataFrame, load_date) -> DataFrame:
     """Members clean-up of a past load date (the on-demand path)."""
     return medallion.clean_members(load_slice(raw, load_date), load_date)
+
+
+@dataclass
+class PipelineConfig:
+    members_inbox: str
+    holders_inbox: str
+    members_raw: str  # raw (bronze) tables: catalog names or folders
+    holders_raw: str
+    members_table: str  # clean (silver) tables: catalog names
+    holders_table: str
+    gold_table: str
+    ledger: str  # folder
+    history: str | None = None  # folder for merge counts
+    cluster_files: int = 0  # z-order the clean tables on their keys
+    stats_columns: tuple[str, ...] = ("policy_id",)
+
+
+@dataclass
+class RunOutcome:
+    run_id: str
+    raw_rows: dict
+    silver: SilverResult | None
+    gold_version: str | None
+
+
+def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand: bool = False) -> RunOutcome:
+    """Raw ingest of both feeds → ledger → gate → clean upserts → reporting.
+
+    ``on_demand`` replays ``run_date`` from the raw tables without ingesting
+    (the ledger records -1 for both feeds). A feed with an empty inbox loads
+    0 rows; the clean layer is skipped only when both feeds loaded nothing.
+    """
+    from terrace.plans import bronze
+
+    run_date = parse_run_date(str(run_date)) if run_date else local_today()
+    run_id = f"{run_date.isoformat()}-{_dt.datetime.now(_dt.timezone.utc):%H%M%S%f}"
+    counts = {}
+    if on_demand:
+        counts = {"members": ON_DEMAND, "holders": ON_DEMAND}
+    else:
+        for feed, inbox, target in (
+            (medallion.MEMBERS, cfg.members_inbox, cfg.members_raw),
+            (medallion.HOLDERS, cfg.holders_inbox, cfg.holders_raw),
+        ):
+            try:
+                res = bronze.ingest(spark, inbox, feed.positions, feed.raw_columns, target, run_date)
+                counts[feed.name] = res.rows
+            except bronze.NothingToIngest:
+                counts[feed.name] = 0
+    record(spark, cfg.ledger, run_id, counts, run_date)
+    should_run(spark, cfg.ledger, run_id)
+    silver = refresh_silver(
+        spark,
+        run_date,
+        bronze.read_target(spark, cfg.members_raw),
+        bronze.read_target(spark, cfg.holders_raw),
+        cfg.members_table,
+        cfg.holders_table,
+        cluster_files=cfg.cluster_files,
+        stats_columns=cfg.stats_columns,
+        history=cfg.history,
+    )
+    gold = refresh_gold(spark, cfg.members_table, cfg.holders_table, cfg.gold_table)
+    return RunOutcome(run_id, counts, silver, gold)

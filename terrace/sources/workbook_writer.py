@@ -12,7 +12,6 @@ its widest data row.
 from __future__ import annotations
 
 import datetime as _dt
-import io
 import os
 import zipfile
 from xml.sax.saxutils import escape
@@ -54,94 +53,150 @@ def _col_letters(i: int) -> str:
     return s
 
 
-def build_workbook(sheets: list[tuple[str, list[tuple[int, list]]]]) -> bytes:
-    """``sheets``: (name, [(row_no, cells)]) where a cell is None or (t, v)."""
-    shared: dict[str, int] = {}
-    parts = {}
-    for n, (name, rows) in enumerate(sheets, start=1):
-        width = max((len(c) for _, c in rows), default=0)
-        out = [f'<worksheet xmlns="{_MAIN}"><sheetData>']
-        header = "".join(
-            f'<c r="{_col_letters(j)}1" t="inlineStr"><is><t>C{j}</t></is></c>' for j in range(width)
+class _WorkbookStream:
+    """One workbook written member by member: each sheet's XML streams into
+    its zip member as rows arrive; shared strings, styles and the workbook
+    index are written when the file is closed."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self.tmp = path + ".tmp"
+        self.zf = zipfile.ZipFile(self.tmp, "w", zipfile.ZIP_DEFLATED)
+        self.shared: dict[str, int] = {}
+        self.sheets: list[str] = []
+        self.out = None
+        self.rows = 0
+
+    def start_sheet(self, name: str, width: int) -> None:
+        self.end_sheet()
+        self.sheets.append(name)
+        self.out = self.zf.open(f"xl/worksheets/sheet{len(self.sheets)}.xml", "w")
+        header = "".join(f'<c r="{_col_letters(j)}1" t="inlineStr"><is><t>C{j}</t></is></c>' for j in range(width))
+        self.out.write(f'<worksheet xmlns="{_MAIN}"><sheetData><row r="1">{header}</row>'.encode())
+
+    def add_row(self, row_no: int, cells) -> None:
+        r = row_no + 2  # row 1 is the header
+        xs = []
+        for j, c in enumerate(cells if cells is not None else []):
+            if c is None or c["v"] is None:
+                continue
+            t, v = c["t"], c["v"]
+            ref = f"{_col_letters(j)}{r}"
+            if t == "s":
+                idx = self.shared.setdefault(v, len(self.shared))
+                xs.append(f'<c r="{ref}" t="s"><v>{idx}</v></c>')
+            elif t == "i":
+                xs.append(f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>')
+            elif t == "d":
+                serial = (_dt.date.fromisoformat(v) - _EPOCH).days
+                xs.append(f'<c r="{ref}" s="{1 + (j % 2)}"><v>{serial}</v></c>')
+            else:
+                xs.append(f'<c r="{ref}"><v>{escape(v)}</v></c>')
+        self.out.write(f'<row r="{r}">{"".join(xs)}</row>'.encode())
+        self.rows += 1
+
+    def end_sheet(self) -> None:
+        if self.out is not None:
+            self.out.write(b"</sheetData></worksheet>")
+            self.out.close()
+            self.out = None
+
+    def close(self) -> None:
+        self.end_sheet()
+        k = len(self.sheets)
+        sst = "".join(
+            f'<si><t xml:space="preserve">{escape(s)}</t></si>'
+            for s, _ in sorted(self.shared.items(), key=lambda kv: kv[1])
         )
-        out.append(f'<row r="1">{header}</row>')
-        for row_no, cells in sorted(rows, key=lambda x: x[0]):
-            r = row_no + 2  # row 1 is the header
-            xs = []
-            for j, cell in enumerate(cells):
-                if cell is None:
-                    continue
-                t, v = cell
-                ref = f"{_col_letters(j)}{r}"
-                if v is None:
-                    continue
-                if t == "s":
-                    idx = shared.setdefault(v, len(shared))
-                    xs.append(f'<c r="{ref}" t="s"><v>{idx}</v></c>')
-                elif t == "i":
-                    xs.append(f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>')
-                elif t == "d":
-                    serial = (_dt.date.fromisoformat(v) - _EPOCH).days
-                    xs.append(f'<c r="{ref}" s="{1 + (j % 2)}"><v>{serial}</v></c>')
-                else:
-                    xs.append(f'<c r="{ref}"><v>{escape(v)}</v></c>')
-            out.append(f'<row r="{r}">{"".join(xs)}</row>')
-        out.append("</sheetData></worksheet>")
-        parts[f"xl/worksheets/sheet{n}.xml"] = "".join(out)
-    sst = "".join(
-        f'<si><t xml:space="preserve">{escape(s)}</t></si>' for s, _ in sorted(shared.items(), key=lambda kv: kv[1])
-    )
-    wb_sheets = "".join(
-        f'<sheet name="{escape(name)}" sheetId="{n}" r:id="rId{n}"/>' for n, (name, _) in enumerate(sheets, start=1)
-    )
-    rels = "".join(
-        f'<Relationship Id="rId{n}" Type="{_REL}/worksheet" Target="worksheets/sheet{n}.xml"/>'
-        for n in range(1, len(sheets) + 1)
-    )
-    k = len(sheets)
-    rels += f'<Relationship Id="rId{k + 1}" Type="{_REL}/styles" Target="styles.xml"/>'
-    rels += f'<Relationship Id="rId{k + 2}" Type="{_REL}/sharedStrings" Target="sharedStrings.xml"/>'
-    ct_sheets = "".join(
-        f'<Override PartName="/xl/worksheets/sheet{n}.xml" '
-        'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>\n'
-        for n in range(1, k + 1)
-    )
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        wb_sheets = "".join(
+            f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(self.sheets, start=1)
+        )
+        rels = "".join(
+            f'<Relationship Id="rId{i}" Type="{_REL}/worksheet" Target="worksheets/sheet{i}.xml"/>'
+            for i in range(1, k + 1)
+        )
+        rels += f'<Relationship Id="rId{k + 1}" Type="{_REL}/styles" Target="styles.xml"/>'
+        rels += f'<Relationship Id="rId{k + 2}" Type="{_REL}/sharedStrings" Target="sharedStrings.xml"/>'
+        ct_sheets = "".join(
+            f'<Override PartName="/xl/worksheets/sheet{i}.xml" '
+            'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>\n'
+            for i in range(1, k + 1)
+        )
+        zf = self.zf
         zf.writestr("[Content_Types].xml", _CT.format(sheets=ct_sheets))
         zf.writestr("_rels/.rels", _ROOT_RELS)
         zf.writestr("xl/workbook.xml", f'<workbook xmlns="{_MAIN}" xmlns:r="{_REL}"><sheets>{wb_sheets}</sheets></workbook>')
-        zf.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{rels}</Relationships>')
+        zf.writestr(
+            "xl/_rels/workbook.xml.rels",
+            f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{rels}</Relationships>',
+        )
         zf.writestr("xl/styles.xml", _STYLES)
-        zf.writestr("xl/sharedStrings.xml", f'<sst xmlns="{_MAIN}" count="{len(shared)}" uniqueCount="{len(shared)}">{sst}</sst>')
-        for name, body in parts.items():
-            zf.writestr(name, body)
-    return buf.getvalue()
+        n = len(self.shared)
+        zf.writestr("xl/sharedStrings.xml", f'<sst xmlns="{_MAIN}" count="{n}" uniqueCount="{n}">{sst}</sst>')
+        zf.close()
+        os.replace(self.tmp, self.path)
+
+
+def build_workbook(sheets: list[tuple[str, list[tuple[int, list]]]]) -> bytes:
+    """A whole small workbook in memory (tests): ``sheets`` is
+    ``[(name, [(row_no, cells)])]`` with cells ``None`` or ``(t, v)``."""
+    import tempfile
+
+    with tempfile.TemporaryDirectory() as d:
+        w = _WorkbookStream(os.path.join(d, "w.xlsx"))
+        for name, rows in sheets:
+            w.start_sheet(name, max((len(c) for _, c in rows), default=0))
+            for row_no, cells in sorted(rows, key=lambda x: x[0]):
+                w.add_row(row_no, [None if c is None else {"t": c[0], "v": c[1]} for c in cells])
+        w.close()
+        with open(os.path.join(d, "w.xlsx"), "rb") as fh:
+            return fh.read()
 
 
 def write_workbooks(df: DataFrame, folder: str) -> DataFrame:
     """Write one workbook per distinct ``file`` into ``folder`` (a path every
     executor can reach). Returns ``(file, sheets, rows)`` per file, lazily:
-    the files are written when the result is evaluated."""
+    the files are written when the result is evaluated.
+
+    Rows are hash-partitioned by file and sorted within partitions (Spark's
+    external sort, which spills), then streamed into the zip: no task ever
+    holds a whole file's rows in memory. A file is still written by one task.
+    """
     local = folder.replace("file://", "").replace("file:", "")
+    widths = df.groupBy("file", "sheet").agg(F.max(F.size("cells")).alias("_width"))
+    rows = (
+        df.join(widths, ["file", "sheet"])
+        .repartition("file")
+        .sortWithinPartitions("file", "sheet", "row_no")
+        .select("file", "sheet", "row_no", "_width", "cells")
+    )
 
-    def write_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        fname = pdf["file"].iloc[0]
-        sheets = []
-        for sheet, g in pdf.sort_values(["sheet", "row_no"]).groupby("sheet", sort=True):
-            rows = []
-            for row_no, cells in zip(g["row_no"], g["cells"]):
-                row = [None if c is None else (c["t"], c["v"]) for c in (cells if cells is not None else [])]
-                rows.append((int(row_no), row))
-            sheets.append((sheet, rows))
+    def write_partition(batches):
         os.makedirs(local, exist_ok=True)
-        tmp = os.path.join(local, f".{fname}.tmp")
-        with open(tmp, "wb") as fh:
-            fh.write(build_workbook(sheets))
-        os.replace(tmp, os.path.join(local, fname))
-        return pd.DataFrame({"file": [fname], "sheets": [len(sheets)], "rows": [len(pdf)]})
+        cur = None
+        sheet = None
+        done = []
+
+        def finish():
+            cur.close()
+            done.append((os.path.basename(cur.path), len(cur.sheets), cur.rows))
+
+        for pdf in batches:
+            for f, sh, rn, w, cells in zip(pdf["file"], pdf["sheet"], pdf["row_no"], pdf["_width"], pdf["cells"]):
+                if cur is None or os.path.basename(cur.path) != f:
+                    if cur is not None:
+                        finish()
+                    cur, sheet = _WorkbookStream(os.path.join(local, f)), None
+                if sh != sheet:
+                    cur.start_sheet(sh, int(w))
+                    sheet = sh
+                cur.add_row(int(rn), cells)
+        if cur is not None:
+            finish()
+        if done:
+            yield pd.DataFrame(done, columns=["file", "sheets", "rows"])
 
-    return df.groupBy("file").applyInPandas(write_group, "file string, sheets int, rows long")
+    return rows.mapInPandas(write_partition, "file string, sheets int, rows long")
 
 
 def cell(t: str, v) -> F.Column:
