@@ -328,4 +328,21 @@ SELECT run_id, CAST(members_rows AS BIGINT) AS members_rows, CAST(holders_rows A
             WHEN members_rows = 0 AND holders_rows = 0 THEN 'skip' ELSE 'run' END AS decision
 FROM led"""
     q["replay_date"] = with_(MEMBERS_RAW, members_clean_sql(f"load_date = DATE '{SLICE_DATE}'", SLICE_DATE)) + "SELECT * FROM members_clean"
+    # All layers through workbooks: blank-only cells come back trimmed to '',
+    # and each clean table keeps the latest row per business key.
+    m_trim = MEMBERS_RAW.replace("'  ' AS surname_1", "'' AS surname_1")
+    m_keys = "policy_id, certificate, doc_no, mov_year, mov_month"
+    m_rest = ("load_date", "policy_start", "policy_end", "cover_start", "cover_end", "doc_type", "doc_last_digit", "member_name")
+    h_keys = "policy_id, holder_doc_no, mov_year, mov_month"
+    h_rest = ("load_date", "doc_type", "holder_name")
+
+    def latest(src, keys, rest):
+        order = ", ".join(f"{c} DESC NULLS LAST" for c in rest)
+        return f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn FROM {src}) WHERE rn = 1)"
+
+    q["layers_end_to_end"] = with_(m_trim, members_clean_sql(), HOLDERS_RAW, holders_clean_sql()) + f"""
+  SELECT DISTINCT m.policy_id, m.policy_start, m.policy_end, m.cover_start, m.cover_end,
+         h.holder_doc_no, h.holder_name, m.doc_type, m.doc_no, m.doc_last_digit, m.member_name
+  FROM {latest("members_clean", m_keys, m_rest)} m
+  LEFT JOIN {latest("holders_clean", h_keys, h_rest)} h ON m.policy_id = h.policy_id"""
     return q
