@@ -259,6 +259,7 @@ src AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1.0 A
     pick = ", ".join(f"CASE WHEN s.o_orderkey IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in cols)
     change = "CASE WHEN s.o_orderkey IS NOT NULL AND t.o_orderkey IS NOT NULL THEN 'update' WHEN s.o_orderkey IS NOT NULL THEN 'insert' ELSE 'keep' END"
     q["upsert_orders"] = batches + f"SELECT {pick} FROM tgt t FULL OUTER JOIN src s ON t.o_orderkey = s.o_orderkey"
+    q["upsert_by_partition"] = batches + f"SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM (SELECT {pick} FROM tgt t FULL OUTER JOIN src s ON t.o_orderkey = s.o_orderkey)"
     q["upsert_metrics"] = batches + f"""
   SELECT count(*) FILTER (WHERE ch = 'insert') AS inserted, count(*) FILTER (WHERE ch = 'update') AS updated,
          count(*) FILTER (WHERE ch = 'keep') AS kept, count(*) AS total

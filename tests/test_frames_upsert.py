@@ -106,3 +106,25 @@ def test_source_with_other_columns_is_refused(spark):
     t = spark.createDataFrame(TGT, "k int, v string")
     with pytest.raises(ValueError):
         upsert.merge_changes(t, spark.createDataFrame([(1, "a", 1)], "k int, v string, extra int"), ["k"])
+
+
+def test_upsert_partitions_rewrites_only_touched(spark):
+    import os
+
+    name = "part_up_" + __import__("uuid").uuid4().hex[:8]
+    t = spark.createDataFrame([(1, 2020, "a"), (2, 2021, "b"), (3, None, "n")], "k int, y int, v string")
+    first = upsert.upsert_partitions(t, name, ["k", "y"], ["y"])
+    assert first.mode == "first_load"
+    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first().data_type
+    p2020 = loc.replace("file:", "") + "/y=2020"
+    before = sorted(os.listdir(p2020))
+    s = spark.createDataFrame([(2, 2021, "B"), (4, 2021, "d"), (5, None, "N")], "k int, y int, v string")
+    res = upsert.upsert_partitions(s, name, ["k", "y"], ["y"])
+    assert (res.inserted, res.updated) == (2, 1)
+    spark.catalog.refreshTable(name)
+    got = sorted((tuple(r) for r in spark.table(name).select("k", "y", "v").collect()), key=str)
+    assert got == sorted([(1, 2020, "a"), (2, 2021, "B"), (4, 2021, "d"), (3, None, "n"), (5, None, "N")], key=str)
+    assert sorted(os.listdir(p2020)) == before  # untouched partition not rewritten
+    again = upsert.upsert_partitions(s, name, ["k", "y"], ["y"])
+    spark.catalog.refreshTable(name)
+    assert again.inserted == 0 + 1  # the NULL-partition key never matches: inserted again
