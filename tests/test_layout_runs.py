@@ -84,3 +84,16 @@ def test_layers_end_to_end(spark, by_period):
     runs.refresh_gold(spark, mt, ht, gt, files=4)
     gold = spark.table(gt)
     assert gold.count() == gold.distinct().count() > 0
+
+
+def test_load_slice_prunes_partitions(spark, scratch):
+    from terrace.operators.frames import load_slice
+    from terrace.plans import bronze
+
+    raw = Q.members_raw(spark, SMOKE)
+    bronze.write_rows(raw, scratch + "/raw")
+    one = load_slice(bronze.read_target(spark, scratch + "/raw"), "1996-03-01").select("policy_id")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_date" in plan and "1996-03-01" in plan
+    assert "ReadSchema: struct<policy_id:string>" in plan  # one column read
+    assert one.count() == raw.filter("load_date = date'1996-03-01'").count()
