@@ -48,20 +48,20 @@ def is_empty(spark: SparkSession, name: str) -> bool:
 
 
 def append(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
-    """Append; a frame whose columns differ from the table's is refused."""
-    w = df.write.mode("append").format("parquet")
-    if partition_by and not table_exists(df.sparkSession, name):
-        w = w.partitionBy(*partition_by)
-    if table_exists(df.sparkSession, name):
-        have = [(f.name, f.dataType) for f in df.sparkSession.read.table(name).schema.fields]
-        want = [(f.name, f.dataType) for f in df.schema.fields]
-        if sorted(map(str, have)) != sorted(map(str, want)):
-            raise ValueError(f"schema of the frame differs from table {name}: {want} vs {have}")
-        df = df.select(*[n for n, _ in have])
-        w = df.write.mode("append").format("parquet")
-        df.write.insertInto(name)
+    """Append to a catalog table (created on first use); a frame whose
+    columns differ from the table's is refused, never merged in."""
+    spark = df.sparkSession
+    if not table_exists(spark, name):
+        w = df.write.format("parquet")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.saveAsTable(name)
         return
-    w.saveAsTable(name)
+    have = {f.name: f.dataType for f in spark.read.table(name).schema.fields}
+    want = {f.name: f.dataType for f in df.schema.fields}
+    if have != want:
+        raise ValueError(f"columns of the frame {want} differ from table {name} {have}")
+    df.select(*spark.read.table(name).columns).write.insertInto(name)
 
 
 def overwrite(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:

@@ -128,3 +128,14 @@ def test_upsert_partitions_rewrites_only_touched(spark):
     again = upsert.upsert_partitions(s, name, ["k", "y"], ["y"])
     spark.catalog.refreshTable(name)
     assert again.inserted == 0 + 1  # the NULL-partition key never matches: inserted again
+
+
+def test_append_refuses_other_schema(spark):
+    from terrace.sources import tables
+
+    name = "app_" + __import__("uuid").uuid4().hex[:8]
+    tables.append(spark.createDataFrame([("a", 1)], "s string, n int"), name)
+    tables.append(spark.createDataFrame([(2, "b")], "n int, s string"), name)  # same columns, other order
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [("a", 1), ("b", 2)]
+    with pytest.raises(ValueError):
+        tables.append(spark.createDataFrame([("c", 3, 0)], "s string, n int, extra int"), name)
