@@ -139,6 +139,7 @@ def upsert_table(
     cluster_files: int = 0,
     stats_columns: Sequence[str] = (),
     history: str | None = None,
+    location_root: str | None = None,
 ) -> UpsertResult:
     """Upsert into the stored table ``name`` (first load when absent or empty).
 
@@ -156,7 +157,7 @@ def upsert_table(
             from terrace.operators.layout import zorder
 
             df = zorder(df, list(keys), cluster_files)
-        return tables.publish_version(df, name, partition_by)
+        return tables.publish_version(df, name, partition_by, location_root)
 
     if tables.is_empty(spark, name):
         obs = Observation("first_load")

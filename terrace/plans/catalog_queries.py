@@ -616,6 +616,7 @@ def layers_end_to_end(spark, sf_dir):
         gold_table=f"report_{tag}",
         ledger=folder + "/ledger",
         history=folder + "/history",
+        table_root=folder + "/tables",
     )
     runs.run_all(spark, cfg, RUN_DATE)
     return spark.table(cfg.gold_table)

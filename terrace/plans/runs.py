@@ -113,6 +113,7 @@ def refresh_silver(
     stats_columns: tuple[str, ...] = (),
     history: str | None = None,
     by_period: bool = False,
+    table_root: str | None = None,
 ) -> SilverResult:
     """Clean one load date of both feeds and upsert each by its key.
 
@@ -130,20 +131,32 @@ def refresh_silver(
         # Both keys contain the period, so each upsert rewrites only the
         # periods present in this load instead of the whole table.
         period = ("mov_year", "mov_month")
-        rm = upsert.upsert_partitions(m, members_table, medallion.MEMBERS.keys, period, null_safe, on_duplicate, order)
-        rh = upsert.upsert_partitions(h, holders_table, medallion.HOLDERS.keys, period, null_safe, on_duplicate, order)
+        loc = (lambda t: f"{table_root.rstrip('/')}/{t}") if table_root else (lambda t: None)
+        rm = upsert.upsert_partitions(
+            m, members_table, medallion.MEMBERS.keys, period, null_safe, on_duplicate, order, location=loc(members_table)
+        )
+        rh = upsert.upsert_partitions(
+            h, holders_table, medallion.HOLDERS.keys, period, null_safe, on_duplicate, order, location=loc(holders_table)
+        )
         for t in (members_table, holders_table):
             spark.catalog.refreshTable(t)
             if stats_columns:
                 layout.analyze_columns(spark, t, stats_columns)
         return SilverResult(rm, rh)
-    opts = dict(cluster_files=cluster_files, stats_columns=stats_columns, history=history)
+    opts = dict(cluster_files=cluster_files, stats_columns=stats_columns, history=history, location_root=table_root)
     rm = upsert.upsert_table(m, members_table, medallion.MEMBERS.keys, null_safe, on_duplicate, order, **opts)
     rh = upsert.upsert_table(h, holders_table, medallion.HOLDERS.keys, null_safe, on_duplicate, order, **opts)
     return SilverResult(rm, rh)
 
 
-def refresh_gold(spark: SparkSession, members_table: str, holders_table: str, gold_table: str, files: int = 0) -> str:
+def refresh_gold(
+    spark: SparkSession,
+    members_table: str,
+    holders_table: str,
+    gold_table: str,
+    files: int = 0,
+    table_root: str | None = None,
+) -> str:
     """Rebuild the reporting table from the two clean tables, clustered on
     (last digit, document) for lookups. Returns the version table name."""
     m = spark.read.table(members_table)
@@ -152,7 +165,7 @@ def refresh_gold(spark: SparkSession, members_table: str, holders_table: str, go
         raise EmptySlice("a clean table is empty; the reporting table is left as it is")
     gold = medallion.consolidate(m, h)
     n = files or spark.sparkContext.defaultParallelism
-    return tables.publish_version(layout.zorder(gold, medallion.GOLD_CLUSTER_BY, n), gold_table)
+    return tables.publish_version(layout.zorder(gold, medallion.GOLD_CLUSTER_BY, n), gold_table, location_root=table_root)
 
 
 def replay(raw: DataFrame, load_date) -> DataFrame:
@@ -174,6 +187,7 @@ class PipelineConfig:
     cluster_files: int = 0  # z-order the clean tables on their keys (full-version mode)
     stats_columns: tuple[str, ...] = ("policy_id",)
     by_period: bool = True  # partition the clean tables by period, rewrite touched periods only
+    table_root: str | None = None  # folder for the clean and reporting tables' files (default: warehouse)
 
 
 @dataclass
@@ -221,6 +235,7 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
         stats_columns=cfg.stats_columns,
         history=cfg.history,
         by_period=cfg.by_period,
+        table_root=cfg.table_root,
     )
-    gold = refresh_gold(spark, cfg.members_table, cfg.holders_table, cfg.gold_table)
+    gold = refresh_gold(spark, cfg.members_table, cfg.holders_table, cfg.gold_table, table_root=cfg.table_root)
     return RunOutcome(run_id, counts, silver, gold)

@@ -64,10 +64,14 @@ def append(df: DataFrame, name: str, partition_by: list[str] | None = None) -> N
     df.select(*spark.read.table(name).columns).write.insertInto(name)
 
 
-def overwrite(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
+def overwrite(df: DataFrame, name: str, partition_by: list[str] | None = None, location: str | None = None) -> None:
+    """Replace (or create) a catalog table; ``location`` stores its files
+    there instead of under the warehouse folder."""
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if location:
+        w = w.option("path", location)
     w.saveAsTable(name)
 
 
@@ -80,16 +84,19 @@ def new_version_name(name: str) -> str:
     return f"{base}__v{uuid.uuid4().hex[:10]}"
 
 
-def publish_version(df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
+def publish_version(
+    df: DataFrame, name: str, partition_by: list[str] | None = None, location_root: str | None = None
+) -> str:
     """Write ``df`` as a new version table and point the view ``name`` at it.
 
     Readers of ``name`` see the old version until the view swap, which is a
     single catalog operation. Old versions stay for replay; the caller drops
-    them. Returns the version table's name.
+    them. With ``location_root`` each version's files go to a folder of
+    that name under it. Returns the version table's name.
     """
     spark = df.sparkSession
     version = new_version_name(name)
-    overwrite(df, version, partition_by)
+    overwrite(df, version, partition_by, f"{location_root.rstrip('/')}/{version}" if location_root else None)
     spark.sql(f"CREATE OR REPLACE VIEW {_ident(name)} AS SELECT * FROM {_ident(version)}")
     return version
 
