@@ -26,6 +26,7 @@ class IngestResult:
     rejected_sheets: int  # sheets narrower than the layout needs
     unreadable: int  # files or sheets that could not be parsed
     report: DataFrame  # per-file row counts of this run (lazy)
+    loaded_files: list[str]  # paths of the files that gave at least one row
 
 
 def write_rows(rows: DataFrame, target: str, partition_by: Sequence[str] = ("load_date",)) -> None:
@@ -78,7 +79,12 @@ def ingest(
         .groupBy("source_file")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    return IngestResult(n, s["sheet_rows"], s["rejected"], s["unreadable"], report)
+    # File paths are listing metadata (Spark's file index holds them on the
+    # driver already); keep those whose lineage shows rows in this load.
+    loaded = {r.source_file for r in report.select("source_file").collect()}
+    paths = files.select("path", wb.lineage("path").alias("lin")).collect()
+    loaded_files = sorted(r.path for r in paths if r.lin in loaded)
+    return IngestResult(n, s["sheet_rows"], s["rejected"], s["unreadable"], report, loaded_files)
 
 
 def archive(spark: SparkSession, paths: Sequence[str], folder: str) -> int:

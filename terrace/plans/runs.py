@@ -188,6 +188,8 @@ class PipelineConfig:
     stats_columns: tuple[str, ...] = ("policy_id",)
     by_period: bool = True  # partition the clean tables by period, rewrite touched periods only
     table_root: str | None = None  # folder for the clean and reporting tables' files (default: warehouse)
+    members_processed: str | None = None  # where loaded workbooks are moved (None: left in the inbox)
+    holders_processed: str | None = None
 
 
 @dataclass
@@ -213,13 +215,15 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
     if on_demand:
         counts = {"members": ON_DEMAND, "holders": ON_DEMAND}
     else:
-        for feed, inbox, target in (
-            (medallion.MEMBERS, cfg.members_inbox, cfg.members_raw),
-            (medallion.HOLDERS, cfg.holders_inbox, cfg.holders_raw),
+        for feed, inbox, target, done in (
+            (medallion.MEMBERS, cfg.members_inbox, cfg.members_raw, cfg.members_processed),
+            (medallion.HOLDERS, cfg.holders_inbox, cfg.holders_raw, cfg.holders_processed),
         ):
             try:
                 res = bronze.ingest(spark, inbox, feed.positions, feed.raw_columns, target, run_date)
                 counts[feed.name] = res.rows
+                if done:  # only after the append succeeded
+                    bronze.archive(spark, res.loaded_files, done)
             except bronze.NothingToIngest:
                 counts[feed.name] = 0
     record(spark, cfg.ledger, run_id, counts, run_date)
