@@ -6,12 +6,20 @@ them) in full; none runs on made-up input.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from terrace.plans import feeds, medallion
+from terrace.functions import columns as C
+from terrace.operators import frames, layout, upsert
+from terrace.plans import bronze, feeds, medallion, runs
+from terrace.session import scratch_dir
+from terrace.sources import workbooks as wb
 from terrace.sources.tables import read_parquet
+from terrace.sources.workbook_writer import cell, write_workbooks
+from terrace.streaming import incremental
 
 RUN_DATE = "2026-01-15"
 
@@ -63,10 +71,6 @@ def gold_by_period(spark, sf_dir):
 
 # --- column clean-up rules, one query each -------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from terrace.functions import columns as C  # noqa: E402
-from terrace.operators import frames, upsert  # noqa: E402
 
 SLICE_DATE = "1998-06-01"
 
@@ -308,12 +312,6 @@ def upsert_null_safe(spark, sf_dir):
 
 # --- workbooks: written from the tables on the executors, read back --------
 
-from terrace.plans import bronze  # noqa: E402
-from terrace.session import scratch_dir  # noqa: E402
-from terrace.sources import workbooks as wb  # noqa: E402
-from terrace.sources.workbook_writer import cell, write_workbooks  # noqa: E402
-from terrace.streaming import incremental  # noqa: E402
-
 
 def _inbox(spark) -> str:
     return scratch_dir(spark, "workbooks") + "/inbox"
@@ -460,10 +458,6 @@ def incremental_ingest(spark, sf_dir):
 
 # --- layout: compaction, clustering, statistics ---------------------------
 
-import uuid  # noqa: E402
-
-from terrace.operators import layout  # noqa: E402
-from terrace.plans import runs  # noqa: E402
 
 CLUSTER_COLS = ("l_partkey", "l_suppkey")
 CLUSTER_FILES = 16
@@ -580,8 +574,6 @@ def replay_date(spark, sf_dir):
 
 # --- all layers, from workbooks --------------------------------------------
 
-from pyspark.sql import Window  # noqa: E402
-
 
 def feed_workbooks(raw: DataFrame, feed: medallion.Feed, folder: str) -> None:
     """Raw feed rows laid out at the feed's column positions, one workbook
