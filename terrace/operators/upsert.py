@@ -42,8 +42,9 @@ def prepare_source(
 
     ``error`` raises :class:`DuplicateKeyError` when a key repeats (keys with
     a NULL part are exempt unless ``null_safe``, since they never match);
-    ``latest`` keeps the row with the greatest ``order_by`` values; ``keep``
-    passes the source through unchecked.
+    ``latest`` keeps the row with the greatest ``order_by`` values (rows
+    whose key has a NULL part are kept once each: de-duplicated exactly);
+    ``keep`` passes the source through unchecked.
     """
     if on_duplicate == "keep":
         return source
@@ -56,7 +57,7 @@ def prepare_source(
     if on_duplicate == "latest":
         if null_safe:
             return dedup_latest(source, keys, order_by)
-        return dedup_latest(checked, keys, order_by).unionByName(source.filter(_any_null(keys)))
+        return dedup_latest(checked, keys, order_by).unionByName(source.filter(_any_null(keys)).distinct())
     raise ValueError(f"on_duplicate must be error, latest or keep, not {on_duplicate!r}")
 
 

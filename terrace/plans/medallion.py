@@ -63,11 +63,14 @@ def clean_members(
     run_date,
     id_precision: int = C.ID_PRECISION,
     full_collapse: bool = False,
+    distinct: bool = True,
 ) -> DataFrame:
     """Raw members → typed, normalised, de-duplicated members.
 
     One projection (Catalyst collapses it with the scan's), one filter on the
-    parsed policy id, then a full-row ``distinct``.
+    parsed policy id, then a full-row ``distinct`` (skipped with
+    ``distinct=False`` when a latest-per-key step follows, which removes
+    exact duplicates anyway).
     """
     doc = C.strip_chars("doc_no")
     typed = raw.select(
@@ -88,10 +91,13 @@ def clean_members(
         C.whole_number_via_decimal("mov_month", C.CODE_PRECISION, "int").alias("mov_month"),
         C.stamp_date(run_date).alias("load_date"),
     )
-    return frames.require(typed, "policy_id").select(*MEMBERS.clean_columns).distinct()
+    out = frames.require(typed, "policy_id").select(*MEMBERS.clean_columns)
+    return out.distinct() if distinct else out
 
 
-def clean_holders(raw: DataFrame, run_date, id_precision: int = C.ID_PRECISION) -> DataFrame:
+def clean_holders(
+    raw: DataFrame, run_date, id_precision: int = C.ID_PRECISION, distinct: bool = True
+) -> DataFrame:
     """Raw holders → typed, normalised, de-duplicated holders."""
     doc = C.strip_chars("holder_doc_no")
     label = C.label_code(C.whole_number_via_integer("doc_type"), C.HOLDER_DOC_LABELS, C.HOLDER_DOC_OTHER)
@@ -104,7 +110,8 @@ def clean_holders(raw: DataFrame, run_date, id_precision: int = C.ID_PRECISION)
         C.whole_number_via_integer("mov_month").alias("mov_month"),
         C.stamp_date(run_date).alias("load_date"),
     )
-    return frames.require(typed, "policy_id", "holder_name").select(*HOLDERS.clean_columns).distinct()
+    out = frames.require(typed, "policy_id", "holder_name").select(*HOLDERS.clean_columns)
+    return out.distinct() if distinct else out
 
 
 def consolidate(members: DataFrame, holders: DataFrame, by_period: bool = False) -> DataFrame:

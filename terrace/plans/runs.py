@@ -124,8 +124,11 @@ def refresh_silver(
     tables partitioned by (year, month) of movement and rewrites only the
     periods a load touches; otherwise each upsert writes a new full version.
     """
-    m = medallion.clean_members(raw_slice(members_raw, run_date), run_date)
-    h = medallion.clean_holders(raw_slice(holders_raw, run_date), run_date)
+    # With "latest" the per-key aggregate below also removes exact
+    # duplicates, so the clean-up's own full-row distinct (a shuffle) is skipped.
+    exact = on_duplicate != "latest"
+    m = medallion.clean_members(raw_slice(members_raw, run_date), run_date, distinct=exact)
+    h = medallion.clean_holders(raw_slice(holders_raw, run_date), run_date, distinct=exact)
     order = ("load_date",)
     if by_period:
         # Both keys contain the period, so each upsert rewrites only the
