@@ -12,6 +12,7 @@ its widest data row.
 from __future__ import annotations
 
 import datetime as _dt
+import io
 import os
 import zipfile
 from xml.sax.saxutils import escape
@@ -58,10 +59,10 @@ class _WorkbookStream:
     its zip member as rows arrive; shared strings, styles and the workbook
     index are written when the file is closed."""
 
-    def __init__(self, path: str):
-        self.path = path
-        self.tmp = path + ".tmp"
-        self.zf = zipfile.ZipFile(self.tmp, "w", zipfile.ZIP_DEFLATED)
+    def __init__(self, path: str | None = None, buffer: io.BytesIO | None = None):
+        self.path = path or ""
+        self.tmp = path + ".tmp" if path else None
+        self.zf = zipfile.ZipFile(self.tmp or buffer, "w", zipfile.ZIP_DEFLATED)
         self.shared: dict[str, int] = {}
         self.sheets: list[str] = []
         self.out = None
@@ -134,23 +135,21 @@ class _WorkbookStream:
         n = len(self.shared)
         zf.writestr("xl/sharedStrings.xml", f'<sst xmlns="{_MAIN}" count="{n}" uniqueCount="{n}">{sst}</sst>')
         zf.close()
-        os.replace(self.tmp, self.path)
+        if self.tmp:
+            os.replace(self.tmp, self.path)
 
 
 def build_workbook(sheets: list[tuple[str, list[tuple[int, list]]]]) -> bytes:
     """A whole small workbook in memory (tests): ``sheets`` is
     ``[(name, [(row_no, cells)])]`` with cells ``None`` or ``(t, v)``."""
-    import tempfile
-
-    with tempfile.TemporaryDirectory() as d:
-        w = _WorkbookStream(os.path.join(d, "w.xlsx"))
-        for name, rows in sheets:
-            w.start_sheet(name, max((len(c) for _, c in rows), default=0))
-            for row_no, cells in sorted(rows, key=lambda x: x[0]):
-                w.add_row(row_no, [None if c is None else {"t": c[0], "v": c[1]} for c in cells])
-        w.close()
-        with open(os.path.join(d, "w.xlsx"), "rb") as fh:
-            return fh.read()
+    buf = io.BytesIO()
+    w = _WorkbookStream(buffer=buf)
+    for name, rows in sheets:
+        w.start_sheet(name, max((len(c) for _, c in rows), default=0))
+        for row_no, cells in sorted(rows, key=lambda x: x[0]):
+            w.add_row(row_no, [None if c is None else {"t": c[0], "v": c[1]} for c in cells])
+    w.close()
+    return buf.getvalue()
 
 
 def write_workbooks(df: DataFrame, folder: str) -> DataFrame:
