@@ -209,6 +209,12 @@ def build() -> dict[str, str]:
          CASE {via_decimal_sql("doc_type", 10, "INTEGER")} WHEN 1 THEN 'DNI' WHEN 2 THEN 'CE' WHEN 5 THEN 'PAS' ELSE 'OTROS' END AS member_label,
          {hlabel} AS holder_label
   FROM holders_raw"""
+    unp = lambda c, parsed: f"count(*) FILTER (WHERE {c} IS NOT NULL AND {parsed} IS NULL) AS {c}_unparsed"
+    q["member_rejects"] = m + "SELECT count(*) AS rows, " + ", ".join(
+        [unp("policy_id", via_decimal_sql("policy_id", 20, "BIGINT"))]
+        + [unp(c, parse_date_sql(c)) for c in dcols]
+        + [unp(c, via_decimal_sql(c, 10, "INTEGER")) for c in ("mov_year", "mov_month")]
+    ) + " FROM members_raw"
     q["load_slice"] = m + f"""
   SELECT policy_id, policy_start, policy_end, certificate, cover_start, cover_end, first_name, second_name,
          surname_1, surname_2, doc_type, doc_no, mov_year, mov_month, source_file, load_date,

@@ -627,3 +627,8 @@ def upsert_by_partition(spark, sf_dir):
     upsert.upsert_partitions(source.select("*", year), name, keys, parts)
     spark.catalog.refreshTable(name)
     return spark.table(name)
+
+
+@register("member_rejects")
+def member_rejects(spark, sf_dir):
+    return medallion.member_rejects(members_raw(spark, sf_dir))

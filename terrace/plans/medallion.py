@@ -95,6 +95,22 @@ def clean_members(
     return out.distinct() if distinct else out
 
 
+def member_rejects(raw: DataFrame, id_precision: int = C.ID_PRECISION) -> DataFrame:
+    """One row of counts over a raw members batch: rows, and per column the
+    rows whose text is present but does not parse (these become NULL; a NULL
+    policy id drops the row). One aggregate, combined map-side."""
+    def unparsed(text: str, parsed):
+        return F.count_if(F.col(text).isNotNull() & parsed.isNull()).alias(f"{text}_unparsed")
+
+    return raw.agg(
+        F.count(F.lit(1)).alias("rows"),
+        unparsed("policy_id", C.whole_number_via_decimal("policy_id", id_precision, "bigint")),
+        *[unparsed(c, C.parse_date(c)) for c in MEMBER_DATE_COLUMNS],
+        unparsed("mov_year", C.whole_number_via_decimal("mov_year", C.CODE_PRECISION, "int")),
+        unparsed("mov_month", C.whole_number_via_decimal("mov_month", C.CODE_PRECISION, "int")),
+    )
+
+
 def clean_holders(
     raw: DataFrame, run_date, id_precision: int = C.ID_PRECISION, distinct: bool = True
 ) -> DataFrame:
