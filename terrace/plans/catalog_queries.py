@@ -585,7 +585,7 @@ def feed_workbooks(raw: DataFrame, feed: medallion.Feed, folder: str) -> None:
     order = Window.partitionBy("file", "sheet").orderBy("_id")
     laid = raw.select(
         F.element_at(F.split("source_file", "/"), -1).alias("file"),
-        F.concat(F.lit("S"), (F.abs(F.hash(*feed.keys)) % 2).cast("string")).alias("sheet"),
+        F.concat(F.lit("S"), F.pmod(F.hash(*feed.keys), F.lit(2)).cast("string")).alias("sheet"),
         F.monotonically_increasing_id().alias("_id"),
         cells.alias("cells"),
     )
