@@ -14,16 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-DEFAULT_FILE_BYTES = 128 * 1024 * 1024
-
+from terrace.sources.tables import stored_bytes
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under a folder, from the file system's own summary (metadata
-    only, no data read)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+DEFAULT_FILE_BYTES = 128 * 1024 * 1024
 
 
 def file_count(spark: SparkSession, path: str, suffix: str = ".parquet") -> int:

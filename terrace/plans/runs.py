@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from terrace.operators import layout, upsert
 from terrace.operators.frames import load_slice
 from terrace.plans import medallion
+from terrace.session import size_shuffle_partitions
 from terrace.sources import tables
 
 # --- fixed values ---
@@ -231,18 +232,37 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
                 counts[feed.name] = 0
     record(spark, cfg.ledger, run_id, counts, run_date)
     should_run(spark, cfg.ledger, run_id)
-    silver = refresh_silver(
-        spark,
-        run_date,
-        bronze.read_target(spark, cfg.members_raw),
-        bronze.read_target(spark, cfg.holders_raw),
-        cfg.members_table,
-        cfg.holders_table,
-        cluster_files=cfg.cluster_files,
-        stats_columns=cfg.stats_columns,
-        history=cfg.history,
-        by_period=cfg.by_period,
-        table_root=cfg.table_root,
-    )
-    gold = refresh_gold(spark, cfg.members_table, cfg.holders_table, cfg.gold_table, table_root=cfg.table_root)
+    # Size shuffles from the stored input of each step (metadata only); the
+    # caller's setting is put back afterwards.
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    try:
+        day = f"load_date={run_date.isoformat()}"
+        raw_bytes = sum(
+            tables.stored_bytes(spark, f"{tables.location(spark, t).rstrip('/')}/{day}")
+            for t in (cfg.members_raw, cfg.holders_raw)
+        )
+        size_shuffle_partitions(spark, raw_bytes)
+        silver = refresh_silver(
+            spark,
+            run_date,
+            bronze.read_target(spark, cfg.members_raw),
+            bronze.read_target(spark, cfg.holders_raw),
+            cfg.members_table,
+            cfg.holders_table,
+            cluster_files=cfg.cluster_files,
+            stats_columns=cfg.stats_columns,
+            history=cfg.history,
+            by_period=cfg.by_period,
+            table_root=cfg.table_root,
+        )
+        # The stored tables behind the clean names (a version table or the
+        # partitioned table itself).
+        clean_bytes = sum(
+            tables.stored_bytes(spark, tables.location(spark, r.version)) for r in (silver.members, silver.holders)
+        )
+        size_shuffle_partitions(spark, clean_bytes)
+        gold = refresh_gold(spark, cfg.members_table, cfg.holders_table, cfg.gold_table, table_root=cfg.table_root)
+    finally:
+        spark.conf.set(key, previous)
     return RunOutcome(run_id, counts, silver, gold)

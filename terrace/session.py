@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -80,3 +81,29 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file://", "").replace("file:", ""), exist_ok=True)
     return path
+
+
+# Stored (compressed parquet) bytes per shuffle partition. Decoded and
+# projected rows in a shuffle are a few times larger, which lands near the
+# 256-512 MB per task that keeps sorts and hash tables in executor memory.
+STORED_BYTES_PER_PARTITION = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def size_shuffle_partitions(
+    spark: SparkSession,
+    input_bytes: int,
+    bytes_per_partition: int = STORED_BYTES_PER_PARTITION,
+    max_partitions: int = MAX_SHUFFLE_PARTITIONS,
+) -> int:
+    """Set ``spark.sql.shuffle.partitions`` for the next jobs from the size of
+    their input: at least one per core, one per ``bytes_per_partition``.
+
+    AQE coalesces partitions that turn out small but never splits large
+    ones (outside skewed joins), so the starting count must be big enough
+    for the data; the default of 200 is not at warehouse scale.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = min(max(cores, math.ceil(input_bytes / bytes_per_partition)), max_partitions)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -101,6 +101,25 @@ def publish_version(
     return version
 
 
+def location(spark: SparkSession, name_or_path: str) -> str:
+    """Storage folder of a catalog table (or the path itself)."""
+    if "/" in name_or_path:
+        return name_or_path
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(name_or_path)}").filter("col_name = 'Location'").collect()
+    if not rows:
+        raise ValueError(f"{name_or_path} has no storage location (a view?)")
+    return rows[0]["data_type"]
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under a folder, from the file system's summary (no data read);
+    0 when it does not exist."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def describe(spark: SparkSession, name: str) -> DataFrame:
     """Table detail as rows (``DESCRIBE TABLE EXTENDED``)."""
     return spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(name)}")

@@ -128,3 +128,17 @@ def test_run_all_archives_gates_and_replays(spark, scratch):
     assert spark.table(cfg.gold_table).count() == gold_rows
     led = {r.decision for r in runs.gate(spark.read.parquet(cfg.ledger)).collect()}
     assert led == {"run", "skip", "bypass"}
+
+
+def test_size_shuffle_partitions(spark):
+    from terrace.session import size_shuffle_partitions
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        assert size_shuffle_partitions(spark, 10) == cores
+        assert size_shuffle_partitions(spark, 100 * 2**40) == 200_000  # capped
+        assert size_shuffle_partitions(spark, 10 * 2**40) == 81_920  # 10 TB / 128 MB
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "81920"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
