@@ -31,13 +31,26 @@ def _any_null(keys: Sequence[str]):
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def prepare_source(
+@dataclass
+class SplitSource:
+    """A source made unique per key, kept in two parts: rows whose key can
+    match (``keyed``) and rows with a NULL key part (``unkeyed``, always
+    inserts; empty when ``null_safe``)."""
+
+    keyed: DataFrame
+    unkeyed: DataFrame | None
+
+    def whole(self) -> DataFrame:
+        return self.keyed if self.unkeyed is None else self.keyed.unionByName(self.unkeyed)
+
+
+def split_source(
     source: DataFrame,
     keys: Sequence[str],
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
     null_safe: bool = False,
-) -> DataFrame:
+) -> SplitSource:
     """Make the source unique per key.
 
     ``error`` raises :class:`DuplicateKeyError` when a key repeats (keys with
@@ -45,24 +58,39 @@ def prepare_source(
     ``latest`` keeps the row with the greatest ``order_by`` values (rows
     whose key has a NULL part are kept once each: de-duplicated exactly);
     ``keep`` passes the source through unchecked.
+
+    The parts stay apart so the merge join reads the keyed part as it comes
+    out of the per-key aggregate, already hash-partitioned by the key.
     """
-    if on_duplicate == "keep":
-        return source
-    checked = source if null_safe else source.filter(~_any_null(keys))
+    if on_duplicate not in ("error", "latest", "keep"):
+        raise ValueError(f"on_duplicate must be error, latest or keep, not {on_duplicate!r}")
+    if null_safe:
+        keyed, unkeyed = source, None
+    else:
+        keyed, unkeyed = source.filter(~_any_null(keys)), source.filter(_any_null(keys))
     if on_duplicate == "error":
-        dup = duplicate_keys(checked, keys).limit(1).collect()
+        dup = duplicate_keys(keyed, keys).limit(1).collect()
         if dup:
             raise DuplicateKeyError(f"source repeats key {dup[0].asDict()}")
-        return source
-    if on_duplicate == "latest":
-        if null_safe:
-            return dedup_latest(source, keys, order_by)
-        return dedup_latest(checked, keys, order_by).unionByName(source.filter(_any_null(keys)).distinct())
-    raise ValueError(f"on_duplicate must be error, latest or keep, not {on_duplicate!r}")
+    elif on_duplicate == "latest":
+        keyed = dedup_latest(keyed, keys, order_by)
+        unkeyed = unkeyed.distinct() if unkeyed is not None else None
+    return SplitSource(keyed, unkeyed)
+
+
+def prepare_source(
+    source: DataFrame,
+    keys: Sequence[str],
+    on_duplicate: str = "error",
+    order_by: Sequence[str] = (),
+    null_safe: bool = False,
+) -> DataFrame:
+    """:func:`split_source` as one frame."""
+    return split_source(source, keys, on_duplicate, order_by, null_safe).whole()
 
 
 def merge_changes(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False
+    target: DataFrame, source: DataFrame | SplitSource, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
     """The merged table with a ``_change`` column: insert / update / keep.
 
@@ -71,19 +99,23 @@ def merge_changes(
     join entirely: otherwise they would all hash to one shuffle partition,
     and a feed with many blank key parts would land in a single task.
     """
-    cols = target.columns
-    if sorted(cols) != sorted(source.columns):
-        raise ValueError(f"source columns {source.columns} differ from target columns {cols}")
-    source = source.select(*cols)
     keys = list(keys)
+    if not isinstance(source, SplitSource):
+        source = SplitSource(source, None) if null_safe else SplitSource(
+            source.filter(~_any_null(keys)), source.filter(_any_null(keys))
+        )
+    cols = target.columns
+    if sorted(cols) != sorted(source.keyed.columns):
+        raise ValueError(f"source columns {source.keyed.columns} differ from target columns {cols}")
+    sk = source.keyed.select(*cols)
     if null_safe:
-        tk, sk, passthrough = target, source, None
+        tk, passthrough = target, None
     else:
         nk = _any_null(keys)
-        tk, sk = target.filter(~nk), source.filter(~nk)
-        passthrough = target.filter(nk).withColumn(CHANGE, F.lit(KEEP)).unionByName(
-            source.filter(nk).withColumn(CHANGE, F.lit(INSERT))
-        )
+        tk = target.filter(~nk)
+        passthrough = target.filter(nk).withColumn(CHANGE, F.lit(KEEP))
+        if source.unkeyed is not None:
+            passthrough = passthrough.unionByName(source.unkeyed.select(*cols).withColumn(CHANGE, F.lit(INSERT)))
     t = tk.select(*[F.col(c).alias(f"t__{c}") for c in cols], F.lit(True).alias("t__present"))
     s = sk.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s__present"))
     eq = (lambda a, b: a.eqNullSafe(b)) if null_safe else (lambda a, b: a == b)
@@ -151,7 +183,7 @@ def upsert_table(
     folder that gets one row per call (table, version, mode, counts).
     """
     spark = source.sparkSession
-    src = prepare_source(source, keys, on_duplicate, order_by, null_safe)
+    src = split_source(source, keys, on_duplicate, order_by, null_safe)
 
     def publish(df: DataFrame) -> str:
         if cluster_files:
@@ -162,7 +194,7 @@ def upsert_table(
 
     if tables.is_empty(spark, name):
         obs = Observation("first_load")
-        version = publish(src.observe(obs, F.count(F.lit(1)).alias("n")))
+        version = publish(src.whole().observe(obs, F.count(F.lit(1)).alias("n")))
         n = obs.get["n"]
         result = UpsertResult("first_load", version, n, 0, n)
     else:
@@ -219,17 +251,17 @@ def upsert_partitions(
     missing = [c for c in partition_cols if c not in keys]
     if missing:
         raise ValueError(f"partition columns {missing} must be part of the key")
-    src = prepare_source(source, keys, on_duplicate, order_by, null_safe)
+    src = split_source(source, keys, on_duplicate, order_by, null_safe)
     if tables.is_empty(spark, name):
         obs = Observation("first_load")
-        w = src.observe(obs, F.count(F.lit(1)).alias("n")).write.format("parquet").partitionBy(*partition_cols)
+        w = src.whole().observe(obs, F.count(F.lit(1)).alias("n")).write.format("parquet").partitionBy(*partition_cols)
         if location:
             w = w.option("path", location)
         w.saveAsTable(name)
         n = obs.get["n"]
         return UpsertResult("first_load", name, n, 0, n)
     target = spark.table(name)
-    listed = src.select(*partition_cols).distinct().limit(max_listed + 1).collect()
+    listed = src.whole().select(*partition_cols).distinct().limit(max_listed + 1).collect()
     if len(listed) <= max_listed:
         cond = F.lit(True)
         for i, c in enumerate(partition_cols):

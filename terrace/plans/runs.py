@@ -120,7 +120,7 @@ def refresh_silver(
 
     The clean-up output is distinct over all columns, but the key is fewer
     columns, so two rows may share a key; ``on_duplicate`` decides (see
-    :func:`terrace.operators.upsert.prepare_source`). Replaying an older
+    :func:`terrace.operators.upsert.split_source`). Replaying an older
     date is the same call with that date. ``by_period`` stores the clean
     tables partitioned by (year, month) of movement and rewrites only the
     periods a load touches; otherwise each upsert writes a new full version.

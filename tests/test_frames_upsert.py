@@ -139,3 +139,21 @@ def test_append_refuses_other_schema(spark):
     assert sorted(tuple(r) for r in spark.table(name).collect()) == [("a", 1), ("b", 2)]
     with pytest.raises(ValueError):
         tables.append(spark.createDataFrame([("c", 3, 0)], "s string, n int, extra int"), name)
+
+
+def test_latest_source_feeds_merge_join_without_reshuffle(spark):
+    # The keyed part comes out of the per-key aggregate hash-partitioned by
+    # the key; the merge join must not shuffle it again.
+    t = spark.range(50).select(F.col("id").alias("k"), F.lit("t").alias("v"))
+    s = spark.range(40, 60).union(spark.range(40, 45)).select(F.col("id").alias("k"), F.lit("s").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        src = upsert.split_source(s, ["k"], "latest", ["v"])
+        merged = upsert.merge_changes(t, src, ["k"])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(t__k" in plan  # the target side is shuffled
+        assert "hashpartitioning(s__k" not in plan  # the source side is not, again
+        counts = {r["_change"]: r["count"] for r in merged.groupBy("_change").count().collect()}
+        assert counts == {"keep": 40, "update": 10, "insert": 10}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
