@@ -261,7 +261,10 @@ def upsert_partitions(
         n = obs.get["n"]
         return UpsertResult("first_load", name, n, 0, n)
     target = spark.table(name)
-    listed = src.whole().select(*partition_cols).distinct().limit(max_listed + 1).collect()
+    # Listed from the input, not the de-duplicated source: the key contains
+    # the partition columns, so de-duplication keeps every value, and only
+    # the partition columns need computing (column pruning, no per-key shuffle).
+    listed = source.select(*partition_cols).distinct().limit(max_listed + 1).collect()
     if len(listed) <= max_listed:
         cond = F.lit(True)
         for i, c in enumerate(partition_cols):
