@@ -186,11 +186,15 @@ def upsert_table(
     src = split_source(source, keys, on_duplicate, order_by, null_safe)
 
     def publish(df: DataFrame) -> str:
+        version = tables.publish_version(df, name, partition_by, location_root)
         if cluster_files:
+            # Cluster from the stored version: the clustering's sampling
+            # passes then do not recompute the merge.
             from terrace.operators.layout import zorder
 
-            df = zorder(df, list(keys), cluster_files)
-        return tables.publish_version(df, name, partition_by, location_root)
+            clustered = zorder(spark.read.table(version), list(keys), cluster_files)
+            version = tables.publish_version(clustered, name, partition_by, location_root)
+        return version
 
     if tables.is_empty(spark, name):
         obs = Observation("first_load")

@@ -157,3 +157,15 @@ def test_latest_source_feeds_merge_join_without_reshuffle(spark):
         assert counts == {"keep": 40, "update": 10, "insert": 10}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_upsert_table_clustered_with_history(spark, scratch):
+    name = "clu_" + __import__("uuid").uuid4().hex[:8]
+    t = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 7).alias("g"), F.lit("t").alias("v"))
+    s = spark.range(150, 260).select(F.col("id").alias("k"), (F.col("id") % 7).alias("g"), F.lit("s").alias("v"))
+    upsert.upsert_table(t, name, ["k", "g"], cluster_files=3, history=scratch + "/hist")
+    res = upsert.upsert_table(s, name, ["k", "g"], cluster_files=3, history=scratch + "/hist")
+    assert (res.inserted, res.updated, res.total) == (60, 50, 260)
+    assert spark.table(name).count() == 260 and spark.table(name).filter("v = 's'").count() == 110
+    hist = sorted((r.mode, r.inserted, r.updated) for r in spark.read.parquet(scratch + "/hist").collect())
+    assert hist == [("first_load", 200, 0), ("merge", 60, 50)]
