@@ -61,12 +61,12 @@ def silver_holders(spark, sf_dir):
 
 @register("gold_consolidated")
 def gold_consolidated(spark, sf_dir):
-    return medallion.consolidate(silver_members(spark, sf_dir), silver_holders(spark, sf_dir))
+    return medallion.report_from_raw(members_raw(spark, sf_dir), holders_raw(spark, sf_dir), RUN_DATE)
 
 
 @register("gold_by_period")
 def gold_by_period(spark, sf_dir):
-    return medallion.consolidate(silver_members(spark, sf_dir), silver_holders(spark, sf_dir), by_period=True)
+    return medallion.report_from_raw(members_raw(spark, sf_dir), holders_raw(spark, sf_dir), RUN_DATE, by_period=True)
 
 
 # --- column clean-up rules, one query each -------------------------------

@@ -151,3 +151,18 @@ def consolidate(members: DataFrame, holders: DataFrame, by_period: bool = False)
     # onto the same output row, so the pair argument no longer holds: one
     # distinct after the join, none before it on the members side.
     return members.select(*m_cols).join(h, on=h_keys, how="left").select(*GOLD_COLUMNS).distinct()
+
+
+def report_from_raw(members_raw: DataFrame, holders_raw: DataFrame, run_date, by_period: bool = False) -> DataFrame:
+    """Clean both raw feeds and consolidate them in one plan.
+
+    :func:`consolidate` de-duplicates each side on the columns it uses (or
+    the result once, by period), and a distinct over a projection of a
+    distinct equals the distinct over the projection; so the clean-ups'
+    own full-row ``distinct`` — one shuffle per feed — is left out.
+    """
+    return consolidate(
+        clean_members(members_raw, run_date, distinct=False),
+        clean_holders(holders_raw, run_date, distinct=False),
+        by_period,
+    )
