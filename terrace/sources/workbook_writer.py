@@ -14,13 +14,19 @@ from __future__ import annotations
 import datetime as _dt
 import io
 import os
+import sys
 import zipfile
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The functions Spark runs on executors live in this module; send them by
+# value so workers need not have the package installed (no --py-files).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _CT = """<?xml version="1.0" encoding="UTF-8" standalone="yes"?>
 <Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">
 <Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>

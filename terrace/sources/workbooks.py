@@ -24,17 +24,23 @@ from __future__ import annotations
 import datetime as _dt
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree.ElementTree import iterparse
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import stamp_date, strip_space
 from terrace.operators.frames import cells_by_position, lineage
 
+# The functions Spark runs on executors live in this module; send them by
+# value so workers need not have the package installed (no --py-files).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CELL_SCHEMA = (
     "path string, sheet string, sheet_no int, row_no int, width int, cells array<string>, problem string"
 )
