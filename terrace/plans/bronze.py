@@ -60,7 +60,7 @@ def ingest(
     if files.select("path").isEmpty():
         raise NothingToIngest(f"no {pattern} file in {inbox}")
     seen = Observation("sheets")
-    cells = wb.scan_cells(files).observe(
+    cells = wb.scan_cells(files, by_path=wb.is_local(inbox)).observe(
         seen,
         F.count_if(F.col("row_no") > 0).alias("sheet_rows"),
         F.count_if((F.col("row_no") == 0) & ~wb.accepted("width", positions)).alias("rejected"),

@@ -195,11 +195,16 @@ def _sheet_rows(zf, member, shared, date_styles, date1904) -> Iterator[tuple[int
             elem.clear()
 
 
-def parse_workbook(path: str, content: bytes) -> Iterator[pd.DataFrame]:
-    """All sheets of one workbook as ``CELL_SCHEMA`` frames of bounded size."""
+def parse_workbook(path: str, content: bytes | None = None) -> Iterator[pd.DataFrame]:
+    """All sheets of one workbook as ``CELL_SCHEMA`` frames of bounded size.
+
+    With ``content`` the workbook is read from those bytes; without, it is
+    opened at ``path`` on the worker's file system and its zip members are
+    read lazily, so the file is never held in memory whole.
+    """
     cols = ["path", "sheet", "sheet_no", "row_no", "width", "cells", "problem"]
     try:
-        zf = zipfile.ZipFile(io.BytesIO(content))
+        zf = zipfile.ZipFile(io.BytesIO(content) if content is not None else local_path(path))
         sheets = _sheets(zf)
         shared = _shared_strings(zf)
         styles = _date_styles(zf)
@@ -237,6 +242,24 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield from parse_workbook(path, content)
 
 
+def _parse_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for path in pdf["path"]:
+            yield from parse_workbook(path)
+
+
+def local_path(uri: str) -> str:
+    """``file:/a/b`` or ``file:///a/b`` → ``/a/b``."""
+    return "/" + uri[len("file:"):].lstrip("/") if uri.startswith("file:") else uri
+
+
+def is_local(location: str | Sequence[str]) -> bool:
+    """True when every location is on a file system the workers can open
+    directly (a plain path or ``file:``; mounted volumes count)."""
+    locs = [location] if isinstance(location, str) else list(location)
+    return all(loc.startswith("/") or loc.startswith("file:") for loc in locs)
+
+
 def list_workbooks(spark: SparkSession, inbox: str | Sequence[str], pattern: str = "*.xlsx") -> DataFrame:
     """Files of the inbox (not recursive) whose names match ``pattern``;
     reading ``content`` is pruned away unless selected."""
@@ -244,13 +267,26 @@ def list_workbooks(spark: SparkSession, inbox: str | Sequence[str], pattern: str
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths)
 
 
-def scan_cells(files: DataFrame) -> DataFrame:
-    """Parse every listed workbook on the executors (``CELL_SCHEMA`` rows)."""
+def scan_cells(files: DataFrame, by_path: bool = False) -> DataFrame:
+    """Parse every listed workbook on the executors (``CELL_SCHEMA`` rows).
+
+    ``by_path`` ships only the paths (the listing never reads the bytes) and
+    each worker opens its files itself: for inboxes on a local or mounted
+    file system. Otherwise the bytes travel in the ``content`` column, which
+    works for any file system Spark can read (object stores included).
+    """
+    if by_path:
+        return files.select("path").mapInPandas(_parse_paths, CELL_SCHEMA)
     return files.select("path", "content").mapInPandas(_parse_batches, CELL_SCHEMA)
 
 
-def read_workbooks(spark: SparkSession, inbox: str | Sequence[str], pattern: str = "*.xlsx") -> DataFrame:
-    return scan_cells(list_workbooks(spark, inbox, pattern))
+def read_workbooks(
+    spark: SparkSession, inbox: str | Sequence[str], pattern: str = "*.xlsx", by_path: bool | None = None
+) -> DataFrame:
+    """Parsed cells of every workbook in the inbox; ``by_path`` defaults to
+    whether the inbox is on a file system the workers can open."""
+    by_path = is_local(inbox) if by_path is None else by_path
+    return scan_cells(list_workbooks(spark, inbox, pattern), by_path)
 
 
 def accepted(width: Column | str, positions: Sequence[int]) -> Column:

@@ -138,3 +138,14 @@ def test_incremental_archive_moves_committed_files(spark, scratch):
     # Files of committed batches move once a later batch runs; never a file
     # that has not been loaded.
     assert "a.xlsx" in archived and set(archived) <= {"a.xlsx", "b.xlsx"}
+
+
+def test_path_and_content_modes_agree(spark, scratch):
+    put(scratch, "a.xlsx", [("S1", [(0, [("s", "x"), None, ("n", "7"), ("d", "2024-01-15")])]),
+                            ("S2", [(3, [("i", "y")])])])
+    files = wb.list_workbooks(spark, scratch)
+    by_path = sorted(tuple(map(str, r)) for r in wb.scan_cells(files, by_path=True).collect())
+    by_bytes = sorted(tuple(map(str, r)) for r in wb.scan_cells(files, by_path=False).collect())
+    assert by_path == by_bytes and len(by_path) == 4
+    assert wb.is_local(scratch) and not wb.is_local("s3a://bucket/inbox")
+    assert wb.local_path("file:///a/b.xlsx") == "/a/b.xlsx" and wb.local_path("file:/a/b.xlsx") == "/a/b.xlsx"
