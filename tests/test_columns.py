@@ -109,3 +109,41 @@ def test_each_format_alone(spark, fmt):
     text = {"yyyy-MM-dd": "2024-01-15", "dd/MM/yyyy": "15/01/2024", "dd-MM-yyyy": "15-01-2024",
             "yyyy/MM/dd": "2024/01/15", "yyyyMMdd": "20240115", "dd/MM/yy": "15/01/24"}[fmt]
     assert one(spark, lambda c: C.parse_date(c, [fmt]), [text]) == [D]
+
+
+def _model_whole_int(t):
+    """The rule written plainly: a plain decimal literal, truncated, in int range."""
+    import re as _re
+
+    if t is None:
+        return None
+    m = _re.fullmatch(r"([+-]?[0-9]+)([.][0-9]*)?", t.strip(" "))
+    if not m:
+        return None
+    v = int(m.group(1))
+    return v if -(2**31) <= v < 2**31 else None
+
+
+def _model_pad(t):
+    if t is None:
+        return None
+    if len(t) in (5, 6, 7) and t.isascii() and t.isdigit():
+        return t.rjust(8, "0")
+    return t
+
+
+number_like = st.one_of(st.none(), st.text(alphabet="0123456789.+-e ", max_size=14))
+doc_like = st.one_of(st.none(), st.text(alphabet="0123456789X'_", max_size=9))
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(number_like, min_size=1, max_size=200))
+def test_whole_number_via_integer_matches_model(spark, texts):
+    got = one(spark, C.whole_number_via_integer, texts)
+    assert got == [_model_whole_int(t) for t in texts]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(doc_like, min_size=1, max_size=200))
+def test_pad_digits_matches_model(spark, texts):
+    assert one(spark, C.pad_digits, texts) == [_model_pad(t) for t in texts]
