@@ -142,3 +142,22 @@ def test_size_shuffle_partitions(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "81920"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_cli_layer_by_layer(spark, scratch):
+    from terrace.__main__ import config, main
+
+    root = scratch.replace("file:", "")
+    prefix = "cli_" + uuid.uuid4().hex[:6] + "_"
+    cfg = config(root, prefix)
+    day = "load_date = date'1996-03-01'"
+    Q.feed_workbooks(Q.members_raw(spark, SMOKE).filter(day), Q.medallion.MEMBERS, cfg.members_inbox)
+    Q.feed_workbooks(Q.holders_raw(spark, SMOKE).filter(day), Q.medallion.HOLDERS, cfg.holders_inbox)
+    args = ["--root", root, "--prefix", prefix]
+    m = main(["raw", *args, "--feed", "members", "--date", "2026-01-15"])
+    h = main(["raw", *args, "--feed", "holders", "--date", "2026-01-15"])
+    assert m["rows"] > 0 and h["rows"] > 0
+    c = main(["clean", *args, "--date", "2026-01-15"])
+    assert c["members"]["inserted"] > 0
+    main(["report", *args])
+    assert spark.table(cfg.gold_table).count() > 0
