@@ -22,7 +22,7 @@ from terrace.session import get_session
 FEEDS = {"members": medallion.MEMBERS, "holders": medallion.HOLDERS}
 
 
-def config(root: str, prefix: str = "") -> runs.PipelineConfig:
+def config(root: str, prefix: str = "", incremental: bool = False) -> runs.PipelineConfig:
     root = root.rstrip("/")
     return runs.PipelineConfig(
         members_inbox=f"{root}/inbox/members",
@@ -37,6 +37,8 @@ def config(root: str, prefix: str = "") -> runs.PipelineConfig:
         table_root=f"{root}/tables",
         members_processed=f"{root}/processed/members",
         holders_processed=f"{root}/processed/holders",
+        incremental=incremental,
+        checkpoints=f"{root}/checkpoints",
     )
 
 
@@ -52,6 +54,7 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--date", default=None, help="yyyy-MM-dd; default: today in the run zone")
         if name == "run":
             c.add_argument("--on-demand", action="store_true", help="replay --date from the raw tables")
+            c.add_argument("--incremental", action="store_true", help="raw ingest through the file stream")
         if name == "raw":
             c.add_argument("--feed", choices=sorted(FEEDS), required=True)
     return p
@@ -60,7 +63,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> dict:
     args = parser().parse_args(argv)
     spark = get_session(args.master)
-    cfg = config(args.root, args.prefix)
+    cfg = config(args.root, args.prefix, getattr(args, "incremental", False))
     date = runs.parse_run_date(args.date) if getattr(args, "date", None) else runs.local_today()
     if args.command == "run":
         out = runs.run_all(spark, cfg, date, on_demand=args.on_demand)

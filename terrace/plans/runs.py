@@ -205,6 +205,8 @@ class PipelineConfig:
     table_root: str | None = None  # folder for the clean and reporting tables' files (default: warehouse)
     members_processed: str | None = None  # where loaded workbooks are moved (None: left in the inbox)
     holders_processed: str | None = None
+    incremental: bool = False  # raw ingest through the file stream: each file exactly once
+    checkpoints: str | None = None  # stream checkpoints (incremental), one folder per feed
 
 
 @dataclass
@@ -234,6 +236,15 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
             (medallion.MEMBERS, cfg.members_inbox, cfg.members_raw, cfg.members_processed),
             (medallion.HOLDERS, cfg.holders_inbox, cfg.holders_raw, cfg.holders_processed),
         ):
+            if cfg.incremental:
+                from terrace.streaming import incremental
+
+                ckpt = f"{(cfg.checkpoints or cfg.ledger + '_checkpoints').rstrip('/')}/{feed.name}"
+                inc = incremental.ingest_new_files(
+                    spark, inbox, feed.positions, feed.raw_columns, target, ckpt, run_date, archive_dir=done
+                )
+                counts[feed.name] = inc.rows
+                continue
             try:
                 res = bronze.ingest(spark, inbox, feed.positions, feed.raw_columns, target, run_date)
                 counts[feed.name] = res.rows

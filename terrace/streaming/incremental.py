@@ -12,7 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.sources import workbooks as wb
@@ -22,6 +24,12 @@ EPOCH_COL = "ingest_epoch"
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
+@dataclass
+class IncrementalResult:
+    batches: int  # micro-batches run (0: nothing new)
+    rows: int  # rows appended by them
+
+
 def ingest_new_files(
     spark: SparkSession,
     inbox: str,
@@ -33,9 +41,11 @@ def ingest_new_files(
     archive_dir: str | None = None,
     max_files_per_batch: int | None = None,
     pattern: str = "*.xlsx",
-) -> int:
-    """Load the files not seen before; returns the number of batches run.
+) -> IncrementalResult:
+    """Load the files not seen before.
 
+    With ``run_date`` rows are stamped and partitioned by ``load_date`` and
+    then ``ingest_epoch``, so a load-date slice still prunes to its folder.
     With ``archive_dir`` the source moves files of committed batches there
     (it does so lazily, on a later batch, so the checkpoint — not the
     folder — is the record of what was loaded).
@@ -46,18 +56,21 @@ def ingest_new_files(
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.load(inbox)
-    batches = []
+    parts = (["load_date"] if run_date is not None else []) + [EPOCH_COL]
+    loaded: list[tuple[int, int]] = []
 
     def load_batch(files: DataFrame, epoch_id: int) -> None:
+        seen = Observation(f"batch_{epoch_id}")
         rows = wb.to_rows(wb.scan_cells(files), positions, names, run_date)
         (
             rows.withColumn(EPOCH_COL, F.lit(epoch_id))
+            .observe(seen, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(EPOCH_COL)
+            .partitionBy(*parts)
             .parquet(target)
         )
-        batches.append(epoch_id)
+        loaded.append((epoch_id, seen.get["rows"]))
 
     query = (
         stream.writeStream.foreachBatch(load_batch)
@@ -68,4 +81,4 @@ def ingest_new_files(
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return len(batches)
+    return IncrementalResult(len(loaded), sum(n for _, n in loaded))

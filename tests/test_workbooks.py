@@ -97,11 +97,12 @@ def test_ingest_appends_with_counts(spark, scratch):
 def test_incremental_twice_is_once(spark, scratch):
     inbox, tgt, ck = scratch + "/in", scratch + "/bronze", scratch + "/ck"
     put(inbox, "a.xlsx", [("S", [(0, [("n", "1")])])])
-    assert incremental.ingest_new_files(spark, inbox, [0], ["id"], tgt, ck) == 1
-    assert incremental.ingest_new_files(spark, inbox, [0], ["id"], tgt, ck) == 0  # nothing new
-    put(inbox, "b.xlsx", [("S", [(0, [("n", "2")])])])
-    assert incremental.ingest_new_files(spark, inbox, [0], ["id"], tgt, ck) == 1
-    assert sorted(r.id for r in spark.read.parquet(tgt).collect()) == ["1", "2"]
+    assert incremental.ingest_new_files(spark, inbox, [0], ["id"], tgt, ck).batches == 1
+    assert incremental.ingest_new_files(spark, inbox, [0], ["id"], tgt, ck).batches == 0  # nothing new
+    put(inbox, "b.xlsx", [("S", [(0, [("n", "2")]), (1, [("n", "3")])])])
+    res = incremental.ingest_new_files(spark, inbox, [0], ["id"], tgt, ck)
+    assert (res.batches, res.rows) == (1, 2)
+    assert sorted(r.id for r in spark.read.parquet(tgt).collect()) == ["1", "2", "3"]
 
 
 def test_serial_dates():
