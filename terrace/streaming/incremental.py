@@ -57,11 +57,13 @@ def ingest_new_files(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.load(inbox)
     parts = (["load_date"] if run_date is not None else []) + [EPOCH_COL]
+    by_path = wb.is_local(inbox)
     loaded: list[tuple[int, int]] = []
 
     def load_batch(files: DataFrame, epoch_id: int) -> None:
         seen = Observation(f"batch_{epoch_id}")
-        rows = wb.to_rows(wb.scan_cells(files), positions, names, run_date)
+        # Path mode selects only ``path``, so the batch never reads the bytes.
+        rows = wb.to_rows(wb.scan_cells(files, by_path=by_path), positions, names, run_date)
         (
             rows.withColumn(EPOCH_COL, F.lit(epoch_id))
             .observe(seen, F.count(F.lit(1)).alias("rows"))
