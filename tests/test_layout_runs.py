@@ -180,3 +180,21 @@ def test_run_all_incremental(spark, scratch):
     with pytest.raises(runs.NoNewRows):  # the stream has nothing new: 0 rows for both feeds
         runs.run_all(spark, cfg, "2026-01-15")
     assert spark.read.parquet(cfg.members_raw).count() == m_raw.count()  # nothing loaded twice
+
+
+def test_table_detail_and_version_swap(spark, scratch):
+    from terrace.sources import tables
+
+    name = "detail_" + uuid.uuid4().hex[:8]
+    v1 = tables.publish_version(spark.range(3), name, location_root=scratch + "/t")
+    v2 = tables.publish_version(spark.range(5), name, location_root=scratch + "/t")
+    assert v1 != v2 and spark.table(name).count() == 5 and spark.table(v1).count() == 3
+    detail = {r.col_name: r.data_type for r in tables.describe(spark, v2).collect()}
+    assert detail["Location"].rstrip("/").endswith(v2)
+    assert tables.location(spark, v2) == detail["Location"]
+
+
+def test_compact_can_also_split(spark):
+    df = spark.range(1000).coalesce(1)
+    assert layout.compact(df, total_bytes=10 * 2**20, file_bytes=2**20).rdd.getNumPartitions() == 10
+    assert layout.compact(spark.range(1000).repartition(8), total_bytes=10, file_bytes=2**20).rdd.getNumPartitions() == 1
