@@ -169,3 +169,10 @@ def test_upsert_table_clustered_with_history(spark, scratch):
     assert spark.table(name).count() == 260 and spark.table(name).filter("v = 's'").count() == 110
     hist = sorted((r.mode, r.inserted, r.updated) for r in spark.read.parquet(scratch + "/hist").collect())
     assert hist == [("first_load", 200, 0), ("merge", 60, 50)]
+
+
+def test_as_text(spark):
+    df = spark.createDataFrame([(1, 2.5, "x")], "i int, d double, s string")
+    out = frames.as_text(df)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["string"] * 3
+    assert out.first() == ("1", "2.5", "x")

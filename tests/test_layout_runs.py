@@ -198,3 +198,11 @@ def test_compact_can_also_split(spark):
     df = spark.range(1000).coalesce(1)
     assert layout.compact(df, total_bytes=10 * 2**20, file_bytes=2**20).rdd.getNumPartitions() == 10
     assert layout.compact(spark.range(1000).repartition(8), total_bytes=10, file_bytes=2**20).rdd.getNumPartitions() == 1
+
+
+def test_local_today_is_near_utc_today():
+    import datetime as dt
+
+    today = runs.local_today()
+    utc = dt.datetime.now(dt.timezone.utc).date()
+    assert abs((today - utc).days) <= 1

@@ -150,3 +150,10 @@ def test_path_and_content_modes_agree(spark, scratch):
     assert by_path == by_bytes and len(by_path) == 4
     assert wb.is_local(scratch) and not wb.is_local("s3a://bucket/inbox")
     assert wb.local_path("file:///a/b.xlsx") == "/a/b.xlsx" and wb.local_path("file:/a/b.xlsx") == "/a/b.xlsx"
+
+
+def test_connector_style_flags(spark, scratch):
+    # Header on, values untrimmed, empty text as NULL, all-NULL rows dropped.
+    put(scratch, "a.xlsx", [("S", [(0, [("i", " pad "), ("i", "")]), (1, [("i", ""), ("i", "")]), (2, [("n", "3")])])])
+    out = wb.to_rows(wb.read_workbooks(spark, scratch), [0, 1], ["a", "b"], trim=False, blank_as_null=True)
+    assert sorted((r.a, r.b) for r in out.collect()) == [(" pad ", None), ("3", None)]
