@@ -169,6 +169,7 @@ def build() -> dict[str, str]:
     q["silver_holders"] = with_(HOLDERS_RAW, holders_clean_sql()) + "SELECT * FROM holders_clean"
     gold_ctes = with_(MEMBERS_RAW, members_clean_sql(), HOLDERS_RAW, holders_clean_sql())
     q["gold_consolidated"] = gold_ctes + GOLD_SELECT.format(cond="m.policy_id = h.policy_id")
+    q["gold_salted"] = q["gold_consolidated"]
     q["gold_by_period"] = gold_ctes + GOLD_SELECT.format(
         cond="m.policy_id = h.policy_id AND m.mov_year = h.mov_year AND m.mov_month = h.mov_month"
     )

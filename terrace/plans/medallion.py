@@ -130,7 +130,7 @@ def clean_holders(
     return out.distinct() if distinct else out
 
 
-def consolidate(members: DataFrame, holders: DataFrame, by_period: bool = False) -> DataFrame:
+def consolidate(members: DataFrame, holders: DataFrame, by_period: bool = False, salt: int = 0) -> DataFrame:
     """Members left-joined to holders on policy (and period when asked),
     projected to the reporting columns, de-duplicated.
 
@@ -139,21 +139,34 @@ def consolidate(members: DataFrame, holders: DataFrame, by_period: bool = False)
     (member, holder) pair and differs from every other output row, so the
     result is already distinct and the join output — the largest frame in
     the plan, many-to-many per policy — is never shuffled again.
+
+    A policy holding a large share of the members is split by AQE's skew
+    join. Where AQE is off, ``salt > 1`` splits every policy explicitly:
+    each member row gets one salt from a hash of its columns and the
+    de-duplicated holders side is repeated once per salt value, so a
+    member still meets each of its policy's holders exactly once.
     """
     period = ["mov_year", "mov_month"] if by_period else []
     m_cols = [c for c in GOLD_COLUMNS if c not in ("holder_doc_no", "holder_name")] + period
     h_keys = ["policy_id"] + period
     h = holders.select(*h_keys, "holder_doc_no", "holder_name").distinct()
+    m = members.select(*m_cols)
     if not by_period:
-        m = members.select(*m_cols).distinct()
-        return m.join(h, on=h_keys, how="left").select(*GOLD_COLUMNS)
+        m = m.distinct()
+    if salt > 1:
+        m = m.withColumn("_salt", F.pmod(F.xxhash64(*m_cols), F.lit(salt)).cast("int"))
+        h = h.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        h_keys = h_keys + ["_salt"]
+    joined = m.join(h, on=h_keys, how="left").select(*GOLD_COLUMNS)
     # With the period in the join, members differing only in period project
     # onto the same output row, so the pair argument no longer holds: one
     # distinct after the join, none before it on the members side.
-    return members.select(*m_cols).join(h, on=h_keys, how="left").select(*GOLD_COLUMNS).distinct()
+    return joined.distinct() if by_period else joined
 
 
-def report_from_raw(members_raw: DataFrame, holders_raw: DataFrame, run_date, by_period: bool = False) -> DataFrame:
+def report_from_raw(
+    members_raw: DataFrame, holders_raw: DataFrame, run_date, by_period: bool = False, salt: int = 0
+) -> DataFrame:
     """Clean both raw feeds and consolidate them in one plan.
 
     :func:`consolidate` de-duplicates each side on the columns it uses (or
@@ -165,4 +178,5 @@ def report_from_raw(members_raw: DataFrame, holders_raw: DataFrame, run_date, by
         clean_members(members_raw, run_date, distinct=False),
         clean_holders(holders_raw, run_date, distinct=False),
         by_period,
+        salt,
     )

@@ -95,3 +95,13 @@ def test_null_keys_do_not_meet_in_one_partition(spark):
     # The join sees only the 200 non-NULL target keys (and no source row).
     join_in = t.filter(F.col("k").isNotNull()).count() + s.filter(F.col("k").isNotNull()).count()
     assert join_in == 200
+
+
+@pytest.mark.parametrize("by_period", [False, True])
+def test_salted_join_equals_plain(spark, by_period):
+    m, h = members(spark), holders(spark)
+    plain = sorted((tuple(r) for r in medallion.consolidate(m, h, by_period).collect()), key=str)
+    salted_df = medallion.consolidate(m, h, by_period, salt=8)
+    salted = sorted((tuple(r) for r in salted_df.collect()), key=str)
+    assert salted == plain
+    assert "_salt" in salted_df._jdf.queryExecution().optimizedPlan().toString()
