@@ -289,10 +289,10 @@ src AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey
          './inbox/nation_' || s_nationkey || '.xlsx' AS source_file, DATE '{RUN_DATE}' AS load_date
   FROM supplier"""
     q["workbook_blank_rows"] = """
-  SELECT CAST(n_nationkey AS VARCHAR) AS nation_id, n_name AS nation_name,
-         CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE CAST(n_regionkey AS VARCHAR) END AS region_id,
-         './inbox/nation.xlsx' AS source_file
-  FROM nation"""
+  SELECT CAST(s_suppkey AS VARCHAR) AS supp_id, s_name AS supp_name,
+         CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE CAST(s_nationkey AS VARCHAR) END AS nation,
+         './inbox/nation_' || s_nationkey || '.xlsx' AS source_file
+  FROM supplier"""
     q["sheet_rejects"] = """
   SELECT './inbox/region_' || n_regionkey || '.xlsx' AS source_file,
          'nation_' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS sheet,
@@ -304,10 +304,10 @@ src AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey
   SELECT './inbox/nation_' || s_nationkey || '.xlsx' AS source_file, count(*) AS n_rows
   FROM supplier GROUP BY s_nationkey"""
     q["incremental_ingest"] = """
-  SELECT CAST(n_nationkey AS VARCHAR) AS nation_id, n_name AS nation_name, CAST(n_regionkey AS VARCHAR) AS region_id,
-         './inbox/region_' || n_regionkey || '.xlsx' AS source_file,
-         CASE WHEN n_regionkey <= 2 THEN 0 ELSE 1 END AS ingest_epoch
-  FROM nation"""
+  SELECT CAST(s_suppkey AS VARCHAR) AS supp_id, s_name AS supp_name, CAST(s_nationkey AS VARCHAR) AS nation,
+         './inbox/nation_' || s_nationkey || '.xlsx' AS source_file,
+         CASE WHEN s_nationkey < 13 THEN 0 ELSE 1 END AS ingest_epoch
+  FROM supplier"""
     q["compacted"] = "SELECT * FROM lineitem"
     q["zordered"] = "SELECT * FROM lineitem"
     q["column_stats"] = """

@@ -371,29 +371,29 @@ def workbook_roundtrip(spark, sf_dir):
 
 @register("workbook_blank_rows")
 def workbook_blank_rows(spark, sf_dir):
-    """Nations every third row, explicit empty rows between some, and the
-    region cell left out for every fifth nation."""
+    """Suppliers in one workbook per nation, written every third row, with
+    explicit empty rows between some and the nation cell left out for every
+    fifth supplier."""
     inbox = _inbox(spark)
-    n = table(spark, sf_dir, "nation")
-    key = F.col("n_nationkey")
-    data = n.select(
-        F.lit("nation.xlsx").alias("file"),
+    sup = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey")
+    file = F.concat(F.lit("nation_"), F.col("s_nationkey").cast("string"), F.lit(".xlsx")).alias("file")
+    data = sup.select(
+        file,
         F.lit("all").alias("sheet"),
         (key * 3 + 1).alias("row_no"),
         F.array(
             cell("n", key),
-            cell("s", F.col("n_name")),
+            cell("s", F.col("s_name")),
             cell("i", F.lit(" ")),
-            F.when(key % 5 == 0, F.lit(None)).otherwise(cell("n", F.col("n_regionkey"))),
+            F.when(key % 5 == 0, F.lit(None)).otherwise(cell("n", F.col("s_nationkey"))),
         ).alias("cells"),
     )
     empty = F.array(F.lit(None), F.lit(None)).cast("array<struct<t:string,v:string>>")
-    blanks = n.filter(key % 2 == 0).select(
-        F.lit("nation.xlsx").alias("file"), F.lit("all").alias("sheet"), (key * 3 + 2).alias("row_no"), empty.alias("cells")
-    )
+    blanks = sup.filter(key % 2 == 0).select(file, F.lit("all").alias("sheet"), (key * 3 + 2).alias("row_no"), empty.alias("cells"))
     _write(data.unionByName(blanks), inbox)
     return wb.to_rows(
-        wb.read_workbooks(spark, inbox), (0, 1, 3), ("nation_id", "nation_name", "region_id"), blank_as_null=True
+        wb.read_workbooks(spark, inbox), (0, 1, 3), ("supp_id", "supp_name", "nation"), blank_as_null=True
     )
 
 
@@ -435,18 +435,21 @@ def ingest_report(spark, sf_dir):
     return res.report
 
 
-NATION_POSITIONS = (0, 1, 2)
-NATION_NAMES = ("nation_id", "nation_name", "region_id")
+DROP_POSITIONS = (0, 1, 2)
+DROP_NAMES = ("supp_id", "supp_name", "nation")
+FIRST_DROP_NATIONS = 13  # nations 0..12 arrive first, the rest later
 
 
-def nation_drop(spark, sf_dir, folder, regions):
-    n = table(spark, sf_dir, "nation").filter(F.col("n_regionkey").isin(list(regions)))
+def supplier_drop(spark, sf_dir, folder, first: bool):
+    """One workbook per nation for one of two drops of the supplier table."""
+    sup = table(spark, sf_dir, "supplier")
+    early = F.col("s_nationkey") < FIRST_DROP_NATIONS
     _write(
-        n.select(
-            F.concat(F.lit("region_"), F.col("n_regionkey").cast("string"), F.lit(".xlsx")).alias("file"),
-            F.lit("nations").alias("sheet"),
-            F.col("n_nationkey").alias("row_no"),
-            F.array(cell("n", F.col("n_nationkey")), cell("s", F.col("n_name")), cell("n", F.col("n_regionkey"))).alias(
+        sup.filter(early if first else ~early).select(
+            F.concat(F.lit("nation_"), F.col("s_nationkey").cast("string"), F.lit(".xlsx")).alias("file"),
+            F.lit("suppliers").alias("sheet"),
+            F.col("s_suppkey").alias("row_no"),
+            F.array(cell("n", F.col("s_suppkey")), cell("s", F.col("s_name")), cell("n", F.col("s_nationkey"))).alias(
                 "cells"
             ),
         ),
@@ -459,11 +462,11 @@ def incremental_ingest(spark, sf_dir):
     """Two drops into one inbox; the second run must load only the new files."""
     folder = scratch_dir(spark, "incremental")
     inbox, target, ckpt = folder + "/inbox", folder + "/bronze", folder + "/checkpoint"
-    nation_drop(spark, sf_dir, inbox, (0, 1, 2))
-    incremental.ingest_new_files(spark, inbox, NATION_POSITIONS, NATION_NAMES, target, ckpt)
-    nation_drop(spark, sf_dir, inbox, (3, 4))
-    incremental.ingest_new_files(spark, inbox, NATION_POSITIONS, NATION_NAMES, target, ckpt)
-    return spark.read.parquet(target).select(*NATION_NAMES, "source_file", incremental.EPOCH_COL)
+    supplier_drop(spark, sf_dir, inbox, first=True)
+    incremental.ingest_new_files(spark, inbox, DROP_POSITIONS, DROP_NAMES, target, ckpt)
+    supplier_drop(spark, sf_dir, inbox, first=False)
+    incremental.ingest_new_files(spark, inbox, DROP_POSITIONS, DROP_NAMES, target, ckpt)
+    return spark.read.parquet(target).select(*DROP_NAMES, "source_file", incremental.EPOCH_COL)
 
 
 # --- layout: compaction, clustering, statistics ---------------------------
