@@ -28,6 +28,7 @@ import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree.ElementTree import iterparse
+from xml.parsers import expat
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -121,10 +122,13 @@ def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
         return []
     out = []
     with zf.open("xl/sharedStrings.xml") as fh:
-        for _, elem in iterparse(fh, events=("end",)):
-            if elem.tag == _NS_MAIN + "si":
+        root = None
+        for event, elem in iterparse(fh, events=("start", "end")):
+            if root is None:
+                root = elem
+            if event == "end" and elem.tag == _NS_MAIN + "si":
                 out.append(_text_of(elem))
-                elem.clear()
+                root.clear()  # drop processed entries, not just their content
     return out
 
 
@@ -145,54 +149,129 @@ def serial_to_text(serial: float, date1904: bool = False) -> str:
     return ts.date().isoformat() if ts.time() == _dt.time(0) else ts.isoformat(sep=" ")
 
 
-def _cell_value(c, shared: list[str], date_styles: set[int], date1904: bool) -> str | None:
-    t = c.get("t", "n")
-    if t == "inlineStr":
-        is_ = c.find(_NS_MAIN + "is")
-        return _text_of(is_) if is_ is not None else None
-    v = c.find(_NS_MAIN + "v")
-    if v is None or v.text is None:
-        return None
-    raw = v.text
-    if t == "s":
-        return shared[int(raw)]
-    if t == "b":
-        return "true" if raw.strip() in ("1", "true") else "false"
-    if t == "e":
-        return None
-    if t == "n" and int(c.get("s", "0")) in date_styles:
-        try:
-            return serial_to_text(float(raw), date1904)
-        except ValueError:
-            return raw
-    return raw
+_LETTERS: dict[str, int] = {}
+_READ_BYTES = 1 << 16
+
+
+def _letters_index(ref: str) -> int:
+    """0-based column of a cell reference, cached per column letters."""
+    letters = ref.rstrip("0123456789")
+    idx = _LETTERS.get(letters)
+    if idx is None:
+        idx = _LETTERS[letters] = _col_index(letters)
+    return idx
+
+
+class _SheetTarget:
+    """Expat handlers that turn a sheet's XML straight into row lists.
+
+    No element tree is built: each finished ``<row>`` lands in ``done`` as
+    ``(row number, cells)``. Tags are matched by local name, so a prefixed
+    spelling (``x:c``) reads the same as the default-namespace one.
+    """
+
+    def __init__(self, shared: list[str], date_styles: set[int], date1904: bool):
+        self.shared, self.date_styles, self.date1904 = shared, date_styles, date1904
+        self.done: list[tuple[int, list[str | None]]] = []
+        self.next_row = 1
+        self.row = 0
+        self.cells: list[str | None] = []
+        self.pos = 0
+        self.kind = "n"
+        self.style = 0
+        self.buf: list[str] = []
+        self.take = False  # inside <v>, or a <t> of an inline string
+        self.inline = False
+        self.phonetic = False
+
+    def start(self, tag, attrib):
+        if ":" in tag:
+            tag = tag.rpartition(":")[2]
+        if tag == "c":
+            ref = attrib.get("r")
+            if ref:
+                self.pos = _letters_index(ref)
+            self.kind = attrib.get("t", "n")
+            self.style = int(attrib.get("s", "0"))
+            self.buf = []
+            self.inline = False
+        elif tag == "v":
+            self.take = True
+        elif tag == "t":
+            self.take = not self.phonetic
+        elif tag == "is":
+            self.inline = True
+        elif tag == "rPh":
+            self.phonetic = True
+        elif tag == "row":
+            self.row = int(attrib.get("r", self.next_row))
+            self.cells = []
+            self.pos = 0
+
+    def data(self, text):
+        if self.take:
+            self.buf.append(text)
+
+    def end(self, tag):
+        if ":" in tag:
+            tag = tag.rpartition(":")[2]
+        if tag == "v" or tag == "t":
+            self.take = False
+        elif tag == "c":
+            cells = self.cells
+            while len(cells) < self.pos:
+                cells.append(None)
+            cells.append(self._value())
+            self.pos += 1
+        elif tag == "row":
+            cells = self.cells
+            while cells and cells[-1] is None:
+                cells.pop()
+            self.done.append((self.row, cells))
+            self.next_row = self.row + 1
+        elif tag == "rPh":
+            self.phonetic = False
+
+    def _value(self) -> str | None:
+        kind = self.kind
+        if kind == "inlineStr":
+            return "".join(self.buf) if self.inline else None
+        if not self.buf:
+            return None
+        raw = "".join(self.buf)
+        if kind == "s":
+            return self.shared[int(raw)]
+        if kind == "b":
+            return "true" if raw.strip() in ("1", "true") else "false"
+        if kind == "e":
+            return None
+        if kind == "n" and self.style in self.date_styles:
+            try:
+                return serial_to_text(float(raw), self.date1904)
+            except ValueError:
+                return raw
+        return raw
 
 
 def _sheet_rows(zf, member, shared, date_styles, date1904) -> Iterator[tuple[int, list[str | None]]]:
     """(row number, cells) of one sheet in order. Missing cells come out as
     None, so a gap never shifts later cells left; rows absent from the file
-    are not generated (a sheet may jump from row 2 to row 1,000,000)."""
-    next_row = 1
+    are not generated (a sheet may jump from row 2 to row 1,000,000). The
+    member is read in 64 KB chunks and no tree is kept, so memory is flat."""
+    target = _SheetTarget(shared, date_styles, date1904)
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+    parser.StartElementHandler = target.start
+    parser.EndElementHandler = target.end
+    parser.CharacterDataHandler = target.data
     with zf.open(member) as fh:
-        for _, elem in iterparse(fh, events=("end",)):
-            if elem.tag != _NS_MAIN + "row":
-                continue
-            r = int(elem.get("r", next_row))
-            cells: list[str | None] = []
-            pos = 0
-            for c in elem.findall(_NS_MAIN + "c"):
-                ref = c.get("r")
-                if ref:
-                    pos = _col_index(ref)
-                while len(cells) < pos:
-                    cells.append(None)
-                cells.append(_cell_value(c, shared, date_styles, date1904))
-                pos += 1
-            while cells and cells[-1] is None:
-                cells.pop()
-            yield r, cells
-            next_row = r + 1
-            elem.clear()
+        while chunk := fh.read(_READ_BYTES):
+            parser.Parse(chunk, False)
+            if target.done:
+                yield from target.done
+                target.done = []
+    parser.Parse(b"", True)
+    yield from target.done
 
 
 def parse_workbook(path: str, content: bytes | None = None) -> Iterator[pd.DataFrame]:
