@@ -274,6 +274,43 @@ def _sheet_rows(zf, member, shared, date_styles, date1904) -> Iterator[tuple[int
     yield from target.done
 
 
+_COLS = ["path", "sheet", "sheet_no", "row_no", "width", "cells", "problem"]
+
+
+def _problem(path: str, sheet=None, sheet_no=None, width=None, err: Exception | None = None) -> list:
+    return [path, sheet, sheet_no, -1, width, None, f"{type(err).__name__}: {err}"]
+
+
+def _parse_sheet(zf, path, name, sheet_no, member, shared, styles, d1904) -> Iterator[pd.DataFrame]:
+    """One sheet as ``CELL_SCHEMA`` frames of at most ``BATCH_ROWS`` rows."""
+    buf = []
+    width = None
+    first = 0
+    try:
+        for r, cells in _sheet_rows(zf, member, shared, styles, d1904):
+            if width is None:  # the first row present is the header
+                if not cells:
+                    continue
+                width, first = len(cells), r
+                buf.append([path, name, sheet_no, 0, width, cells, None])
+                continue
+            buf.append([path, name, sheet_no, r - first, width, cells, None])
+            if len(buf) >= BATCH_ROWS:
+                yield pd.DataFrame(buf, columns=_COLS)
+                buf = []
+    except Exception as e:  # noqa: BLE001 - a bad sheet is reported, the rest still load
+        buf.append(_problem(path, name, sheet_no, width, e))
+    if width is None:  # empty sheet: header row of width 0
+        buf.append([path, name, sheet_no, 0, 0, [], None])
+    if buf:
+        yield pd.DataFrame(buf, columns=_COLS)
+
+
+def _open(path: str, content: bytes | None):
+    zf = zipfile.ZipFile(io.BytesIO(content) if content is not None else local_path(path))
+    return zf, _shared_strings(zf), _date_styles(zf), _date1904(zf)
+
+
 def parse_workbook(path: str, content: bytes | None = None) -> Iterator[pd.DataFrame]:
     """All sheets of one workbook as ``CELL_SCHEMA`` frames of bounded size.
 
@@ -281,38 +318,46 @@ def parse_workbook(path: str, content: bytes | None = None) -> Iterator[pd.DataF
     opened at ``path`` on the worker's file system and its zip members are
     read lazily, so the file is never held in memory whole.
     """
-    cols = ["path", "sheet", "sheet_no", "row_no", "width", "cells", "problem"]
     try:
-        zf = zipfile.ZipFile(io.BytesIO(content) if content is not None else local_path(path))
+        zf, shared, styles, d1904 = _open(path, content)
         sheets = _sheets(zf)
-        shared = _shared_strings(zf)
-        styles = _date_styles(zf)
-        d1904 = _date1904(zf)
     except Exception as e:  # noqa: BLE001 - any unreadable file is reported, not raised
-        yield pd.DataFrame([[path, None, None, -1, None, None, f"{type(e).__name__}: {e}"]], columns=cols)
+        yield pd.DataFrame([_problem(path, err=e)], columns=_COLS)
         return
     for sheet_no, (name, member) in enumerate(sheets):
-        buf = []
-        width = None
-        first = 0
-        try:
-            for r, cells in _sheet_rows(zf, member, shared, styles, d1904):
-                if width is None:  # the first row present is the header
-                    if not cells:
-                        continue
-                    width, first = len(cells), r
-                    buf.append([path, name, sheet_no, 0, width, cells, None])
-                    continue
-                buf.append([path, name, sheet_no, r - first, width, cells, None])
-                if len(buf) >= BATCH_ROWS:
-                    yield pd.DataFrame(buf, columns=cols)
-                    buf = []
-        except Exception as e:  # noqa: BLE001 - a bad sheet is reported, the rest still load
-            buf.append([path, name, sheet_no, -1, width, None, f"{type(e).__name__}: {e}"])
-        if width is None:  # empty sheet: header row of width 0
-            buf.append([path, name, sheet_no, 0, 0, [], None])
-        if buf:
-            yield pd.DataFrame(buf, columns=cols)
+        yield from _parse_sheet(zf, path, name, sheet_no, member, shared, styles, d1904)
+
+
+SHEET_SCHEMA = "path string, sheet string, sheet_no int, member string, problem string"
+
+
+def _list_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(path, sheet, sheet_no, member) per sheet; reads only the workbook
+    index, not the sheets. An unreadable file gives one row with a problem."""
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            try:
+                with zipfile.ZipFile(local_path(path)) as zf:
+                    out += [[path, name, i, member, None] for i, (name, member) in enumerate(_sheets(zf))]
+            except Exception as e:  # noqa: BLE001 - reported, not raised
+                out.append([path, None, None, None, f"{type(e).__name__}: {e}"])
+        yield pd.DataFrame(out, columns=["path", "sheet", "sheet_no", "member", "problem"])
+
+
+def _parse_listed_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for path, name, sheet_no, member, problem in pdf.itertuples(index=False):
+            if problem is not None:
+                yield pd.DataFrame([[path, None, None, -1, None, None, problem]], columns=_COLS)
+                continue
+            try:
+                zf, shared, styles, d1904 = _open(path, None)
+            except Exception as e:  # noqa: BLE001
+                yield pd.DataFrame([_problem(path, name, sheet_no, err=e)], columns=_COLS)
+                continue
+            with zf:
+                yield from _parse_sheet(zf, path, name, int(sheet_no), member, shared, styles, d1904)
 
 
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -346,14 +391,23 @@ def list_workbooks(spark: SparkSession, inbox: str | Sequence[str], pattern: str
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths)
 
 
-def scan_cells(files: DataFrame, by_path: bool = False) -> DataFrame:
+def scan_cells(files: DataFrame, by_path: bool = False, per_sheet: bool = True) -> DataFrame:
     """Parse every listed workbook on the executors (``CELL_SCHEMA`` rows).
 
     ``by_path`` ships only the paths (the listing never reads the bytes) and
     each worker opens its files itself: for inboxes on a local or mounted
     file system. Otherwise the bytes travel in the ``content`` column, which
     works for any file system Spark can read (object stores included).
+
+    In path mode with ``per_sheet`` the work is split by sheet, not by file:
+    a first pass lists each workbook's sheets (reading only its index), the
+    (path, sheet) rows are spread round-robin over the cores, and each task
+    parses single sheets, so a many-sheet workbook is not one task.
     """
+    if by_path and per_sheet:
+        cores = files.sparkSession.sparkContext.defaultParallelism
+        listed = files.select("path").mapInPandas(_list_sheets, SHEET_SCHEMA).repartition(cores)
+        return listed.mapInPandas(_parse_listed_sheets, CELL_SCHEMA)
     if by_path:
         return files.select("path").mapInPandas(_parse_paths, CELL_SCHEMA)
     return files.select("path", "content").mapInPandas(_parse_batches, CELL_SCHEMA)

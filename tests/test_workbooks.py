@@ -157,3 +157,14 @@ def test_connector_style_flags(spark, scratch):
     put(scratch, "a.xlsx", [("S", [(0, [("i", " pad "), ("i", "")]), (1, [("i", ""), ("i", "")]), (2, [("n", "3")])])])
     out = wb.to_rows(wb.read_workbooks(spark, scratch), [0, 1], ["a", "b"], trim=False, blank_as_null=True)
     assert sorted((r.a, r.b) for r in out.collect()) == [(" pad ", None), ("3", None)]
+
+
+def test_per_sheet_split_agrees_with_per_file(spark, scratch):
+    put(scratch, "a.xlsx", [(f"S{i}", [(r, [("n", str(i * 100 + r)), ("s", "v")]) for r in range(5)]) for i in range(6)])
+    path = scratch.replace("file:", "")
+    with open(path + "/bad.xlsx", "wb") as fh:
+        fh.write(b"nope")
+    files = wb.list_workbooks(spark, scratch)
+    split = sorted(tuple(map(str, r)) for r in wb.scan_cells(files, by_path=True, per_sheet=True).collect())
+    whole = sorted(tuple(map(str, r)) for r in wb.scan_cells(files, by_path=True, per_sheet=False).collect())
+    assert split == whole and len(split) == 6 * 6 + 1
