@@ -1,20 +1,26 @@
 """Spreadsheet (.xlsx) workbooks as a Spark source.
 
-``binaryFile`` lists the inbox and hands whole files to executors (Spark
-packs small files into one task up to ``spark.sql.files.maxPartitionBytes``);
-``mapInPandas`` parses each workbook with the standard library (zip + a
-streaming XML parse) and emits one row per sheet row as an array of cell
-texts. Everything after that — picking columns by position, trimming, the
-width guard, lineage, the load stamp — is ordinary Spark expressions.
+``binaryFile`` lists the inbox (Spark packs small files into one task up to
+``spark.sql.files.maxPartitionBytes``) and ``mapInPandas`` parses workbooks
+on the executors with the standard library: zip members read lazily, sheet
+XML streamed through expat handlers that build rows directly. Each sheet
+row becomes one output row with an array of cell texts. Everything after
+that — picking columns by position, trimming, the width guard, lineage, the
+load stamp — is ordinary Spark expressions.
+
+Two ways to reach the files: for inboxes on a local or mounted file system
+only paths travel and the work is split per sheet (a cheap pass lists the
+sheets); for other file systems the bytes travel in the ``content`` column
+and a workbook is parsed by one task.
 
 Row layout of a parsed workbook (``CELL_SCHEMA``):
 
 * ``row_no = 0``: the sheet's header row; ``width`` is its cell count.
 * ``row_no >= 1``: data rows, numbered from the header (rows absent from the
   file leave gaps in the numbering); ``width`` repeats the header's.
-* ``row_no = -1``: the file could not be read; ``problem`` says why.
+* ``row_no = -1``: the file or sheet could not be read; ``problem`` says why.
 
-A single workbook is parsed by one task (a zip member cannot be split), but
+A single sheet is parsed by one task (a zip member cannot be split), but
 rows stream out in bounded batches, so memory stays flat however long the
 sheet is.
 """
