@@ -216,6 +216,11 @@ def build() -> dict[str, str]:
         + [unp(c, parse_date_sql(c)) for c in dcols]
         + [unp(c, via_decimal_sql(c, 10, "INTEGER")) for c in ("mov_year", "mov_month")]
     ) + " FROM members_raw"
+    q["holder_rejects"] = h + "SELECT count(*) AS rows, " + ", ".join(
+        [unp("policy_id", via_decimal_sql("policy_id", 20, "BIGINT"))]
+        + [unp(c, via_integer_sql(c)) for c in ("doc_type", "mov_year", "mov_month")]
+        + ["count(*) FILTER (WHERE holder_name IS NULL) AS holder_name_missing"]
+    ) + " FROM holders_raw"
     q["load_slice"] = m + f"""
   SELECT policy_id, policy_start, policy_end, certificate, cover_start, cover_end, first_name, second_name,
          surname_1, surname_2, doc_type, doc_no, mov_year, mov_month, source_file, load_date,

@@ -645,3 +645,8 @@ def upsert_by_partition(spark, sf_dir):
 @register("member_rejects")
 def member_rejects(spark, sf_dir):
     return medallion.member_rejects(members_raw(spark, sf_dir))
+
+
+@register("holder_rejects")
+def holder_rejects(spark, sf_dir):
+    return medallion.holder_rejects(holders_raw(spark, sf_dir))

@@ -111,6 +111,22 @@ def member_rejects(raw: DataFrame, id_precision: int = C.ID_PRECISION) -> DataFr
     )
 
 
+def holder_rejects(raw: DataFrame, id_precision: int = C.ID_PRECISION) -> DataFrame:
+    """One row of counts over a raw holders batch: rows, text present but
+    unparseable per column, and rows without a holder name (dropped)."""
+    def unparsed(text: str, parsed):
+        return F.count_if(F.col(text).isNotNull() & parsed.isNull()).alias(f"{text}_unparsed")
+
+    return raw.agg(
+        F.count(F.lit(1)).alias("rows"),
+        unparsed("policy_id", C.whole_number_via_decimal("policy_id", id_precision, "bigint")),
+        unparsed("doc_type", C.whole_number_via_integer("doc_type")),
+        unparsed("mov_year", C.whole_number_via_integer("mov_year")),
+        unparsed("mov_month", C.whole_number_via_integer("mov_month")),
+        F.count_if(F.col("holder_name").isNull()).alias("holder_name_missing"),
+    )
+
+
 def clean_holders(
     raw: DataFrame, run_date, id_precision: int = C.ID_PRECISION, distinct: bool = True
 ) -> DataFrame:
