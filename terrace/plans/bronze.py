@@ -29,8 +29,18 @@ class IngestResult:
     loaded_files: list[str]  # paths of the files that gave at least one row
 
 
-def write_rows(rows: DataFrame, target: str, partition_by: Sequence[str] = ("load_date",)) -> None:
-    """Append to a catalog table (``db.name``) or a folder (a path)."""
+def write_rows(
+    rows: DataFrame, target: str, partition_by: Sequence[str] = ("load_date",), rebalance: bool = True
+) -> None:
+    """Append to a catalog table (``db.name``) or a folder (a path).
+
+    ``rebalance`` lets AQE size the output files (coalescing small write
+    partitions to ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and
+    splitting large ones) instead of one small file per parse task: the
+    compaction the raw table would otherwise need after every load.
+    """
+    if rebalance:
+        rows = rows.hint("rebalance")
     w = rows.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)

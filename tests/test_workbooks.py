@@ -168,3 +168,13 @@ def test_per_sheet_split_agrees_with_per_file(spark, scratch):
     split = sorted(tuple(map(str, r)) for r in wb.scan_cells(files, by_path=True, per_sheet=True).collect())
     whole = sorted(tuple(map(str, r)) for r in wb.scan_cells(files, by_path=True, per_sheet=False).collect())
     assert split == whole and len(split) == 6 * 6 + 1
+
+
+def test_ingest_writes_few_files(spark, scratch):
+    from terrace.operators.layout import file_count
+
+    for i in range(12):
+        put(scratch + "/in", f"f{i}.xlsx", [("S", [(r, [("n", str(i * 10 + r)), ("s", "v")]) for r in range(5)])])
+    res = bronze.ingest(spark, scratch + "/in", [0, 1], ["id", "v"], scratch + "/raw", "2026-01-15")
+    assert res.rows == 60
+    assert file_count(spark, scratch + "/raw") <= 2  # not one per parse task
