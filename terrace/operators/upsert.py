@@ -258,7 +258,8 @@ def upsert_partitions(
     src = split_source(source, keys, on_duplicate, order_by, null_safe)
     if tables.is_empty(spark, name):
         obs = Observation("first_load")
-        w = src.whole().observe(obs, F.count(F.lit(1)).alias("n")).write.format("parquet").partitionBy(*partition_cols)
+        first = src.whole().observe(obs, F.count(F.lit(1)).alias("n")).hint("rebalance", *partition_cols)
+        w = first.write.format("parquet").partitionBy(*partition_cols)
         if location:
             w = w.option("path", location)
         w.saveAsTable(name)
@@ -290,7 +291,10 @@ def upsert_partitions(
     old = spark.conf.get(key)
     spark.conf.set(key, "dynamic")
     try:
-        observed.write.insertInto(name, overwrite=True)
+        # Rebalanced by the partition columns: AQE gathers each partition's
+        # rows into size-based files (splitting a hot one) instead of one
+        # small file per merge task per partition.
+        observed.hint("rebalance", *partition_cols).write.insertInto(name, overwrite=True)
     finally:
         spark.conf.set(key, old)
     m = obs.get

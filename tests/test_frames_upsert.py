@@ -176,3 +176,20 @@ def test_as_text(spark):
     out = frames.as_text(df)
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["string"] * 3
     assert out.first() == ("1", "2.5", "x")
+
+
+def test_upsert_partitions_writes_few_files_per_partition(spark):
+    import os
+
+    name = "part_files_" + __import__("uuid").uuid4().hex[:8]
+    t = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("y"), F.lit("t").alias("v"))
+    upsert.upsert_partitions(t.repartition(8), name, ["k", "y"], ["y"])
+    s = spark.range(1500, 2500).select(F.col("id").alias("k"), (F.col("id") % 3).alias("y"), F.lit("s").alias("v"))
+    upsert.upsert_partitions(s.repartition(8), name, ["k", "y"], ["y"])
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).count() == 2500
+    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first().data_type
+    root = loc.replace("file:", "")
+    for part in (d for d in os.listdir(root) if d.startswith("y=")):
+        files = [f for f in os.listdir(f"{root}/{part}") if f.endswith(".parquet")]
+        assert len(files) <= 2, (part, len(files))
