@@ -67,6 +67,7 @@ def ingest_new_files(
         (
             rows.withColumn(EPOCH_COL, F.lit(epoch_id))
             .observe(seen, F.count(F.lit(1)).alias("rows"))
+            .hint("rebalance")  # size-based files, not one per parse task
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*parts)
