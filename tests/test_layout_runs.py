@@ -206,3 +206,15 @@ def test_local_today_is_near_utc_today():
     today = runs.local_today()
     utc = dt.datetime.now(dt.timezone.utc).date()
     assert abs((today - utc).days) <= 1
+
+
+def test_spread_only_for_few_splits(spark, scratch):
+    from terrace.sources.tables import read_parquet, spread
+
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(cores * 2)
+    assert spread(many).rdd.getNumPartitions() == cores * 2  # left alone
+    spark.range(1000).coalesce(1).write.parquet(scratch + "/one")
+    assert read_parquet(spark, scratch + "/one", spread_out=False).rdd.getNumPartitions() < cores
+    assert read_parquet(spark, scratch + "/one").rdd.getNumPartitions() == cores
+    assert read_parquet(spark, scratch + "/one").count() == 1000
