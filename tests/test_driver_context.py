@@ -1,5 +1,5 @@
-"""The entry file used the way an outside driver uses it: imported by path
-from another working folder, with a plain session. Executor-side Python
+"""The entry file used the way an outside driver may use it: loaded by file
+path from another working folder, with a plain session. Executor-side Python
 (the workbook parser and writer) must work without the package installed
 on the workers."""
 
@@ -11,12 +11,14 @@ import tempfile
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 SCRIPT = f"""
-import sys
-sys.path.insert(0, {REPO!r})
+import importlib.util
 from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "4")
          .config("spark.ui.enabled", "false").getOrCreate())
-import __spark_entry__ as E
+# Loaded by file path, without the repository on sys.path.
+spec = importlib.util.spec_from_file_location("entry_mod", {REPO!r} + "/__spark_entry__.py")
+E = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(E)
 print("ROWS", E.queries()["workbook_roundtrip"](spark, "/root/testdata/sf0.001").count())
 print("ENTRY", E.entry(spark).count() > 0)
 """
