@@ -105,3 +105,13 @@ def test_salted_join_equals_plain(spark, by_period):
     salted = sorted((tuple(r) for r in salted_df.collect()), key=str)
     assert salted == plain
     assert "_salt" in salted_df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_join_output_is_not_shuffled_again(spark):
+    m, h = members(spark), holders(spark)
+    plan = medallion.consolidate(m, h)._jdf.queryExecution().executedPlan().toString()
+    # AQE's initial plan lists operators top-down: everything above the join
+    # must be projection only (the pre-join distincts make the output distinct).
+    body = plan.split("Initial Plan ==")[-1] if "Initial Plan" in plan else plan
+    above_join = body.split("Join")[0]
+    assert "Exchange" not in above_join and "Aggregate" not in above_join
