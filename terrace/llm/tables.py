@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.session import scratch_dir
@@ -22,41 +22,57 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column], name: str) -> DataFrame:
-    """``df`` plus, per row, the totals of ``sums`` over all rows before it in ``order``.
+def range_dealt(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``order``, stored; ``__part`` and ``__at`` give a row's place.
 
-    Rows are range-partitioned by ``order``, stored, and summed per partition;
-    the driver sees one row per partition. Sampled range bounds change how
-    rows are dealt, never a row's totals, as long as rows that tie in
-    ``order`` are alike. Sums are of non-negative longs; the grand totals come
-    back in ``__all_<name>`` columns.
+    Sampled range bounds change how rows are dealt, never their order, as
+    long as rows that tie in ``order`` are alike.
     """
-    spark = df.sparkSession
-    tagged = df.select("*", *[c.cast("long").alias(f"__v_{k}") for k, c in sums.items()])
-    dealt = tagged.repartitionByRange(*order).sortWithinPartitions(*order)
-    kept = stored(
-        dealt.select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__at")), name
-    )
-    parts = (
-        kept.groupBy("__part").agg(*[F.sum(f"__v_{k}").alias(k) for k in sums]).orderBy("__part").collect()
-    )
-    starts, total = [], dict.fromkeys(sums, 0)
-    for row in parts:
-        starts.append((row["__part"], *total.values()))
-        total = {k: total[k] + (row[k] or 0) for k in sums}
-    schema = "__part int, " + ", ".join(f"`__s_{k}` long" for k in sums)
-    offsets = F.broadcast(spark.createDataFrame(starts, schema))  # one row per partition
-    from pyspark.sql import Window
-
-    before = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = kept.select("*", *[(F.sum(f"__v_{k}").over(before) - F.col(f"__v_{k}")).alias(f"__b_{k}") for k in sums])
-    return out.join(offsets, "__part").select(
-        *df.columns,
-        *[(F.col(f"__b_{k}") + F.col(f"__s_{k}")).alias(k) for k in sums],
-        *[F.lit(total[k]).cast("long").alias(f"__all_{k}") for k in sums],
+    return stored(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select(
+            "*",
+            F.spark_partition_id().alias("__part"),
+            F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__at"),
+        ),
+        name,
     )
 
 
+def row_numbers(df: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, int]:
+    """``df`` plus ``__row``, its global number from 0 in ``order``, and the number of rows.
+
+    No window and no single task: a row's number is its place in its
+    partition plus the rows of the partitions before it (one number per
+    partition goes through the driver).
+    """
+    spark = df.sparkSession
+    kept = range_dealt(df, order, name)
+    starts, total = [], 0
+    for part, n in sorted(kept.groupBy("__part").count().collect()):
+        starts.append((part, total))
+        total += n
+    offsets = F.broadcast(spark.createDataFrame(starts, "__part int, __start long"))
+    numbered = kept.join(offsets, "__part").withColumn("__row", F.col("__start") + F.col("__at"))
+    return numbered.drop("__part", "__at", "__start"), total
+
+
+def totals_before(df: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
+    """``df`` plus ``__before``, the total of the long column ``value`` over all rows before it in ``order``."""
+    spark = df.sparkSession
+    kept = range_dealt(df, order, name)
+    starts, total = [], 0
+    for part, n in sorted(kept.groupBy("__part").agg(F.sum(value)).collect()):
+        starts.append((part, total))
+        total += n or 0
+    offsets = F.broadcast(spark.createDataFrame(starts, "__part int, __start long"))
+    so_far = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.sum(value).over(so_far) - F.col(value)
+    out = kept.withColumn("__own", own).join(offsets, "__part")
+    return out.withColumn("__before", F.col("__start") + F.col("__own")).drop("__part", "__at", "__start", "__own")
+
+
 def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (u, v: long): (node, component), component the smallest node.
 
