@@ -6,16 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import simhash
+from terrace.llm import chat, mixing, quality_rules, sharding, simhash, urls
 from terrace.llm.tables import table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(table(spark, sf_dir, "documents"))
+
+
+def op3_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.digest(table(spark, sf_dir, "pages"))
+
+
+def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"), n_shards=40)
+
+
+def op7_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
+def op8_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(table(spark, sf_dir, "conversations"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op3_url_cascade": op3_url_cascade,
+    "op4_feistel_shards": op4_feistel_shards,
+    "op7_splitting_tree_mix": op7_splitting_tree_mix,
+    "op8_chat_parts": op8_chat_parts,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_quality_rules": quality_rules.DIGEST_SQL,
+    "op3_url_cascade": urls.DIGEST_SQL,
+    "op8_chat_parts": chat.DIGEST_SQL,
+}
