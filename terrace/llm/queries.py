@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import chat, mixing, quality_rules, sharding, simhash, suffix_dedup, urls
+from terrace.llm import chat, decontaminate, mixing, quality_rules, sharding, simhash, suffix_dedup, urls
 from terrace.llm.tables import table
 
 
@@ -34,6 +34,10 @@ def op8_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
 
+def op9_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_feistel_shards": op4_feistel_shards,
     "op7_splitting_tree_mix": op7_splitting_tree_mix,
     "op8_chat_parts": op8_chat_parts,
+    "op9_edit_decontamination": op9_edit_decontamination,
     "op10_simhash": op10_simhash,
 }
 
