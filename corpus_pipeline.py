@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrace.llm import simhash
-from terrace.llm.tables import stored
+from terrace.llm import decontaminate, mixing, quality_rules, sharding, simhash
+from terrace.llm.tables import stored, table
+
+N_SHARDS = 40
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rule or the repetition rules reject go."""
+    return quality_rules.keep(docs)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,15 +21,36 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_one(docs, shingle=3, radius=3)
 
 
-STAGES = [("simhash near-dedup", simhash_stage)]
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it (0 to 3 times)."""
+    return mixing.drawn(mixing.mix(docs)).select(*docs.columns)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its shard and slot: the corpus in training order."""
+    return sharding.assign(docs, N_SHARDS).withColumn("law", F.lit("rows"))
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("simhash near-dedup", simhash_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing to target weights", mixing_stage),
+    ("sharding", sharding_stage),
+]
 
-#: Stages of this pipeline cannot be said in SQL; tests hold it against brute force.
+#: Embedding, hypergeometric draws and the permutation cannot be said in SQL; tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:

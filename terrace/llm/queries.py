@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import chat, decontaminate, mixing, quality_rules, sharding, simhash, suffix_dedup, urls
+from terrace.llm import chat, decontaminate, mil_quality, mixing, pii, quality_rules, sharding, simhash, suffix_dedup, urls
 from terrace.llm.tables import table
 
 
@@ -26,6 +26,14 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op5_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mil_quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
@@ -47,6 +55,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_url_cascade": op3_url_cascade,
     "op4_feistel_shards": op4_feistel_shards,
+    "op5_attention_mil": op5_attention_mil,
+    "op6_crf_pii": op6_crf_pii,
     "op7_splitting_tree_mix": op7_splitting_tree_mix,
     "op8_chat_parts": op8_chat_parts,
     "op9_edit_decontamination": op9_edit_decontamination,

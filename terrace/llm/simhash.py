@@ -15,9 +15,10 @@ of its own, so no bucket is capped and none is held whole.
 
 Defined cases: a null, empty or blank text has fingerprint 0 and is linked
 like any other; a text with fewer words than a shingle is one shingle;
-repeated rows, and rows that share a ``doc_id``, each get a row; rows with a
-null ``doc_id`` take part and get the component of their fingerprint, named by
-the smallest non-null id (null if there is none); an empty table gives none.
+repeated rows each get a row; rows that share a ``doc_id`` are one document,
+so their fingerprints are linked; rows with a null ``doc_id`` take part and get
+the component of their fingerprint, named by the smallest non-null id (null if
+there is none); an empty table gives none.
 Other columns are not read.
 """
 
@@ -234,25 +235,37 @@ def near_links(prints: DataFrame, radius: int = 3, tile: int = TILE) -> DataFram
     )
 
 
-def group(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``."""
+def grouped(docs: DataFrame, shingle: int = 3, radius: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, component_id) of every distinct fingerprint; both stored."""
     prints = stored(fingerprints(docs, shingle), "simhash-prints")
     # a node is the smallest doc_id with the fingerprint; ids may be null
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
-    nodes = distinct.select("fp", F.coalesce("low", F.lit(2**63 - 1)).alias("node"))
-    if distinct.where("low is null").limit(1).count():
-        # fingerprints of null ids only: link by the fingerprint itself, then take the smallest id
-        nodes = distinct.select("fp", F.col("fp").alias("node"))
-        linked = components(near_links(nodes, radius), "simhash-cc")
-        named = distinct.join(linked, distinct.fp == linked.node, "left").select(
-            "fp", "low", F.coalesce("component", "fp").alias("c")
-        )
-        least = named.groupBy("c").agg(F.min("low").alias("component_id"))
-        known = named.join(least, "c").select("fp", "component_id")
+    several = stored(  # ids of several texts
+        prints.where("doc_id is not null")
+        .groupBy("doc_id")
+        .agg(F.min("fp").alias("v"), F.max("fp").alias("w"))
+        .where("v < w")
+        .select("doc_id", "v"),
+        "simhash-several",
+    )
+    if several.limit(1).count() or distinct.where("low is null").limit(1).count():
+        # link by the fingerprints themselves, and those of one id; then take the smallest id
+        nodes = distinct.select("fp", F.col("fp").alias("node"), "low")
+        same_id = prints.join(several, "doc_id").select(F.col("fp").alias("u"), "v")
+        linked = components(near_links(nodes, radius).union(same_id), "simhash-cc")
+        named = nodes.join(linked, "node", "left").select("fp", "low", F.coalesce("component", "node").alias("c"))
+        known = named.join(named.groupBy("c").agg(F.min("low").alias("component_id")), "c")
     else:
+        nodes = distinct.select("fp", F.col("low").alias("node"))
         linked = components(near_links(nodes, radius), "simhash-cc")
-        known = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    known = stored(known, "simhash-known")  # a plain table, so that a hot fingerprint can be split in the join
+        known = nodes.join(linked, "node", "left").withColumn("component_id", F.coalesce("component", "node"))
+    # a plain table, so that a hot fingerprint can be split in a join
+    return prints, stored(known.select("fp", "component_id"), "simhash-known")
+
+
+def group(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """(doc_id, fp, component_id) for every row of ``docs``."""
+    prints, known = grouped(docs, shingle, radius)
     return prints.join(known, "fp", "left").select("doc_id", "fp", "component_id")
 
 
@@ -264,7 +277,37 @@ def digest(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """The documents that name their component: one of each group (null ids: all rows stay)."""
-    best = group(docs, shingle, radius).where("doc_id = component_id").select(F.col("doc_id").alias("__keep"))
-    kept = docs.join(best.distinct(), F.col("doc_id").cast("long") == F.col("__keep"), "left_semi")
-    return kept.union(docs.where("doc_id is null"))
+    """One document of each component stays, the one that names it; columns unchanged.
+
+    Rows that repeat a kept ``doc_id`` are left out but for one. A row without
+    id stays if its component has no id at all, one for each fingerprint.
+    """
+    prints, known = grouped(docs, shingle, radius)
+    members = prints.join(known, "fp").where("doc_id is not null")
+    gone = stored(members.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")), "simhash-gone")
+    doc_id = F.col("doc_id").cast("long")
+    kept = docs.where("doc_id is not null").join(gone, doc_id == F.col("__gone"), "left_anti")
+    again = stored(members.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again")), "simhash-again")
+    if again.limit(1).count():
+        one = kept.join(again, doc_id == F.col("__again"), "left_semi").dropDuplicates(["doc_id"])
+        kept = kept.join(again, doc_id == F.col("__again"), "left_anti").union(one)
+    nameless = docs.where("doc_id is null")
+    if nameless.limit(1).count():
+        fp = _fingerprint_column(nameless, shingle)
+        free = known.where("component_id is null").select(F.col("fp").alias("__fp"))
+        kept = kept.union(fp.join(free, "__fp", "left_semi").dropDuplicates(["__fp"]).select(*docs.columns))
+    return kept
+
+
+def _fingerprint_column(docs: DataFrame, shingle: int) -> DataFrame:
+    """``docs`` plus ``__fp``."""
+    picked = docs.select("*", F.col("text").cast("string").alias("__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, texts = batch.columns
+            prints = pa.array([fingerprint((t or "").encode(), shingle) for t in texts.to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*columns, prints], names=[*batch.schema.names[:-1], "__fp"])
+
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
+    return picked.mapInArrow(run, ", ".join([*kinds, "__fp long"]))
