@@ -161,8 +161,9 @@ def extensions(docs: DataFrame, todo: DataFrame, min_words: int) -> DataFrame:
 def matches(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WORDS) -> DataFrame:
     """(doc_id, start, end, partner): stretches of words that another document has too; they may overlap.
 
-    ``partner`` is the smallest other document with a part of the stretch, or
-    for that document itself the largest.
+    ``partner`` is another document with the stretch: the smallest of those whose
+    suffix matched it, or for that one itself the largest. Partners connect all
+    documents that share a passage; pairs between copies are not spelt out.
     """
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text")
