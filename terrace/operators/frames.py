@@ -72,15 +72,16 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     """One row per key: the row with the greatest ``order_by`` values, ties
     broken by the remaining columns so the winner is deterministic.
 
-    Written as a ``max_by`` aggregate, not a ``row_number`` window: the
-    aggregate combines map-side, so a key holding a large share of the rows
-    is reduced before the shuffle instead of being sorted in one task.
+    Written as a ``max`` over one struct of all non-key columns, the ordering
+    columns first, not as a ``row_number`` window: the aggregate combines
+    map-side, so a key holding a large share of the rows is reduced before
+    the shuffle instead of being sorted in one task, and every column is
+    carried once.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     ordering = list(order_by) + [c for c in rest if c not in order_by]
-    winner = F.max_by(F.struct(*rest), F.struct(*ordering)).alias("_w")
-    out = df.groupBy(*keys).agg(winner)
+    out = df.groupBy(*keys).agg(F.max(F.struct(*ordering)).alias("_w"))
     return out.select(*[F.col(k) for k in keys], *[F.col(f"_w.{c}").alias(c) for c in rest]).select(*df.columns)
 
 

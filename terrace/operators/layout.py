@@ -53,41 +53,65 @@ def compact_path(spark: SparkSession, src: str, dst: str, file_bytes: int = DEFA
 
 
 def order_key(c: Column, dtype) -> Column:
-    """A number that sorts like the column: numbers as they are, dates as day
-    numbers, strings by their first 7 UTF-8 bytes."""
+    """A value that sorts like the column and is one of few types: numbers as
+    doubles, strings as they are, dates and times as numbers."""
     if isinstance(dtype, NumericType):
         return c.cast("double")
     if isinstance(dtype, StringType):
-        hex7 = F.rpad(F.substring(F.hex(c.cast("binary")), 1, 14), 14, "0")
-        return F.conv(hex7, 16, 10).cast("double")
+        return c
     if dtype.typeName() == "date":
         return F.unix_date(c).cast("double")
     return F.unix_micros(c.cast("timestamp")).cast("double")
 
 
-def _bucket(x: Column, bounds: Sequence[float]) -> Column:
-    """Index of the quantile range ``x`` falls in (0..len(bounds)); NULL → 0."""
-    expr = F.lit(len(bounds))
-    for i in reversed(range(len(bounds))):
-        expr = F.when(x <= F.lit(bounds[i]), F.lit(i)).otherwise(expr)
-    return F.when(x.isNull(), F.lit(0)).otherwise(expr)
+def _bucket(x: Column, bounds: Sequence) -> Column:
+    """Index of the range ``x`` falls in (0..len(bounds)); NULL → 0. A binary
+    search spelt out, so a row takes log2(len(bounds)) comparisons."""
 
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x <= F.lit(bounds[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
 
-def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 4, rel_error: float = 0.001) -> Column:
-    """Interleaved bits of each column's quantile bucket (2**bits buckets).
+    return F.when(x.isNull(), F.lit(0)).otherwise(search(0, len(bounds)))
 
-    Bucket bounds come from one ``approxQuantile`` job over all columns (a
-    distributed sketch; only ``2**bits - 1`` numbers per column reach the
-    driver). Rows close in every column get close keys.
+
+SAMPLE_PER_RANGE = 32
+MAX_BITS = 8
+
+
+def zorder_bits(files: int, n_cols: int) -> int:
+    """Bits per column: a few cells per file. More would not narrow the files'
+    ranges; a cell is no limit, since its rows can be split (see ``zorder``)."""
+    return max(2, min(MAX_BITS, 62 // n_cols, math.ceil(math.log2(max(files, 1)) / n_cols) + 2))
+
+
+def range_bounds(df: DataFrame, keys: Sequence[Column], ranges: int) -> list[list]:
+    """Per key, ascending values that cut the rows into about equal ranges.
+
+    Taken from a uniform sample of ``ranges * SAMPLE_PER_RANGE`` rows: those
+    with the smallest hash of all columns (a top-k, so only the sample
+    reaches the driver). Works on any sortable type, strings whole.
     """
+    keyed = df.select(*[k.alias(f"_k{i}") for i, k in enumerate(keys)], F.xxhash64(*df.columns).alias("_h"))
+    rows = keyed.orderBy("_h").limit(ranges * SAMPLE_PER_RANGE).collect()
+    out = []
+    for i in range(len(keys)):
+        values = sorted(r[i] for r in rows if r[i] is not None)
+        out.append(sorted({values[len(values) * j // ranges] for j in range(1, ranges)}) if values else [])
+    return out
+
+
+def zorder_key(df: DataFrame, cols: Sequence[str], bits: int) -> Column:
+    """Interleaved bits of each column's range index (2**bits ranges of about
+    equal rows). Rows close in every column get close keys."""
     d = len(cols)
     if bits * d > 62:
         raise ValueError("too many columns or bits for a 64-bit key")
     types = {f.name: f.dataType for f in df.schema.fields}
-    keyed = df.select(*[order_key(F.col(c), types[c]).alias(f"_k{i}") for i, c in enumerate(cols)])
-    probs = [i / (2**bits) for i in range(1, 2**bits)]
-    bounds = keyed.approxQuantile([f"_k{i}" for i in range(d)], probs, rel_error)
-    buckets = [_bucket(order_key(F.col(c), types[c]), sorted(set(b))) for c, b in zip(cols, bounds)]
+    keys = [order_key(F.col(c), types[c]) for c in cols]
+    buckets = [_bucket(k, b) for k, b in zip(keys, range_bounds(df, keys, 2**bits))]
     z = F.lit(0).cast("long")
     for bit in range(bits):
         for j, b in enumerate(buckets):
@@ -95,11 +119,18 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = 4, rel_error: flo
     return z
 
 
-def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int = 4) -> DataFrame:
+def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted by the z-key, ready to write as
-    ``files`` files whose min/max ranges are narrow in every column."""
-    z = zorder_key(df, cols, bits)
-    return df.withColumn("_z", z).repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z")
+    ``files`` files whose min/max ranges are narrow in every column.
+
+    Within a cell rows are ordered by the columns and a hash of the row, so
+    neither a cell nor one value (NULL included) is bound to one partition:
+    the number of files follows the number asked for.
+    """
+    z = zorder_key(df, cols, bits or zorder_bits(files, len(cols)))
+    order = ["_z", *cols, "_h"]
+    tagged = df.withColumn("_z", z).withColumn("_h", F.xxhash64(*df.columns))
+    return tagged.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_z", "_h")
 
 
 def file_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:

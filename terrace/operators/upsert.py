@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terrace.operators.frames import dedup_latest, duplicate_keys
+from terrace.session import scratch_dir
 from terrace.sources import tables
 
 CHANGE = "_change"
@@ -31,17 +32,53 @@ def _any_null(keys: Sequence[str]):
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+SALT = "_salt"
+
+
+def _salted(df: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """``df`` with one more key part: 0 where the key can match, a hash of the
+    row where a part of it is NULL.
+
+    Rows that never match go through the merge join like all others, but the
+    hash deals them over all partitions instead of into one, and target and
+    source are read once.
+    """
+    free = F.lit(0).cast("long")
+    return df.withColumn(SALT, free if null_safe else F.when(_any_null(keys), F.xxhash64(*df.columns)).otherwise(free))
+
+
+def _group_keys(df: DataFrame, keys: Sequence[str], null_safe: bool) -> list[str]:
+    """What makes rows one: the keys, and the salt where a key may be NULL."""
+    return [*keys, *([SALT] if not null_safe and any(df.schema[k].nullable for k in keys) else [])]
+
+
 @dataclass
-class SplitSource:
-    """A source made unique per key, kept in two parts: rows whose key can
-    match (``keyed``) and rows with a NULL key part (``unkeyed``, always
-    inserts; empty when ``null_safe``)."""
+class KeyedSource:
+    """A source whose rows are unique per key (NULL keys aside), with its salt."""
 
-    keyed: DataFrame
-    unkeyed: DataFrame | None
+    rows: DataFrame
 
     def whole(self) -> DataFrame:
-        return self.keyed if self.unkeyed is None else self.keyed.unionByName(self.unkeyed)
+        return self.rows.drop(SALT)
+
+
+def _unique_or_fail(salted: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """The rows as they are; a key that repeats fails the job that reads it.
+
+    One aggregate by key, whose partitioning the merge join then reuses; rows
+    with a NULL key part pass through it as often as they occur.
+    """
+    by = _group_keys(salted, keys, null_safe)
+    rest = [c for c in salted.columns if c not in by]
+    # alike rows without a usable key are rows of their own: kept by their number
+    rows = salted.groupBy(*by).agg(
+        F.max(F.struct(*rest) if rest else F.struct(F.lit(1))).alias("_w"), F.count(F.lit(1)).alias("_n")
+    )
+    text = F.concat(F.lit("source repeats key "), F.to_json(F.struct(*keys)))
+    keyless = F.col(SALT) != 0 if SALT in by else F.lit(False)
+    times = F.when(keyless, F.col("_n")).when(F.col("_n") == 1, F.lit(1)).otherwise(F.raise_error(text).cast("long"))
+    each = rows.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    return each.select(*[F.col(f"_w.{c}").alias(c) if c in rest else F.col(c) for c in salted.columns])
 
 
 def split_source(
@@ -50,7 +87,7 @@ def split_source(
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
     null_safe: bool = False,
-) -> SplitSource:
+) -> KeyedSource:
     """Make the source unique per key.
 
     ``error`` raises :class:`DuplicateKeyError` when a key repeats (keys with
@@ -58,24 +95,18 @@ def split_source(
     ``latest`` keeps the row with the greatest ``order_by`` values (rows
     whose key has a NULL part are kept once each: de-duplicated exactly);
     ``keep`` passes the source through unchecked.
-
-    The parts stay apart so the merge join reads the keyed part as it comes
-    out of the per-key aggregate, already hash-partitioned by the key.
     """
     if on_duplicate not in ("error", "latest", "keep"):
         raise ValueError(f"on_duplicate must be error, latest or keep, not {on_duplicate!r}")
-    if null_safe:
-        keyed, unkeyed = source, None
-    else:
-        keyed, unkeyed = source.filter(~_any_null(keys)), source.filter(_any_null(keys))
+    keys = list(keys)
+    salted = _salted(source, keys, null_safe)
     if on_duplicate == "error":
-        dup = duplicate_keys(keyed, keys).limit(1).collect()
+        dup = duplicate_keys(salted.filter(F.col(SALT) == 0), keys).limit(1).collect()
         if dup:
             raise DuplicateKeyError(f"source repeats key {dup[0].asDict()}")
     elif on_duplicate == "latest":
-        keyed = dedup_latest(keyed, keys, order_by)
-        unkeyed = unkeyed.distinct() if unkeyed is not None else None
-    return SplitSource(keyed, unkeyed)
+        salted = dedup_latest(salted, _group_keys(salted, keys, null_safe), order_by)
+    return KeyedSource(salted)
 
 
 def prepare_source(
@@ -90,47 +121,38 @@ def prepare_source(
 
 
 def merge_changes(
-    target: DataFrame, source: DataFrame | SplitSource, keys: Sequence[str], null_safe: bool = False
+    target: DataFrame, source: DataFrame | KeyedSource, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
     """The merged table with a ``_change`` column: insert / update / keep.
 
-    One full outer join on the keys does both the merge and the counting.
-    Rows with a NULL key part cannot match under ``=``, so they bypass the
-    join entirely: otherwise they would all hash to one shuffle partition,
-    and a feed with many blank key parts would land in a single task.
+    One full outer join on the keys does both the merge and the counting. A
+    plain frame as source must be unique per key: a repeated key fails the
+    job instead of multiplying rows.
     """
     keys = list(keys)
-    if not isinstance(source, SplitSource):
-        source = SplitSource(source, None) if null_safe else SplitSource(
-            source.filter(~_any_null(keys)), source.filter(_any_null(keys))
-        )
     cols = target.columns
-    if sorted(cols) != sorted(source.keyed.columns):
-        raise ValueError(f"source columns {source.keyed.columns} differ from target columns {cols}")
-    sk = source.keyed.select(*cols)
-    if null_safe:
-        tk, passthrough = target, None
-    else:
-        nk = _any_null(keys)
-        tk = target.filter(~nk)
-        passthrough = target.filter(nk).withColumn(CHANGE, F.lit(KEEP))
-        if source.unkeyed is not None:
-            passthrough = passthrough.unionByName(source.unkeyed.select(*cols).withColumn(CHANGE, F.lit(INSERT)))
-    t = tk.select(*[F.col(c).alias(f"t__{c}") for c in cols], F.lit(True).alias("t__present"))
-    s = sk.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s__present"))
+    plain = not isinstance(source, KeyedSource)
+    have = source.columns if plain else source.whole().columns
+    if sorted(cols) != sorted(have):
+        raise ValueError(f"source columns {have} differ from target columns {cols}")
+    salted = _unique_or_fail(_salted(source, keys, null_safe), keys, null_safe) if plain else source.rows
+    tk = _salted(target, keys, null_safe)
+    t = tk.select(*[F.col(c).alias(f"t__{c}") for c in tk.columns], F.lit(True).alias("t__present"))
+    s = salted.select(*[F.col(c).alias(f"s__{c}") for c in tk.columns], F.lit(True).alias("s__present"))
     eq = (lambda a, b: a.eqNullSafe(b)) if null_safe else (lambda a, b: a == b)
-    cond = reduce(lambda a, b: a & b, [eq(F.col(f"t__{k}"), F.col(f"s__{k}")) for k in keys])
-    j = t.join(s, cond, "full_outer")
+    parts = [eq(F.col(f"t__{k}"), F.col(f"s__{k}")) for k in keys]
+    if not null_safe:
+        parts.append(F.col(f"t__{SALT}") == F.col(f"s__{SALT}"))
+    j = t.join(s, reduce(lambda a, b: a & b, parts), "full_outer")
     from_source = F.col("s__present").isNotNull()
     in_target = F.col("t__present").isNotNull()
-    merged = j.select(
+    return j.select(
         *[F.when(from_source, F.col(f"s__{c}")).otherwise(F.col(f"t__{c}")).alias(c) for c in cols],
         F.when(from_source & in_target, F.lit(UPDATE))
         .when(from_source, F.lit(INSERT))
         .otherwise(F.lit(KEEP))
         .alias(CHANGE),
     )
-    return merged if passthrough is None else merged.unionByName(passthrough)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
@@ -197,6 +219,8 @@ def upsert_table(
         return version
 
     if tables.is_empty(spark, name):
+        if tables.table_exists(spark, name) and spark.catalog.getTable(name).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {name}")  # an empty plain table makes way for the view
         obs = Observation("first_load")
         version = publish(src.whole().observe(obs, F.count(F.lit(1)).alias("n")))
         n = obs.get["n"]
@@ -219,11 +243,37 @@ def upsert_table(
 
         analyze_columns(spark, result.version, stats_columns)
     if history:
-        row = [(name, result.version, result.mode, result.inserted, result.updated, result.total)]
-        spark.createDataFrame(row, HISTORY_SCHEMA).write.mode("append").parquet(history)
+        record_history(spark, history, name, result)
     return result
 
 
+def record_history(spark, history: str, name: str, result: UpsertResult) -> None:
+    """One row per upsert: what was written and the counts."""
+    row = [(name, result.version, result.mode, result.inserted, result.updated, result.total)]
+    spark.createDataFrame(row, HISTORY_SCHEMA).write.mode("append").parquet(history)
+
+
+def partition_filter(cols: Sequence[str], tuples: Sequence[tuple]):
+    """Exactly the given partitions: a condition on literals, so it prunes
+    folders; values are grouped column by column, so it stays small."""
+
+    def is_value(c, values):
+        known = sorted(v for v in values if v is not None)
+        cond = F.col(c).isin(known) if known else F.lit(False)
+        return cond | F.col(c).isNull() if None in values else cond
+
+    if len(cols) == 1:
+        return is_value(cols[0], {t[0] for t in tuples})
+    below: dict = {}
+    for t in tuples:
+        below.setdefault(t[0], set()).add(t[1:])
+    alike: dict = {}  # first values with the same rest share a branch
+    for v, rest in below.items():
+        alike.setdefault(frozenset(rest), set()).add(v)
+    branches = [is_value(cols[0], vs) & partition_filter(cols[1:], list(rest)) for rest, vs in alike.items()]
+    return reduce(lambda a, b: a | b, branches)
+
+
 def upsert_partitions(
     source: DataFrame,
     name: str,
@@ -232,71 +282,80 @@ def upsert_partitions(
     null_safe: bool = False,
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
-    max_listed: int = 10_000,
     location: str | None = None,
+    drop_columns: Sequence[str] = (),
+    history: str | None = None,
 ) -> UpsertResult:
     """Upsert into a table partitioned by columns that are part of the key,
     rewriting only the partitions the source touches.
 
-    A key's rows always live in one partition, so the merge only needs the
-    target partitions holding the source's partition values: those are read
-    (partition pruning on an ``IN`` filter per column — a superset of the
-    touched partitions, which is still correct since untouched rows come out
-    unchanged), merged, and written back with dynamic partition overwrite,
-    which replaces exactly the partitions present in the output. A NULL
-    partition value is matched with ``IS NULL``: otherwise the NULL
-    partition would be replaced by the source's NULL rows alone.
-
-    The partition values reach the driver only up to ``max_listed``
-    distinct combinations; past that the whole target is merged. The first
-    load creates the table (at ``location`` when given).
+    The source is computed once, into a staging folder; everything after
+    reads that. A key's rows always live in one partition, so the merge reads
+    only the target partitions with exactly the source's value tuples (as
+    many literals as folders that will be rewritten; the driver's listing of
+    the table holds those anyway), and dynamic partition overwrite replaces
+    just those. A NULL partition value is matched with ``IS NULL``:
+    otherwise the NULL partition would be replaced by the source's NULL rows
+    alone. Rows are written clustered on partition and key, so files cover
+    narrow key ranges and a hot partition is split over tasks.
+
+    ``drop_columns`` (say, an order of arrival for ``latest``) are used for
+    de-duplication and left out of the table. The first load creates the
+    table (at ``location`` when given) or fills an empty one. ``total`` is
+    the whole table's row count.
     """
     spark = source.sparkSession
     missing = [c for c in partition_cols if c not in keys]
     if missing:
         raise ValueError(f"partition columns {missing} must be part of the key")
-    src = split_source(source, keys, on_duplicate, order_by, null_safe)
+    folder = scratch_dir(spark, "upsert-stage")
+    source.write.mode("overwrite").parquet(folder)
+    staged = spark.read.schema(source.schema).parquet(folder)
+    src = split_source(staged, keys, on_duplicate, order_by, null_safe)
+    src = KeyedSource(src.rows.drop(*drop_columns))
+    order = [*partition_cols, *[k for k in keys if k not in partition_cols]]
+
+    def clustered(df: DataFrame) -> DataFrame:
+        by = [*[F.col(c) for c in order], F.xxhash64(*df.columns)]
+        return df.repartitionByRange(*by).sortWithinPartitions(*by)
+
+    def written(df: DataFrame) -> None:
+        key = "spark.sql.sources.partitionOverwriteMode"
+        old = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.set(key, old)
+
     if tables.is_empty(spark, name):
         obs = Observation("first_load")
-        first = src.whole().observe(obs, F.count(F.lit(1)).alias("n")).hint("rebalance", *partition_cols)
-        w = first.write.format("parquet").partitionBy(*partition_cols)
-        if location:
-            w = w.option("path", location)
-        w.saveAsTable(name)
+        first = clustered(src.whole()).observe(obs, F.count(F.lit(1)).alias("n"))
+        if tables.table_exists(spark, name):
+            written(first)
+        else:
+            w = first.write.format("parquet").partitionBy(*partition_cols)
+            (w.option("path", location) if location else w).saveAsTable(name)
         n = obs.get["n"]
-        return UpsertResult("first_load", name, n, 0, n)
-    target = spark.table(name)
-    # Listed from the input, not the de-duplicated source: the key contains
-    # the partition columns, so de-duplication keeps every value, and only
-    # the partition columns need computing (column pruning, no per-key shuffle).
-    listed = source.select(*partition_cols).distinct().limit(max_listed + 1).collect()
-    if len(listed) <= max_listed:
-        cond = F.lit(True)
-        for i, c in enumerate(partition_cols):
-            vals = sorted({r[i] for r in listed if r[i] is not None})
-            has_null = any(r[i] is None for r in listed)
-            one = F.col(c).isin(vals) if vals else F.lit(False)
-            cond = cond & ((one | F.col(c).isNull()) if has_null else one)
-        target = target.filter(cond)
-    changes = merge_changes(target, src, keys, null_safe)
-    obs = Observation("merge_partitions")
-    ch = F.col(CHANGE)
-    observed = changes.observe(
-        obs,
-        F.count_if(ch == INSERT).alias("inserted"),
-        F.count_if(ch == UPDATE).alias("updated"),
-        F.count(F.lit(1)).alias("total"),
-    ).drop(CHANGE)
-    key = "spark.sql.sources.partitionOverwriteMode"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        # Rebalanced by the partition columns: AQE gathers each partition's
-        # rows into size-based files (splitting a hot one) instead of one
-        # small file per merge task per partition.
-        observed.hint("rebalance", *partition_cols).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(key, old)
-    m = obs.get
-    # ``total`` counts the rewritten partitions only.
-    return UpsertResult("merge_partitions", name, m["inserted"], m["updated"], m["total"])
+        result = UpsertResult("first_load", name, n, 0, n)
+    else:
+        touched = [tuple(r) for r in staged.select(*partition_cols).distinct().collect()]
+        target = spark.table(name)
+        if touched:
+            target = target.filter(partition_filter(list(partition_cols), touched))
+        else:
+            target = target.limit(0)
+        changes = clustered(merge_changes(target, src, keys, null_safe))
+        obs = Observation("merge_partitions")
+        ch = F.col(CHANGE)
+        # observed after the exchange: the range bounds' sampling pass does not count
+        observed = changes.observe(
+            obs, F.count_if(ch == INSERT).alias("inserted"), F.count_if(ch == UPDATE).alias("updated")
+        ).drop(CHANGE)
+        written(observed)
+        m = obs.get
+        spark.catalog.refreshTable(name)
+        result = UpsertResult("merge_partitions", name, m["inserted"], m["updated"], spark.table(name).count())
+    if history:
+        record_history(spark, history, name, result)
+    return result

@@ -54,13 +54,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and visible to every executor.
-    Only when it is unset (local runs, tests) do we pick a fresh local folder
-    and register it, so later ``checkpoint()`` calls land there too.
+    Only when it is unset and the master is local (tests) do we pick a fresh
+    local folder and register it, so later ``checkpoint()`` calls land there
+    too; on a cluster an unset folder is an error, since a local one would be
+    seen by one machine only.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         root = tempfile.mkdtemp(prefix="terrace-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         try:
@@ -87,14 +92,12 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
 # projected rows in a shuffle are a few times larger, which lands near the
 # 256-512 MB per task that keeps sorts and hash tables in executor memory.
 STORED_BYTES_PER_PARTITION = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def size_shuffle_partitions(
     spark: SparkSession,
     input_bytes: int,
     bytes_per_partition: int = STORED_BYTES_PER_PARTITION,
-    max_partitions: int = MAX_SHUFFLE_PARTITIONS,
 ) -> int:
     """Set ``spark.sql.shuffle.partitions`` for the next jobs from the size of
     their input: at least one per core, one per ``bytes_per_partition``.
@@ -104,6 +107,6 @@ def size_shuffle_partitions(
     for the data; the default of 200 is not at warehouse scale.
     """
     cores = spark.sparkContext.defaultParallelism
-    n = min(max(cores, math.ceil(input_bytes / bytes_per_partition)), max_partitions)
+    n = max(cores, math.ceil(input_bytes / bytes_per_partition))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n

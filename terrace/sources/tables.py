@@ -8,6 +8,7 @@ a view at it (no table format with row-level writes is assumed).
 from __future__ import annotations
 
 import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,9 +80,33 @@ def _ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+def _version_base(name: str) -> str:
+    return re.sub(r"[^0-9A-Za-z_.]", "_", name)
+
+
 def new_version_name(name: str) -> str:
-    base = re.sub(r"[^0-9A-Za-z_.]", "_", name)
-    return f"{base}__v{uuid.uuid4().hex[:10]}"
+    """Names sort by the time they were made."""
+    return f"{_version_base(name)}__v{time.time_ns():020d}_{uuid.uuid4().hex[:6]}"
+
+
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """Stored versions of ``name``, oldest first."""
+    db, _, table = _version_base(name).rpartition(".")
+    found = [t.name for t in spark.catalog.listTables(db or None, f"{table.lower()}__v*") if not t.isTemporary]
+    return [f"{db}.{t}" if db else t for t in sorted(found)]
+
+
+def drop_old_versions(spark: SparkSession, name: str, keep: int = 2, location_root: str | None = None) -> list[str]:
+    """Drop all but the ``keep`` newest versions (the newest is behind the
+    view), with their folders when they lie under ``location_root``."""
+    old = versions(spark, name)[: -max(1, keep)]
+    for version in old:
+        folder = location(spark, version) if location_root else None
+        spark.sql(f"DROP TABLE IF EXISTS {_ident(version)}")
+        if folder and folder.rstrip("/").split("/")[-1].lower() == version.lower():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return old
 
 
 def publish_version(
@@ -90,8 +115,7 @@ def publish_version(
     """Write ``df`` as a new version table and point the view ``name`` at it.
 
     Readers of ``name`` see the old version until the view swap, which is a
-    single catalog operation. Old versions stay for replay; the caller drops
-    them. With ``location_root`` each version's files go to a folder of
+    single catalog operation. Old versions stay until :func:`drop_old_versions`. With ``location_root`` each version's files go to a folder of
     that name under it. Returns the version table's name.
     """
     spark = df.sparkSession

@@ -102,6 +102,53 @@ def test_upsert_table_first_load_then_merge(spark):
     assert rows(spark.table(name)) == sorted([(1, "a"), (2, "B"), (3, "c"), (None, "n"), (None, "N")], key=str)
 
 
+def test_repeated_source_keys_fail_a_plain_merge(spark):
+    t = spark.createDataFrame(TGT, "k int, v string")
+    s = spark.createDataFrame([(2, "x"), (2, "y")], "k int, v string")
+    with pytest.raises(Exception, match="source repeats key"):
+        upsert.upsert(t, s, ["k"]).collect()
+    # keys with a NULL part never match, so they may repeat, exactly or not
+    s = spark.createDataFrame([(None, "x"), (None, "x"), (None, "y")], "k int, v string")
+    assert rows(upsert.upsert(t, s, ["k"])) == sorted([*TGT, (None, "x"), (None, "x"), (None, "y")], key=str)
+
+
+def test_first_load_into_existing_empty_table(spark, scratch):
+    tag = __import__("uuid").uuid4().hex[:8]
+    t = spark.createDataFrame([(1, 2020, "a")], "k int, y int, v string")
+    spark.sql(f"CREATE TABLE empty_p_{tag} (k int, v string, y int) USING parquet PARTITIONED BY (y) LOCATION '{scratch}/e'")
+    assert upsert.upsert_partitions(t, f"empty_p_{tag}", ["k", "y"], ["y"]).mode == "first_load"
+    assert [tuple(r) for r in spark.table(f"empty_p_{tag}").select("k", "y", "v").collect()] == [(1, 2020, "a")]
+    spark.sql(f"CREATE TABLE empty_t_{tag} (k int, y int, v string) USING parquet")
+    assert upsert.upsert_table(t, f"empty_t_{tag}", ["k"]).mode == "first_load"
+    assert spark.table(f"empty_t_{tag}").count() == 1
+
+
+def test_only_the_exact_period_pairs_are_rewritten(spark, scratch):
+    import os
+
+    name = "pairs_" + __import__("uuid").uuid4().hex[:8]
+    periods = [(y, m) for y in (2023, 2024) for m in (1, 12)] + [(None, 1)]
+    t = spark.createDataFrame([(i, y, m, "t") for i, (y, m) in enumerate(periods)], "k int, y int, m int, v string")
+    upsert.upsert_partitions(t, name, ["k", "y", "m"], ["y", "m"], location=scratch + "/p")
+    root = scratch.replace("file:", "") + "/p"
+    listing = lambda: {d: sorted(f for f in os.listdir(f"{root}/{d}") if f.endswith(".parquet")) for d in ("y=2023/m=1", "y=2023/m=12", "y=2024/m=1", "y=2024/m=12")}
+    before = listing()
+    s = spark.createDataFrame([(1, 2023, 12, "s"), (2, 2024, 1, "s"), (9, None, 1, "s")], "k int, y int, m int, v string")
+    res = upsert.upsert_partitions(s, name, ["k", "y", "m"], ["y", "m"], history=scratch + "/h")
+    after = listing()
+    assert (res.inserted, res.updated, res.total) == (1, 2, 6)  # the NULL period never matches
+    assert [d for d in before if before[d] != after[d]] == ["y=2023/m=12", "y=2024/m=1"]
+    assert spark.read.parquet(scratch + "/h").first().updated == 2
+
+
+def test_many_touched_partitions_keep_the_others(spark):
+    name = "many_" + __import__("uuid").uuid4().hex[:8]
+    t = spark.range(60).select(F.col("id").alias("k"), (F.col("id") % 30).cast("int").alias("p"), F.lit("t").alias("v"))
+    upsert.upsert_partitions(t, name, ["k", "p"], ["p"])
+    res = upsert.upsert_partitions(t.filter("p < 25").withColumn("v", F.lit("s")), name, ["k", "p"], ["p"])
+    assert (res.inserted, res.updated, res.total) == (0, 50, 60)
+
+
 def test_source_with_other_columns_is_refused(spark):
     t = spark.createDataFrame(TGT, "k int, v string")
     with pytest.raises(ValueError):
