@@ -72,23 +72,25 @@ def main(argv: list[str] | None = None) -> dict:
         feed = FEEDS[args.feed]
         inbox = getattr(cfg, f"{args.feed}_inbox")
         res = bronze.ingest(spark, inbox, feed.positions, feed.raw_columns, getattr(cfg, f"{args.feed}_raw"), date)
-        bronze.archive(spark, res.loaded_files, getattr(cfg, f"{args.feed}_processed"))
+        bronze.archive(spark, res.loaded_files, getattr(cfg, f"{args.feed}_processed"), res.run)
         result = {"rows": res.rows, "rejected_sheets": res.rejected_sheets, "unreadable": res.unreadable}
     elif args.command == "clean":
         out = runs.refresh_silver(
             spark,
             date,
-            bronze.read_target(spark, cfg.members_raw),
-            bronze.read_target(spark, cfg.holders_raw),
+            bronze.read_target_or_none(spark, cfg.members_raw),
+            bronze.read_target_or_none(spark, cfg.holders_raw),
             cfg.members_table,
             cfg.holders_table,
             stats_columns=cfg.stats_columns,
+            history=cfg.history,
             by_period=cfg.by_period,
             table_root=cfg.table_root,
         )
         result = {
-            feed: {"inserted": r.inserted, "updated": r.updated}
+            feed: {"inserted": r.inserted, "updated": r.updated, "rejects": out.rejects[feed]}
             for feed, r in (("members", out.members), ("holders", out.holders))
+            if r
         }
     else:
         result = {"report": runs.refresh_gold(spark, cfg.members_table, cfg.holders_table, cfg.gold_table,

@@ -5,9 +5,10 @@ stacking. Each takes and returns a DataFrame so they chain with
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import strip_space
@@ -103,6 +104,16 @@ def stack(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def observed(observation: Observation, otherwise: Callable[[], dict]) -> dict:
+    """An observation's values; ``otherwise()`` when the plan that ran had no
+    rows left to observe (adaptive execution replaces empty inputs and the
+    observation goes with them)."""
+    try:
+        return dict(observation.get)
+    except Py4JJavaError:
+        return otherwise()
+
+
 def lineage(path: str | Column) -> Column:
     """``./<parent folder>/<file name>`` from a file path or URI."""
     p = F.col(path) if isinstance(path, str) else path

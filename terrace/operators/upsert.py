@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from terrace.operators.frames import dedup_latest, duplicate_keys
+from terrace.operators.frames import dedup_latest, duplicate_keys, observed
 from terrace.session import scratch_dir
 from terrace.sources import tables
 
@@ -35,16 +35,17 @@ def _any_null(keys: Sequence[str]):
 SALT = "_salt"
 
 
-def _salted(df: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+def _salted(df: DataFrame, keys: Sequence[str], null_safe: bool, ignore: Sequence[str] = ()) -> DataFrame:
     """``df`` with one more key part: 0 where the key can match, a hash of the
     row where a part of it is NULL.
 
     Rows that never match go through the merge join like all others, but the
     hash deals them over all partitions instead of into one, and target and
-    source are read once.
+    source are read once. ``ignore``: columns that are not part of the row's content.
     """
     free = F.lit(0).cast("long")
-    return df.withColumn(SALT, free if null_safe else F.when(_any_null(keys), F.xxhash64(*df.columns)).otherwise(free))
+    content = [c for c in df.columns if c not in ignore]
+    return df.withColumn(SALT, free if null_safe else F.when(_any_null(keys), F.xxhash64(*content)).otherwise(free))
 
 
 def _group_keys(df: DataFrame, keys: Sequence[str], null_safe: bool) -> list[str]:
@@ -87,6 +88,7 @@ def split_source(
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
     null_safe: bool = False,
+    drop_columns: Sequence[str] = (),
 ) -> KeyedSource:
     """Make the source unique per key.
 
@@ -94,19 +96,20 @@ def split_source(
     a NULL part are exempt unless ``null_safe``, since they never match);
     ``latest`` keeps the row with the greatest ``order_by`` values (rows
     whose key has a NULL part are kept once each: de-duplicated exactly);
-    ``keep`` passes the source through unchecked.
+    ``keep`` passes the source through unchecked. ``drop_columns`` (say, the
+    order of arrival) serve ``order_by`` only and are left out of the result.
     """
     if on_duplicate not in ("error", "latest", "keep"):
         raise ValueError(f"on_duplicate must be error, latest or keep, not {on_duplicate!r}")
     keys = list(keys)
-    salted = _salted(source, keys, null_safe)
+    salted = _salted(source, keys, null_safe, drop_columns)
     if on_duplicate == "error":
         dup = duplicate_keys(salted.filter(F.col(SALT) == 0), keys).limit(1).collect()
         if dup:
             raise DuplicateKeyError(f"source repeats key {dup[0].asDict()}")
     elif on_duplicate == "latest":
         salted = dedup_latest(salted, _group_keys(salted, keys, null_safe), order_by)
-    return KeyedSource(salted)
+    return KeyedSource(salted.drop(*drop_columns))
 
 
 def prepare_source(
@@ -195,6 +198,7 @@ def upsert_table(
     stats_columns: Sequence[str] = (),
     history: str | None = None,
     location_root: str | None = None,
+    drop_columns: Sequence[str] = (),
 ) -> UpsertResult:
     """Upsert into the stored table ``name`` (first load when absent or empty).
 
@@ -205,7 +209,7 @@ def upsert_table(
     folder that gets one row per call (table, version, mode, counts).
     """
     spark = source.sparkSession
-    src = split_source(source, keys, on_duplicate, order_by, null_safe)
+    src = split_source(source, keys, on_duplicate, order_by, null_safe, drop_columns)
 
     def publish(df: DataFrame) -> str:
         version = tables.publish_version(df, name, partition_by, location_root)
@@ -223,20 +227,20 @@ def upsert_table(
             spark.sql(f"DROP TABLE {name}")  # an empty plain table makes way for the view
         obs = Observation("first_load")
         version = publish(src.whole().observe(obs, F.count(F.lit(1)).alias("n")))
-        n = obs.get["n"]
+        n = observed(obs, lambda: {"n": 0})["n"]
         result = UpsertResult("first_load", version, n, 0, n)
     else:
         changes = merge_changes(spark.read.table(name), src, keys, null_safe)
         obs = Observation("merge")
         ch = F.col(CHANGE)
-        observed = changes.observe(
+        watched = changes.observe(
             obs,
             F.count_if(ch == INSERT).alias("inserted"),
             F.count_if(ch == UPDATE).alias("updated"),
             F.count(F.lit(1)).alias("total"),
         ).drop(CHANGE)
-        version = publish(observed)
-        m = obs.get
+        version = publish(watched)
+        m = observed(obs, lambda: {"inserted": 0, "updated": 0, "total": 0})
         result = UpsertResult("merge", version, m["inserted"], m["updated"], m["total"])
     if stats_columns:
         from terrace.operators.layout import analyze_columns
@@ -311,8 +315,7 @@ def upsert_partitions(
     folder = scratch_dir(spark, "upsert-stage")
     source.write.mode("overwrite").parquet(folder)
     staged = spark.read.schema(source.schema).parquet(folder)
-    src = split_source(staged, keys, on_duplicate, order_by, null_safe)
-    src = KeyedSource(src.rows.drop(*drop_columns))
+    src = split_source(staged, keys, on_duplicate, order_by, null_safe, drop_columns)
     order = [*partition_cols, *[k for k in keys if k not in partition_cols]]
 
     def clustered(df: DataFrame) -> DataFrame:
@@ -336,7 +339,7 @@ def upsert_partitions(
         else:
             w = first.write.format("parquet").partitionBy(*partition_cols)
             (w.option("path", location) if location else w).saveAsTable(name)
-        n = obs.get["n"]
+        n = observed(obs, lambda: {"n": 0})["n"]
         result = UpsertResult("first_load", name, n, 0, n)
     else:
         touched = [tuple(r) for r in staged.select(*partition_cols).distinct().collect()]
@@ -349,11 +352,11 @@ def upsert_partitions(
         obs = Observation("merge_partitions")
         ch = F.col(CHANGE)
         # observed after the exchange: the range bounds' sampling pass does not count
-        observed = changes.observe(
+        watched = changes.observe(
             obs, F.count_if(ch == INSERT).alias("inserted"), F.count_if(ch == UPDATE).alias("updated")
         ).drop(CHANGE)
-        written(observed)
-        m = obs.get
+        written(watched)
+        m = observed(obs, lambda: {"inserted": 0, "updated": 0})
         spark.catalog.refreshTable(name)
         result = UpsertResult("merge_partitions", name, m["inserted"], m["updated"], spark.table(name).count())
     if history:

@@ -79,7 +79,8 @@ members_raw AS (
     CAST(year(dt) AS VARCHAR) AS mov_year,
     CAST(month(dt) AS VARCHAR) || '.0' AS mov_month,
     './members/batch_' || strftime(dt, '%Y%m') || '.xlsx' AS source_file,
-    make_date(year(dt), month(dt), 1) AS load_date
+    make_date(year(dt), month(dt), 1) AS load_date,
+    l_orderkey % 2 AS sheet_no, l_partkey * 1000 + l_suppkey % 1000 AS row_no
   FROM (SELECT *, CAST(l_shipdate AS DATE) AS dt FROM lineitem)
 )"""
 
@@ -99,7 +100,8 @@ holders_raw AS (
     CAST(year(od) AS VARCHAR) AS mov_year,
     CAST(month(od) AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN '.0' ELSE '' END AS mov_month,
     './holders/batch_' || strftime(od, '%Y%m') || '.xlsx' AS source_file,
-    make_date(year(od), month(od), 1) AS load_date
+    make_date(year(od), month(od), 1) AS load_date,
+    0 AS sheet_no, o_orderkey AS row_no
   FROM (SELECT *, CAST(o_orderdate AS DATE) AS od FROM orders) o
   JOIN customer c ON o.o_custkey = c.c_custkey
 )"""
@@ -125,11 +127,11 @@ members_typed AS (
     replace(trim(concat_ws(' ', first_name, second_name, surname_1, surname_2)), '  ', ' ') AS member_name,
     {via_decimal_sql("mov_year", 10, "INTEGER")} AS mov_year,
     {via_decimal_sql("mov_month", 10, "INTEGER")} AS mov_month,
-    DATE '{run_date}' AS load_date
+    DATE '{run_date}' AS load_date, source_file, sheet_no, row_no
   FROM members_raw WHERE {where}
 ),
 members_clean AS (
-  SELECT DISTINCT * FROM members_typed WHERE policy_id IS NOT NULL
+  SELECT DISTINCT * EXCLUDE (source_file, sheet_no, row_no) FROM members_typed WHERE policy_id IS NOT NULL
 )"""
 
 
@@ -145,11 +147,11 @@ holders_typed AS (
     holder_name,
     {via_integer_sql("mov_year")} AS mov_year,
     {via_integer_sql("mov_month")} AS mov_month,
-    DATE '{run_date}' AS load_date
+    DATE '{run_date}' AS load_date, source_file, sheet_no, row_no
   FROM holders_raw WHERE {where}
 ),
 holders_clean AS (
-  SELECT DISTINCT * FROM holders_typed WHERE policy_id IS NOT NULL AND holder_name IS NOT NULL
+  SELECT DISTINCT * EXCLUDE (source_file, sheet_no, row_no) FROM holders_typed WHERE policy_id IS NOT NULL AND holder_name IS NOT NULL
 )"""
 
 
@@ -313,6 +315,23 @@ src AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey
          './inbox/nation_' || s_nationkey || '.xlsx' AS source_file,
          CASE WHEN s_nationkey < 13 THEN 0 ELSE 1 END AS ingest_epoch
   FROM supplier"""
+    q["ingest_same_names"] = """
+  SELECT 1 AS run_no, './inbox/nation_' || s_nationkey || '.xlsx' AS source_file, count(*) AS n_rows
+  FROM supplier GROUP BY s_nationkey
+  UNION ALL
+  SELECT 2, './inbox/nation_' || s_nationkey || '.xlsx', count(*) FROM supplier WHERE s_nationkey < 13 GROUP BY s_nationkey"""
+    q["merge_history"] = batches + """
+  SELECT 'first_load' AS mode, count(*) AS inserted, CAST(0 AS BIGINT) AS updated, count(*) AS total FROM tgt
+  UNION ALL
+  SELECT 'merge_partitions', count(*) FILTER (WHERE t.o_orderkey IS NULL),
+         count(*) FILTER (WHERE t.o_orderkey IS NOT NULL AND s.o_orderkey IS NOT NULL), count(*)
+  FROM tgt t FULL OUTER JOIN src s ON t.o_orderkey = s.o_orderkey"""
+    lookup = lambda c: f"(SELECT min({c}) FROM lineitem WHERE {c} >= (SELECT avg({c}) FROM lineitem))"
+    q["file_skipping"] = "\n  UNION ALL\n".join(
+        f"""  SELECT '{c}' AS column_name, {lookup(c)} AS lookup, count(*) AS matching, count(*) AS found_clustered,
+         count(*) AS found_plain, TRUE AS clustered_opens_no_more FROM lineitem WHERE {c} = {lookup(c)}"""
+        for c in ("l_partkey", "l_suppkey")
+    )
     q["compacted"] = "SELECT * FROM lineitem"
     q["zordered"] = "SELECT * FROM lineitem"
     q["column_stats"] = """
@@ -341,13 +360,15 @@ SELECT run_id, CAST(members_rows AS BIGINT) AS members_rows, CAST(holders_rows A
             WHEN members_rows = 0 AND holders_rows = 0 THEN 'skip' ELSE 'run' END AS decision
 FROM led"""
     q["replay_date"] = with_(MEMBERS_RAW, members_clean_sql(f"load_date = DATE '{SLICE_DATE}'", SLICE_DATE)) + "SELECT * FROM members_clean"
-    # All layers through workbooks: blank-only cells come back trimmed to '',
-    # and each clean table keeps the latest row per business key.
+    q["replay_holders"] = with_(HOLDERS_RAW, holders_clean_sql(f"load_date = DATE '{SLICE_DATE}'", SLICE_DATE)) + "SELECT * FROM holders_clean"
+    # All layers: blank-only cells come back trimmed to '', and each clean
+    # table keeps the row of a business key that arrived last.
     m_trim = MEMBERS_RAW.replace("'  ' AS surname_1", "'' AS surname_1")
     m_keys = "policy_id, certificate, doc_no, mov_year, mov_month"
-    m_rest = ("load_date", "policy_start", "policy_end", "cover_start", "cover_end", "doc_type", "doc_last_digit", "member_name")
+    arrival = ("source_file", "sheet_no", "row_no")
+    m_rest = arrival + ("policy_start", "policy_end", "cover_start", "cover_end", "doc_type", "doc_last_digit", "member_name")
     h_keys = "policy_id, holder_doc_no, mov_year, mov_month"
-    h_rest = ("load_date", "doc_type", "holder_name")
+    h_rest = arrival + ("doc_type", "holder_name")
 
     def latest(src, keys, rest):
         order = ", ".join(f"{c} DESC NULLS LAST" for c in rest)
@@ -356,6 +377,7 @@ FROM led"""
     q["layers_end_to_end"] = with_(m_trim, members_clean_sql(), HOLDERS_RAW, holders_clean_sql()) + f"""
   SELECT DISTINCT m.policy_id, m.policy_start, m.policy_end, m.cover_start, m.cover_end,
          h.holder_doc_no, h.holder_name, m.doc_type, m.doc_no, m.doc_last_digit, m.member_name
-  FROM {latest("members_clean", m_keys, m_rest)} m
-  LEFT JOIN {latest("holders_clean", h_keys, h_rest)} h ON m.policy_id = h.policy_id"""
+  FROM {latest("members_typed WHERE policy_id IS NOT NULL", m_keys, m_rest)} m
+  LEFT JOIN {latest("holders_typed WHERE policy_id IS NOT NULL AND holder_name IS NOT NULL", h_keys, h_rest)} h
+    ON m.policy_id = h.policy_id"""
     return q

@@ -1,24 +1,41 @@
-"""Raw-layer ingest: workbooks in an inbox → an append-only all-text table.
+"""Raw-layer ingest: sheet rows of an inbox → an append-only all-text table.
 
-One distributed job per run covers every pending file (parsing happens on
-the executors); the counts come from observations on that same job.
+One distributed job per run covers every pending file; the counts come from
+observations on that same job. Batch and incremental ingest share one layout:
+partitions ``load_date`` and ``ingest_run`` (one value per batch run, or per
+micro-batch), so a run's own rows can be told from others of its date.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.operators.frames import observed
+from terrace.sources import tables
 from terrace.sources import workbooks as wb
 
+RUN_COL = "ingest_run"
+PARTITIONS = ("load_date", RUN_COL)
+#: Columns that say in which order raw rows came.
+ARRIVAL = (RUN_COL, "source_file", "sheet_no", "row_no")
+
 
 class NothingToIngest(RuntimeError):
     """The inbox holds no workbook, or none of its rows could be loaded."""
 
 
+class SchemaMismatch(ValueError):
+    """The rows' columns differ from the raw table's."""
+
+
 @dataclass
 class IngestResult:
     rows: int  # rows appended
@@ -26,7 +43,31 @@ class IngestResult:
     rejected_sheets: int  # sheets narrower than the layout needs
     unreadable: int  # files or sheets that could not be parsed
     report: DataFrame  # per-file row counts of this run (lazy)
-    loaded_files: list[str]  # paths of the files that gave at least one row
+    loaded_files: list[str]  # paths of the files that gave at least one row in this run
+    run: str  # this run's value in the raw table
+
+
+def new_run() -> str:
+    """Sorts by the time it was made; never read as a number or a date."""
+    return f"r{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S%f}_{uuid.uuid4().hex[:6]}"
+
+
+def stored_schema(spark: SparkSession, target: str):
+    """Columns of the raw table or folder; None while it has no data."""
+    if "/" not in target:
+        return spark.read.table(target).schema if tables.table_exists(spark, target) else None
+    return spark.read.parquet(target).schema if tables.stored_bytes(spark, target) else None
+
+
+def guard_schema(rows: DataFrame, target: str, partition_by: Sequence[str]) -> None:
+    """Refuse rows whose columns are not the target's; columns never merge in.
+    (Types of partition folders are inferred on reading, so only their names count.)"""
+    have = stored_schema(rows.sparkSession, target)
+    if have is None:
+        return
+    shape = lambda schema: {f.name: None if f.name in partition_by else f.dataType for f in schema}
+    if shape(have) != shape(rows.schema):
+        raise SchemaMismatch(f"columns {rows.schema.simpleString()} differ from those of {target}: {have.simpleString()}")
 
 
 def write_rows(
@@ -39,6 +80,7 @@ def write_rows(
     splitting large ones) instead of one small file per parse task: the
     compaction the raw table would otherwise need after every load.
     """
+    guard_schema(rows, target, partition_by)
     if rebalance:
         rows = rows.hint("rebalance")
     w = rows.write.mode("append")
@@ -54,60 +96,83 @@ def read_target(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target) if "/" in target else spark.read.table(target)
 
 
-def ingest(
-    spark: SparkSession,
-    inbox: str | Sequence[str],
-    positions: Sequence[int],
-    names: Sequence[str],
-    target: str,
-    run_date,
-    partition_by: Sequence[str] = ("load_date",),
-    pattern: str = "*.xlsx",
+def read_target_or_none(spark: SparkSession, target: str) -> DataFrame | None:
+    """The raw table, or None before its first load."""
+    return None if stored_schema(spark, target) is None else read_target(spark, target)
+
+
+def ingest_cells(
+    cells: DataFrame, positions: Sequence[int], names: Sequence[str], target: str, run_date, run: str | None = None
 ) -> IngestResult:
-    """Parse every workbook of the inbox, append the picked columns with
-    lineage and load date, and report per-file counts."""
-    files = wb.list_workbooks(spark, inbox, pattern)
-    if files.select("path").isEmpty():
-        raise NothingToIngest(f"no {pattern} file in {inbox}")
+    """Append the picked columns of any frame of sheet cells (path, sheet,
+    sheet_no, row_no, width, cells) with lineage, place in the file, load date
+    and run; report the counts of this run alone."""
+    spark, run = cells.sparkSession, run or new_run()
     seen = Observation("sheets")
-    cells = wb.scan_cells(files, by_path=wb.is_local(inbox)).observe(
+    watched = cells.observe(
         seen,
         F.count_if(F.col("row_no") > 0).alias("sheet_rows"),
         F.count_if((F.col("row_no") == 0) & ~wb.accepted("width", positions)).alias("rejected"),
         F.count_if(F.col("row_no") == -1).alias("unreadable"),
     )
     kept = Observation("rows")
-    rows = wb.to_rows(cells, positions, names, run_date).observe(kept, F.count(F.lit(1)).alias("rows"))
-    write_rows(rows, target, partition_by)
-    n = kept.get["rows"]
-    s = seen.get
+    rows = wb.to_rows(watched, positions, names, run_date, arrival=True).withColumn(RUN_COL, F.lit(run))
+    write_rows(rows.observe(kept, F.count(F.lit(1)).alias("rows")), target, PARTITIONS)
+    n = observed(kept, lambda: {"rows": 0})["rows"]
     if n == 0:
-        raise NothingToIngest(f"no row of {inbox} could be loaded")
-    report = (
-        read_target(spark, target)
-        .filter(F.col("load_date") == F.lit(str(run_date)).cast("date"))
-        .groupBy("source_file")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        raise NothingToIngest("no row could be loaded")
+    s = observed(seen, dict)
+    own = read_target(spark, target).filter(
+        (F.col("load_date") == F.lit(str(run_date)).cast("date")) & (F.col(RUN_COL) == run)
     )
-    # File paths are listing metadata (Spark's file index holds them on the
-    # driver already); keep those whose lineage shows rows in this load.
-    loaded = {r.source_file for r in report.select("source_file").collect()}
-    paths = files.select("path", wb.lineage("path").alias("lin")).collect()
-    loaded_files = sorted(r.path for r in paths if r.lin in loaded)
-    return IngestResult(n, s["sheet_rows"], s["rejected"], s["unreadable"], report, loaded_files)
+    report = own.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
+    return IngestResult(n, s["sheet_rows"], s["rejected"], s["unreadable"], report, [], run)
 
 
-def archive(spark: SparkSession, paths: Sequence[str], folder: str) -> int:
-    """Move ingested files into ``folder`` (rename on the files' own file
-    system). Call only after the append succeeded."""
+def ingest(
+    spark: SparkSession,
+    inbox: str | Sequence[str],
+    positions: Sequence[int],
+    names: Sequence[str],
+    target: str,
+    run_date,
+    pattern: str = "*.xlsx",
+) -> IngestResult:
+    """Ingest every workbook of the inbox; ``loaded_files`` are this run's."""
+    files = wb.list_workbooks(spark, inbox, pattern)
+    if files.select("path").isEmpty():
+        raise NothingToIngest(f"no {pattern} file in {inbox}")
+    cells = wb.scan_cells(files, by_path=wb.workers_can_open(files))
+    result = ingest_cells(cells, positions, names, target, run_date)
+    # Paths are listing metadata (Spark's file index holds them on the driver
+    # already); only those whose lineage has rows of this run are kept.
+    listed = files.select("path", wb.lineage("path").alias("source_file"))
+    loaded = listed.join(result.report, "source_file", "left_semi").select("path").collect()
+    result.loaded_files = sorted(r.path for r in loaded)
+    return result
+
+
+def archive(spark: SparkSession, paths: Sequence[str], folder: str, run: str, threads: int = 16) -> int:
+    """Move ingested files into the run's own folder under ``folder`` (renames
+    on the files' own file system, several at a time), so that a later file of
+    the same name never meets an earlier one. Raises if a file stays behind.
+    Call only after the append succeeded."""
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
-    moved = 0
-    for p in paths:
-        src = jvm.org.apache.hadoop.fs.Path(p)
+    dst_dir = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{run}")
+
+    def move(path: str) -> bool:
+        src = jvm.org.apache.hadoop.fs.Path(path)
         fs = src.getFileSystem(conf)
-        dst_dir = jvm.org.apache.hadoop.fs.Path(folder)
-        fs.mkdirs(dst_dir)
-        if fs.rename(src, jvm.org.apache.hadoop.fs.Path(dst_dir, src.getName())):
-            moved += 1
-    return moved
+        try:
+            return fs.rename(src, jvm.org.apache.hadoop.fs.Path(dst_dir, src.getName()))
+        except Py4JJavaError:  # some file systems say no by an exception
+            return False
+
+    if paths:
+        dst_dir.getFileSystem(conf).mkdirs(dst_dir)
+    with ThreadPoolExecutor(threads) as pool:
+        left = [p for p, moved in zip(paths, pool.map(move, paths)) if not moved]
+    if left:
+        raise RuntimeError(f"{len(left)} loaded files could not be moved to {dst_dir}: {left[:5]}")
+    return len(paths)

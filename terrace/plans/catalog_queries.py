@@ -9,13 +9,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
 from terrace.operators import frames, layout, upsert
 from terrace.plans import bronze, feeds, medallion, runs
 from terrace.session import scratch_dir
+from terrace.sources import drops
 from terrace.sources import workbooks as wb
 from terrace.sources.tables import read_parquet
 from terrace.sources.workbook_writer import cell, write_workbooks
@@ -397,76 +398,97 @@ def workbook_blank_rows(spark, sf_dir):
     )
 
 
+# --- drops: the same rows as JSON lines that Spark writes and reads ---------
+
+
+def supplier_file() -> Column:
+    return F.concat(F.lit("nation_"), F.col("s_nationkey").cast("string"), F.lit(".xlsx")).alias("file")
+
+
 REJECT_POSITIONS = (1, 3, 7)
 
 
 @register("sheet_rejects")
 def sheet_rejects(spark, sf_dir):
-    """A workbook per region, a sheet per nation holding its suppliers; every
+    """A file per region, a sheet per nation holding its suppliers; every
     third nation's sheet is five columns wide, too narrow for the layout."""
     inbox = _inbox(spark)
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     j = s.join(n, s.s_nationkey == n.n_nationkey)
-    k = F.col("s_suppkey")
-    wide = F.array(*[cell("n", k + i) for i in range(12)])
-    narrow = F.array(*[cell("n", k + i) for i in range(5)])
-    _write(
+    text = lambda count: F.array(*[(F.col("s_suppkey") + i).cast("string") for i in range(count)])
+    drops.write_drop(
         j.select(
             F.concat(F.lit("region_"), F.col("n_regionkey").cast("string"), F.lit(".xlsx")).alias("file"),
             F.concat(F.lit("nation_"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("sheet"),
-            k.alias("row_no"),
-            F.when(F.col("n_nationkey") % 3 == 0, narrow).otherwise(wide).alias("cells"),
+            F.col("n_nationkey").cast("int").alias("sheet_no"),
+            (F.col("s_suppkey") + 1).alias("row_no"),
+            F.when(F.col("n_nationkey") % 3 == 0, text(5)).otherwise(text(12)).alias("cells"),
         ),
         inbox,
     )
-    rep = wb.sheet_report(wb.read_workbooks(spark, inbox), REJECT_POSITIONS)
+    rep = wb.sheet_report(drops.read_drop(spark, inbox), REJECT_POSITIONS)
     return rep.select(
         wb.lineage("path").alias("source_file"), "sheet", "width", "data_rows", "accepted"
     )
 
 
-@register("ingest_report")
-def ingest_report(spark, sf_dir):
-    folder = scratch_dir(spark, "ingest")
-    inbox = folder + "/inbox"
-    supplier_workbooks(spark, sf_dir, inbox)
-    res = bronze.ingest(spark, inbox, SUPPLIER_POSITIONS, SUPPLIER_NAMES, folder + "/bronze", RUN_DATE)
-    return res.report
-
-
 DROP_POSITIONS = (0, 1, 2)
 DROP_NAMES = ("supp_id", "supp_name", "nation")
 FIRST_DROP_NATIONS = 13  # nations 0..12 arrive first, the rest later
 
 
-def supplier_drop(spark, sf_dir, folder, first: bool):
-    """One workbook per nation for one of two drops of the supplier table."""
-    sup = table(spark, sf_dir, "supplier")
-    early = F.col("s_nationkey") < FIRST_DROP_NATIONS
-    _write(
-        sup.filter(early if first else ~early).select(
-            F.concat(F.lit("nation_"), F.col("s_nationkey").cast("string"), F.lit(".xlsx")).alias("file"),
+def supplier_drop(suppliers: DataFrame, folder: str) -> None:
+    """One file per nation with its suppliers."""
+    cells = F.array(F.col("s_suppkey").cast("string"), F.col("s_name"), F.col("s_nationkey").cast("string"))
+    drops.write_drop(
+        suppliers.select(
+            supplier_file(),
             F.lit("suppliers").alias("sheet"),
-            F.col("s_suppkey").alias("row_no"),
-            F.array(cell("n", F.col("s_suppkey")), cell("s", F.col("s_name")), cell("n", F.col("s_nationkey"))).alias(
-                "cells"
-            ),
+            F.lit(0).alias("sheet_no"),
+            (F.col("s_suppkey") + 1).alias("row_no"),
+            cells.alias("cells"),
         ),
         folder,
     )
 
 
+@register("ingest_report")
+def ingest_report(spark, sf_dir):
+    folder = scratch_dir(spark, "ingest")
+    supplier_drop(table(spark, sf_dir, "supplier"), folder + "/inbox")
+    cells = drops.read_drop(spark, folder + "/inbox")
+    return bronze.ingest_cells(cells, DROP_POSITIONS, DROP_NAMES, folder + "/bronze", RUN_DATE).report
+
+
+@register("ingest_same_names")
+def ingest_same_names(spark, sf_dir):
+    """Two ingests on one date whose files have the same names: each run's
+    report holds its own rows only."""
+    folder = scratch_dir(spark, "ingest-twice")
+    sup = table(spark, sf_dir, "supplier")
+    out = None
+    for no, rows in ((1, sup), (2, sup.filter(F.col("s_nationkey") < FIRST_DROP_NATIONS))):
+        supplier_drop(rows, f"{folder}/drop_{no}/inbox")
+        cells = drops.read_drop(spark, f"{folder}/drop_{no}/inbox")
+        res = bronze.ingest_cells(cells, DROP_POSITIONS, DROP_NAMES, folder + "/bronze", RUN_DATE)
+        rep = res.report.select(F.lit(no).alias("run_no"), "source_file", "n_rows")
+        out = rep if out is None else out.unionByName(rep)
+    return out
+
+
 @register("incremental_ingest")
 def incremental_ingest(spark, sf_dir):
     """Two drops into one inbox; the second run must load only the new files."""
     folder = scratch_dir(spark, "incremental")
     inbox, target, ckpt = folder + "/inbox", folder + "/bronze", folder + "/checkpoint"
-    supplier_drop(spark, sf_dir, inbox, first=True)
-    incremental.ingest_new_files(spark, inbox, DROP_POSITIONS, DROP_NAMES, target, ckpt)
-    supplier_drop(spark, sf_dir, inbox, first=False)
-    incremental.ingest_new_files(spark, inbox, DROP_POSITIONS, DROP_NAMES, target, ckpt)
-    return spark.read.parquet(target).select(*DROP_NAMES, "source_file", incremental.EPOCH_COL)
+    sup = table(spark, sf_dir, "supplier")
+    early = F.col("s_nationkey") < FIRST_DROP_NATIONS
+    for rows in (sup.filter(early), sup.filter(~early)):
+        supplier_drop(rows, inbox)
+        incremental.ingest_new_drops(spark, inbox, DROP_POSITIONS, DROP_NAMES, target, ckpt)
+    epoch = F.substring(bronze.RUN_COL, 2, 8).cast("int").alias("ingest_epoch")
+    return spark.read.parquet(target).select(*DROP_NAMES, "source_file", epoch)
 
 
 # --- layout: compaction, clustering, statistics ---------------------------
@@ -499,28 +521,28 @@ def zordered(spark, sf_dir):
 
 @register("file_skipping")
 def file_skipping(spark, sf_dir):
-    """Files a point lookup must open, clustered vs. unclustered layout, for
-    the median value of each clustering column (from file min/max)."""
-    z = spark.read.parquet(_zordered_path(spark, sf_dir))
+    """A point lookup per clustering column, on clustered and on plain files:
+    rows that match, rows found in the files whose min/max admit the value,
+    and whether the clustered layout opens no more files than the plain one."""
+    clustered_path = _zordered_path(spark, sf_dir)
+    li = table(spark, sf_dir, "lineitem")
     folder = scratch_dir(spark, "plain")
-    table(spark, sf_dir, "lineitem").repartition(CLUSTER_FILES).write.parquet(folder + "/p")
-    plain = spark.read.parquet(folder + "/p")
-    medians = z.approxQuantile(list(CLUSTER_COLS), [0.5], 0.0)
-    ranges = (
-        layout.file_ranges(z, CLUSTER_COLS).withColumn("layout", F.lit("clustered"))
-        .unionByName(layout.file_ranges(plain, CLUSTER_COLS).withColumn("layout", F.lit("plain")))
-    )
-    clustered = F.col("layout") == "clustered"
+    li.repartition(CLUSTER_FILES).write.parquet(folder + "/p")
+    # the smallest value that is not below the column's mean
+    means = li.agg(*[F.avg(c).alias(c) for c in CLUSTER_COLS]).first()
+    lookups = li.agg(*[F.min(F.when(F.col(c) >= means[c], F.col(c))).alias(c) for c in CLUSTER_COLS]).first()
     out = None
-    for c, (v,) in zip(CLUSTER_COLS, medians):
-        admits = layout.admits(c, v)
-        row = ranges.agg(
-            F.lit(c).alias("column_name"),
-            F.lit(float(v)).alias("lookup"),
-            F.count_if(clustered).alias("files"),
-            F.count_if(clustered & admits).alias("read_clustered"),
-            F.count_if(~clustered & admits).alias("read_plain"),
-        )
+    for c in CLUSTER_COLS:
+        v = lookups[c]
+        row = li.agg(F.lit(c).alias("column_name"), F.lit(v).alias("lookup"), F.count_if(F.col(c) == v).alias("matching"))
+        for kind, path in (("clustered", clustered_path), ("plain", folder + "/p")):
+            stored = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+            admitted = layout.file_ranges(spark.read.parquet(path), [c]).filter(layout.admits(c, v)).select("file")
+            found = stored.filter(F.col(c) == v).join(admitted, "file", "left_semi")
+            row = row.withColumn(f"found_{kind}", found.agg(F.count(F.lit(1))).scalar())
+            row = row.withColumn(f"files_{kind}", admitted.agg(F.count(F.lit(1))).scalar())
+        row = row.withColumn("clustered_opens_no_more", F.col("files_clustered") <= F.col("files_plain"))
+        row = row.drop("files_clustered", "files_plain")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -561,9 +583,10 @@ def events_ledger(spark, sf_dir):
         F.count_if(et == "error").alias("e"),
         F.count(F.lit(1)).alias("n"),
     )
-    calendar = ev.agg(F.min(bucket).alias("lo"), F.max(bucket).alias("hi")).select(
-        F.explode(F.sequence("lo", "hi")).alias("run_id")
-    )
+    # the calendar of runs, also without events: one row per day, exploded into its runs
+    span = ev.agg(F.min(bucket).alias("lo"), F.max(bucket).alias("hi")).first()
+    lo, hi = (span["lo"], span["hi"]) if span["lo"] is not None else (0, -1)
+    calendar = spark.range(lo, hi + 1).withColumnRenamed("id", "run_id")
     r = calendar.join(per_run, "run_id", "left")
     on_demand = F.coalesce((F.col("e") == F.col("n")), F.lit(False))
     m = F.when(on_demand, F.lit(runs.ON_DEMAND)).otherwise(F.coalesce("m", F.lit(0)))
@@ -585,31 +608,35 @@ def replay_date(spark, sf_dir):
     return runs.replay(members_raw(spark, sf_dir), SLICE_DATE)
 
 
-# --- all layers, from workbooks --------------------------------------------
+@register("replay_holders")
+def replay_holders(spark, sf_dir):
+    return runs.replay(holders_raw(spark, sf_dir), SLICE_DATE, "holders")
+
+
+# --- all layers ------------------------------------------------------------
 
 
-def feed_workbooks(raw: DataFrame, feed: medallion.Feed, folder: str) -> None:
-    """Raw feed rows laid out at the feed's column positions, one workbook
-    per source file name, one sheet per line parity, fillers elsewhere."""
+def feed_drop(raw: DataFrame, feed: medallion.Feed, folder: str) -> None:
+    """Raw feed rows laid out at the feed's column positions, fillers elsewhere."""
     slots = dict(zip(feed.positions, feed.raw_columns))
-    cells = F.array(
-        *[cell("s", F.col(slots[i])) if i in slots else cell("n", F.lit(i)) for i in range(feed.min_width)]
-    )
-    order = Window.partitionBy("file", "sheet").orderBy("_id")
-    laid = raw.select(
-        F.element_at(F.split("source_file", "/"), -1).alias("file"),
-        F.concat(F.lit("S"), F.pmod(F.hash(*feed.keys), F.lit(2)).cast("string")).alias("sheet"),
-        F.monotonically_increasing_id().alias("_id"),
-        cells.alias("cells"),
+    cells = F.array(*[F.col(slots[i]) if i in slots else F.lit(str(i)) for i in range(feed.min_width)])
+    drops.write_drop(
+        raw.select(
+            F.element_at(F.split("source_file", "/"), -1).alias("file"),
+            F.concat(F.lit("S"), F.col("sheet_no").cast("string")).alias("sheet"),
+            "sheet_no",
+            "row_no",
+            cells.alias("cells"),
+        ),
+        folder,
     )
-    _write(laid.select("file", "sheet", F.row_number().over(order).alias("row_no"), "cells"), folder)
 
 
 @register("layers_end_to_end")
 def layers_end_to_end(spark, sf_dir):
     folder = scratch_dir(spark, "layers")
-    feed_workbooks(members_raw(spark, sf_dir), medallion.MEMBERS, folder + "/inbox/members")
-    feed_workbooks(holders_raw(spark, sf_dir), medallion.HOLDERS, folder + "/inbox/holders")
+    feed_drop(members_raw(spark, sf_dir), medallion.MEMBERS, folder + "/inbox/members")
+    feed_drop(holders_raw(spark, sf_dir), medallion.HOLDERS, folder + "/inbox/holders")
     tag = uuid.uuid4().hex[:8]
     cfg = runs.PipelineConfig(
         members_inbox=folder + "/inbox/members",
@@ -622,11 +649,27 @@ def layers_end_to_end(spark, sf_dir):
         ledger=folder + "/ledger",
         history=folder + "/history",
         table_root=folder + "/tables",
+        drops=True,
     )
     runs.run_all(spark, cfg, RUN_DATE)
     return spark.table(cfg.gold_table)
 
 
+@register("merge_history")
+def merge_history(spark, sf_dir):
+    """What the first load and a merge into the year-partitioned orders table record."""
+    target, source = order_batches(spark, sf_dir)
+    year = F.year("o_orderdate").alias("o_year")
+    name = f"orders_history_{uuid.uuid4().hex[:10]}"
+    folder = scratch_dir(spark, "merge_history")
+    keys, parts = ("o_orderkey", "o_year"), ("o_year",)
+    for rows in (target, source):
+        upsert.upsert_partitions(
+            rows.select("*", year), name, keys, parts, location=folder + "/t", history=folder + "/h"
+        )
+    return spark.read.parquet(folder + "/h").select("mode", "inserted", "updated", "total")
+
+
 @register("upsert_by_partition")
 def upsert_by_partition(spark, sf_dir):
     """The orders upsert stored partitioned by order year (part of the key):

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Spellings a date cell may arrive in; the index is chosen per row.
+# Spellings a date cell may arrive in; the index is chosen per row.
 DATE_SPELLINGS = (
     "yyyy-MM-dd",
     "dd/MM/yyyy",
@@ -71,6 +71,8 @@ def members_raw(lineitem: DataFrame) -> DataFrame:
         F.concat(F.month(dt).cast("string"), F.lit(".0")).alias("mov_month"),
         F.concat(F.lit("./members/batch_"), F.date_format(dt, "yyyyMM"), F.lit(".xlsx")).alias("source_file"),
         F.make_date(F.year(dt), F.month(dt), F.lit(1)).alias("load_date"),
+        (F.col("l_orderkey") % 2).cast("int").alias("sheet_no"),
+        (pk * 1000 + F.col("l_suppkey") % 1000 + 1).cast("long").alias("row_no"),
     )
 
 
@@ -98,4 +100,6 @@ def holders_raw(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.concat(F.month(od).cast("string"), tail).alias("mov_month"),
         F.concat(F.lit("./holders/batch_"), F.date_format(od, "yyyyMM"), F.lit(".xlsx")).alias("source_file"),
         F.make_date(F.year(od), F.month(od), F.lit(1)).alias("load_date"),
+        F.lit(0).alias("sheet_no"),
+        (ok + 1).cast("long").alias("row_no"),
     )

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
@@ -64,8 +64,10 @@ def clean_members(
     id_precision: int = C.ID_PRECISION,
     full_collapse: bool = False,
     distinct: bool = True,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Raw members → typed, normalised, de-duplicated members.
+    """Raw members → typed, normalised, de-duplicated members. ``carry`` keeps
+    raw columns (the order of arrival) behind the clean ones.
 
     One projection (Catalyst collapses it with the scan's), one filter on the
     parsed policy id, then a full-row ``distinct`` (skipped with
@@ -90,47 +92,58 @@ def clean_members(
         C.whole_number_via_decimal("mov_year", C.CODE_PRECISION, "int").alias("mov_year"),
         C.whole_number_via_decimal("mov_month", C.CODE_PRECISION, "int").alias("mov_month"),
         C.stamp_date(run_date).alias("load_date"),
+        *carry,
     )
-    out = frames.require(typed, "policy_id").select(*MEMBERS.clean_columns)
+    out = frames.require(typed, "policy_id").select(*MEMBERS.clean_columns, *carry)
     return out.distinct() if distinct else out
 
 
-def member_rejects(raw: DataFrame, id_precision: int = C.ID_PRECISION) -> DataFrame:
-    """One row of counts over a raw members batch: rows, and per column the
-    rows whose text is present but does not parse (these become NULL; a NULL
-    policy id drops the row). One aggregate, combined map-side."""
-    def unparsed(text: str, parsed):
-        return F.count_if(F.col(text).isNotNull() & parsed.isNull()).alias(f"{text}_unparsed")
+def _unparsed(text: str, parsed: Column) -> Column:
+    return F.count_if(F.col(text).isNotNull() & parsed.isNull()).alias(f"{text}_unparsed")
+
 
-    return raw.agg(
+def member_reject_counts(id_precision: int = C.ID_PRECISION) -> list[Column]:
+    """Aggregates over a raw members batch: rows, and per column the rows
+    whose text is present but does not parse (these become NULL; a NULL
+    policy id drops the row)."""
+    unparsed = _unparsed
+    return [
         F.count(F.lit(1)).alias("rows"),
         unparsed("policy_id", C.whole_number_via_decimal("policy_id", id_precision, "bigint")),
         *[unparsed(c, C.parse_date(c)) for c in MEMBER_DATE_COLUMNS],
         unparsed("mov_year", C.whole_number_via_decimal("mov_year", C.CODE_PRECISION, "int")),
         unparsed("mov_month", C.whole_number_via_decimal("mov_month", C.CODE_PRECISION, "int")),
-    )
+    ]
 
 
-def holder_rejects(raw: DataFrame, id_precision: int = C.ID_PRECISION) -> DataFrame:
-    """One row of counts over a raw holders batch: rows, text present but
+def holder_reject_counts(id_precision: int = C.ID_PRECISION) -> list[Column]:
+    """Aggregates over a raw holders batch: rows, text present but
     unparseable per column, and rows without a holder name (dropped)."""
-    def unparsed(text: str, parsed):
-        return F.count_if(F.col(text).isNotNull() & parsed.isNull()).alias(f"{text}_unparsed")
-
-    return raw.agg(
+    unparsed = _unparsed
+    return [
         F.count(F.lit(1)).alias("rows"),
         unparsed("policy_id", C.whole_number_via_decimal("policy_id", id_precision, "bigint")),
         unparsed("doc_type", C.whole_number_via_integer("doc_type")),
         unparsed("mov_year", C.whole_number_via_integer("mov_year")),
         unparsed("mov_month", C.whole_number_via_integer("mov_month")),
         F.count_if(F.col("holder_name").isNull()).alias("holder_name_missing"),
-    )
+    ]
+
+
+def member_rejects(raw: DataFrame, id_precision: int = C.ID_PRECISION) -> DataFrame:
+    """One row of :func:`member_reject_counts`, combined map-side."""
+    return raw.agg(*member_reject_counts(id_precision))
+
+
+def holder_rejects(raw: DataFrame, id_precision: int = C.ID_PRECISION) -> DataFrame:
+    """One row of :func:`holder_reject_counts`, combined map-side."""
+    return raw.agg(*holder_reject_counts(id_precision))
 
 
 def clean_holders(
-    raw: DataFrame, run_date, id_precision: int = C.ID_PRECISION, distinct: bool = True
+    raw: DataFrame, run_date, id_precision: int = C.ID_PRECISION, distinct: bool = True, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Raw holders → typed, normalised, de-duplicated holders."""
+    """Raw holders → typed, normalised, de-duplicated holders (``carry`` as for members)."""
     doc = C.strip_chars("holder_doc_no")
     label = C.label_code(C.whole_number_via_integer("doc_type"), C.HOLDER_DOC_LABELS, C.HOLDER_DOC_OTHER)
     typed = raw.select(
@@ -141,8 +154,9 @@ def clean_holders(
         C.whole_number_via_integer("mov_year").alias("mov_year"),
         C.whole_number_via_integer("mov_month").alias("mov_month"),
         C.stamp_date(run_date).alias("load_date"),
+        *carry,
     )
-    out = frames.require(typed, "policy_id", "holder_name").select(*HOLDERS.clean_columns)
+    out = frames.require(typed, "policy_id", "holder_name").select(*HOLDERS.clean_columns, *carry)
     return out.distinct() if distinct else out
 
 
@@ -166,17 +180,16 @@ def consolidate(members: DataFrame, holders: DataFrame, by_period: bool = False,
     m_cols = [c for c in GOLD_COLUMNS if c not in ("holder_doc_no", "holder_name")] + period
     h_keys = ["policy_id"] + period
     h = holders.select(*h_keys, "holder_doc_no", "holder_name").distinct()
-    m = members.select(*m_cols)
-    if not by_period:
-        m = m.distinct()
+    m = members.select(*m_cols).distinct()
     if salt > 1:
         m = m.withColumn("_salt", F.pmod(F.xxhash64(*m_cols), F.lit(salt)).cast("int"))
         h = h.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         h_keys = h_keys + ["_salt"]
     joined = m.join(h, on=h_keys, how="left").select(*GOLD_COLUMNS)
     # With the period in the join, members differing only in period project
-    # onto the same output row, so the pair argument no longer holds: one
-    # distinct after the join, none before it on the members side.
+    # onto the same output row, so the pair argument no longer holds: one more
+    # distinct after the join. The one before it keeps exact repeats of a
+    # member from fanning out over its holders.
     return joined.distinct() if by_period else joined
 
 

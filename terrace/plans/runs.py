@@ -12,14 +12,16 @@ import datetime as _dt
 from functools import reduce
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators import layout, upsert
-from terrace.operators.frames import load_slice
-from terrace.plans import medallion
-from terrace.session import size_shuffle_partitions
-from terrace.sources import tables
+from terrace.operators.frames import load_slice, observed
+from terrace.plans import bronze, medallion
+from terrace.plans.bronze import ARRIVAL
+from terrace.session import scratch_dir, size_shuffle_partitions
+from terrace.sources import drops, tables
+from terrace.streaming import incremental
 
 # --- fixed values ---
 # Time zone whose calendar date is the default run date.
@@ -28,6 +30,8 @@ RUN_ZONE = "America/Lima"
 ON_DEMAND = -1
 # Used when a feed's entry cannot be found: assume there is work to do.
 MISSING_DEFAULT = 1
+#: What both clean tables are partitioned by.
+PERIOD = ("mov_year", "mov_month")
 LEDGER_SCHEMA = "run_id string, feed string, rows long, load_date date"
 
 
@@ -87,28 +91,77 @@ def should_run(spark: SparkSession, ledger: str, run_id: str) -> bool:
     return True
 
 
-def raw_slice(raw: DataFrame, load_date) -> DataFrame:
-    """The raw rows of one load date; raises :class:`EmptySlice` if none."""
-    batch = load_slice(raw, load_date)
-    if batch.isEmpty():
-        raise EmptySlice(f"no raw rows for load date {load_date}")
-    return batch
-
-
 @dataclass
 class SilverResult:
-    members: upsert.UpsertResult
-    holders: upsert.UpsertResult
+    members: upsert.UpsertResult | None  # None: the feed had no raw rows for the date
+    holders: upsert.UpsertResult | None
+    rejects: dict  # per feed: raw rows, unparseable cells, clean rows that a later row of their key replaced
+
+
+def refresh_feed(
+    spark: SparkSession,
+    feed: medallion.Feed,
+    raw: DataFrame | None,
+    run_date,
+    table: str,
+    on_duplicate: str | None = None,
+    null_safe: bool = False,
+    by_period: bool = False,
+    table_root: str | None = None,
+    stats_columns: tuple[str, ...] = (),
+    **options,
+) -> tuple[upsert.UpsertResult | None, dict]:
+    """Clean one load date of one feed and upsert it by its key.
+
+    The key is fewer columns than the row, so rows may share a key. By
+    default the row that arrived last wins (later run, file, sheet, row), and
+    the replaced ones are counted; without the columns of arrival a repeated
+    key is an error.
+    """
+    if raw is None:
+        return None, {}
+    batch = load_slice(raw, run_date)
+    if batch.isEmpty():
+        return None, {}
+    members = feed.name == medallion.MEMBERS.name
+    clean = medallion.clean_members if members else medallion.clean_holders
+    counts = medallion.member_reject_counts() if members else medallion.holder_reject_counts()
+    arrival = tuple(c for c in ARRIVAL if c in raw.columns) if "row_no" in raw.columns else ()
+    mode = on_duplicate or ("latest" if arrival else "error")
+    seen, kept = Observation(f"raw_{feed.name}"), Observation(f"clean_{feed.name}")
+    # "latest" also removes exact duplicates, so the full-row distinct (a shuffle) is skipped
+    source = clean(batch.observe(seen, *counts), run_date, distinct=mode != "latest", carry=arrival)
+    source = source.observe(kept, F.count(F.lit(1)).alias("clean_rows"))
+    order = arrival or ("load_date",)
+    if by_period:
+        # Both keys contain the period, so an upsert rewrites only the
+        # periods present in this load instead of the whole table.
+        location = f"{table_root.rstrip('/')}/{table}" if table_root else None
+        result = upsert.upsert_partitions(
+            source, table, feed.keys, PERIOD, null_safe, mode, order, location, drop_columns=arrival,
+            history=options.get("history"),
+        )
+        if stats_columns:
+            layout.analyze_columns(spark, table, stats_columns)
+    else:
+        result = upsert.upsert_table(
+            source, table, feed.keys, null_safe, mode, order, stats_columns=stats_columns, location_root=table_root,
+            drop_columns=arrival, **options,
+        )
+    found = observed(seen, lambda: batch.agg(*counts).first().asDict())
+    clean_rows = observed(kept, lambda: {"clean_rows": 0})["clean_rows"]
+    found["replaced"] = clean_rows - result.inserted - result.updated
+    return result, found
 
 
 def refresh_silver(
     spark: SparkSession,
     run_date,
-    members_raw: DataFrame,
-    holders_raw: DataFrame,
+    members_raw: DataFrame | None,
+    holders_raw: DataFrame | None,
     members_table: str,
     holders_table: str,
-    on_duplicate: str = "latest",
+    on_duplicate: str | None = None,
     null_safe: bool = False,
     cluster_files: int = 0,
     stats_columns: tuple[str, ...] = (),
@@ -118,39 +171,25 @@ def refresh_silver(
 ) -> SilverResult:
     """Clean one load date of both feeds and upsert each by its key.
 
-    The clean-up output is distinct over all columns, but the key is fewer
-    columns, so two rows may share a key; ``on_duplicate`` decides (see
-    :func:`terrace.operators.upsert.split_source`). Replaying an older
-    date is the same call with that date. ``by_period`` stores the clean
-    tables partitioned by (year, month) of movement and rewrites only the
-    periods a load touches; otherwise each upsert writes a new full version.
+    A feed without raw rows for the date is left as it is; only when both
+    have none is that an error. Replaying an older date is the same call with
+    that date. ``by_period`` stores the clean tables partitioned by (year,
+    month) of movement, clustered on the key, and rewrites only the periods a
+    load touches; otherwise each upsert writes a new full version (z-ordered
+    on the key when ``cluster_files`` is set).
     """
-    # With "latest" the per-key aggregate below also removes exact
-    # duplicates, so the clean-up's own full-row distinct (a shuffle) is skipped.
-    exact = on_duplicate != "latest"
-    m = medallion.clean_members(raw_slice(members_raw, run_date), run_date, distinct=exact)
-    h = medallion.clean_holders(raw_slice(holders_raw, run_date), run_date, distinct=exact)
-    order = ("load_date",)
-    if by_period:
-        # Both keys contain the period, so each upsert rewrites only the
-        # periods present in this load instead of the whole table.
-        period = ("mov_year", "mov_month")
-        loc = (lambda t: f"{table_root.rstrip('/')}/{t}") if table_root else (lambda t: None)
-        rm = upsert.upsert_partitions(
-            m, members_table, medallion.MEMBERS.keys, period, null_safe, on_duplicate, order, location=loc(members_table)
+    options = {"history": history} | ({} if by_period else {"cluster_files": cluster_files})
+    results, rejects = {}, {}
+    for feed, raw, table in (
+        (medallion.MEMBERS, members_raw, members_table),
+        (medallion.HOLDERS, holders_raw, holders_table),
+    ):
+        results[feed.name], rejects[feed.name] = refresh_feed(
+            spark, feed, raw, run_date, table, on_duplicate, null_safe, by_period, table_root, stats_columns, **options
         )
-        rh = upsert.upsert_partitions(
-            h, holders_table, medallion.HOLDERS.keys, period, null_safe, on_duplicate, order, location=loc(holders_table)
-        )
-        for t in (members_table, holders_table):
-            spark.catalog.refreshTable(t)
-            if stats_columns:
-                layout.analyze_columns(spark, t, stats_columns)
-        return SilverResult(rm, rh)
-    opts = dict(cluster_files=cluster_files, stats_columns=stats_columns, history=history, location_root=table_root)
-    rm = upsert.upsert_table(m, members_table, medallion.MEMBERS.keys, null_safe, on_duplicate, order, **opts)
-    rh = upsert.upsert_table(h, holders_table, medallion.HOLDERS.keys, null_safe, on_duplicate, order, **opts)
-    return SilverResult(rm, rh)
+    if not any(results.values()):
+        raise EmptySlice(f"no raw rows for load date {run_date}")
+    return SilverResult(results["members"], results["holders"], rejects)
 
 
 def refresh_gold(
@@ -161,31 +200,38 @@ def refresh_gold(
     files: int = 0,
     table_root: str | None = None,
     cluster: bool = True,
+    keep_versions: int = 2,
 ) -> str:
-    """Rebuild the reporting table from the two clean tables, then cluster it
-    on (last digit, document) for lookups. Returns the version table name.
-
-    The join is computed once and stored; clustering then works from the
-    stored version, where its two sampling passes (quantiles, range bounds)
-    read only the two clustering columns instead of recomputing the join.
-    The clustered file count follows the stored size unless ``files`` is set.
+    """Rebuild the reporting table from the two clean tables, clustered on
+    (last digit, document) for lookups. Returns the version table name.
+
+    The join is computed once, into a staging folder; clustering then reads
+    that (its sampling passes need two columns only), readers see the
+    clustered version or the one before, and the staging folder goes. The
+    file count follows the stored size unless ``files`` is set. The last
+    ``keep_versions`` versions stay.
     """
-    m = spark.read.table(members_table)
-    h = spark.read.table(holders_table)
-    if m.isEmpty() or h.isEmpty():
+    if tables.is_empty(spark, members_table) or tables.is_empty(spark, holders_table):
         raise EmptySlice("a clean table is empty; the reporting table is left as it is")
-    version = tables.publish_version(medallion.consolidate(m, h), gold_table, location_root=table_root)
+    joined = medallion.consolidate(spark.read.table(members_table), spark.read.table(holders_table))
     if not cluster:
-        return version
-    stored = spark.read.table(version)
-    n = files or max(1, -(-tables.stored_bytes(spark, tables.location(spark, version)) // layout.DEFAULT_FILE_BYTES))
-    clustered = layout.zorder(stored, medallion.GOLD_CLUSTER_BY, n)
-    return tables.publish_version(clustered, gold_table, location_root=table_root)
+        version = tables.publish_version(joined, gold_table, location_root=table_root)
+    else:
+        folder = scratch_dir(spark, "report-stage")
+        joined.write.mode("overwrite").parquet(folder)
+        n = files or max(1, -(-tables.stored_bytes(spark, folder) // layout.DEFAULT_FILE_BYTES))
+        stage = spark.read.schema(joined.schema).parquet(folder)
+        clustered = layout.zorder(stage, medallion.GOLD_CLUSTER_BY, n)
+        version = tables.publish_version(clustered, gold_table, location_root=table_root)
+        tables.remove_folder(spark, folder)
+    tables.drop_old_versions(spark, gold_table, keep_versions, table_root)
+    return version
 
 
-def replay(raw: DataFrame, load_date) -> DataFrame:
-    """Members clean-up of a past load date (the on-demand path)."""
-    return medallion.clean_members(load_slice(raw, load_date), load_date)
+def replay(raw: DataFrame, load_date, feed: str = "members") -> DataFrame:
+    """Clean-up of a past load date of either feed (the on-demand path)."""
+    clean = {"members": medallion.clean_members, "holders": medallion.clean_holders}[feed]
+    return clean(load_slice(raw, load_date), load_date)
 
 
 @dataclass
@@ -207,6 +253,7 @@ class PipelineConfig:
     holders_processed: str | None = None
     incremental: bool = False  # raw ingest through the file stream: each file exactly once
     checkpoints: str | None = None  # stream checkpoints (incremental), one folder per feed
+    drops: bool = False  # inboxes hold JSON-lines drops that Spark reads itself, not workbooks
 
 
 @dataclass
@@ -224,11 +271,9 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
     (the ledger records -1 for both feeds). A feed with an empty inbox loads
     0 rows; the clean layer is skipped only when both feeds loaded nothing.
     """
-    from terrace.plans import bronze
-
     run_date = parse_run_date(str(run_date)) if run_date else local_today()
     run_id = f"{run_date.isoformat()}-{_dt.datetime.now(_dt.timezone.utc):%H%M%S%f}"
-    counts = {}
+    counts, dates = {}, {run_date.isoformat()}
     if on_demand:
         counts = {"members": ON_DEMAND, "holders": ON_DEMAND}
     else:
@@ -236,55 +281,73 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
             (medallion.MEMBERS, cfg.members_inbox, cfg.members_raw, cfg.members_processed),
             (medallion.HOLDERS, cfg.holders_inbox, cfg.holders_raw, cfg.holders_processed),
         ):
-            if cfg.incremental:
-                from terrace.streaming import incremental
-
-                ckpt = f"{(cfg.checkpoints or cfg.ledger + '_checkpoints').rstrip('/')}/{feed.name}"
-                inc = incremental.ingest_new_files(
-                    spark, inbox, feed.positions, feed.raw_columns, target, ckpt, run_date, archive_dir=done
-                )
-                counts[feed.name] = inc.rows
-                continue
+            counts[feed.name] = 0
             try:
-                res = bronze.ingest(spark, inbox, feed.positions, feed.raw_columns, target, run_date)
-                counts[feed.name] = res.rows
-                if done:  # only after the append succeeded
-                    bronze.archive(spark, res.loaded_files, done)
+                if cfg.incremental:
+                    ckpt = f"{(cfg.checkpoints or cfg.ledger + '_checkpoints').rstrip('/')}/{feed.name}"
+                    args = (spark, inbox, feed.positions, feed.raw_columns, target, ckpt, run_date)
+                    inc = (
+                        incremental.ingest_new_drops(*args)
+                        if cfg.drops
+                        else incremental.ingest_new_files(*args, archive_dir=done)
+                    )
+                    counts[feed.name] = inc.rows
+                    dates |= set(inc.dates)  # a replayed batch keeps the date of its first attempt
+                elif cfg.drops:
+                    cells = drops.read_drop(spark, inbox)
+                    res = bronze.ingest_cells(cells, feed.positions, feed.raw_columns, target, run_date)
+                    counts[feed.name] = res.rows
+                else:
+                    res = bronze.ingest(spark, inbox, feed.positions, feed.raw_columns, target, run_date)
+                    counts[feed.name] = res.rows
+                    if done:  # only after the append succeeded
+                        bronze.archive(spark, res.loaded_files, done, res.run)
             except bronze.NothingToIngest:
-                counts[feed.name] = 0
+                pass
     record(spark, cfg.ledger, run_id, counts, run_date)
     should_run(spark, cfg.ledger, run_id)
     # Size shuffles from the stored input of each step (metadata only); the
     # caller's setting is put back afterwards.
     key = "spark.sql.shuffle.partitions"
     previous = spark.conf.get(key)
+    silver, empty = None, None
     try:
-        day = f"load_date={run_date.isoformat()}"
-        raw_bytes = sum(
-            tables.stored_bytes(spark, f"{tables.location(spark, t).rstrip('/')}/{day}")
-            for t in (cfg.members_raw, cfg.holders_raw)
-        )
-        size_shuffle_partitions(spark, raw_bytes)
-        silver = refresh_silver(
-            spark,
-            run_date,
-            bronze.read_target(spark, cfg.members_raw),
-            bronze.read_target(spark, cfg.holders_raw),
-            cfg.members_table,
-            cfg.holders_table,
-            cluster_files=cfg.cluster_files,
-            stats_columns=cfg.stats_columns,
-            history=cfg.history,
-            by_period=cfg.by_period,
-            table_root=cfg.table_root,
-        )
+        raws = {t: bronze.read_target_or_none(spark, t) for t in (cfg.members_raw, cfg.holders_raw)}
+        for date in sorted(dates):
+            raw_bytes = sum(
+                tables.stored_bytes(spark, f"{tables.location(spark, t).rstrip('/')}/load_date={date}")
+                for t, raw in raws.items()
+                if raw is not None
+            )
+            size_shuffle_partitions(spark, raw_bytes)
+            try:
+                silver = refresh_silver(
+                    spark,
+                    date,
+                    raws[cfg.members_raw],
+                    raws[cfg.holders_raw],
+                    cfg.members_table,
+                    cfg.holders_table,
+                    cluster_files=cfg.cluster_files,
+                    stats_columns=cfg.stats_columns,
+                    history=cfg.history,
+                    by_period=cfg.by_period,
+                    table_root=cfg.table_root,
+                )
+            except EmptySlice as none_left:
+                empty = none_left
+        if silver is None:
+            raise empty
         # The stored tables behind the clean names (a version table or the
         # partitioned table itself).
-        clean_bytes = sum(
-            tables.stored_bytes(spark, tables.location(spark, r.version)) for r in (silver.members, silver.holders)
+        clean = [r for r in (silver.members, silver.holders) if r]
+        size_shuffle_partitions(
+            spark, sum(tables.stored_bytes(spark, tables.location(spark, r.version)) for r in clean)
         )
-        size_shuffle_partitions(spark, clean_bytes)
-        gold = refresh_gold(spark, cfg.members_table, cfg.holders_table, cfg.gold_table, table_root=cfg.table_root)
+        try:
+            gold = refresh_gold(spark, cfg.members_table, cfg.holders_table, cfg.gold_table, table_root=cfg.table_root)
+        except EmptySlice:
+            gold = None  # one clean table has no rows yet
     finally:
         spark.conf.set(key, previous)
     return RunOutcome(run_id, counts, silver, gold)

@@ -104,11 +104,15 @@ def drop_old_versions(spark: SparkSession, name: str, keep: int = 2, location_ro
         folder = location(spark, version) if location_root else None
         spark.sql(f"DROP TABLE IF EXISTS {_ident(version)}")
         if folder and folder.rstrip("/").split("/")[-1].lower() == version.lower():
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove_folder(spark, folder)
     return old
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def publish_version(
     df: DataFrame, name: str, partition_by: list[str] | None = None, location_root: str | None = None
 ) -> str:

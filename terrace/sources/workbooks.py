@@ -383,11 +383,10 @@ def local_path(uri: str) -> str:
     return "/" + uri[len("file:"):].lstrip("/") if uri.startswith("file:") else uri
 
 
-def is_local(location: str | Sequence[str]) -> bool:
-    """True when every location is on a file system the workers can open
-    directly (a plain path or ``file:``; mounted volumes count)."""
-    locs = [location] if isinstance(location, str) else list(location)
-    return all(loc.startswith("/") or loc.startswith("file:") for loc in locs)
+def workers_can_open(files: DataFrame) -> bool:
+    """True when every listed file has the ``file:`` scheme; what the listing
+    resolved counts, not how the inbox was spelt."""
+    return files.filter(~F.col("path").startswith("file:")).select("path").isEmpty()
 
 
 def list_workbooks(spark: SparkSession, inbox: str | Sequence[str], pattern: str = "*.xlsx") -> DataFrame:
@@ -424,8 +423,8 @@ def read_workbooks(
 ) -> DataFrame:
     """Parsed cells of every workbook in the inbox; ``by_path`` defaults to
     whether the inbox is on a file system the workers can open."""
-    by_path = is_local(inbox) if by_path is None else by_path
-    return scan_cells(list_workbooks(spark, inbox, pattern), by_path)
+    files = list_workbooks(spark, inbox, pattern)
+    return scan_cells(files, workers_can_open(files) if by_path is None else by_path)
 
 
 def accepted(width: Column | str, positions: Sequence[int]) -> Column:
@@ -444,18 +443,24 @@ def to_rows(
     blank_as_null: bool = False,
     lineage_col: str = "source_file",
     date_col: str = "load_date",
+    arrival: bool = False,
 ) -> DataFrame:
     """Parsed cells → one all-text row per sheet row with the picked columns,
-    lineage and (when ``run_date`` is given) the load-date stamp."""
+    lineage and (when ``run_date`` is given) the load-date stamp. Rows whose
+    picked cells are all missing or blank are dropped. ``arrival`` adds the
+    row's place in its file, ``sheet_no`` and ``row_no``."""
     data = cells.filter((F.col("row_no") > 0) & accepted("width", positions))
     picked = cells_by_position("cells", positions, names)
-    out = data.select(*picked, lineage("path").alias(lineage_col))
+    place = [F.col("sheet_no").cast("int").alias("sheet_no"), F.col("row_no").cast("long").alias("row_no")] if arrival else []
+    out = data.select(*picked, lineage("path").alias(lineage_col), *place)
+    if drop_blank:
+        text = F.concat_ws("", *[strip_space(n) for n in names])
+        out = out.filter(text != "")
+    kept = [c for c in out.columns if c not in names]
     if trim:
-        out = out.select(*[strip_space(n).alias(n) for n in names], lineage_col)
+        out = out.select(*[strip_space(n).alias(n) for n in names], *kept)
     if blank_as_null:
-        out = out.select(*[F.when(F.col(n) == "", None).otherwise(F.col(n)).alias(n) for n in names], lineage_col)
-    if drop_blank:
-        out = out.na.drop(how="all", subset=list(names))
+        out = out.select(*[F.when(F.col(n) == "", None).otherwise(F.col(n)).alias(n) for n in names], *kept)
     if run_date is not None:
         out = out.withColumn(date_col, stamp_date(run_date))
     return out

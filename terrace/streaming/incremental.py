@@ -1,25 +1,27 @@
-"""Incremental ingest: each workbook of an inbox is loaded exactly once.
+"""Incremental ingest: each file of an inbox is loaded exactly once.
 
 The streaming file source remembers in its checkpoint which files it has
 already handed out, so re-running picks up only new drops
 (``trigger(availableNow=True)`` processes what is there and stops). Each
-micro-batch is written to its own ``ingest_epoch`` partition with dynamic
-partition overwrite, so a batch replayed after a failure replaces its own
-earlier output instead of appending twice.
+micro-batch is written to its own ``ingest_run`` partition with dynamic
+partition overwrite, and its load date is noted before the write, so a batch
+replayed after a failure, on whatever day, replaces its own earlier output
+instead of appending twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.operators.frames import observed
+from terrace.plans.bronze import RUN_COL, guard_schema
+from terrace.sources import drops
 from terrace.sources import workbooks as wb
 
-EPOCH_COL = "ingest_epoch"
 # The binaryFile source's fixed schema (a streaming source needs it stated).
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -28,52 +30,56 @@ FILE_SCHEMA = "path string, modificationTime timestamp, length long, content bin
 class IncrementalResult:
     batches: int  # micro-batches run (0: nothing new)
     rows: int  # rows appended by them
+    dates: list[str] = field(default_factory=list)  # load dates that got rows (a replayed batch keeps its first)
 
 
-def ingest_new_files(
+def run_name(epoch_id: int) -> str:
+    return f"e{epoch_id:08d}"
+
+
+def epoch_date(spark: SparkSession, notes: str, epoch_id: int, run_date) -> str:
+    """The load date of a micro-batch: noted at its first attempt, read at replays."""
+    path = f"{notes}/epoch={epoch_id}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        spark.createDataFrame([(str(run_date),)], "load_date string").write.mode("overwrite").json(path)
+    return spark.read.schema("load_date string").json(path).first()[0]
+
+
+def ingest_stream(
     spark: SparkSession,
-    inbox: str,
+    stream: DataFrame,
+    cells_of: Callable[[DataFrame], DataFrame],
     positions: Sequence[int],
     names: Sequence[str],
     target: str,
     checkpoint: str,
     run_date=None,
-    archive_dir: str | None = None,
-    max_files_per_batch: int | None = None,
-    pattern: str = "*.xlsx",
 ) -> IncrementalResult:
-    """Load the files not seen before.
+    """Load what ``stream`` has not handed out before; ``cells_of`` makes sheet cells of a batch.
 
     With ``run_date`` rows are stamped and partitioned by ``load_date`` and
-    then ``ingest_epoch``, so a load-date slice still prunes to its folder.
-    With ``archive_dir`` the source moves files of committed batches there
-    (it does so lazily, on a later batch, so the checkpoint — not the
-    folder — is the record of what was loaded).
+    then ``ingest_run``, the layout of batch ingest, so both can fill one folder.
     """
-    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", pattern)
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = reader.load(inbox)
-    parts = (["load_date"] if run_date is not None else []) + [EPOCH_COL]
-    by_path = wb.is_local(inbox)
-    loaded: list[tuple[int, int]] = []
+    loaded: list[tuple[int, str | None]] = []
+    notes = checkpoint.rstrip("/") + "-dates"
 
-    def load_batch(files: DataFrame, epoch_id: int) -> None:
+    def load_batch(batch: DataFrame, epoch_id: int) -> None:
+        date = None if run_date is None else epoch_date(spark, notes, epoch_id, run_date)
         seen = Observation(f"batch_{epoch_id}")
-        # Path mode selects only ``path``, so the batch never reads the bytes.
-        rows = wb.to_rows(wb.scan_cells(files, by_path=by_path), positions, names, run_date)
+        rows = wb.to_rows(cells_of(batch), positions, names, date, arrival=True)
+        rows = rows.withColumn(RUN_COL, F.lit(run_name(epoch_id)))
+        parts = ([] if date is None else ["load_date"]) + [RUN_COL]
+        guard_schema(rows, target, parts)
         (
-            rows.withColumn(EPOCH_COL, F.lit(epoch_id))
-            .observe(seen, F.count(F.lit(1)).alias("rows"))
+            rows.observe(seen, F.count(F.lit(1)).alias("rows"))
             .hint("rebalance")  # size-based files, not one per parse task
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*parts)
             .parquet(target)
         )
-        loaded.append((epoch_id, seen.get["rows"]))
+        loaded.append((observed(seen, lambda: {"rows": 0})["rows"], date))
 
     query = (
         stream.writeStream.foreachBatch(load_batch)
@@ -84,4 +90,42 @@ def ingest_new_files(
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return IncrementalResult(len(loaded), sum(n for _, n in loaded))
+    return IncrementalResult(len(loaded), sum(n for n, _ in loaded), sorted({d for n, d in loaded if d and n}))
+
+
+def ingest_new_files(
+    spark: SparkSession,
+    inbox: str,
+    positions: Sequence[int],
+    names: Sequence[str],
+    target: str,
+    checkpoint: str,
+    run_date=None,
+    archive_dir: str | None = None,
+    max_files_per_batch: int | None = None,
+    pattern: str = "*.xlsx",
+) -> IncrementalResult:
+    """Load the workbooks not seen before.
+
+    With ``archive_dir`` the source moves files of committed batches there
+    (it does so lazily, on a later batch, so the checkpoint — not the
+    folder — is the record of what was loaded).
+    """
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", pattern)
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+
+    def cells_of(files: DataFrame) -> DataFrame:
+        # Path mode selects only ``path``, so the batch never reads the bytes.
+        return wb.scan_cells(files, by_path=wb.workers_can_open(files))
+
+    return ingest_stream(spark, reader.load(inbox), cells_of, positions, names, target, checkpoint, run_date)
+
+
+def ingest_new_drops(
+    spark: SparkSession, inbox: str, positions: Sequence[int], names: Sequence[str], target: str, checkpoint: str, run_date=None
+) -> IncrementalResult:
+    """Load the part files of a JSON-lines drop that were not seen before."""
+    return ingest_stream(spark, drops.stream_drop(spark, inbox), lambda cells: cells, positions, names, target, checkpoint, run_date)

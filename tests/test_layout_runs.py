@@ -4,14 +4,35 @@ import os
 import uuid
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from terrace.operators import layout
 from terrace.plans import catalog_queries as Q
-from terrace.plans import runs
+from terrace.plans import bronze, medallion, runs
+from terrace.sources import drops
+from terrace.sources.workbook_writer import cell, write_workbooks
+from terrace.streaming import incremental
 from tests.conftest import SMOKE
 
 
+def feed_workbooks(raw, feed, folder):
+    """Raw feed rows as workbooks: one per source file name, a sheet per sheet number."""
+    slots = dict(zip(feed.positions, feed.raw_columns))
+    cells = F.array(
+        *[cell("s", F.col(slots[i])) if i in slots else cell("n", F.lit(i)) for i in range(feed.min_width)]
+    )
+    order = Window.partitionBy("file", "sheet").orderBy("row_no", *feed.raw_columns)
+    laid = raw.select(
+        F.element_at(F.split("source_file", "/"), -1).alias("file"),
+        F.concat(F.lit("S"), F.col("sheet_no").cast("string")).alias("sheet"),
+        "row_no",
+        *feed.raw_columns,
+        cells.alias("cells"),
+    ).select("file", "sheet", F.row_number().over(order).alias("row_no"), "cells")
+    write_workbooks(laid, folder).write.format("noop").mode("overwrite").save()
+
+
 def multiset(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
@@ -137,8 +158,8 @@ def test_run_all_archives_gates_and_replays(spark, scratch):
 
     m_raw = Q.members_raw(spark, SMOKE).filter("load_date = date'1996-03-01'")
     h_raw = Q.holders_raw(spark, SMOKE).filter("load_date = date'1996-03-01'")
-    Q.feed_workbooks(m_raw, Q.medallion.MEMBERS, scratch + "/in/m")
-    Q.feed_workbooks(h_raw, Q.medallion.HOLDERS, scratch + "/in/h")
+    feed_workbooks(m_raw, medallion.MEMBERS, scratch + "/in/m")
+    feed_workbooks(h_raw, medallion.HOLDERS, scratch + "/in/h")
     tag = uuid.uuid4().hex[:8]
     cfg = runs.PipelineConfig(
         members_inbox=scratch + "/in/m", holders_inbox=scratch + "/in/h",
@@ -151,7 +172,8 @@ def test_run_all_archives_gates_and_replays(spark, scratch):
     assert out.raw_rows == {"members": m_raw.count(), "holders": h_raw.count()}
     local = scratch.replace("file:", "")
     assert [f for f in os.listdir(local + "/in/m") if f.endswith(".xlsx")] == []
-    assert len(os.listdir(local + "/done/m")) == 1
+    (run,) = os.listdir(local + "/done/m")  # one folder per run
+    assert len(os.listdir(f"{local}/done/m/{run}")) == 1
     gold_rows = spark.table(cfg.gold_table).count()
     with pytest.raises(runs.NoNewRows):  # inboxes are empty now: both feeds load 0 rows
         runs.run_all(spark, cfg, "2026-01-15")
@@ -184,8 +206,8 @@ def test_cli_layer_by_layer(spark, scratch):
     prefix = "cli_" + uuid.uuid4().hex[:6] + "_"
     cfg = config(root, prefix)
     day = "load_date = date'1996-03-01'"
-    Q.feed_workbooks(Q.members_raw(spark, SMOKE).filter(day), Q.medallion.MEMBERS, cfg.members_inbox)
-    Q.feed_workbooks(Q.holders_raw(spark, SMOKE).filter(day), Q.medallion.HOLDERS, cfg.holders_inbox)
+    feed_workbooks(Q.members_raw(spark, SMOKE).filter(day), medallion.MEMBERS, cfg.members_inbox)
+    feed_workbooks(Q.holders_raw(spark, SMOKE).filter(day), medallion.HOLDERS, cfg.holders_inbox)
     args = ["--root", root, "--prefix", prefix]
     m = main(["raw", *args, "--feed", "members", "--date", "2026-01-15"])
     h = main(["raw", *args, "--feed", "holders", "--date", "2026-01-15"])
@@ -203,8 +225,8 @@ def test_run_all_incremental(spark, scratch):
     cfg = config(root, "inc_" + uuid.uuid4().hex[:6] + "_", incremental=True)
     day = "load_date = date'1996-03-01'"
     m_raw = Q.members_raw(spark, SMOKE).filter(day)
-    Q.feed_workbooks(m_raw, Q.medallion.MEMBERS, cfg.members_inbox)
-    Q.feed_workbooks(Q.holders_raw(spark, SMOKE).filter(day), Q.medallion.HOLDERS, cfg.holders_inbox)
+    feed_workbooks(m_raw, medallion.MEMBERS, cfg.members_inbox)
+    feed_workbooks(Q.holders_raw(spark, SMOKE).filter(day), medallion.HOLDERS, cfg.holders_inbox)
     first = runs.run_all(spark, cfg, "2026-01-15")
     assert first.raw_rows["members"] == m_raw.count()
     raw_parts = sorted(os.listdir(root + "/raw/members"))
@@ -250,3 +272,176 @@ def test_spread_only_for_few_splits(spark, scratch):
     assert read_parquet(spark, scratch + "/one", spread_out=False).rdd.getNumPartitions() < cores
     assert read_parquet(spark, scratch + "/one").rdd.getNumPartitions() == cores
     assert read_parquet(spark, scratch + "/one").count() == 1000
+
+
+def drop_rows(spark, rows):
+    """(file, row_no, cells...) tuples as a drop frame."""
+    data = [(r[0], "S", 0, r[1], [None if c is None else str(c) for c in r[2:]]) for r in rows]
+    return spark.createDataFrame(data, "file string, sheet string, sheet_no int, row_no long, cells array<string>")
+
+
+def put_drop(spark, folder, rows):
+    drops.write_drop(drop_rows(spark, rows), folder)
+    return drops.read_drop(spark, folder)
+
+
+def test_report_and_rows_of_one_run_only(spark, scratch):
+    cells = put_drop(spark, scratch + "/a/in", [("f", 1, "x", "1"), ("f", 2, "y", "2"), ("g", 1, "z", "3")])
+    first = bronze.ingest_cells(cells, [0, 1], ["a", "b"], scratch + "/raw", "2026-01-15")
+    second = bronze.ingest_cells(put_drop(spark, scratch + "/b/in", [("f", 1, "w", "4")]), [0, 1], ["a", "b"], scratch + "/raw", "2026-01-15")
+    assert sorted(map(tuple, first.report.collect())) == [("./in/f", 2), ("./in/g", 1)]
+    assert [tuple(r) for r in second.report.collect()] == [("./in/f", 1)]
+    assert (first.rows, second.rows) == (3, 1) and first.run < second.run
+
+
+def test_blank_rows_are_dropped(spark, scratch):
+    cells = put_drop(spark, scratch + "/in", [("f", 1, "x", "1"), ("f", 2, " ", "\t"), ("f", 3, None, None), ("f", 4, None, "2")])
+    res = bronze.ingest_cells(cells, [0, 1], ["a", "b"], scratch + "/raw", "2026-01-15")
+    assert (res.rows, res.sheet_rows) == (2, 4)
+
+
+def test_schema_guard_on_folders(spark, scratch):
+    cells = put_drop(spark, scratch + "/in", [("f", 1, "x", "1")])
+    bronze.ingest_cells(cells, [0, 1], ["a", "b"], scratch + "/raw", "2026-01-15")
+    with pytest.raises(bronze.SchemaMismatch):
+        bronze.ingest_cells(cells, [0, 1], ["a", "c"], scratch + "/raw", "2026-01-16")
+    assert spark.read.parquet(scratch + "/raw").count() == 1
+
+
+def test_failed_file_is_not_archived_and_same_name_loads_once(spark, scratch):
+    """A file that fails today, with a name that loaded earlier today; and next week's file of the same name."""
+    from tests.test_workbooks import put
+
+    inbox, done = scratch + "/in", scratch + "/done"
+    put(inbox, "a.xlsx", [("S", [(0, [("n", "1")])])])
+    res = bronze.ingest(spark, inbox, [0], ["a"], scratch + "/raw", "2026-01-15")
+    assert bronze.archive(spark, res.loaded_files, done, res.run) == 1
+    with open(inbox.replace("file:", "") + "/a.xlsx", "wb") as fh:
+        fh.write(b"broken")
+    with pytest.raises(bronze.NothingToIngest):
+        bronze.ingest(spark, inbox, [0], ["a"], scratch + "/raw", "2026-01-15")
+    put(inbox, "b.xlsx", [("S", [(0, [("n", "2")])])])
+    res = bronze.ingest(spark, inbox, [0], ["a"], scratch + "/raw", "2026-01-15")
+    assert res.unreadable == 1 and [f.rsplit("/", 1)[-1] for f in res.loaded_files] == ["b.xlsx"]
+    bronze.archive(spark, res.loaded_files, done, res.run)
+    put(inbox, "a.xlsx", [("S", [(0, [("n", "3")])])])
+    res = bronze.ingest(spark, inbox, [0], ["a"], scratch + "/raw", "2026-01-22")
+    bronze.archive(spark, res.loaded_files, done, res.run)
+    assert os.listdir(inbox.replace("file:", "")) == []
+    assert sorted(r.a for r in spark.read.parquet(scratch + "/raw").collect()) == ["1", "2", "3"]
+    with pytest.raises(RuntimeError, match="could not be moved"):
+        bronze.archive(spark, [inbox + "/gone.xlsx"], done, res.run)
+
+
+def test_replayed_batch_keeps_its_first_date(spark, scratch):
+    """A micro-batch that failed after its write and is replayed the next day is stored once."""
+    inbox, raw, ckpt = scratch + "/in", scratch + "/raw", scratch + "/ckpt"
+    put_drop(spark, inbox, [("f", 1, "x")])
+    args = (drops.stream_drop(spark, inbox), lambda cells: cells, [0], ["a"], raw, ckpt)
+
+    def broken(cells):
+        raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):  # the date is noted, then the batch dies
+        incremental.ingest_stream(spark, args[0], broken, *args[2:], "2026-01-15")
+    res = incremental.ingest_stream(spark, *args, "2026-01-16")
+    assert (res.rows, res.dates) == (1, ["2026-01-15"])
+    assert [str(r.load_date) for r in spark.read.parquet(raw).collect()] == ["2026-01-15"]
+    assert incremental.ingest_stream(spark, *args, "2026-01-17").batches == 0
+
+
+def test_batch_and_incremental_share_a_raw_folder(spark, scratch):
+    cells = put_drop(spark, scratch + "/a/in", [("f", 1, "x")])
+    bronze.ingest_cells(cells, [0], ["a"], scratch + "/raw", "2026-01-15")
+    put_drop(spark, scratch + "/b/in", [("f", 1, "y")])
+    incremental.ingest_new_drops(spark, scratch + "/b/in", [0], ["a"], scratch + "/raw", scratch + "/ckpt", "2026-01-16")
+    assert sorted(r.a for r in spark.read.parquet(scratch + "/raw").collect()) == ["x", "y"]
+
+
+def small_feeds(spark, day="1996-03-01"):
+    where = f"load_date = date'{day}'"
+    return Q.members_raw(spark, SMOKE).filter(where), Q.holders_raw(spark, SMOKE).filter(where)
+
+
+def drop_config(scratch, **more):
+    tag = uuid.uuid4().hex[:8]
+    return runs.PipelineConfig(
+        members_inbox=scratch + "/in/m", holders_inbox=scratch + "/in/h",
+        members_raw=scratch + "/raw/m", holders_raw=scratch + "/raw/h",
+        members_table=f"m_{tag}", holders_table=f"h_{tag}", gold_table=f"g_{tag}",
+        ledger=scratch + "/ledger", history=scratch + "/history", table_root=scratch + "/tables", drops=True, **more,
+    )
+
+
+def test_one_empty_feed_does_not_stop_the_other(spark, scratch):
+    _, h_raw = small_feeds(spark)
+    cfg = drop_config(scratch)
+    Q.feed_drop(h_raw, medallion.HOLDERS, cfg.holders_inbox)
+    os.makedirs(cfg.members_inbox.replace("file:", ""))
+    out = runs.run_all(spark, cfg, "2026-01-15")
+    assert out.raw_rows == {"members": 0, "holders": h_raw.count()}
+    assert out.silver.members is None and out.silver.holders.inserted > 0 and out.gold_version is None
+    assert spark.table(cfg.holders_table).count() == out.silver.holders.total
+
+
+def test_run_records_history_rejects_and_keeps_few_versions(spark, scratch):
+    m_raw, h_raw = small_feeds(spark)
+    cfg = drop_config(scratch)
+    Q.feed_drop(m_raw, medallion.MEMBERS, cfg.members_inbox)
+    Q.feed_drop(h_raw, medallion.HOLDERS, cfg.holders_inbox)
+    out = runs.run_all(spark, cfg, "2026-01-15")
+    rejects = out.silver.rejects["members"]
+    want = medallion.member_rejects(m_raw).first().asDict()
+    assert {k: rejects[k] for k in want} == want
+    clean = medallion.clean_members(m_raw, "2026-01-15", distinct=False).count()
+    assert rejects["replaced"] == clean - out.silver.members.total
+    for _ in range(2):
+        runs.run_all(spark, cfg, "2026-01-15", on_demand=True)
+    hist = sorted((r.table_name, r.mode, r.inserted) for r in spark.read.parquet(cfg.history).collect())
+    assert len(hist) == 6 and [h[1] for h in hist].count("first_load") == 2
+    from terrace.sources import tables
+
+    assert len(tables.versions(spark, cfg.gold_table)) == 2  # three runs, one publication each, two kept
+    stored = [d for d in os.listdir(cfg.table_root.replace("file:", "")) if d.startswith(cfg.gold_table)]
+    assert len(stored) == 2
+
+
+def test_latest_follows_arrival_not_values(spark, scratch):
+    """ZED came first, ANA later: ANA stays, though ZED is the greater text."""
+    width = medallion.HOLDERS.min_width
+    at = dict(zip(medallion.HOLDERS.raw_columns, medallion.HOLDERS.positions))
+
+    def row(file, no, name):
+        cells = ["x"] * width
+        for c, v in (("doc_type", "1"), ("holder_doc_no", "12345678"), ("holder_name", name), ("policy_id", "7"), ("mov_year", "2024"), ("mov_month", "1")):
+            cells[at[c]] = v
+        return (file, no, *cells)
+
+    rows = [row("a", 1, "ZED"), row("a", 2, "MID"), row("b", 1, "ANA")]
+    raw = scratch + "/raw"
+    bronze.ingest_cells(put_drop(spark, scratch + "/in", rows), medallion.HOLDERS.positions, medallion.HOLDERS.raw_columns, raw, "2026-01-15")
+    name = "h_" + uuid.uuid4().hex[:8]
+    res, found = runs.refresh_feed(spark, medallion.HOLDERS, spark.read.parquet(raw), "2026-01-15", name, by_period=True)
+    assert [r.holder_name for r in spark.table(name).collect()] == ["ANA"] and found["replaced"] == 2
+    bare = spark.read.parquet(raw).drop("row_no")
+    with pytest.raises(Exception, match="repeats key"):  # no order of arrival: a repeated key is an error
+        runs.refresh_feed(spark, medallion.HOLDERS, bare, "2026-01-15", name + "x", by_period=True)
+
+
+def test_clean_batch_reads_raw_once(spark, scratch):
+    from terrace.operators import upsert
+
+    src = spark.range(100).select(F.col("id").alias("k"), (F.col("id") % 4).cast("int").alias("p"))
+    src.write.parquet(scratch + "/src")
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    name = "once_" + uuid.uuid4().hex[:8]
+    for _ in range(2):
+        seen = spark.read.parquet(scratch + "/src").mapInArrow(count, "k long, p int")
+        upsert.upsert_partitions(seen, name, ["k", "p"], ["p"])
+    assert reads.value == 200

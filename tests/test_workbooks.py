@@ -148,7 +148,9 @@ def test_path_and_content_modes_agree(spark, scratch):
     by_path = sorted(tuple(map(str, r)) for r in wb.scan_cells(files, by_path=True).collect())
     by_bytes = sorted(tuple(map(str, r)) for r in wb.scan_cells(files, by_path=False).collect())
     assert by_path == by_bytes and len(by_path) == 4
-    assert wb.is_local(scratch) and not wb.is_local("s3a://bucket/inbox")
+    assert wb.workers_can_open(files)
+    elsewhere = spark.createDataFrame([("hdfs://n/in/a.xlsx",), ("file:/in/b.xlsx",)], "path string")
+    assert not wb.workers_can_open(elsewhere)
     assert wb.local_path("file:///a/b.xlsx") == "/a/b.xlsx" and wb.local_path("file:/a/b.xlsx") == "/a/b.xlsx"
 
 
