@@ -150,10 +150,8 @@ def masked_text(formatted: Column, spans: Column) -> Column:
 
 def digest(conversations: DataFrame) -> DataFrame:
     spark = conversations.sparkSession
-    extra = spark.createDataFrame(
-        [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
-        "conv_id long, turn long, role string, text string",
-    )
+    who = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-1).cast("long"), "id", who, F.lit("</s>[INST] ok [/INST]"))
     rows = conversations.select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")
     ).union(extra)

@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.words import Words, chunks, mix
+from terrace.llm.words import Words, chunks, kinds_of, mix, pick_text
 
 U = np.uint64
 MOST, RECALL = 0.2, 0.97
@@ -278,9 +278,8 @@ def item_blocks(benchmark: DataFrame) -> Iterator[Items]:
 
 def find(docs: DataFrame, carry: list[str], benchmark: DataFrame) -> DataFrame:
     """The columns ``carry`` of every row of ``docs``, and ``__hits``: its benchmark items."""
-    text = F.col("text").cast("string").alias("__text")
-    out = docs.select(*carry, text, F.array().cast(HITS).alias("__hits"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema[:-1])
+    out, text_at = pick_text(docs, carry, F.array().cast(HITS).alias("__hits"))
+    kinds = ", ".join(kinds_of(out, out.columns))
     hit_type = pa.list_(
         pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int64()), ("words", pa.int32())])
     )
@@ -288,9 +287,9 @@ def find(docs: DataFrame, carry: list[str], benchmark: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                *kept, texts, hits = batch.columns
-                before, lists = hits.to_pylist(), []
-                for at, to, data, offsets in chunks(pc.utf8_lower(texts), CHUNK):
+                columns, lists = batch.columns, []
+                before = columns[len(carry)].to_pylist()
+                for at, to, data, offsets in chunks(pc.utf8_lower(columns[text_at]), CHUNK):
                     words = Words(data, offsets)
                     own: list[list] = [[] for _ in range(to - at)]
                     if len(words.hash):
@@ -301,12 +300,11 @@ def find(docs: DataFrame, carry: list[str], benchmark: DataFrame) -> DataFrame:
                     b + [dict(zip(("item_id", "distance", "start", "words"), h)) for h in sorted(x, key=str)]
                     for b, x in zip(before, lists)
                 ]
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, texts, pa.array(merged, hit_type)], names=batch.schema.names
-                )
+                columns[len(carry)] = pa.array(merged, hit_type)
+                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-        out = out.mapInArrow(run, f"{kinds}, __hits {HITS}")
-    return out.drop("__text")
+        out = out.mapInArrow(run, kinds)
+    return out.select(*carry, "__hits")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.words import Words, blank_bytes, chunks, mix, run_hash
+from terrace.llm.words import Words, blank_bytes, chunks, kinds_of, mix, pick_text, run_hash
 
 PASSAGE = 64
 MAX_TRAIN_DOCS = 2000
@@ -212,18 +212,17 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) ->
 
 def score(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFrame:
     """The columns ``carry`` of every row, and ``score`` (0 to 1, higher: better)."""
-    picked = docs.select(*carry, F.col("text").cast("string").alias("__text"))
+    picked, text_at = pick_text(docs, carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to, data, offsets in chunks(batch.column(batch.num_columns - 1), CHUNK):
+            for at, to, data, offsets in chunks(batch.column(text_at), CHUNK):
                 scores = np.full(to - at, 0.5) if model is None else model.score_rows(data, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(at, to - at).columns[:-1], pa.array(scores)], names=[*carry, "score"]
+                    [*batch.slice(at, to - at).columns[: len(carry)], pa.array(scores)], names=[*carry, "score"]
                 )
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema[:-1]]
-    return picked.mapInArrow(run, ", ".join([*kinds, "score double"]))
+    return picked.mapInArrow(run, ", ".join([*kinds_of(picked, carry), "score double"]))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

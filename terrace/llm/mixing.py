@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from terrace.llm.feistel import permute, round_keys
 from terrace.llm.tables import stored, totals_before
+from terrace.llm.words import kinds_of
 
 SEED = 977
 MAX_SOURCES = 100_000
@@ -133,7 +134,7 @@ def _tagged(docs: DataFrame, plan: Plan) -> DataFrame:
 def _sized(docs: DataFrame) -> DataFrame:
     """``__key`` is a hash of id and text: what rows are dealt into blocks by."""
     return docs.withColumns(
-        {"size": word_count(F.col("text")), "__key": F.xxhash64(F.lit(SEED), F.col("doc_id"), F.col("text"))}
+        {"__size": word_count(F.col("text")), "__key": F.xxhash64(F.lit(SEED), F.col("doc_id"), F.col("text"))}
     )
 
 
@@ -208,16 +209,21 @@ def mix(
     shards: int = 64,
     rows_per_block: int = 16,
     carry: list[str] | None = None,
+    prefix: str = "",
 ) -> DataFrame:
-    """Every row of ``docs`` with ``size``, ``source_size``, ``target`` and ``shards``: a shard per time it is taken."""
-    columns = carry or [c for c in docs.columns if c not in ("size", "source_size", "target", "shards")]
-    narrow = stored(_sized(docs).select("source", "size", "__key"), "mix-sizes")
+    """Every row of ``docs`` with ``size``, ``source_size``, ``target`` and ``shards``: a shard per time it is taken.
+
+    ``prefix`` goes before the new names, for inputs that have such columns.
+    """
+    made = [f"{prefix}{c}" for c in ("size", "source_size", "target", "shards")]
+    columns = carry or [c for c in docs.columns if c not in made]
+    narrow = stored(_sized(docs).select("source", F.col("__size").alias("size"), "__key"), "mix-sizes")
     plan, fill = make_plan(narrow, most, weights, shards, rows_per_block)
     few = F.broadcast(fill.select("__sid", "__key", F.lit(True).alias("__fill")))  # some documents per source
     rows = (
         _tagged(_sized(docs), plan)
         .join(few, ["__sid", "__key"], "left")
-        .select(*columns, "size", "__sid", "__block", F.coalesce("__fill", F.lit(False)).alias("__fill"))
+        .select(*columns, "__size", "__sid", "__block", F.coalesce("__fill", F.lit(False)).alias("__fill"))
     )
     sid_at = len(columns) + 1
 
@@ -240,22 +246,26 @@ def mix(
                     lists[i].append(int(np.searchsorted(plan.bounds[:, s], d, "right")))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[: sid_at],
+                    *batch.columns[:sid_at],
                     pa.array(plan.sizes[sid], pa.int64()),
                     pa.array(plan.target[sid], pa.float64()),
                     pa.array(lists, pa.list_(pa.int32())),
                 ],
-                names=[*batch.schema.names[:sid_at], "source_size", "target", "shards"],
+                names=[*columns, *made],
             )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:sid_at])
-    return rows.mapInArrow(run, f"{fields}, source_size long, target double, shards array<int>")
+    kinds = [*kinds_of(rows, columns), *[f"`{n}` {k}" for n, k in zip(made, ("long", "long", "double", "array<int>"))]]
+    return rows.mapInArrow(run, ", ".join(kinds))
+
 
+def drawn(mixed: DataFrame, prefix: str = "") -> DataFrame:
+    """One row per time a row is taken: ``copy`` (from 0), ``shard``, and ``order``, the shuffle key within the shard.
 
-def drawn(mixed: DataFrame) -> DataFrame:
-    """One row per time a row is taken, with ``shard`` and the shuffle key ``order`` within it."""
-    each = mixed.select("*", F.posexplode("shards").alias("copy", "shard"))
-    return each.withColumn("order", F.xxhash64(F.lit(SEED), "doc_id", "size", "copy", "shard"))
+    The three replace columns of those names, ``prefix`` included.
+    """
+    copy, shard, order = (f"{prefix}{c}" for c in ("copy", "shard", "order"))
+    each = mixed.drop(copy, shard, order).select("*", F.posexplode(f"{prefix}shards").alias(copy, shard))
+    return each.withColumn(order, F.xxhash64(F.lit(SEED), "doc_id", f"{prefix}size", copy, shard))
 
 
 def laid_out(mixed: DataFrame) -> DataFrame:

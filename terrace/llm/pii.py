@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.words import Words, chunks
+from terrace.llm.words import Words, chunks, kinds_of, pick_text
 
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns.
@@ -346,16 +346,16 @@ def listed(spans: list) -> str:
 def find(docs: DataFrame, carry: list[str]) -> DataFrame:
     """The columns ``carry`` of every row, ``base_spans`` and ``spans`` (kind:start:end, comma-joined), ``counts`` of base spans."""
     crf = Crf().fit()
-    picked = docs.select(*carry, F.col("text").cast("string").alias("__text"))
+    picked, text_at = pick_text(docs, carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to, data, offsets in chunks(batch.column(batch.num_columns - 1), CHUNK):
+            for at, to, data, offsets in chunks(batch.column(text_at), CHUNK):
                 base, added = find_all(data, offsets, crf)
                 counts = [[sum(s[0] == k for s in b) for k in range(len(KINDS))] for b in base]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *batch.slice(at, to - at).columns[:-1],
+                        *batch.slice(at, to - at).columns[: len(carry)],
                         pa.array(list(map(listed, base)), pa.string()),
                         pa.array([listed(b + a) for b, a in zip(base, added)], pa.string()),
                         pa.array(counts, pa.list_(pa.int64())),
@@ -363,7 +363,7 @@ def find(docs: DataFrame, carry: list[str]) -> DataFrame:
                     names=[*carry, "base_spans", "spans", "counts"],
                 )
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema[:-1]]
+    kinds = kinds_of(picked, carry)
     return picked.mapInArrow(run, ", ".join([*kinds, "base_spans string, spans string, counts array<long>"]))
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.words import Words, blank_bytes, chunks
+from terrace.llm.words import Words, blank_bytes, chunks, kinds_of, pick_text
 
 MIN_REPEAT, MAX_COVERED, MAX_LONGEST = 5, 0.4, 100
 CHUNK = 1 << 20
@@ -134,19 +134,19 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 def score(docs: DataFrame, carry: list[str], min_repeat: int = MIN_REPEAT) -> DataFrame:
     """The columns ``carry`` of every row, and its counts in columns ``__<count>``."""
 
+    picked, text_at = pick_text(docs, carry)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to, data, offsets in chunks(batch.column(batch.num_columns - 1), CHUNK):
+            for at, to, data, offsets in chunks(batch.column(text_at), CHUNK):
                 found = measures(data, offsets, min_repeat)
                 rows = batch.slice(at, to - at)
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns[:-1], *[pa.array(found[c]) for c in COUNTS]],
+                    [*rows.columns[: len(carry)], *[pa.array(found[c]) for c in COUNTS]],
                     names=[*carry, *[f"__{c}" for c in COUNTS]],
                 )
 
-    picked = docs.select(*carry, F.col("text").cast("string").alias("__text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema[:-1]]
-    return picked.mapInArrow(run, ", ".join([*fields, *[f"`__{c}` long" for c in COUNTS]]))
+    return picked.mapInArrow(run, ", ".join([*kinds_of(picked, carry), *[f"`__{c}` long" for c in COUNTS]]))
 
 
 def verdicts(scored: DataFrame, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:

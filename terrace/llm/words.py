@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 U = np.uint64
 #: Fixed pseudo-random constants of the hashes.
@@ -79,6 +81,19 @@ class Words:
             return mix(out)
 
 
+def pick_text(docs: DataFrame, carry: list[str], *more: Column) -> tuple[DataFrame, int]:
+    """``carry``, the text if that lacks it, and ``more``; and where the text is. Texts go to Python once."""
+    if "text" in carry and docs.schema["text"].dataType.simpleString() == "string":
+        return docs.select(*carry, *more), carry.index("text")
+    text = F.col("text").cast("string").alias("__text")
+    return docs.select(*carry, *more, text), len(carry) + len(more)
+
+
+def kinds_of(df: DataFrame, names: list[str]) -> list[str]:
+    """DDL of the columns ``names``."""
+    return [f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names]
+
+
 def chunks(texts: pa.Array, max_bytes: int = 4 << 20):
     """(first row, row after the last, data, offsets): runs of rows of about ``max_bytes``; nulls are empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -1,13 +1,17 @@
 """Every stage against brute force on its own input; the queries with SQL against DuckDB."""
 
+import random
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
 from terrace.llm import queries
 from terrace.llm.tables import stored, table
 from tests.conftest import SMOKE
+from tests.llm.conftest import odd_rows, prose
 from tests.llm.test_decontaminate import brute_distance
 from tests.llm.test_mixing import brute_targets
 from tests.llm.test_quality_rules import brute
@@ -87,6 +91,18 @@ def test_sharding_stage(stages):
     assert max(counts) - min(counts) <= 1
 
 
+def test_stages_take_odd_rows_clashing_names_and_empty_tables(spark, make_docs):
+    rows = odd_rows(random.Random(30)) + [(100 + i, prose(random.Random(i), 90, 10**6), None) for i in range(4)]
+    docs = make_docs(rows).withColumnsRenamed({"lang": "shard", "n_chars": "size"}).withColumn("order", F.lit(1))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        made = stored(stage(spark, docs, SMOKE), "test-odd")
+        assert made.columns == docs.columns and {r.doc_id for r in made.collect()} <= {r[0] for r in rows}
+        assert stage(spark, docs.limit(0), SMOKE).collect() == []
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs, SMOKE).count() == len(rows)
+    assert last(spark, docs.limit(0), SMOKE).collect() == []
+
+
 def test_run_gives_the_last_stage(stages, spark):
     got = corpus_pipeline.run(spark, SMOKE).collect()
     assert sorted(map(str, got)) == sorted(map(str, stages[-1][1]))
