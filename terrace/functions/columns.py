@@ -146,3 +146,15 @@ def strip_space(c: str | Column) -> Column:
 def stamp_date(run_date) -> Column:
     """The load-date stamp: an explicit run date, never the wall clock."""
     return F.lit(str(run_date)).cast("date")
+
+
+def local_date(instant: str | Column, zone: str) -> Column:
+    """The calendar date of a UTC instant in ``zone`` (one shift, from UTC)."""
+    c = F.col(instant) if isinstance(instant, str) else instant
+    return F.to_date(F.from_utc_timestamp(c, zone))
+
+
+def run_date_of(text: str | Column) -> Column:
+    """``yyyy-MM-dd`` → date; NULL for any other text (the column form of the run-date argument)."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.when(c.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(c, "yyyy-MM-dd"))

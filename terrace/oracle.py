@@ -320,6 +320,18 @@ src AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey
   FROM supplier GROUP BY s_nationkey
   UNION ALL
   SELECT 2, './inbox/nation_' || s_nationkey || '.xlsx', count(*) FROM supplier WHERE s_nationkey < 13 GROUP BY s_nationkey"""
+    q["pick_columns"] = """
+  SELECT c_mktsegment AS segment, CAST(c_custkey AS VARCHAR) AS holder_id,
+         CAST(c_nationkey AS VARCHAR) AS nation, c_name AS holder_name FROM customer"""
+    q["table_detail"] = """
+  SELECT column_name AS col_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+         WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+         ELSE 'string' END AS data_type
+  FROM information_schema.columns WHERE table_name = 'orders'"""
+    # the run zone is five hours behind UTC all year
+    q["run_dates"] = """
+  SELECT CAST(ts - INTERVAL 5 HOUR AS DATE) AS run_date, count(*) AS n_events,
+         count(*) FILTER (WHERE event_id % 5 <> 0) AS n_read FROM events GROUP BY 1"""
     q["merge_history"] = batches + """
   SELECT 'first_load' AS mode, count(*) AS inserted, CAST(0 AS BIGINT) AS updated, count(*) AS total FROM tgt
   UNION ALL

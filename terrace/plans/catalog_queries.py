@@ -16,7 +16,7 @@ from terrace.functions import columns as C
 from terrace.operators import frames, layout, upsert
 from terrace.plans import bronze, feeds, medallion, runs
 from terrace.session import scratch_dir
-from terrace.sources import drops
+from terrace.sources import drops, tables
 from terrace.sources import workbooks as wb
 from terrace.sources.tables import read_parquet
 from terrace.sources.workbook_writer import cell, write_workbooks
@@ -211,6 +211,15 @@ def pick_by_position(spark, sf_dir):
     return cust.select(*picked)
 
 
+@register("pick_columns")
+def pick_columns(spark, sf_dir):
+    """The frame form: columns by position, renamed, all as text."""
+    picked = frames.pick_by_position(
+        table(spark, sf_dir, "customer"), (4, 0, 2, 1), ("segment", "holder_id", "nation", "holder_name")
+    )
+    return frames.as_text(picked)
+
+
 # Edge padding put around part names: blanks, tab/newline, ideographic and
 # no-break spaces, or none.
 PADS = (("  ", " "), ("\t", "\n"), ("　", " "), ("", ""))
@@ -556,6 +565,17 @@ def column_stats(spark, sf_dir):
     return stats.select("col_name", "min_value", "max_value", "num_nulls")
 
 
+@register("table_detail")
+def table_detail(spark, sf_dir):
+    """Columns and types of the stored orders table, as its detail lists them."""
+    folder = scratch_dir(spark, "detail")
+    name = f"orders_detail_{uuid.uuid4().hex[:10]}"
+    orders = table(spark, sf_dir, "orders")
+    tables.overwrite(orders, name, location=folder + "/orders")
+    detail = tables.describe(spark, name)
+    return detail.filter(F.col("col_name").isin(orders.columns)).select("col_name", "data_type")
+
+
 # --- runs: ledger gate, replay ---------------------------------------------
 
 MEMBER_EVENTS = ("signup", "purchase")
@@ -598,6 +618,22 @@ def events_ledger(spark, sf_dir):
     ).select("run_id", "x.feed", "x.rows")
 
 
+@register("run_dates")
+def run_dates(spark, sf_dir):
+    """Events per run date: the date of each event on the run zone's calendar,
+    and how many of them have that date when its text is read back; texts of
+    other spellings give no date."""
+    ev = table(spark, sf_dir, "events")
+    day = C.local_date(F.col("ts").cast("timestamp"), runs.RUN_ZONE)
+    text = F.when(F.col("event_id") % 5 == 0, F.date_format("run_date", "dd/MM/yyyy")).otherwise(
+        F.date_format("run_date", "yyyy-MM-dd")
+    )
+    dated = ev.select("event_id", day.alias("run_date")).withColumn("read", C.run_date_of(text))
+    return dated.groupBy("run_date").agg(
+        F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("read") == F.col("run_date")).alias("n_read")
+    )
+
+
 @register("new_rows_gate")
 def new_rows_gate(spark, sf_dir):
     return runs.gate(events_ledger(spark, sf_dir))
