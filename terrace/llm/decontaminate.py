@@ -40,13 +40,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.words import Words, chunks, kinds_of, mix, pick_text
+from terrace.llm.words import Words, chunks, kinds_of, mix, pick_text, tidy
 
 U = np.uint64
 MOST, RECALL = 0.2, 0.97
 MAX_WINDOW, STEPS = 16, 21
 BLOCK_ITEMS = 20_000
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 MAX_REPETITIONS = 64
 HITS = "array<struct<item_id: long, distance: int, start: long, words: int>>"
 _STEP = U(0xD1342543DE82EF95)
@@ -199,8 +199,8 @@ def candidates(words: Words, items: Items) -> tuple[np.ndarray, np.ndarray, np.n
     row = row_of[at]
     # too few of the item's distinct words around: no need for the exact distance
     enough, reach = np.zeros(len(at), bool), np.arange(-int(items.limit.max()), int((items.length + items.limit).max()))
-    for lo in range(0, len(at), 20_000):
-        i, b = item[lo : lo + 20_000], base[lo : lo + 20_000]
+    for lo in range(0, len(at), 4096):
+        i, b = item[lo : lo + 4096], base[lo : lo + 4096]
         place = b[:, None] + reach
         inside = (reach >= -items.limit[i][:, None]) & (reach < (items.length[i] + items.limit[i])[:, None])
         inside &= (place >= 0) & (place < len(tokens))
@@ -237,8 +237,8 @@ def verified(words: Words, items: Items, row: np.ndarray, item: np.ndarray, base
         tokens, most = items.tokens[i], int(items.limit[i])
         places = np.unique(np.stack([row[item == i], base[item == i]], 1), axis=0)
         reach = len(tokens) + 2 * most
-        for lo in range(0, len(places), 4096):
-            r, begin = places[lo : lo + 4096].T
+        for lo in range(0, len(places), 1024):
+            r, begin = places[lo : lo + 1024].T
             first, last = words.first[r], words.first[r + 1]
             place = begin[:, None] - most + np.arange(reach)
             inside = (place >= first[:, None]) & (place < last[:, None])
@@ -303,7 +303,7 @@ def find(docs: DataFrame, carry: list[str], benchmark: DataFrame) -> DataFrame:
                 columns[len(carry)] = pa.array(merged, hit_type)
                 yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-        out = out.mapInArrow(run, kinds)
+        out = out.mapInArrow(tidy(run), kinds)
     return out.select(*carry, "__hits")
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.words import Words, blank_bytes, chunks, kinds_of, mix, pick_text, run_hash
+from terrace.llm.words import Words, blank_bytes, chunks, kinds_of, lean, mix, pick_text, run_hash, tidy
 
 PASSAGE = 64
 MAX_TRAIN_DOCS = 2000
@@ -184,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) ->
         .groupBy("__id")
         .agg(F.max("__y").alias("__y"))
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("__text"))
+    texts = lean(docs).select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("__text"))
     met = texts.join(F.broadcast(sample), "__id")  # at most max_docs rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) ->
                     names=["id", "y", "x"],
                 )
 
-    got = met.select("__id", "__text", "__y").mapInArrow(run, "id long, y int, x array<float>").toArrow()
+    got = met.select("__id", "__text", "__y").mapInArrow(tidy(run), "id long, y int, x array<float>").toArrow()
     if not got.num_rows:
         return None
     ids, y = got["id"].to_numpy(), got["y"].to_numpy()
@@ -222,7 +222,7 @@ def score(docs: DataFrame, model: Model | None, carry: list[str]) -> DataFrame:
                     [*batch.slice(at, to - at).columns[: len(carry)], pa.array(scores)], names=[*carry, "score"]
                 )
 
-    return picked.mapInArrow(run, ", ".join([*kinds_of(picked, carry), "score double"]))
+    return picked.mapInArrow(tidy(run), ", ".join([*kinds_of(picked, carry), "score double"]))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 
 from terrace.llm.feistel import permute, round_keys
 from terrace.llm.tables import stored, totals_before
-from terrace.llm.words import kinds_of
 
 SEED = 977
 MAX_SOURCES = 100_000
@@ -225,37 +224,38 @@ def mix(
         .join(few, ["__sid", "__key"], "left")
         .select(*columns, "__size", "__sid", "__block", F.coalesce("__fill", F.lit(False)).alias("__fill"))
     )
-    sid_at = len(columns) + 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sid = batch.column(sid_at).to_numpy()
-            block = batch.column(sid_at + 1).to_numpy()
-            fill_row = batch.column(sid_at + 2).to_numpy(zero_copy_only=False).astype(bool)
-            base = plan.passes[sid]
-            lists: list[list[int]] = [[] for _ in sid]
-            for turn in range(int(base.max(initial=0)) + 1):
-                at = np.flatnonzero(turn <= base)
-                pos = plan.position(sid[at], block[at], np.full(len(at), turn))
-                last = turn == base[at]
-                inside = pos < plan.whole[sid[at]]
-                extra = last & ~inside & fill_row[at]
-                taken = ~last | inside | extra
-                draw = turn * plan.blocks[sid[at]] + np.where(extra, plan.whole[sid[at]], pos)
-                for i, s, d in zip(at[taken].tolist(), sid[at][taken].tolist(), draw[taken].tolist()):
-                    lists[i].append(int(np.searchsorted(plan.bounds[:, s], d, "right")))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:sid_at],
-                    pa.array(plan.sizes[sid], pa.int64()),
-                    pa.array(plan.target[sid], pa.float64()),
-                    pa.array(lists, pa.list_(pa.int32())),
-                ],
-                names=[*columns, *made],
-            )
+    @F.arrow_udf("struct<source_size: long, target: double, shards: array<int>>")
+    def placed(sids: pa.Array, blocks: pa.Array, fills: pa.Array) -> pa.Array:  # texts stay out of Python
+        sid, block = sids.to_numpy(zero_copy_only=False), blocks.to_numpy(zero_copy_only=False)
+        fill_row = fills.to_numpy(zero_copy_only=False).astype(bool)
+        base = plan.passes[sid]
+        lists: list[list[int]] = [[] for _ in sid]
+        for turn in range(int(base.max(initial=0)) + 1):
+            at = np.flatnonzero(turn <= base)
+            pos = plan.position(sid[at], block[at], np.full(len(at), turn))
+            last = turn == base[at]
+            inside = pos < plan.whole[sid[at]]
+            extra = last & ~inside & fill_row[at]
+            taken = ~last | inside | extra
+            draw = turn * plan.blocks[sid[at]] + np.where(extra, plan.whole[sid[at]], pos)
+            for i, s, d in zip(at[taken].tolist(), sid[at][taken].tolist(), draw[taken].tolist()):
+                lists[i].append(int(np.searchsorted(plan.bounds[:, s], d, "right")))
+        return pa.StructArray.from_arrays(
+            [
+                pa.array(plan.sizes[sid], pa.int64()),
+                pa.array(plan.target[sid], pa.float64()),
+                pa.array(lists, pa.list_(pa.int32())),
+            ],
+            names=["source_size", "target", "shards"],
+        )
 
-    kinds = [*kinds_of(rows, columns), *[f"`{n}` {k}" for n, k in zip(made, ("long", "long", "double", "array<int>"))]]
-    return rows.mapInArrow(run, ", ".join(kinds))
+    with_plan = rows.withColumn("__placed", placed("__sid", "__block", "__fill"))
+    return with_plan.select(
+        *columns,
+        F.col("__size").alias(made[0]),
+        *[F.col(f"__placed.{c}").alias(n) for c, n in zip(("source_size", "target", "shards"), made[1:])],
+    )
 
 
 def drawn(mixed: DataFrame, prefix: str = "") -> DataFrame:

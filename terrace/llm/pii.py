@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.words import Words, chunks, kinds_of, pick_text
+from terrace.llm.words import Words, chunks, kinds_of, pick_text, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns.
@@ -364,7 +364,7 @@ def find(docs: DataFrame, carry: list[str]) -> DataFrame:
                 )
 
     kinds = kinds_of(picked, carry)
-    return picked.mapInArrow(run, ", ".join([*kinds, "base_spans string, spans string, counts array<long>"]))
+    return picked.mapInArrow(tidy(run), ", ".join([*kinds, "base_spans string, spans string, counts array<long>"]))
 
 
 def digest(docs: DataFrame) -> DataFrame:

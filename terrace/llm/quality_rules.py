@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.words import Words, blank_bytes, chunks, kinds_of, pick_text
+from terrace.llm.words import Words, blank_bytes, chunks, kinds_of, pick_text, tidy
 
 MIN_REPEAT, MAX_COVERED, MAX_LONGEST = 5, 0.4, 100
 CHUNK = 1 << 20
@@ -146,7 +146,7 @@ def score(docs: DataFrame, carry: list[str], min_repeat: int = MIN_REPEAT) -> Da
                     names=[*carry, *[f"__{c}" for c in COUNTS]],
                 )
 
-    return picked.mapInArrow(run, ", ".join([*kinds_of(picked, carry), *[f"`__{c}` long" for c in COUNTS]]))
+    return picked.mapInArrow(tidy(run), ", ".join([*kinds_of(picked, carry), *[f"`__{c}` long" for c in COUNTS]]))
 
 
 def verdicts(scored: DataFrame, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:

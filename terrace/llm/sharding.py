@@ -13,8 +13,6 @@ rows. Input columns named like an output are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,19 +47,15 @@ def place(sized: DataFrame, n_shards: int, seed: int = SEED) -> DataFrame:
     """Rows with ``doc_id``, ``size`` and ``text_crc32``, plus ``shard`` and ``slot``."""
     order = [F.col("doc_id").asc_nulls_first(), F.col("size"), F.col("text_crc32")]
     numbered, n_rows = row_numbers(sized.drop("shard", "slot"), order, "shard-rows")
-    at = numbered.columns.index("__row")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shard, slot = locate(batch.column(at).to_numpy(), n_rows, n_shards, seed)
-            columns = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [c for i, c in enumerate(batch.schema.names) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(shard.astype(np.int32)), pa.array(slot)], names=[*names, "shard", "slot"]
-            )
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.drop("__row").schema)
-    return numbered.mapInArrow(run, f"{fields}, shard int, slot long")
+
+    @F.arrow_udf("struct<shard: int, slot: long>")
+    def located(row: pa.Array) -> pa.Array:  # only the row number goes to Python
+        shard, slot = locate(row.to_numpy(zero_copy_only=False), n_rows, n_shards, seed)
+        return pa.StructArray.from_arrays([pa.array(shard.astype(np.int32)), pa.array(slot)], names=["shard", "slot"])
+
+    placed = numbered.withColumn("__place", located("__row"))
+    columns = [c for c in numbered.columns if c != "__row"]
+    return placed.select(*columns, F.col("__place.shard").alias("shard"), F.col("__place.slot").alias("slot"))
 
 
 def assign(docs: DataFrame, n_shards: int, seed: int = SEED) -> DataFrame:

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.tables import components, stored
+from terrace.llm.words import lean, tidy
 
 TILE = 4096
 QUERIES_AT_ONCE = 64
@@ -66,8 +67,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             prints = [fingerprint(bytes(t), shingle) for t in texts]
             yield pa.record_batch([batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fp long"
+    return lean(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        tidy(run), "doc_id long, fp long"
     )
 
 
@@ -231,7 +232,7 @@ def near_links(prints: DataFrame, radius: int = 3, tile: int = TILE) -> DataFram
     return (
         dealt.repartition("t", "key", "i", "j")
         .sortWithinPartitions("t", "key", "i", "j")
-        .mapInArrow(bucket_links(masks, radius), "u long, v long")
+        .mapInArrow(tidy(bucket_links(masks, radius)), "u long, v long")
     )
 
 
@@ -301,7 +302,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
 
 def _fingerprint_column(docs: DataFrame, shingle: int) -> DataFrame:
     """``docs`` plus ``__fp``."""
-    picked = docs.select("*", F.col("text").cast("string").alias("__text"))
+    picked = lean(docs).select("*", F.col("text").cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,4 +311,4 @@ def _fingerprint_column(docs: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, prints], names=[*batch.schema.names[:-1], "__fp"])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return picked.mapInArrow(run, ", ".join([*kinds, "__fp long"]))
+    return picked.mapInArrow(tidy(run), ", ".join([*kinds, "__fp long"]))

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.tables import stored
-from terrace.llm.words import Words, chunks, mix, run_hash, run_min
+from terrace.llm.words import Words, chunks, lean, mix, run_hash, run_min, tidy
 
 U = np.uint64
 MIN_WORDS, KEY_WORDS = 50, 16
@@ -115,7 +115,7 @@ def suffixes(docs: DataFrame, min_words: int, key_words: int) -> DataFrame:
                     names=["h", "seg", "doc", "a", "b"],
                 )
 
-    return docs.select("doc", "text").mapInArrow(run, "h long, seg long, doc long, a int, b int")
+    return docs.select("doc", "text").mapInArrow(tidy(run), "h long, seg long, doc long, a int, b int")
 
 
 def extensions(docs: DataFrame, todo: DataFrame, min_words: int) -> DataFrame:
@@ -154,7 +154,7 @@ def extensions(docs: DataFrame, todo: DataFrame, min_words: int) -> DataFrame:
     return (
         docs.join(per_doc, "doc")
         .select("doc", "text", "own")
-        .mapInArrow(run, "doc long, s int, g long, lo long, hi long, single boolean")
+        .mapInArrow(tidy(run), "doc long, s int, g long, lo long, hi long, single boolean")
     )
 
 
@@ -165,7 +165,7 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WO
     suffix matched it, or for that one itself the largest. Partners connect all
     documents that share a passage; pairs between copies are not spelt out.
     """
-    texts = docs.select(
+    texts = lean(docs).select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text")
     )
     kept = stored(suffixes(texts, min_words, key_words), "suffixes")

@@ -6,6 +6,9 @@ single bytes in UTF-8, so everything works on the column's bytes.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -81,8 +84,41 @@ class Words:
             return mix(out)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``; at a partition's end the worker gives freed memory back to the system.
+
+    Workers live on between stages; what their allocators keep would count
+    against the executor beside the next stage's needs.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+    return tidied
+
+
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def lean(docs: DataFrame, rows: int = 1000) -> DataFrame:
+    """``docs``, in a session whose Arrow batches hold at most ``rows`` rows.
+
+    A batch of whole texts is in memory several times (in the executor, on its
+    way, in the worker); the default of 10,000 rows is meant for numbers.
+    """
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_ROWS, "10000")) <= rows:
+        conf.set(BATCH_ROWS, str(rows))
+    return docs
+
+
 def pick_text(docs: DataFrame, carry: list[str], *more: Column) -> tuple[DataFrame, int]:
     """``carry``, the text if that lacks it, and ``more``; and where the text is. Texts go to Python once."""
+    docs = lean(docs)
     if "text" in carry and docs.schema["text"].dataType.simpleString() == "string":
         return docs.select(*carry, *more), carry.index("text")
     text = F.col("text").cast("string").alias("__text")
