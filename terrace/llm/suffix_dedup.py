@@ -16,7 +16,7 @@ the words of all of them.
    once three variants meet, so each extension (l words left, the rest right) is
    compared with all others that reach as far, by the hash of that stretch:
    equal stretches meet in an aggregate. One suffix stands for all copies of its
-   segment here, so groups of copies are not expanded.
+   segment here, so groups of copies are not expanded; it links them to the others.
 3. Matched stretches of a document are united into spans.
 
 Hashes have 64 bits. All grouping is by hash with map-side combining; rows of
@@ -119,8 +119,8 @@ def suffixes(docs: DataFrame, min_words: int, key_words: int) -> DataFrame:
 
 
 def extensions(docs: DataFrame, todo: DataFrame, min_words: int) -> DataFrame:
-    """(doc, s, g, lo, hi, single): every run of ``min_words`` words that the suffixes of ``todo`` own."""
-    per_doc = todo.groupBy("doc").agg(F.collect_list(F.struct("a", "b", "lo", "hi", "single")).alias("own"))
+    """(doc, s, g, lo, hi): every run of ``min_words`` words that the suffixes of ``todo`` own."""
+    per_doc = todo.groupBy("doc").agg(F.collect_list(F.struct("a", "b", "lo", "hi")).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,11 +129,11 @@ def extensions(docs: DataFrame, todo: DataFrame, min_words: int) -> DataFrame:
                 words = Words(data, offsets)
                 own = batch.column(2).slice(at, to - at)
                 flat, n_own = own.flatten(), np.diff(own.offsets.to_numpy())
-                a, b, lo, hi, single = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(5))
+                a, b, lo, hi = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
                 row = np.repeat(np.arange(to - at), n_own)
                 # a repeated doc_id may bring runs that this row's text does not have
                 fits = b + min_words <= words.n_words[row]
-                a, b, lo, hi, single, row = (x[fits] for x in (a, b, lo, hi, single, row))
+                a, b, lo, hi, row = (x[fits] for x in (a, b, lo, hi, row))
                 n_runs = (b - a + 1).astype(np.int64)
                 which = np.repeat(np.arange(len(a)), n_runs)
                 s = a[which] + np.arange(len(which)) - np.repeat(np.cumsum(n_runs) - n_runs, n_runs)
@@ -146,15 +146,14 @@ def extensions(docs: DataFrame, todo: DataFrame, min_words: int) -> DataFrame:
                         pa.array(hashed.view(np.int64)),
                         pa.array(lo[which]),
                         pa.array(hi[which]),
-                        pa.array(single[which].astype(bool)),
                     ],
-                    names=["doc", "s", "g", "lo", "hi", "single"],
+                    names=["doc", "s", "g", "lo", "hi"],
                 )
 
     return (
         docs.join(per_doc, "doc")
         .select("doc", "text", "own")
-        .mapInArrow(tidy(run), "doc long, s int, g long, lo long, hi long, single boolean")
+        .mapInArrow(tidy(run), "doc long, s int, g long, lo long, hi long")
     )
 
 
@@ -195,16 +194,21 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WO
     many = classes.where("lo < hi")
     same = mixed.join(many, ["h", "seg"]).select("doc", "a", (F.col("b") + min_words).alias("e"), "lo", "hi")
     alone = mixed.join(classes.where("lo = hi").select("h", "seg"), ["h", "seg"], "left_semi")
-    todo = alone.select(
-        "doc", "a", "b", F.col("doc").alias("lo"), F.col("doc").alias("hi"), F.lit(True).alias("single")
-    ).union(many.select("one.doc", "one.a", "one.b", "lo", "hi", F.lit(False)))
+    todo = alone.select("doc", "a", "b", F.col("doc").alias("lo"), F.col("doc").alias("hi")).union(
+        many.select("one.doc", "one.a", "one.b", "lo", "hi")
+    )
     runs = stored(extensions(texts, todo, min_words), "suffix-runs")
+    # classes with the same first and last document are linked already
     met = stored(
-        runs.groupBy("g").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi"), "suffix-met"
+        runs.groupBy("g")
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("lo").alias("lo2"), F.min("hi").alias("hi2"))
+        .where("lo < hi and (lo < lo2 or hi2 < hi)")
+        .select("g", "lo", "hi"),
+        "suffix-met",
     )
+    # the one suffix of a class with copies links all of them
     part = (
-        runs.where("single")
-        .select("g", "doc", "s")
+        runs.select("g", "doc", "s")
         .join(met, "g")
         .select("doc", F.col("s").alias("a"), (F.col("s") + min_words).alias("e"), "lo", "hi")
     )

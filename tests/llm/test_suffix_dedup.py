@@ -72,6 +72,44 @@ def test_partners_and_default_length(make_docs):
     assert group == {5, 9, 11}
 
 
+def groups(links):
+    """Connected components of {document: partners}."""
+    out = {i: {i} for i in links}
+    for i, partners in links.items():
+        for j in partners:
+            both = out[i] | out[j]
+            for k in both:
+                out[k] = both
+    return {frozenset(g) for g in out.values()}
+
+
+def brute_groups(rows, n):
+    where, links = {}, {}
+    for i, t in rows:
+        w = t.split()
+        for k in range(len(w) - n + 1):
+            where.setdefault(tuple(w[k : k + n]), set()).add(i)
+    for held in where.values():
+        for i in held if len(held) > 1 else ():
+            links.setdefault(i, set()).update(held - {i})
+    return groups(links)
+
+
+def test_partners_link_groups_of_copies(make_docs):
+    rng = random.Random(6)
+    rows = []
+    for length in (55, 60, 70, 85):
+        p = prose(rng, length, 10**6)
+        x, y = (f"{prose(rng, 70, 10**6)} {p} {prose(rng, 70, 10**6)}" for _ in range(2))
+        own = [f"{prose(rng, 30, 10**6)} {p} {prose(rng, 30, 10**6)}" for _ in range(2)]
+        q = prose(rng, length, 10**6)
+        a, b = (f"{prose(rng, 70, 10**6)} {q} {prose(rng, 70, 10**6)}" for _ in range(2))
+        rows += enumerate([own[0], x, x, own[1], a, a, b, b], len(rows))
+    got = suffix_dedup.digest(make_docs(rows)).collect()
+    assert groups({r.doc_id: r.partners for r in got}) == brute_groups(rows, 50)
+    assert {r.doc_id: (r.dup_words, r.spans) for r in got} == brute(rows, 50)
+
+
 def test_odd_rows_and_empty_table(make_docs):
     rows = odd_rows(random.Random(5))
     assert found(make_docs(rows), 50, 16) == {}  # repeated rows are one document
