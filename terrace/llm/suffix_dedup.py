@@ -17,7 +17,8 @@ the words of all of them.
    compared with all others that reach as far, by the hash of that stretch:
    equal stretches meet in an aggregate. One suffix stands for all copies of its
    segment here, so groups of copies are not expanded; it links them to the others.
-3. Matched stretches of a document are united into spans.
+3. Matched stretches of a document are united into spans, which keep every partner
+   of their stretches.
 
 Hashes have 64 bits. All grouping is by hash with map-side combining; rows of
 a group are never held together. Texts are read twice: for the suffixes, and
@@ -222,7 +223,10 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WO
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """(doc_id, start, end, partner): the union of ``found`` stretches, one row a span (word positions)."""
+    """(doc_id, start, end, partners): the union of ``found`` stretches, one row a span (word positions).
+
+    ``partners`` are all of the span's: a span may hold passages of several groups of documents.
+    """
     order = Window.partitionBy("doc_id").orderBy("start", "end", "partner")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     cut = found.withColumn("top", F.max("end").over(before)).withColumn(
@@ -233,14 +237,18 @@ def spans(found: DataFrame) -> DataFrame:
     )
     return (
         numbered.groupBy("doc_id", "span")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("partner").alias("partner"))
+        .agg(
+            F.min("start").alias("start"),
+            F.max("end").alias("end"),
+            F.collect_set(F.struct("partner")).alias("partners"),
+        )
         .drop("span")
     )
 
 
 def digest(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WORDS) -> DataFrame:
     """One row per document with a passage that another document has: doc_id, words covered, spans, partners."""
-    one = F.struct("start", "end", "partner")
+    one = F.struct("start", "end", "partners")
     listed = (
         spans(matches(docs, min_words, key_words))
         .groupBy("doc_id")
@@ -252,5 +260,5 @@ def digest(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WOR
         F.array_join(
             F.transform("s", lambda x: F.concat(x["start"].cast("string"), F.lit(":"), x["end"].cast("string"))), ","
         ).alias("spans"),
-        F.array_sort(F.array_distinct(F.transform("s", lambda x: x["partner"]))).alias("partners"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform("s", lambda x: x["partners"]["partner"])))).alias("partners"),
     )

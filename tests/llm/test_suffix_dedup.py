@@ -110,6 +110,17 @@ def test_partners_link_groups_of_copies(make_docs):
     assert {r.doc_id: (r.dup_words, r.spans) for r in got} == brute(rows, 50)
 
 
+def test_touching_passages_keep_all_partners(make_docs):
+    rng = random.Random(7)
+    p, q, r = (prose(rng, 60, 10**6) for _ in range(3))
+    own = [prose(rng, 40, 10**6) for _ in range(6)]
+    rows = [(10, f"{own[0]} {p}"), (20, f"{p} {q}"), (30, f"{p} {own[1]}"), (5, f"{own[2]} {q} {own[3]}")]
+    rows += [(40, f"{r} {own[4]}"), (50, f"{own[5]} {r}")]
+    got = suffix_dedup.digest(make_docs(rows)).collect()
+    assert groups({x.doc_id: x.partners for x in got}) == brute_groups(rows, 50) == {frozenset({5, 10, 20, 30}), frozenset({40, 50})}
+    assert {x.doc_id: (x.dup_words, x.spans) for x in got} == brute(rows, 50)
+
+
 def test_odd_rows_and_empty_table(make_docs):
     rows = odd_rows(random.Random(5))
     assert found(make_docs(rows), 50, 16) == {}  # repeated rows are one document
