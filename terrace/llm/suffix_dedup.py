@@ -7,13 +7,15 @@ same place in both texts, so no repeat is missed, and about one suffix in
 eighteen is kept. A kept suffix owns the runs that chose it; its segment is
 the words of all of them.
 
-1. Suffixes are ordered by their first words, then by their segment, and
-   neighbours compared: a first-words block that lies in one document alone is
+Suffixes are not sorted: equal beginnings are all that is asked for, and a group
+by their hash brings those together as a sort would.
+
+1. Suffixes are grouped by their first words, then by their segment: a first-words block that lies in one document alone is
    dropped; suffixes whose whole segment recurs in another document match to
    both ends of the segment.
-2. Only where segments of a block differ are matches extended word by word to
-   the left and right. Comparing with the next suffix only would miss a match
-   once three variants meet, so each extension (l words left, the rest right) is
+2. Only where segments of a block differ are matches extended to the left and
+   right. Comparing with the next suffix only would miss a match
+   once three variants meet, so each extension of ``MIN_WORDS`` words (l words left, the rest right) is
    compared with all others that reach as far, by the hash of that stretch:
    equal stretches meet in an aggregate. One suffix stands for all copies of its
    segment here, so groups of copies are not expanded; it links them to the others.
@@ -25,8 +27,9 @@ a group are never held together. Texts are read twice: for the suffixes, and
 for the extensions.
 
 Defined cases: null, empty and short texts (under ``MIN_WORDS`` words) have no
-repeats; rows that share a ``doc_id``, or have none, count as one document, so
-repeated rows alone are no repeat across documents; a passage that recurs in
+repeats; rows that share a ``doc_id`` count as one document, so repeated rows
+alone are no repeat across documents; every row without a ``doc_id`` is a document
+of its own, with a row of its own in the result, and null as a partner; a passage that recurs in
 one document only is not reported; an empty table gives no rows. Other columns
 are not read.
 """
@@ -40,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.tables import stored
+from terrace.llm.tables import row_numbers, stored
 from terrace.llm.words import Words, chunks, lean, mix, run_hash, run_min, tidy
 
 U = np.uint64
@@ -158,16 +161,26 @@ def extensions(docs: DataFrame, todo: DataFrame, min_words: int) -> DataFrame:
     )
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(doc, text), and how many rows lack an id: those are numbered from ``NO_ID`` and kept, for both readings."""
+    texts = lean(docs).select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
+    with_id, without = texts.where("doc is not null"), texts.where("doc is null and text is not null").select("text")
+    if without.isEmpty():
+        return with_id, 0
+    numbered, total = row_numbers(without, [F.xxhash64("text")], "suffix-no-id")
+    return with_id.union(numbered.select((F.col("__row") + F.lit(NO_ID)).alias("doc"), "text")), total
+
+
 def matches(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WORDS) -> DataFrame:
-    """(doc_id, start, end, partner): stretches of words that another document has too; they may overlap.
+    """(doc, doc_id, start, end, partner): stretches of words that another document has too; they may overlap.
 
+    ``doc`` is the ``doc_id``, or a number for a row that has none.
     ``partner`` is another document with the stretch: the smallest of those whose
     suffix matched it, or for that one itself the largest. Partners connect all
     documents that share a passage; pairs between copies are not spelt out.
     """
-    texts = lean(docs).select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text")
-    )
+    texts, n_no_id = keyed(docs)
+    known = F.lit(NO_ID + n_no_id)
     kept = stored(suffixes(texts, min_words, key_words), "suffixes")
     # neighbours in the order of the first words: blocks that lie in more than one document
     blocks = stored(
@@ -215,19 +228,20 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WO
     )
     every = whole.union(same).union(part)
     return every.select(
-        F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"),
+        "doc",
+        F.when(F.col("doc") >= known, F.col("doc")).alias("doc_id"),
         F.col("a").cast("long").alias("start"),
         F.col("e").cast("long").alias("end"),
         F.when(F.col("doc") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("partner"),
-    ).withColumn("partner", F.when(F.col("partner") != NO_ID, F.col("partner")))
+    ).withColumn("partner", F.when(F.col("partner") >= known, F.col("partner")))
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """(doc_id, start, end, partners): the union of ``found`` stretches, one row a span (word positions).
+    """(doc, doc_id, start, end, partners): the union of ``found`` stretches, one row a span (word positions).
 
     ``partners`` are all of the span's: a span may hold passages of several groups of documents.
     """
-    order = Window.partitionBy("doc_id").orderBy("start", "end", "partner")
+    order = Window.partitionBy("doc").orderBy("start", "end", "partner")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     cut = found.withColumn("top", F.max("end").over(before)).withColumn(
         "new", F.when(F.col("start") <= F.col("top"), 0).otherwise(1)
@@ -236,8 +250,9 @@ def spans(found: DataFrame) -> DataFrame:
         "span", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
     return (
-        numbered.groupBy("doc_id", "span")
+        numbered.groupBy("doc", "span")
         .agg(
+            F.first("doc_id").alias("doc_id"),
             F.min("start").alias("start"),
             F.max("end").alias("end"),
             F.collect_set(F.struct("partner")).alias("partners"),
@@ -251,8 +266,8 @@ def digest(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WOR
     one = F.struct("start", "end", "partners")
     listed = (
         spans(matches(docs, min_words, key_words))
-        .groupBy("doc_id")
-        .agg(F.array_sort(F.collect_list(one)).alias("s"))
+        .groupBy("doc")
+        .agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(one)).alias("s"))
     )
     return listed.select(
         "doc_id",

@@ -126,3 +126,12 @@ def test_odd_rows_and_empty_table(make_docs):
     assert found(make_docs(rows), 50, 16) == {}  # repeated rows are one document
     assert found(make_docs(rows + [(20, rows[5][1])]), 50, 16) == {6: (30_000, "0:30000"), 20: (30_000, "0:30000")}
     assert found(make_docs([]), 50, 16) == {}
+
+
+def test_rows_without_id_are_documents_of_their_own(make_docs):
+    rng = random.Random(8)
+    p, q = prose(rng, 60, 10**6), prose(rng, 60, 10**6)
+    rows = [(None, f"a {p}"), (None, f"b c {p}"), (None, q), (None, q), (7, f"{q} d"), (None, prose(rng, 90, 10**6)), (None, None)]
+    got = suffix_dedup.digest(make_docs(rows)).collect()
+    assert sorted(r.spans for r in got if r.doc_id is None) == ["0:60", "0:60", "1:61", "2:62"]
+    assert [(r.doc_id, r.spans, r.partners) for r in got if r.doc_id] == [(7, "0:60", [None])]
