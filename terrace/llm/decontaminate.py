@@ -1,9 +1,11 @@
 """Benchmark items in documents, by CGK embedding, bit-sampling LSH and exact edit verification.
 
-Items and documents are sequences of lower-cased words. Windows of ``window``
-words, the length of the block's shortest item at most, are taken at every word of
-every document, and from each item at every third of a window, so that an
-item with few edits has windows with few.
+Items and documents are sequences of lower-cased words. Items are grouped by
+length (under eight words, to fifteen, to 31, longer). Windows of ``window`` words,
+at most half of the group's shortest item, are taken at every word of every document,
+and from each item at every third of a window, so that every item has several
+windows, and one with few edits has windows with few, wherever the edits are. The
+windows of items under eight words are so short that one of them is unedited.
 
 The CGK walk reads a window with one pointer: at step j it outputs the word
 under the pointer and moves on if bit j of the word's hash (a fresh one per
@@ -11,16 +13,17 @@ repetition) is set. Two windows a few edits apart fall back into step, so
 their outputs differ at few steps. A repetition samples the first step and
 three random later ones; windows that agree on all four are candidates. Samples are
 compared one after the other, so that most windows are given up early, and the
-first is shared by all repetitions. ``repetitions`` measures, on the block's
-own items with ``MOST`` of their words edited, how often repetitions find
-them, and takes as many as reach ``RECALL``; an unedited item is always found.
+first, the window's first word, is shared by all repetitions. How often repetitions
+find the group's own items with ``MOST`` of their words edited is measured for every
+length, and as many are taken as reach ``RECALL`` at each; a warning tells the lengths
+that ``MAX_REPETITIONS`` leave below. An unedited item is always found.
 
 Each candidate is verified: the smallest word edit distance between the whole
 item and any stretch of the document around the place must be at most
 ``MOST`` of the item's words (similarity 0.8).
 
 Items reach the tasks with the function; they are read in blocks of at most
-``BLOCK_ITEMS``, each a pass over the documents, so a large benchmark costs
+``BLOCK_ITEMS`` (all groups of a block together), each a pass over the documents, so a large benchmark costs
 passes and not memory.
 
 Defined cases: null, empty or blank texts and items match nothing; an item of
@@ -32,6 +35,7 @@ along; an empty benchmark or empty documents give no matches.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +52,7 @@ MAX_WINDOW, STEPS = 16, 21
 BLOCK_ITEMS = 20_000
 CHUNK = 1 << 20
 MAX_REPETITIONS = 64
+TRIALS = 100
 HITS = "array<struct<item_id: long, distance: int, start: long, words: int>>"
 _STEP = U(0xD1342543DE82EF95)
 
@@ -76,12 +81,29 @@ def marked(bits: np.ndarray, signs: np.ndarray) -> np.ndarray:
     return np.flatnonzero(bits[(signs >> U(48)).astype(np.int32)])
 
 
+def length_class(length: np.ndarray) -> np.ndarray:
+    """Lengths that recall is measured for together: each on its own below 32 words, then eight an octave."""
+    return np.where(length < 32, length, (8 * np.log2(np.maximum(length, 1))).astype(np.int64))
+
+
+def window_of(shortest: int, most: float) -> int:
+    """Words of a window: half of the shortest item; of items under eight words, what any edits within the limit spare."""
+    if shortest < MAX_WINDOW // 2:
+        return max(1, shortest // (int(most * shortest) + 1))
+    return min(MAX_WINDOW, shortest // 2)
+
+
 class Items:
-    """A block of items: their windows and, per repetition, the sorted signatures of the windows."""
+    """A group of items: their windows and, per repetition, the sorted signatures of the windows.
 
-    def __init__(self, ids: list, tokens: list[np.ndarray], most: float = MOST, recall: float = RECALL):
+    ``window``: words of a window, by default as many as the shortest item allows; ``grouped`` gives ``window_of``.
+    """
+
+    def __init__(
+        self, ids: list, tokens: list[np.ndarray], most: float = MOST, recall: float = RECALL, window: int | None = None
+    ):
         self.ids, self.tokens, self.most = ids, tokens, most
-        self.window = max(1, min([MAX_WINDOW, *map(len, tokens)]))
+        self.window = window or max(1, min([MAX_WINDOW, *map(len, tokens)]))
         self.limit = np.array([int(most * len(t)) for t in tokens], np.int64)
         self.length = np.array([len(t) for t in tokens], np.int64)
         item, offset, stride = [], [], max(1, self.window // 3)
@@ -111,25 +133,31 @@ class Items:
 
     def _repeat_until(self, recall: float) -> None:
         rng = np.random.default_rng(7)
-        asked = rng.permutation(len(self.tokens))[:300]
-        texts, owner = [], []
-        for i in asked:
+        kind_of = length_class(self.length)
+        asked = np.concatenate([rng.choice(np.flatnonzero(kind_of == k), TRIALS) for k in np.unique(kind_of)])
+        texts, trial = [], []
+        for n, i in enumerate(asked):
             words = self.tokens[i].tolist()
             for _ in range(int(self.limit[i])):
                 k, new, kind = int(rng.integers(len(words))), int(rng.integers(1 << 62)), int(rng.integers(3))
                 words[k : k + (kind != 0)] = [] if kind == 1 and len(words) > 1 else [new]
             pad = rng.integers(1 << 62, size=MAX_WINDOW).tolist()
             texts.append(np.array(words + pad, U))
-            owner += [int(i)] * len(texts[-1])
-        flat, owner = np.concatenate(texts), np.array(owner)
+            trial += [n] * len(texts[-1])
+        flat, trial = np.concatenate(texts), np.array(trial)
         starts = np.arange(len(flat) - self.window + 1)
-        found = np.zeros(len(self.tokens), bool)
-        while found[asked].mean() < recall and len(self.tables) < MAX_REPETITIONS:
+        found = np.zeros(len(asked), bool)
+        self.recall = {k: 0.0 for k in np.unique(kind_of).tolist()}
+        while min(self.recall.values()) < recall and len(self.tables) < MAX_REPETITIONS:
             r = len(self.tables)
             self._add(r)
             at, which = agreeing(flat, starts, self, r)
-            own = self.item[which] == owner[at]
-            found[self.item[which][own]] = True
+            own = self.item[which] == asked[trial[at]]
+            found[trial[at][own]] = True
+            self.recall = {k: float(found[kind_of[asked] == k].mean()) for k in self.recall}
+        low = {int(self.length[kind_of == k].min()): v for k, v in self.recall.items() if v < recall}
+        if low:
+            warnings.warn(f"recall below {recall} after {len(self.tables)} repetitions, by words of an item: {low}", stacklevel=2)
 
 
 def bitmap20(item: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -251,7 +279,20 @@ def verified(words: Words, items: Items, row: np.ndarray, item: np.ndarray, base
     return out
 
 
-def item_blocks(benchmark: DataFrame) -> Iterator[Items]:
+def grouped(ids: list, tokens: list[np.ndarray]) -> list[Items]:
+    """Items of like length share windows, so that long items are not held to a short one's window."""
+    by_length: dict[int, list[int]] = {}
+    for k, t in enumerate(tokens):
+        n = len(t)
+        by_length.setdefault(n if n < MAX_WINDOW // 2 else min(2 * MAX_WINDOW, 1 << n.bit_length() - 1), []).append(k)
+    out = []
+    for _, group in sorted(by_length.items()):
+        own = [tokens[k] for k in group]
+        out.append(Items([ids[k] for k in group], own, window=window_of(min(map(len, own)), MOST)))
+    return out
+
+
+def item_blocks(benchmark: DataFrame) -> Iterator[list[Items]]:
     texts = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     texts = texts.where("text is not null")
     n_blocks = max(1, math.ceil(texts.count() / (BLOCK_ITEMS / 2)))
@@ -265,15 +306,8 @@ def item_blocks(benchmark: DataFrame) -> Iterator[Items]:
                 if len(own):
                     ids.append(r["item_id"])
                     tokens.append(own)
-        # items of like length share a block of windows, so that long items are not held to a short one's window
-        short = [k for k, t in enumerate(tokens) if len(t) < MAX_WINDOW // 2]
-        rest = [k for k, t in enumerate(tokens) if len(t) >= MAX_WINDOW // 2]
-        by_length: dict[int, list[int]] = {}
-        for k in short:
-            by_length.setdefault(len(tokens[k]), []).append(k)
-        for group in [*by_length.values(), rest]:
-            if group:
-                yield Items([ids[k] for k in group], [tokens[k] for k in group])
+        if ids:
+            yield grouped(ids, tokens)
 
 
 def find(docs: DataFrame, carry: list[str], benchmark: DataFrame) -> DataFrame:
@@ -283,16 +317,16 @@ def find(docs: DataFrame, carry: list[str], benchmark: DataFrame) -> DataFrame:
     hit_type = pa.list_(
         pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("start", pa.int64()), ("words", pa.int32())])
     )
-    for items in item_blocks(benchmark):
+    for groups in item_blocks(benchmark):
 
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], groups=groups) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 columns, lists = batch.columns, []
                 before = columns[len(carry)].to_pylist()
                 for at, to, data, offsets in chunks(pc.utf8_lower(columns[text_at]), CHUNK):
                     words = Words(data, offsets)
                     own: list[list] = [[] for _ in range(to - at)]
-                    if len(words.hash):
+                    for items in groups if len(words.hash) else ():
                         for (row, i), (distance, start, n) in verified(words, items, *candidates(words, items)).items():
                             own[row].append((items.ids[i], distance, start, n))
                     lists += own

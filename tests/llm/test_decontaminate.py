@@ -116,3 +116,31 @@ def test_walk_is_the_same_for_equal_windows():
     for r in range(len(items.tables)):
         at, _ = dc.agreeing(text, np.arange(len(text) - items.window + 1), items, r)
         assert 30 in at
+
+
+def test_items_of_every_length_are_found_with_their_first_word_edited(make_docs, spark):
+    rng = random.Random(24)
+    items, rows = [], []
+    for n in [*range(5, 24)] * 5:
+        words = [f"v{rng.randrange(10**6)}" for _ in range(n)]
+        k = len(items)
+        items.append((k, " ".join(words)))
+        pad = prose(rng, 20)
+        rows.append((2 * k, f"{pad} {' '.join(['odd', *words[1:]])} {pad}"))
+        rows.append((2 * k + 1, f"{pad} {' '.join(words[1:])} {pad}"))
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in dc.digest(make_docs(rows), frame).collect()}
+    for n in range(5, 24):
+        want = {(2 * k + e, k) for k, t in items for e in (0, 1) if len(t.split()) == n}
+        assert len(want & got) >= 0.9 * len(want), n
+
+
+def test_recall_is_measured_at_every_length(monkeypatch):
+    rng = np.random.default_rng(25)
+    tokens = [rng.integers(1 << 62, size=n).astype(np.uint64) for n in (3, 5, 7, 8, 10, 15, 16, 20, 33, 59, 300)]
+    for items in dc.grouped(list(range(len(tokens))), tokens):
+        assert len(items.recall) == len({*dc.length_class(items.length).tolist()})
+        assert min(items.recall.values()) >= dc.RECALL
+    monkeypatch.setattr(dc, "MAX_REPETITIONS", 1)
+    with pytest.warns(UserWarning, match="recall below"):  # one window only: its first word must not be edited
+        dc.Items([1], [tokens[6]])
