@@ -116,8 +116,8 @@ class Items:
         first = np.concatenate([[0], np.cumsum(self.length)[:-1]]).astype(np.int64)
         self.starts = first[self.item] + self.offset
         self.heads = bitmap(mix(self.flat[self.starts]))
-        # (item, word) pairs, to drop candidates that share too few words
-        self.distinct = np.array([len(set(t.tolist())) for t in tokens], np.int64)
+        # codes of (item, word) pairs, to drop candidates that share too few; words of one code count once
+        self.distinct = np.array([len(np.unique(pair_code(np.array(i), t))) for i, t in enumerate(tokens)], np.int64)
         self.pairs = bitmap20(np.repeat(np.arange(len(tokens)), self.length), self.flat)
         self.tables: list = []
         self._repeat_until(recall)

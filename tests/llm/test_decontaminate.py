@@ -144,3 +144,21 @@ def test_recall_is_measured_at_every_length(monkeypatch):
     monkeypatch.setattr(dc, "MAX_REPETITIONS", 1)
     with pytest.warns(UserWarning, match="recall below"):  # one window only: its first word must not be edited
         dc.Items([1], [tokens[6]])
+
+
+def test_words_that_share_a_code_do_not_drop_a_match():
+    rng = np.random.default_rng(26)
+    item = rng.integers(1 << 62, size=20).astype(np.uint64)
+    item[1] = item[0] + np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))  # the same code but in rare cases
+    assert dc.pair_code(np.array(0), item[:1]) == dc.pair_code(np.array(0), item[1:2])
+    (items,) = dc.grouped([1], [item])
+    text = item.copy()
+    text[16:] = rng.integers(1 << 62, size=4).astype(np.uint64)  # as many edits as the limit
+
+    class Texts:
+        hash, first, n_words = text, np.array([0, 20]), np.array([20])
+
+        def rows(self):
+            return np.zeros(20, np.int64)
+
+    assert dc.verified(Texts(), items, *dc.candidates(Texts(), items))[0, 0][0] == 4
