@@ -4,7 +4,11 @@ Each source is cut into blocks of about ``rows_per_block`` documents by a hash
 of the row, so blocks need no shuffle of texts. A source's target in words is
 met by whole passes over its blocks, then by the blocks that come first under
 a Feistel permutation, then by documents of the next few blocks, largest first,
-down to the nearest document. Block quotas are split over the output shards
+down to the nearest document. Where those hold less than the room that is left
+(a very long document did not fit), documents longer than half of the room are
+left out and the blocks are taken further down the order, as often as needed; the
+room halves each time. If the order ends first, a long document is taken in place
+of others. Block quotas are split over the output shards
 by a tree: a node splits its exact quota vector between its two halves by a
 multivariate-hypergeometric draw, so every shard gets a fair random mix and
 the quotas add up exactly. A shard's quota of a source is a run of that
@@ -36,6 +40,8 @@ from terrace.llm.tables import stored, totals_before
 SEED = 977
 MAX_SOURCES = 100_000
 FILL_BLOCKS = 8
+#: how far off its target a source may end, as a share, before a longer document is taken instead of others
+FAR = 0.001
 #: numpy draws hypergeometric numbers from populations below this
 MAX_DRAWS = 900_000_000
 
@@ -105,7 +111,8 @@ class Plan:
         aim = np.minimum(np.rint(self.target).astype(np.int64), (most * sizes).astype(np.int64))
         self.passes = np.where(sizes > 0, aim // np.maximum(sizes, 1), 0)
         self.rest = np.where(sizes > 0, aim - self.passes * sizes, 0)
-        self.whole = np.zeros(n, np.int64)  # blocks of the last, partial pass
+        #: of the last, partial pass, per source: places from, places to, longest document taken there
+        self.legs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.room = self.rest.copy()  # words left for the fill
         self.bounds: np.ndarray | None = None
 
@@ -149,6 +156,105 @@ def _with_positions(df: DataFrame, plan: Plan, turn: np.ndarray) -> DataFrame:
     return df.mapInArrow(run, "__sid int, __block long, words long, __pos long")
 
 
+def _per_source(spark, sids: np.ndarray, **values: np.ndarray) -> DataFrame:
+    """One row per source of ``sids``: ``__sid`` and long columns."""
+    rows = [(int(i), *(int(v[i]) for v in values.values())) for i in np.flatnonzero(sids)]
+    return F.broadcast(spark.createDataFrame(rows, ", ".join(["__sid int", *(f"{c} long" for c in values)])))
+
+
+def _legs(every: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """Sets the legs and the room of ``plan``; (__sid, __key, size) of candidates of the fill, and of documents taken anyhow.
+
+    A leg takes, from a place in the order on, the documents up to a length, as many blocks as fit. A source needs no
+    further leg once the documents that fit, of the next ``FILL_BLOCKS`` blocks, make up its room. Where the order ends
+    first and the source is more than ``FAR`` off, the next longer document left out is taken and the source begins anew.
+    """
+    spark, n, kinds = every.sparkSession, len(plan.names), "__sid int, __key long, size long"
+    tagged, none = every, spark.createDataFrame([], kinds)
+    fixed: list[tuple[int, int, int]] = []
+    extremes: dict[int, list] = {}
+    nears: list[tuple[DataFrame, np.ndarray]] = []  # and the sources whose last leg it belongs to
+    start, top, active = np.zeros(n, np.int64), plan.rest.copy(), plan.rest > 0
+    while active.any():
+        leg = _per_source(spark, active, __start=start, __top=top)
+        kept = tagged.join(leg, "__sid").where("size <= __top")
+        words = kept.groupBy("__sid", "__block").agg(F.sum("size").alias("words"))
+        placed = _with_positions(words, plan, plan.passes).join(leg, "__sid").where("__pos >= __start")
+        placed = placed.select("__sid", "__block", "words", "__pos")
+        ordered = stored(
+            totals_before(placed, [F.col("__sid"), F.col("__pos")], "words", f"mix-blocks-{len(plan.legs)}"),
+            f"mix-order-{len(plan.legs)}",
+        )
+        limit, to, taken = np.zeros(n, np.int64), np.where(active, plan.blocks, 0), np.zeros(n, np.int64)
+        for sid, before in ordered.groupBy("__sid").agg(F.min("__before")).collect():
+            limit[sid] = before + plan.room[sid]
+        fits = F.col("__before") + F.col("words") <= F.col("__limit")
+        ends = ordered.join(_per_source(spark, active, __limit=limit), "__sid").groupBy("__sid")
+        for sid, end, sum_ in ends.agg(F.min(F.when(~fits, F.col("__pos"))), F.sum(F.when(fits, F.col("words")))).collect():
+            to[sid], taken[sid] = plan.blocks[sid] if end is None else end, sum_ or 0
+        plan.legs.append((np.where(active, start, 0), to, np.where(active, top, 0)))
+        plan.room = plan.room - taken
+        edge = _per_source(spark, active, __to=to, __room=plan.room)
+        near = ordered.join(edge, "__sid").where(f"__pos >= __to and __pos < __to + {FILL_BLOCKS}")
+        near = stored(
+            _units(tagged.join(F.broadcast(near.select("__sid", "__block")), ["__sid", "__block"])),
+            f"mix-near-{len(plan.legs)}",
+        )
+        have = np.zeros(n, np.int64)
+        for sid, total in near.join(edge, "__sid").where("size <= __room").groupBy("__sid").agg(F.sum("size")).collect():
+            have[sid] = total
+        more = active & (plan.room > 1) & (have < plan.room) & (to < plan.blocks)
+        nears.append((near, active & ~more))
+        # no block fits where copies of one row are more than the room: go on behind them
+        start = np.where(more, np.where(to > start, to, to + 1), 0)
+        active, top = more, plan.room // 2
+        if more.any():
+            continue
+        # where the order has come to its end: of the documents left out, the longest that fits and the next longer
+        at_end = np.any([to >= plan.blocks for _, to, _ in plan.legs], axis=0)
+        ended = (plan.rest > 0) & (plan.room > 0) & at_end
+        extremes = {sid: (fits, over) for sid, fits, over in _left_out(tagged, plan, ended)} if ended.any() else {}
+        for sid, (_, over) in extremes.items():
+            if over is None or over["size"] > plan.rest[sid]:
+                continue
+            if min(plan.room[sid], over["size"] - plan.room[sid]) > FAR * plan.target[sid]:
+                fixed.append((sid, over["__key"], over["size"]))
+                plan.rest[sid] -= over["size"]
+                start[sid] = 0
+                for of_leg in (*[x for leg in plan.legs for x in leg[:2]], *[mask for _, mask in nears]):
+                    of_leg[sid] = 0
+                plan.room[sid] = top[sid] = plan.rest[sid]
+                active[sid] = plan.rest[sid] > 0
+        if fixed:
+            tagged = every.join(F.broadcast(spark.createDataFrame(fixed, kinds).drop("size")), ["__sid", "__key"], "left_anti")
+    last = none
+    for near, mask in nears:
+        last = last.union(near.join(_per_source(spark, mask), "__sid", "left_semi"))
+    one = [(sid, d["__key"], d["size"]) for sid, both in extremes.items() for d in both if d]
+    return last.union(spark.createDataFrame(one, kinds)).distinct(), spark.createDataFrame(fixed, kinds)
+
+
+def _left_out(tagged: DataFrame, plan: Plan, which: np.ndarray) -> list:
+    """(sid, longest document that fits the room, next longer one) of those that the legs left out; a row per source."""
+    spark = tagged.sparkSession
+    rest = tagged.join(_per_source(spark, which), "__sid")
+    blocks = rest.groupBy("__sid", "__block").agg(F.sum("size").alias("words"))
+    places = _with_positions(blocks, plan, plan.passes).select("__sid", "__block", "__pos")
+    left = rest.join(places, ["__sid", "__block"])
+    for start, to, top in plan.legs:
+        left = left.join(_per_source(spark, which, __from=start, __to=to, __top=top), "__sid")
+        left = left.where("not (__pos >= __from and __pos < __to and size <= __top)").drop("__from", "__to", "__top")
+    left = _units(left).join(_per_source(spark, which, __room=plan.room), "__sid")
+    pick = F.struct("size", "__key")
+    fits = F.max(F.when((F.col("size") > 0) & (F.col("size") <= F.col("__room")), pick))
+    return left.groupBy("__sid").agg(fits, F.min(F.when(F.col("size") > F.col("__room"), pick))).collect()
+
+
+def _units(rows: DataFrame) -> DataFrame:
+    """Equal rows of one block are one choice: their key is the same."""
+    return rows.groupBy("__sid", "__key").agg(F.sum("size").alias("size"))
+
+
 def make_plan(narrow: DataFrame, most: float, weights: tuple, shards: int, rows_per_block: int) -> tuple[Plan, DataFrame]:
     """The plan and the fill: (__sid, __key, size) of documents taken one by one. ``narrow``: source, size, __key."""
     found = narrow.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
@@ -161,40 +267,18 @@ def make_plan(narrow: DataFrame, most: float, weights: tuple, shards: int, rows_
     spark = narrow.sparkSession
     fill = spark.createDataFrame([], "__sid int, __key long, size long")
     if plan.rest.any():
-        tagged = _tagged(narrow, plan)
-        blocks = tagged.groupBy("__sid", "__block").agg(F.sum("size").alias("words"))
-        placed = _with_positions(blocks, plan, plan.passes)
-        ordered = totals_before(placed, [F.col("__sid"), F.col("__pos")], "words", "mix-blocks")
-        before = np.concatenate([[0], np.cumsum(plan.sizes)[:-1]])
-        limits = F.broadcast(
-            spark.createDataFrame(
-                [(i, int(before[i] + plan.rest[i])) for i in range(len(plan.names))], "__sid int, __limit long"
-            )
-        )
-        fits = ordered.join(limits, "__sid").where("__before + words <= __limit")
-        for sid, n, words in fits.groupBy("__sid").agg(F.count("*"), F.sum("words")).collect():
-            plan.whole[sid], plan.room[sid] = n, plan.rest[sid] - words
-        edge = F.broadcast(
-            spark.createDataFrame(
-                [(i, int(plan.whole[i])) for i in range(len(plan.names)) if plan.room[i] > 0], "__sid int, __w long"
-            )
-        )
-        near = ordered.join(edge, "__sid").where(f"__pos >= __w and __pos < __w + {FILL_BLOCKS}").select("__sid", "__block")
+        candidates, fixed = _legs(_tagged(narrow, plan), plan)
         room = plan.room.copy()
 
         def chosen(rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.sort_values(["size", "__key"], ascending=[False, True], kind="stable")
             return rows[greedy_fill(rows["size"].to_numpy(), int(room[rows["__sid"].iloc[0]]))]
 
-        # equal rows of one block are one choice: their key is the same
-        candidates = (
-            tagged.join(F.broadcast(near), ["__sid", "__block"])
-            .groupBy("__sid", "__key")
-            .agg(F.sum("size").alias("size"))
-        )
-        fill = stored(candidates.groupBy("__sid").applyInPandas(chosen, "__sid int, __key long, size long"), "mix-fill")
+        picked = candidates.groupBy("__sid").applyInPandas(chosen, "__sid int, __key long, size long")
+        fill = stored(picked.union(fixed), "mix-fill")
     filled = {r[0] for r in fill.select("__sid").distinct().collect()}
-    quotas = plan.passes * plan.blocks + plan.whole + np.array([i in filled for i in range(len(plan.names))], np.int64)
+    partial = sum((to - start for start, to, _ in plan.legs), np.zeros(len(plan.names), np.int64))
+    quotas = plan.passes * plan.blocks + partial + np.array([i in filled for i in range(len(plan.names))], np.int64)
     quotas = quotas.astype(np.int64).reshape(-1)
     split = split_tree(quotas, shards)
     plan.bounds = np.cumsum(split, axis=0)
@@ -226,7 +310,8 @@ def mix(
     )
 
     @F.arrow_udf("struct<source_size: long, target: double, shards: array<int>>")
-    def placed(sids: pa.Array, blocks: pa.Array, fills: pa.Array) -> pa.Array:  # texts stay out of Python
+    def placed(sids: pa.Array, blocks: pa.Array, sizes: pa.Array, fills: pa.Array) -> pa.Array:  # texts stay out of Python
+        size = sizes.to_numpy(zero_copy_only=False)
         sid, block = sids.to_numpy(zero_copy_only=False), blocks.to_numpy(zero_copy_only=False)
         fill_row = fills.to_numpy(zero_copy_only=False).astype(bool)
         base = plan.passes[sid]
@@ -235,10 +320,17 @@ def mix(
             at = np.flatnonzero(turn <= base)
             pos = plan.position(sid[at], block[at], np.full(len(at), turn))
             last = turn == base[at]
-            inside = pos < plan.whole[sid[at]]
+            inside, place, so_far = np.zeros(len(at), bool), pos.copy(), np.zeros(len(at), np.int64)
+            for start, to, top in plan.legs if last.any() else ():
+                start, to, top = start[sid[at]], to[sid[at]], top[sid[at]]
+                own = last & (pos >= start) & (pos < to) & (size[at] <= top)
+                inside |= own
+                place[own] = (so_far + pos - start)[own]
+                so_far += to - start
             extra = last & ~inside & fill_row[at]
+            place[extra] = so_far[extra]
             taken = ~last | inside | extra
-            draw = turn * plan.blocks[sid[at]] + np.where(extra, plan.whole[sid[at]], pos)
+            draw = turn * plan.blocks[sid[at]] + place
             for i, s, d in zip(at[taken].tolist(), sid[at][taken].tolist(), draw[taken].tolist()):
                 lists[i].append(int(np.searchsorted(plan.bounds[:, s], d, "right")))
         return pa.StructArray.from_arrays(
@@ -250,7 +342,7 @@ def mix(
             names=["source_size", "target", "shards"],
         )
 
-    with_plan = rows.withColumn("__placed", placed("__sid", "__block", "__fill"))
+    with_plan = rows.withColumn("__placed", placed("__sid", "__block", "__size", "__fill"))
     return with_plan.select(
         *columns,
         F.col("__size").alias(made[0]),

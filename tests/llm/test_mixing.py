@@ -89,3 +89,20 @@ def test_odd_rows_and_empty_table(make_docs):
     assert {(r["size"], r.target, r.taken) for r in mixing.digest(make_docs([(1, None), (2, "")])).collect()} == {(0, 0.0, 0)}
     clash = make_docs(rows).withColumnsRenamed({"lang": "size", "n_chars": "shards"})
     assert mixing.mix(clash).columns == ["doc_id", "text", "source", "size", "source_size", "target", "shards"]
+
+
+def test_a_very_long_document_leaves_no_gap(make_docs):
+    """Without it in the partial pass, the words come from documents further down the order."""
+    rng = random.Random(13)
+    rows, want = [], {}
+    for s in "abcdefgh":  # the order puts the long document in another place in each source
+        rows += [(len(rows) + i, "w " * rng.randrange(2, 14), s) for i in range(1500)]
+        rows += [(len(rows), "w " * 9_000, s)]
+    got = mixing.digest(make_docs(rows)).collect()
+    taken = {}
+    for r in got:
+        s = rows[r.doc_id][2]
+        want[s] = r.target
+        taken[s] = taken.get(s, 0) + r.taken
+    for s, t in want.items():
+        assert abs(taken[s] - t) <= max(14, 0.002 * t), (s, taken[s], t)
