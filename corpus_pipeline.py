@@ -27,8 +27,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it (0 to 3 times)."""
-    return mixing.drawn(mixing.mix(docs, prefix="__mix_"), "__mix_").select(*docs.columns)
+    """Each document as often as the mix takes it (0 to 3 times), by the mix's shards and shuffled in them."""
+    return mixing.laid_out(mixing.mix(docs, prefix="__mix_"), "__mix_").select(*docs.columns)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

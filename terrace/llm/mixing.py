@@ -357,15 +357,27 @@ def drawn(mixed: DataFrame, prefix: str = "") -> DataFrame:
     """
     copy, shard, order = (f"{prefix}{c}" for c in ("copy", "shard", "order"))
     each = mixed.drop(copy, shard, order).select("*", F.posexplode(f"{prefix}shards").alias(copy, shard))
-    return each.withColumn(order, F.xxhash64(F.lit(SEED), "doc_id", f"{prefix}size", copy, shard))
+    return each.withColumn(order, _order(F.col(f"{prefix}size"), F.col(copy), F.col(shard)))
 
 
-def laid_out(mixed: DataFrame) -> DataFrame:
+def _order(size: Column, copy: Column, shard: Column) -> Column:
+    return F.xxhash64(F.lit(SEED), F.col("doc_id"), size, copy, shard)
+
+
+def laid_out(mixed: DataFrame, prefix: str = "") -> DataFrame:
     """``drawn`` rows dealt by shard (large shards over several tasks) and shuffled locally."""
-    return drawn(mixed).repartitionByRange("shard", "order").sortWithinPartitions("shard", "order")
+    place = [f"{prefix}shard", f"{prefix}order"]
+    return drawn(mixed, prefix).repartitionByRange(*place).sortWithinPartitions(*place)
 
 
 def digest(docs: DataFrame) -> DataFrame:
+    """One row per document: its size, its source's size and target, the words taken, and shard and order of each copy."""
     return mix(docs, carry=["doc_id"]).select(
-        "doc_id", "size", "source_size", "target", (F.size("shards") * F.col("size")).cast("long").alias("taken")
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.size("shards") * F.col("size")).cast("long").alias("taken"),
+        "shards",
+        F.transform("shards", lambda shard, copy: _order(F.col("size"), copy, shard)).alias("orders"),
     )

@@ -106,3 +106,11 @@ def test_a_very_long_document_leaves_no_gap(make_docs):
         taken[s] = taken.get(s, 0) + r.taken
     for s, t in want.items():
         assert abs(taken[s] - t) <= max(14, 0.002 * t), (s, taken[s], t)
+
+
+def test_digest_and_layout_carry_the_draws(make_docs):
+    docs = make_docs([(i, prose(random.Random(i), 20), "ab"[i % 2]) for i in range(200)])
+    rows = mixing.laid_out(mixing.mix(docs, prefix="m_"), "m_").collect()
+    assert [(r.m_shard, r.m_order) for r in rows] == sorted((r.m_shard, r.m_order) for r in rows)
+    digest = {(r.doc_id, k, s, o) for r in mixing.digest(docs).collect() for k, (s, o) in enumerate(zip(r.shards, r.orders))}
+    assert digest == {(r.doc_id, r.m_copy, r.m_shard, r.m_order) for r in rows}
