@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import chat, decontaminate, mil_quality, mixing, pii, quality_rules, sharding, simhash, suffix_dedup, urls
+from terrace.llm import chat, decontaminate, divergence, mil_quality, mixing, pii, quality_rules, sharding, simhash, suffix_dedup, urls
 from terrace.llm.tables import table
 
 
@@ -50,6 +50,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -61,10 +65,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_parts": op8_chat_parts,
     "op9_edit_decontamination": op9_edit_decontamination,
     "op10_simhash": op10_simhash,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality_rules.DIGEST_SQL,
     "op3_url_cascade": urls.DIGEST_SQL,
     "op8_chat_parts": chat.DIGEST_SQL,
+    "op11_source_divergence": divergence.DIGEST_SQL,
 }
