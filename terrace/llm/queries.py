@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import chat, decontaminate, divergence, mil_quality, mixing, pii, quality_rules, sharding, simhash, suffix_dedup, urls
+from terrace.llm import chat, decontaminate, divergence, mil_quality, mixing, pii, quality_rules, sharding, simhash, spelling, suffix_dedup, urls
 from terrace.llm.tables import table
 
 
@@ -54,6 +54,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.digest(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_edit_decontamination": op9_edit_decontamination,
     "op10_simhash": op10_simhash,
     "op11_source_divergence": op11_source_divergence,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
