@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import chat, decontaminate, divergence, mil_quality, mixing, pii, quality_rules, sharding, simhash, spelling, suffix_dedup, urls
+from terrace.llm import (
+    chat,
+    decontaminate,
+    divergence,
+    mil_quality,
+    mixing,
+    pii,
+    quality_rules,
+    sharding,
+    simhash,
+    spelling,
+    suffix_dedup,
+    toxicity,
+    urls,
+)
 from terrace.llm.tables import table
 
 
@@ -54,6 +68,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.digest(table(spark, sf_dir, "documents"))
 
@@ -70,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_edit_decontamination": op9_edit_decontamination,
     "op10_simhash": op10_simhash,
     "op11_source_divergence": op11_source_divergence,
+    "op12_string_kernel_toxicity": op12_string_kernel_toxicity,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
