@@ -320,6 +320,24 @@ src AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey
   FROM supplier GROUP BY s_nationkey
   UNION ALL
   SELECT 2, './inbox/nation_' || s_nationkey || '.xlsx', count(*) FROM supplier WHERE s_nationkey < 13 GROUP BY s_nationkey"""
+    q["ingest_accounting"] = """
+WITH r AS (
+  SELECT 'region_' || n_regionkey || '.xlsx' AS source_file, n_nationkey, n_nationkey % 3 = 0 AS narrow,
+         s_suppkey % 10 = 0 AS blank, s_suppkey % 4 = 0 AS short
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT source_file, count(*) FILTER (WHERE NOT narrow AND NOT blank) AS kept,
+       count(*) FILTER (WHERE NOT narrow AND NOT blank AND short) AS kept_short,
+       count(*) FILTER (WHERE narrow) AS rejected_narrow, 5 * count(*) FILTER (WHERE narrow) AS rejected_cells,
+       (SELECT count(*) FROM r) AS run_seen, (SELECT count(*) FROM r WHERE NOT narrow AND NOT blank) AS run_kept,
+       (SELECT count(*) FROM r WHERE NOT narrow AND blank) AS run_blank, (SELECT count(*) FROM r WHERE narrow) AS run_rejected,
+       (SELECT count(DISTINCT n_nationkey) FROM r WHERE narrow) AS run_rejected_sheets
+FROM r GROUP BY source_file"""
+    q["load_once"] = f"""
+  SELECT CAST(s_suppkey AS VARCHAR) AS supp_id, s_name AS supp_name, CAST(s_nationkey AS VARCHAR) AS nation,
+         DATE '{RUN_DATE}' AS load_date, CASE WHEN s_nationkey < 13 THEN 1 ELSE 2 END AS run_no FROM supplier
+  UNION ALL
+  SELECT CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), DATE '{RUN_DATE}',
+         CASE WHEN c_nationkey < 13 THEN 3 ELSE 4 END FROM customer"""
     q["pick_columns"] = """
   SELECT c_mktsegment AS segment, CAST(c_custkey AS VARCHAR) AS holder_id,
          CAST(c_nationkey AS VARCHAR) AS nation, c_name AS holder_name FROM customer"""

@@ -9,12 +9,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
 from terrace.operators import frames, layout, upsert
 from terrace.plans import bronze, feeds, medallion, runs
+from terrace.plans.manifest import Manifest
 from terrace.session import scratch_dir
 from terrace.sources import drops, tables
 from terrace.sources import workbooks as wb
@@ -496,10 +497,106 @@ def incremental_ingest(spark, sf_dir):
     for rows in (sup.filter(early), sup.filter(~early)):
         supplier_drop(rows, inbox)
         incremental.ingest_new_drops(spark, inbox, DROP_POSITIONS, DROP_NAMES, target, ckpt)
-    epoch = F.substring(bronze.RUN_COL, 2, 8).cast("int").alias("ingest_epoch")
+    epoch = F.regexp_extract(bronze.RUN_COL, "_e([0-9]+)$", 1).cast("int").alias("ingest_epoch")
     return spark.read.parquet(target).select(*DROP_NAMES, "source_file", epoch)
 
 
+@register("ingest_accounting")
+def ingest_accounting(spark, sf_dir):
+    """What became of every row of a drop: a file per region, a sheet per
+    nation with a header line. Every third nation's sheet is too narrow; every
+    fourth supplier's row ends before the last position, every tenth is blank."""
+    folder = scratch_dir(spark, "accounting")
+    n = table(spark, sf_dir, "nation").filter("n_nationkey is not null")
+    j = table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    key = F.col("s_suppkey")
+    narrow = F.col("n_nationkey") % 3 == 0
+    text = lambda count: F.array(*[(key + i).cast("string") for i in range(count)])
+    blank = F.array_repeat(F.lit(" "), 12)
+    place = [
+        F.concat(F.lit("region_"), F.col("n_regionkey").cast("string"), F.lit(".xlsx")).alias("file"),
+        F.concat(F.lit("nation_"), F.col("n_nationkey").cast("string")).alias("sheet"),
+        F.col("n_nationkey").cast("int").alias("sheet_no"),
+    ]
+    rows = j.select(
+        *place,
+        (key + 1).alias("row_no"),
+        F.when(narrow, text(5)).when(key % 10 == 0, blank).when(key % 4 == 0, text(5)).otherwise(text(12)).alias("cells"),
+    )
+    headers = j.select(*place, narrow.alias("narrow")).distinct().select(
+        "file", "sheet", "sheet_no", F.lit(0).cast("long").alias("row_no"),
+        F.array_repeat(F.lit("title"), F.when(F.col("narrow"), 5).otherwise(12)).alias("cells"),
+    )
+    drops.write_drop(rows.unionByName(headers), folder + "/inbox")
+    names = ("a", "b", "c")
+    got = bronze.ingest_cells(drops.read_drop(spark, folder + "/inbox"), REJECT_POSITIONS, names, folder + "/raw", RUN_DATE)
+    file = lambda c: F.element_at(F.split(c, "/"), -1).alias("source_file")
+    kept = spark.read.parquet(folder + "/raw").groupBy(file("source_file")).agg(
+        F.count(F.lit(1)).alias("kept"), F.count_if(F.col("c").isNull()).alias("kept_short")
+    )
+    rejected = spark.read.parquet(bronze.rejects_of(folder + "/raw")).groupBy(file("path")).agg(
+        F.count_if(F.col("reason") == "narrow").alias("rejected_narrow"), F.sum(F.size("cells").cast("long")).alias("rejected_cells")
+    )
+    none = F.lit(0).cast("long")
+    counts = ("kept", "kept_short", "rejected_narrow", "rejected_cells")
+    return kept.join(rejected, "source_file", "full_outer").select(
+        "source_file",
+        *[F.coalesce(c, none).alias(c) for c in counts],
+        F.lit(got.sheet_rows).alias("run_seen"),
+        F.lit(got.rows).alias("run_kept"),
+        F.lit(got.blank_rows).alias("run_blank"),
+        F.lit(got.rejected_rows).alias("run_rejected"),
+        F.lit(got.rejected_sheets).cast("long").alias("run_rejected_sheets"),
+    )
+
+
+def party_drop(parties: DataFrame, prefix: str, folder: str) -> None:
+    """Suppliers or customers (``s_`` or ``c_`` columns) as one file per nation."""
+    key, nation = ("suppkey" if prefix == "s_" else "custkey"), F.col(f"{prefix}nationkey")
+    cells = F.array(F.col(prefix + key).cast("string"), F.col(f"{prefix}name"), nation.cast("string"))
+    drops.write_drop(
+        parties.select(
+            F.concat(F.lit("nation_"), nation.cast("string")).alias("file"),
+            F.lit("all").alias("sheet"),
+            F.lit(0).alias("sheet_no"),
+            (F.col(prefix + key) + 1).alias("row_no"),
+            cells.alias("cells"),
+        ),
+        folder,
+    )
+
+
+@register("load_once")
+def load_once(spark, sf_dir):
+    """One raw table filled by two batch runs over a growing inbox, a batch run
+    and a stream that find nothing new there, and two streams with checkpoints
+    of their own over two more inboxes, all on one date and one manifest. Each
+    row comes once, with the place of its run in the order of runs."""
+    folder = scratch_dir(spark, "load-once")
+    raw, manifest = folder + "/raw", Manifest(spark, folder + "/manifest")
+    args = (DROP_POSITIONS, DROP_NAMES, raw)
+    sup, cust = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
+
+    def batch():
+        try:
+            bronze.ingest_pending(spark, manifest, "suppliers", folder + "/a", *args, RUN_DATE, drop=True)
+        except bronze.NothingToIngest:
+            pass
+
+    for rows in (sup.filter(F.col("s_nationkey") < FIRST_DROP_NATIONS), sup.filter(F.col("s_nationkey") >= FIRST_DROP_NATIONS)):
+        party_drop(rows, "s_", folder + "/a")
+        batch()
+        batch()
+    party_drop(cust.filter(F.col("c_nationkey") < FIRST_DROP_NATIONS), "c_", folder + "/b")
+    party_drop(cust.filter(F.col("c_nationkey") >= FIRST_DROP_NATIONS), "c_", folder + "/c")
+    for source, inbox in (("suppliers", "a"), ("customers", "b"), ("customers", "c")):
+        incremental.ingest_new_drops(spark, f"{folder}/{inbox}", *args, f"{folder}/ckpt-{inbox}", RUN_DATE, manifest, source)
+    stored = spark.read.parquet(raw)
+    order = F.dense_rank().over(Window.orderBy(bronze.RUN_COL))  # a handful of runs
+    runs_in_order = stored.select(bronze.RUN_COL).distinct().withColumn("run_no", order)
+    return stored.join(runs_in_order, bronze.RUN_COL).select(*DROP_NAMES, "load_date", "run_no")
+
+
 # --- layout: compaction, clustering, statistics ---------------------------
 
 

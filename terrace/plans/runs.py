@@ -19,8 +19,9 @@ from terrace.operators import layout, upsert
 from terrace.operators.frames import load_slice, observed
 from terrace.plans import bronze, medallion
 from terrace.plans.bronze import ARRIVAL
+from terrace.plans.manifest import Manifest
 from terrace.session import scratch_dir, size_shuffle_partitions
-from terrace.sources import drops, tables
+from terrace.sources import tables
 from terrace.streaming import incremental
 
 # --- fixed values ---
@@ -249,7 +250,8 @@ class PipelineConfig:
     stats_columns: tuple[str, ...] = ("policy_id",)
     by_period: bool = True  # partition the clean tables by period, rewrite touched periods only
     table_root: str | None = None  # folder for the clean and reporting tables' files (default: warehouse)
-    members_processed: str | None = None  # where loaded workbooks are moved (None: left in the inbox)
+    manifest: str | None = None  # folder of the record of loaded files (None: beside the ledger)
+    members_processed: str | None = None  # where loaded files are moved (None: left in the inbox)
     holders_processed: str | None = None
     incremental: bool = False  # raw ingest through the file stream: each file exactly once
     checkpoints: str | None = None  # stream checkpoints (incremental), one folder per feed
@@ -274,6 +276,7 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
     run_date = parse_run_date(str(run_date)) if run_date else local_today()
     run_id = f"{run_date.isoformat()}-{_dt.datetime.now(_dt.timezone.utc):%H%M%S%f}"
     counts, dates = {}, {run_date.isoformat()}
+    manifest = Manifest(spark, cfg.manifest or cfg.ledger.rstrip("/") + "_files")
     if on_demand:
         counts = {"members": ON_DEMAND, "holders": ON_DEMAND}
     else:
@@ -285,23 +288,21 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
             try:
                 if cfg.incremental:
                     ckpt = f"{(cfg.checkpoints or cfg.ledger + '_checkpoints').rstrip('/')}/{feed.name}"
-                    args = (spark, inbox, feed.positions, feed.raw_columns, target, ckpt, run_date)
-                    inc = (
-                        incremental.ingest_new_drops(*args)
-                        if cfg.drops
-                        else incremental.ingest_new_files(*args, archive_dir=done)
-                    )
+                    load = incremental.ingest_new_drops if cfg.drops else incremental.ingest_new_files
+                    inc = load(
+                        spark, inbox, feed.positions, feed.raw_columns, target, ckpt, run_date,
+                        archive_dir=done, manifest=manifest, source=feed.name,
+                    )
                     counts[feed.name] = inc.rows
                     dates |= set(inc.dates)  # a replayed batch keeps the date of its first attempt
-                elif cfg.drops:
-                    cells = drops.read_drop(spark, inbox)
-                    res = bronze.ingest_cells(cells, feed.positions, feed.raw_columns, target, run_date)
-                    counts[feed.name] = res.rows
                 else:
-                    res = bronze.ingest(spark, inbox, feed.positions, feed.raw_columns, target, run_date)
-                    counts[feed.name] = res.rows
-                    if done:  # only after the append succeeded
-                        bronze.archive(spark, res.loaded_files, done, res.run)
+                    for res in bronze.ingest_pending(
+                        spark, manifest, feed.name, inbox, feed.positions, feed.raw_columns, target, run_date, drop=cfg.drops
+                    ):
+                        counts[feed.name] += res.rows
+                        dates.add(res.load_date)  # so does a run that died and was done again
+                        if done:  # only after the append succeeded
+                            bronze.archive(spark, res.loaded_files, done, res.run, parents=cfg.drops)
             except bronze.NothingToIngest:
                 pass
     record(spark, cfg.ledger, run_id, counts, run_date)

@@ -2,16 +2,20 @@
 
 A drop is a folder with a ``file=<name>`` folder per source file (as many part
 files in it as its size asks for); a line holds the sheet, the row's number and
-its cells. ``cells`` gives the same frame as the workbook parser, so everything
-after it is shared, and no Python runs on the executors.
+its cells; row number 0 is a header line. ``cells`` gives the same frame as the workbook parser, so everything
+after it is shared, and no Python runs on the executors. A line that cannot be
+read has row number -1 and a problem.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINE_SCHEMA = "sheet string, sheet_no int, row_no long, cells array<string>, file string"
+BAD_LINE = "line without a row number"
 
 
 def write_drop(rows: DataFrame, folder: str) -> None:
@@ -20,23 +24,38 @@ def write_drop(rows: DataFrame, folder: str) -> None:
     rows.select(*cols).hint("rebalance", "file").write.mode("append").partitionBy("file").json(folder)
 
 
-def _cells(lines: DataFrame, folder: str) -> DataFrame:
+def part_file() -> list[Column]:
+    """(path, size, modified) of the part file a line came from, spelt as file listings spell them."""
+    decoded = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    return [
+        F.regexp_replace(decoded, "^file:/+", "file:/").alias("part_path"),
+        F.col("_metadata.file_size").alias("part_size"),
+        F.col("_metadata.file_modification_time").alias("part_modified"),
+    ]
+
+
+def _cells(lines: DataFrame, folder: str, *more: Column) -> DataFrame:
+    bad = F.col("row_no").isNull()
     return lines.select(
         F.concat(F.lit(folder.rstrip("/") + "/"), F.col("file")).alias("path"),
         "sheet",
         "sheet_no",
-        F.col("row_no").cast("long").alias("row_no"),
+        F.when(bad, F.lit(-1)).otherwise(F.col("row_no")).cast("long").alias("row_no"),
         F.coalesce(F.size("cells"), F.lit(0)).alias("width"),
         "cells",
-        F.lit(None).cast("string").alias("problem"),
+        F.when(bad, F.lit(BAD_LINE)).alias("problem"),
+        *more,
     )
 
 
-def read_drop(spark: SparkSession, folder: str) -> DataFrame:
-    """The drop's rows as parsed cells; the width is each row's own."""
-    return _cells(spark.read.schema(LINE_SCHEMA).json(folder), folder)
+def read_drop(spark: SparkSession, folder: str, parts: Sequence[str] | None = None) -> DataFrame:
+    """The drop's rows as parsed cells, or those of some part files; the width is each row's own."""
+    reader = spark.read.schema(LINE_SCHEMA)
+    lines = reader.json(folder) if parts is None else reader.option("basePath", folder).json(list(parts))
+    return _cells(lines, folder)
 
 
 def stream_drop(spark: SparkSession, folder: str, options: dict | None = None) -> DataFrame:
-    """New part files of a drop as a stream of parsed cells."""
-    return _cells(spark.readStream.schema(LINE_SCHEMA).options(**(options or {})).json(folder), folder)
+    """New part files of a drop as a stream of parsed cells, each with its part file."""
+    lines = spark.readStream.schema(LINE_SCHEMA).options(**(options or {})).json(folder)
+    return _cells(lines, folder, *part_file())

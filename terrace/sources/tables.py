@@ -10,10 +10,23 @@ from __future__ import annotations
 import re
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the writes inside; the caller's value comes back."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan over the cluster's cores when it plans fewer splits
     than there are cores.

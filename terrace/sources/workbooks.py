@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions.columns import stamp_date, strip_space
 from terrace.operators.frames import cells_by_position, lineage
+from terrace.sources.sheets import judged, sheet_report
 
 # The functions Spark runs on executors live in this module; send them by
 # value so workers need not have the package installed (no --py-files).
@@ -427,12 +428,6 @@ def read_workbooks(
     return scan_cells(files, workers_can_open(files) if by_path is None else by_path)
 
 
-def accepted(width: Column | str, positions: Sequence[int]) -> Column:
-    """A sheet is usable when its header reaches past the highest position."""
-    w = F.col(width) if isinstance(width, str) else width
-    return w > F.lit(max(positions))
-
-
 def to_rows(
     cells: DataFrame,
     positions: Sequence[int],
@@ -448,8 +443,12 @@ def to_rows(
     """Parsed cells → one all-text row per sheet row with the picked columns,
     lineage and (when ``run_date`` is given) the load-date stamp. Rows whose
     picked cells are all missing or blank are dropped. ``arrival`` adds the
-    row's place in its file, ``sheet_no`` and ``row_no``."""
-    data = cells.filter((F.col("row_no") > 0) & accepted("width", positions))
+    row's place in its file, ``sheet_no`` and ``row_no``. Rows of sheets that
+    the width guard does not accept (:mod:`terrace.sources.sheets`) are left
+    out; cells that know their sheet's decision (``accepted``) are not judged again."""
+    if "accepted" not in cells.columns:
+        cells = judged(cells, sheet_report(cells, positions))
+    data = cells.filter((F.col("row_no") > 0) & F.col("accepted"))
     picked = cells_by_position("cells", positions, names)
     place = [F.col("sheet_no").cast("int").alias("sheet_no"), F.col("row_no").cast("long").alias("row_no")] if arrival else []
     out = data.select(*picked, lineage("path").alias(lineage_col), *place)
@@ -464,23 +463,3 @@ def to_rows(
     if run_date is not None:
         out = out.withColumn(date_col, stamp_date(run_date))
     return out
-
-
-def sheet_report(cells: DataFrame, positions: Sequence[int]) -> DataFrame:
-    """Per sheet: header width, data rows, accepted or not, and any problem."""
-    return (
-        cells.groupBy("path", "sheet", "sheet_no")
-        .agg(
-            F.max("width").alias("width"),
-            F.count_if((F.col("row_no") > 0) & (F.size("cells") > 0)).alias("data_rows"),
-            F.max("problem").alias("problem"),
-        )
-        .select(
-            F.col("path"),
-            F.col("sheet"),
-            F.col("width"),
-            F.col("data_rows"),
-            (accepted("width", positions) & F.col("problem").isNull()).alias("accepted"),
-            F.col("problem"),
-        )
-    )

@@ -4,9 +4,13 @@ The streaming file source remembers in its checkpoint which files it has
 already handed out, so re-running picks up only new drops
 (``trigger(availableNow=True)`` processes what is there and stops). Each
 micro-batch is written to its own ``ingest_run`` partition with dynamic
-partition overwrite, and its load date is noted before the write, so a batch
+partition overwrite, and its run's name and load date are noted before the write, so a batch
 replayed after a failure, on whatever day, replaces its own earlier output
-instead of appending twice.
+instead of appending twice. Names are those of batch runs, with the epoch behind:
+they sort by time among all runs, and no two checkpoints share one.
+
+With a manifest (``terrace.plans.manifest``) files that a batch run, or another
+stream, has loaded are left out, and loaded ones are noted there.
 """
 
 from __future__ import annotations
@@ -14,12 +18,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.operators.frames import observed
-from terrace.plans.bronze import RUN_COL, guard_schema
-from terrace.sources import drops
+from terrace.plans.bronze import load_cells, new_run, staged_cells
+from terrace.plans.manifest import Manifest
+from terrace.sources import drops, tables
 from terrace.sources import workbooks as wb
 
 # The binaryFile source's fixed schema (a streaming source needs it stated).
@@ -33,17 +37,36 @@ class IncrementalResult:
     dates: list[str] = field(default_factory=list)  # load dates that got rows (a replayed batch keeps its first)
 
 
-def run_name(epoch_id: int) -> str:
-    return f"e{epoch_id:08d}"
+@dataclass
+class Noted:
+    """How a stream's files are known to a manifest: ``columns`` give path, size and modification time of a batch's rows."""
+
+    manifest: Manifest
+    source: str
+    columns: tuple[str, str, str]
+
+    def new_rows(self, batch: DataFrame, run: str) -> DataFrame:
+        """Rows of files that no other run has loaded."""
+        named = [F.col(c).alias(n) for c, n in zip(self.columns, ("path", "size", "modified"))]
+        files = self.manifest.pending(batch.select(*named).distinct(), self.source, run)
+        key = [F.col(f"_new.{n}").eqNullSafe(F.col(f"_row.{c}")) for c, n in zip(self.columns, ("path", "size", "modified"))]
+        return batch.alias("_row").join(files.alias("_new"), key, "left_semi")
 
+    def finish(self, batch: DataFrame, run: str, date) -> None:
+        named = [F.col(c).alias(n) for c, n in zip(self.columns, ("path", "size", "modified"))]
+        files = self.manifest.pending(batch.select(*named).distinct(), self.source, run)
+        self.manifest.finish(files, self.source, run, date)
 
-def epoch_date(spark: SparkSession, notes: str, epoch_id: int, run_date) -> str:
-    """The load date of a micro-batch: noted at its first attempt, read at replays."""
+
+def epoch_note(spark: SparkSession, notes: str, epoch_id: int, run_date) -> tuple[str, str | None]:
+    """(run name, load date) of a micro-batch: noted at its first attempt, read at replays."""
     path = f"{notes}/epoch={epoch_id}"
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    schema = "ingest_run string, load_date string"
     if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
-        spark.createDataFrame([(str(run_date),)], "load_date string").write.mode("overwrite").json(path)
-    return spark.read.schema("load_date string").json(path).first()[0]
+        note = (f"{new_run()}_e{epoch_id:08d}", None if run_date is None else str(run_date))
+        spark.createDataFrame([note], schema).write.mode("overwrite").json(path)
+    return tuple(spark.read.schema(schema).json(path).first())
 
 
 def ingest_stream(
@@ -55,31 +78,31 @@ def ingest_stream(
     target: str,
     checkpoint: str,
     run_date=None,
+    noted: Noted | None = None,
+    parsed: bool = False,
 ) -> IncrementalResult:
     """Load what ``stream`` has not handed out before; ``cells_of`` makes sheet cells of a batch.
 
     With ``run_date`` rows are stamped and partitioned by ``load_date`` and
     then ``ingest_run``, the layout of batch ingest, so both can fill one folder.
+    ``parsed``: the cells come from a parser and are stored before they are judged.
+    A sheet is judged by what of it is in the micro-batch.
     """
     loaded: list[tuple[int, str | None]] = []
-    notes = checkpoint.rstrip("/") + "-dates"
+    notes = checkpoint.rstrip("/") + "-notes"
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        date = None if run_date is None else epoch_date(spark, notes, epoch_id, run_date)
-        seen = Observation(f"batch_{epoch_id}")
-        rows = wb.to_rows(cells_of(batch), positions, names, date, arrival=True)
-        rows = rows.withColumn(RUN_COL, F.lit(run_name(epoch_id)))
-        parts = ([] if date is None else ["load_date"]) + [RUN_COL]
-        guard_schema(rows, target, parts)
-        (
-            rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-            .hint("rebalance")  # size-based files, not one per parse task
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts)
-            .parquet(target)
-        )
-        loaded.append((observed(seen, lambda: {"rows": 0})["rows"], date))
+        run, date = epoch_note(spark, notes, epoch_id, run_date)
+        cells, folders = cells_of(noted.new_rows(batch, run) if noted else batch), []
+        if parsed:
+            cells, folder = staged_cells(cells)
+            folders.append(folder)
+        got = load_cells(cells, positions, names, target, run, date, f"_{epoch_id}")
+        if noted:
+            noted.finish(batch, run, date)
+        for folder in [*folders, got.report_folder]:
+            tables.remove_folder(spark, folder)
+        loaded.append((got.rows, date))
 
     query = (
         stream.writeStream.foreachBatch(load_batch)
@@ -104,6 +127,8 @@ def ingest_new_files(
     archive_dir: str | None = None,
     max_files_per_batch: int | None = None,
     pattern: str = "*.xlsx",
+    manifest: Manifest | None = None,
+    source: str = "",
 ) -> IncrementalResult:
     """Load the workbooks not seen before.
 
@@ -121,11 +146,24 @@ def ingest_new_files(
         # Path mode selects only ``path``, so the batch never reads the bytes.
         return wb.scan_cells(files, by_path=wb.workers_can_open(files))
 
-    return ingest_stream(spark, reader.load(inbox), cells_of, positions, names, target, checkpoint, run_date)
+    noted = Noted(manifest, source, ("path", "length", "modificationTime")) if manifest else None
+    return ingest_stream(spark, reader.load(inbox), cells_of, positions, names, target, checkpoint, run_date, noted, parsed=True)
 
 
 def ingest_new_drops(
-    spark: SparkSession, inbox: str, positions: Sequence[int], names: Sequence[str], target: str, checkpoint: str, run_date=None
+    spark: SparkSession,
+    inbox: str,
+    positions: Sequence[int],
+    names: Sequence[str],
+    target: str,
+    checkpoint: str,
+    run_date=None,
+    manifest: Manifest | None = None,
+    source: str = "",
+    archive_dir: str | None = None,
 ) -> IncrementalResult:
-    """Load the part files of a JSON-lines drop that were not seen before."""
-    return ingest_stream(spark, drops.stream_drop(spark, inbox), lambda cells: cells, positions, names, target, checkpoint, run_date)
+    """Load the part files of a JSON-lines drop that were not seen before (``archive_dir`` as for workbooks)."""
+    options = {"cleanSource": "archive", "sourceArchiveDir": archive_dir} if archive_dir else None
+    noted = Noted(manifest, source, ("part_path", "part_size", "part_modified")) if manifest else None
+    stream = drops.stream_drop(spark, inbox, options)
+    return ingest_stream(spark, stream, lambda cells: cells, positions, names, target, checkpoint, run_date, noted)
