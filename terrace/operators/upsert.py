@@ -9,11 +9,13 @@ so a key with a NULL part never matches and such rows are always inserted
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators.frames import dedup_latest, duplicate_keys, observed
@@ -66,20 +68,15 @@ class KeyedSource:
 def _unique_or_fail(salted: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """The rows as they are; a key that repeats fails the job that reads it.
 
-    One aggregate by key, whose partitioning the merge join then reuses; rows
-    with a NULL key part pass through it as often as they occur.
+    The check is an aggregate of its own over the key columns alone (combined
+    map-side), whose one value every row is filtered by; the rows go to the merge
+    untouched. Rows with a NULL key part never match, so they may repeat.
     """
-    by = _group_keys(salted, keys, null_safe)
-    rest = [c for c in salted.columns if c not in by]
-    # alike rows without a usable key are rows of their own: kept by their number
-    rows = salted.groupBy(*by).agg(
-        F.max(F.struct(*rest) if rest else F.struct(F.lit(1))).alias("_w"), F.count(F.lit(1)).alias("_n")
-    )
-    text = F.concat(F.lit("source repeats key "), F.to_json(F.struct(*keys)))
-    keyless = F.col(SALT) != 0 if SALT in by else F.lit(False)
-    times = F.when(keyless, F.col("_n")).when(F.col("_n") == 1, F.lit(1)).otherwise(F.raise_error(text).cast("long"))
-    each = rows.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), times)))
-    return each.select(*[F.col(f"_w.{c}").alias(c) if c in rest else F.col(c) for c in salted.columns])
+    usable = salted if null_safe else salted.filter(~_any_null(keys))
+    repeated = F.when(F.col("n_rows") > 1, F.to_json(F.struct(*keys)))
+    found = usable.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).agg(F.max(repeated)).scalar()
+    text = F.concat(F.lit("source repeats key "), found)
+    return salted.filter(F.when(found.isNotNull(), F.raise_error(text).cast("boolean")).otherwise(F.lit(True)))
 
 
 def split_source(
@@ -278,6 +275,35 @@ def partition_filter(cols: Sequence[str], tuples: Sequence[tuple]):
     return reduce(lambda a, b: a | b, branches)
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """How a table's rows are dealt: by a hash of some key columns, into ``n`` buckets."""
+
+    n: int
+    columns: tuple[str, ...]
+
+
+def buckets_of(spark: SparkSession, name: str) -> Buckets | None:
+    """A stored table's buckets; None if it has none or is not there."""
+    if not tables.table_exists(spark, name):
+        return None
+    said = {r.col_name: r.data_type for r in tables.describe(spark, name).filter("col_name in ('Num Buckets', 'Bucket Columns')").collect()}
+    if "Num Buckets" not in said:
+        return None
+    return Buckets(int(said["Num Buckets"]), tuple(re.findall(r"`([^`]+)`", said["Bucket Columns"])))
+
+
+@contextmanager
+def co_located(spark: SparkSession, on: bool = True) -> Iterator[None]:
+    """Plans made inside keep a bucketed side where it lies: a join on more columns than
+    the buckets' is served by them, and the other side is dealt to match."""
+    if not on:
+        yield
+        return
+    with tables.setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        yield
+
+
 def upsert_partitions(
     source: DataFrame,
     name: str,
@@ -289,6 +315,7 @@ def upsert_partitions(
     location: str | None = None,
     drop_columns: Sequence[str] = (),
     history: str | None = None,
+    buckets: Buckets | None = None,
 ) -> UpsertResult:
     """Upsert into a table partitioned by columns that are part of the key,
     rewriting only the partitions the source touches.
@@ -307,6 +334,11 @@ def upsert_partitions(
     de-duplication and left out of the table. The first load creates the
     table (at ``location`` when given) or fills an empty one. ``total`` is
     the whole table's row count.
+
+    With ``buckets`` the table is created bucketed on part of the key, and a
+    table that is bucketed already (whatever is passed) is merged where it lies: the
+    source alone is shuffled, to the target's buckets, and the merged rows are
+    written from there, sorted, one file for each bucket and partition.
     """
     spark = source.sparkSession
     missing = [c for c in partition_cols if c not in keys]
@@ -317,27 +349,30 @@ def upsert_partitions(
     staged = spark.read.schema(source.schema).parquet(folder)
     src = split_source(staged, keys, on_duplicate, order_by, null_safe, drop_columns)
     order = [*partition_cols, *[k for k in keys if k not in partition_cols]]
-
-    def clustered(df: DataFrame) -> DataFrame:
+    buckets = buckets_of(spark, name) or buckets
+    if buckets and (alien := [c for c in buckets.columns if c not in keys]):
+        raise ValueError(f"bucket columns {alien} must be part of the key")
+
+    def dealt(df: DataFrame, in_place: bool = False) -> DataFrame:
+        """Rows by partition and key, or by bucket where the table has some."""
+        if buckets:
+            return df if in_place else df.repartition(buckets.n, *buckets.columns)
         by = [*[F.col(c) for c in order], F.xxhash64(*df.columns)]
         return df.repartitionByRange(*by).sortWithinPartitions(*by)
 
     def written(df: DataFrame) -> None:
-        key = "spark.sql.sources.partitionOverwriteMode"
-        old = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
-        try:
+        with tables.setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
-        finally:
-            spark.conf.set(key, old)
 
     if tables.is_empty(spark, name):
         obs = Observation("first_load")
-        first = clustered(src.whole()).observe(obs, F.count(F.lit(1)).alias("n"))
+        first = dealt(src.whole()).observe(obs, F.count(F.lit(1)).alias("n"))
         if tables.table_exists(spark, name):
             written(first)
         else:
             w = first.write.format("parquet").partitionBy(*partition_cols)
+            if buckets:
+                w = w.bucketBy(buckets.n, *buckets.columns).sortBy(*buckets.columns)
             (w.option("path", location) if location else w).saveAsTable(name)
         n = observed(obs, lambda: {"n": 0})["n"]
         result = UpsertResult("first_load", name, n, 0, n)
@@ -348,17 +383,19 @@ def upsert_partitions(
             target = target.filter(partition_filter(list(partition_cols), touched))
         else:
             target = target.limit(0)
-        changes = clustered(merge_changes(target, src, keys, null_safe))
-        obs = Observation("merge_partitions")
-        ch = F.col(CHANGE)
-        # observed after the exchange: the range bounds' sampling pass does not count
-        watched = changes.observe(
-            obs, F.count_if(ch == INSERT).alias("inserted"), F.count_if(ch == UPDATE).alias("updated")
-        ).drop(CHANGE)
-        written(watched)
+        with co_located(spark, bool(buckets)):
+            changes = dealt(merge_changes(target, src, keys, null_safe), in_place=True)
+            obs = Observation("merge_partitions")
+            ch = F.col(CHANGE)
+            # observed after the exchange: the range bounds' sampling pass does not count
+            watched = changes.observe(
+                obs, F.count_if(ch == INSERT).alias("inserted"), F.count_if(ch == UPDATE).alias("updated")
+            ).drop(CHANGE)
+            written(watched)
         m = observed(obs, lambda: {"inserted": 0, "updated": 0})
         spark.catalog.refreshTable(name)
         result = UpsertResult("merge_partitions", name, m["inserted"], m["updated"], spark.table(name).count())
+    tables.remove_folder(spark, folder)
     if history:
         record_history(spark, history, name, result)
     return result

@@ -404,10 +404,14 @@ FROM led"""
         order = ", ".join(f"{c} DESC NULLS LAST" for c in rest)
         return f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn FROM {src}) WHERE rn = 1)"
 
-    q["layers_end_to_end"] = with_(m_trim, members_clean_sql(), HOLDERS_RAW, holders_clean_sql()) + f"""
+    all_layers = f"""
   SELECT DISTINCT m.policy_id, m.policy_start, m.policy_end, m.cover_start, m.cover_end,
          h.holder_doc_no, h.holder_name, m.doc_type, m.doc_no, m.doc_last_digit, m.member_name
   FROM {latest("members_typed WHERE policy_id IS NOT NULL", m_keys, m_rest)} m
   LEFT JOIN {latest("holders_typed WHERE policy_id IS NOT NULL AND holder_name IS NOT NULL", h_keys, h_rest)} h
     ON m.policy_id = h.policy_id"""
+    q["upsert_bucketed"] = q["upsert_by_partition"]
+    q["gold_bucketed"] = q["gold_consolidated"]
+    q["layers_end_to_end"] = with_(m_trim, members_clean_sql(), HOLDERS_RAW, holders_clean_sql()) + all_layers
+    q["gold_incremental"] = with_(MEMBERS_RAW, members_clean_sql(), HOLDERS_RAW, holders_clean_sql()) + all_layers
     return q

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
 from terrace.operators import frames, layout, upsert
-from terrace.plans import bronze, feeds, medallion, runs
+from terrace.plans import bronze, feeds, medallion, report, runs
 from terrace.plans.manifest import Manifest
 from terrace.session import scratch_dir
 from terrace.sources import drops, tables
@@ -818,6 +818,66 @@ def upsert_by_partition(spark, sf_dir):
     return spark.table(name)
 
 
+@register("upsert_bucketed")
+def upsert_bucketed(spark, sf_dir):
+    """The same upsert into a table that is also bucketed by order: the merge
+    does not shuffle the stored side, and the result is bucketed again."""
+    target, source = order_batches(spark, sf_dir)
+    year = F.year("o_orderdate").alias("o_year")
+    name = f"orders_bucketed_{uuid.uuid4().hex[:10]}"
+    loc = scratch_dir(spark, "orders_bucketed")
+    keys, parts, buckets = ("o_orderkey", "o_year"), ("o_year",), upsert.Buckets(8, ("o_orderkey",))
+    for rows in (target, source):
+        upsert.upsert_partitions(rows.select("*", year), name, keys, parts, location=loc, buckets=buckets)
+    return spark.table(name)
+
+
+def bucketed_clean(spark, sf_dir) -> tuple[str, str]:
+    """Both clean tables by period, dealt by policy."""
+    folder, tag = scratch_dir(spark, "clean_bucketed"), uuid.uuid4().hex[:10]
+    made = []
+    for feed, clean, raw in (
+        (medallion.MEMBERS, medallion.clean_members, members_raw),
+        (medallion.HOLDERS, medallion.clean_holders, holders_raw),
+    ):
+        name = f"{feed.name}_bucketed_{tag}"
+        rows = clean(raw(spark, sf_dir), RUN_DATE).repartition(8, "policy_id")
+        w = rows.write.partitionBy(*runs.PERIOD).bucketBy(8, "policy_id").sortBy("policy_id")
+        w.option("path", f"{folder}/{feed.name}").format("parquet").saveAsTable(name)
+        made.append(name)
+    return tuple(made)
+
+
+@register("gold_bucketed")
+def gold_bucketed(spark, sf_dir):
+    """The report's join over clean tables that are both dealt by policy: no shuffle at all."""
+    members, holders = bucketed_clean(spark, sf_dir)
+    return medallion.consolidate(spark.table(members), spark.table(holders))
+
+
+@register("gold_incremental")
+def gold_incremental(spark, sf_dir):
+    """Three overlapping loads by movement month, each merged into the clean
+    tables and brought into the report by its policies."""
+    folder, tag = scratch_dir(spark, "gold_incremental"), uuid.uuid4().hex[:10]
+    members, holders, gold = (f"{n}_{tag}" for n in ("m_inc", "h_inc", "g_inc"))
+    arrival = ("source_file", "sheet_no", "row_no")
+    for load, months in enumerate(((1, 6), (5, 9), (9, 12))):
+        for feed, clean, raw, name in (
+            (medallion.MEMBERS, medallion.clean_members, members_raw, members),
+            (medallion.HOLDERS, medallion.clean_holders, holders_raw, holders),
+        ):
+            rows = clean(raw(spark, sf_dir), RUN_DATE, distinct=False, carry=arrival)
+            batch = rows.filter(F.col("mov_month").between(*months) | F.col("mov_month").isNull())
+            upsert.upsert_partitions(
+                batch, name, feed.keys, runs.PERIOD, on_duplicate="latest", order_by=arrival, drop_columns=arrival,
+                location=f"{folder}/{name}", buckets=upsert.Buckets(8, ("policy_id",)),
+            )
+            report.note_changes(batch, folder + "/changes", f"{feed.name}-{load}")
+        report.refresh_changed(spark, members, holders, gold, folder + "/changes", parts=16, location=f"{folder}/{gold}")
+    return spark.table(gold).select(*medallion.GOLD_COLUMNS)
+
+
 @register("member_rejects")
 def member_rejects(spark, sf_dir):
     return medallion.member_rejects(members_raw(spark, sf_dir))

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from terrace.operators import layout, upsert
 from terrace.operators.frames import load_slice, observed
-from terrace.plans import bronze, medallion
+from terrace.functions import columns as C
+from terrace.plans import bronze, medallion, report
 from terrace.plans.bronze import ARRIVAL
 from terrace.plans.manifest import Manifest
 from terrace.session import scratch_dir, size_shuffle_partitions
@@ -110,6 +111,8 @@ def refresh_feed(
     by_period: bool = False,
     table_root: str | None = None,
     stats_columns: tuple[str, ...] = (),
+    buckets: int = 0,
+    changes: str | None = None,
     **options,
 ) -> tuple[upsert.UpsertResult | None, dict]:
     """Clean one load date of one feed and upsert it by its key.
@@ -117,7 +120,9 @@ def refresh_feed(
     The key is fewer columns than the row, so rows may share a key. By
     default the row that arrived last wins (later run, file, sheet, row), and
     the replaced ones are counted; without the columns of arrival a repeated
-    key is an error.
+    key is an error. ``buckets`` (by period) deals the clean table by policy, so
+    that neither its merges nor the report's join shuffle it; ``changes`` is the
+    folder that notes the policies of the batch for the report.
     """
     if raw is None:
         return None, {}
@@ -140,7 +145,7 @@ def refresh_feed(
         location = f"{table_root.rstrip('/')}/{table}" if table_root else None
         result = upsert.upsert_partitions(
             source, table, feed.keys, PERIOD, null_safe, mode, order, location, drop_columns=arrival,
-            history=options.get("history"),
+            history=options.get("history"), buckets=upsert.Buckets(buckets, ("policy_id",)) if buckets else None,
         )
         if stats_columns:
             layout.analyze_columns(spark, table, stats_columns)
@@ -149,6 +154,9 @@ def refresh_feed(
             source, table, feed.keys, null_safe, mode, order, stats_columns=stats_columns, location_root=table_root,
             drop_columns=arrival, **options,
         )
+    if changes:
+        policies = batch.select(C.whole_number_via_decimal("policy_id", C.ID_PRECISION, "bigint").alias("policy_id"))
+        report.note_changes(policies, changes, f"{feed.name}-{bronze.new_run()}")
     found = observed(seen, lambda: batch.agg(*counts).first().asDict())
     clean_rows = observed(kept, lambda: {"clean_rows": 0})["clean_rows"]
     found["replaced"] = clean_rows - result.inserted - result.updated
@@ -169,6 +177,8 @@ def refresh_silver(
     history: str | None = None,
     by_period: bool = False,
     table_root: str | None = None,
+    buckets: int = 0,
+    changes: str | None = None,
 ) -> SilverResult:
     """Clean one load date of both feeds and upsert each by its key.
 
@@ -186,8 +196,9 @@ def refresh_silver(
         (medallion.HOLDERS, holders_raw, holders_table),
     ):
         results[feed.name], rejects[feed.name] = refresh_feed(
-            spark, feed, raw, run_date, table, on_duplicate, null_safe, by_period, table_root, stats_columns, **options
-        )
+            spark, feed, raw, run_date, table, on_duplicate, null_safe, by_period, table_root, stats_columns,
+            buckets, changes, **options
+        )
     if not any(results.values()):
         raise EmptySlice(f"no raw rows for load date {run_date}")
     return SilverResult(results["members"], results["holders"], rejects)
@@ -249,6 +260,8 @@ class PipelineConfig:
     cluster_files: int = 0  # z-order the clean tables on their keys (full-version mode)
     stats_columns: tuple[str, ...] = ("policy_id",)
     by_period: bool = True  # partition the clean tables by period, rewrite touched periods only
+    buckets: int = 0  # deal the clean tables by policy into that many buckets (by period only)
+    report_parts: int = 0  # keep the report by changed policies, in that many parts (0: build it anew each run)
     table_root: str | None = None  # folder for the clean and reporting tables' files (default: warehouse)
     manifest: str | None = None  # folder of the record of loaded files (None: beside the ledger)
     members_processed: str | None = None  # where loaded files are moved (None: left in the inbox)
@@ -276,6 +289,7 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
     run_date = parse_run_date(str(run_date)) if run_date else local_today()
     run_id = f"{run_date.isoformat()}-{_dt.datetime.now(_dt.timezone.utc):%H%M%S%f}"
     counts, dates = {}, {run_date.isoformat()}
+    changes = cfg.ledger.rstrip("/") + "_changes" if cfg.report_parts else None
     manifest = Manifest(spark, cfg.manifest or cfg.ledger.rstrip("/") + "_files")
     if on_demand:
         counts = {"members": ON_DEMAND, "holders": ON_DEMAND}
@@ -334,6 +348,8 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
                     history=cfg.history,
                     by_period=cfg.by_period,
                     table_root=cfg.table_root,
+                    buckets=cfg.buckets if cfg.by_period else 0,
+                    changes=changes,
                 )
             except EmptySlice as none_left:
                 empty = none_left
@@ -346,7 +362,16 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
             spark, sum(tables.stored_bytes(spark, tables.location(spark, r.version)) for r in clean)
         )
         try:
-            gold = refresh_gold(spark, cfg.members_table, cfg.holders_table, cfg.gold_table, table_root=cfg.table_root)
+            if changes is None:
+                gold = refresh_gold(spark, cfg.members_table, cfg.holders_table, cfg.gold_table, table_root=cfg.table_root)
+            elif tables.is_empty(spark, cfg.members_table) or tables.is_empty(spark, cfg.holders_table):
+                gold = None
+            else:
+                place = f"{cfg.table_root.rstrip('/')}/{cfg.gold_table}" if cfg.table_root else None
+                report.refresh_changed(
+                    spark, cfg.members_table, cfg.holders_table, cfg.gold_table, changes, cfg.report_parts, place
+                )
+                gold = cfg.gold_table
         except EmptySlice:
             gold = None  # one clean table has no rows yet
     finally:
