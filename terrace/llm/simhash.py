@@ -9,7 +9,8 @@ within the radius agree on at least two whole blocks, so for every pair of
 blocks the distinct fingerprints are bucketed by the bits of both. Within a
 bucket, bit planes are stored vertically (64 fingerprints to a word), one
 query's distances to all of them are summed by carry-save counters plane by
-plane, and a block of lanes is abandoned once all exceed the radius. A bucket
+plane, and a block (one query, 64 fingerprints) is abandoned once all its lanes
+exceed the radius: of random fingerprints less than half of the planes are read. A bucket
 over ``TILE`` rows is cut into chunks and every pair of chunks becomes a task
 of its own, so no bucket is capped and none is held whole.
 
@@ -24,7 +25,7 @@ Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -87,66 +88,102 @@ def planes_of(values: np.ndarray) -> np.ndarray:
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
 
 
-def lanes_within(differences: Iterator[np.ndarray], shape: tuple, radius: int) -> np.ndarray:
-    """Lanes whose planes of ``differences`` hold at most ``radius`` ones; stops once no lane can.
+FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-    Carry-save counting: plane i of the counter holds bit i of every lane's
-    count; ``over`` collects lanes whose count has passed the radius.
+
+def lanes_within(
+    bits: list[int], difference: Callable[[int, np.ndarray], np.ndarray], over: np.ndarray, radius: int, tally: list | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(blocks, lanes): the blocks of 64 lanes that hold lanes with at most ``radius`` ones, and those lanes.
+
+    ``difference(b, blocks)`` gives plane ``b`` of some blocks; lanes set in ``over``
+    (padding, or not asked for) are out from the start. Carry-save counting: plane
+    i of the counter holds bit i of every lane's count, and ``over`` collects the lanes whose
+    count has passed it. A block whose lanes have all passed is
+    abandoned: no further plane of it is read. ``tally`` gets the number of blocks read at each plane.
     """
     width = radius.bit_length()
-    counter = [np.zeros(shape, np.uint64) for _ in range(width)]
-    over = np.zeros(shape, np.uint64)
-    full = np.uint64(0xFFFFFFFFFFFFFFFF)
-    for k, carry in enumerate(differences):
+    blocks = np.flatnonzero(over != FULL)
+    over = over[blocks]
+    counter = [np.zeros(len(blocks), np.uint64) for _ in range(width)]
+    for k, b in enumerate(bits):
+        if not len(blocks):
+            break
+        if tally is not None:
+            tally.append(len(blocks))
+        carry = difference(b, blocks)
         for i in range(width):
             counter[i], carry = counter[i] ^ carry, counter[i] & carry
         over |= carry
-        if (k & 7) == 7 and (over == full).all():
-            return np.zeros(shape, np.uint64)
+        if k > radius and k & 1:
+            alive = over != FULL
+            if np.count_nonzero(alive) < 0.9 * len(blocks):
+                blocks, over, counter = blocks[alive], over[alive], [c[alive] for c in counter]
     # counts that fit the counter's bits but exceed the radius
-    greater, equal = np.zeros(shape, np.uint64), np.full(shape, full)
+    greater, equal = np.zeros(len(blocks), np.uint64), np.full(len(blocks), FULL)
     for i in reversed(range(width)):
         if radius >> i & 1:
             equal = equal & counter[i]
         else:
             greater |= equal & counter[i]
             equal = equal & ~counter[i]
-    return ~(over | greater)
+    lanes = ~(over | greater)
+    held = lanes != 0
+    return blocks[held], lanes[held]
+
+
+def lanes_up_to(n: int, words: int) -> np.ndarray:
+    """``words`` blocks in which the first ``n`` lanes are set."""
+    filled = np.clip(n - 64 * np.arange(words), 0, 64)
+    return np.where(filled == 64, FULL, (np.uint64(1) << (filled % 64).astype(np.uint64)) - np.uint64(1))
 
 
 def unpack(lanes: np.ndarray, n: int) -> np.ndarray:
     return np.unpackbits(np.ascontiguousarray(lanes).view(np.uint8), axis=-1, bitorder="little")[..., :n].astype(bool)
 
 
-def linked_pairs(left: np.ndarray, right: np.ndarray, bits: list[int], radius: int) -> np.ndarray:
+def linked_pairs(left: np.ndarray, right: np.ndarray, bits: list[int], radius: int, tally: list | None = None) -> np.ndarray:
     """For aligned arrays, whether ``left[i]`` and ``right[i]`` are within the radius (lanes are the pairs)."""
     planes = planes_of(left ^ right)
-    return unpack(lanes_within((planes[b] for b in bits), planes.shape[1:], radius), len(left))
+    words = planes.shape[1]
+    blocks, lanes = lanes_within(bits, lambda b, at: planes[b][at], ~lanes_up_to(len(left), words), radius, tally)
+    out = np.zeros(words, np.uint64)
+    out[blocks] = lanes
+    return unpack(out, len(left))
+
+
+def local_links(prints: np.ndarray, bits: list[int], radius: int, tally: list | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) places, i < j, of one bucket's fingerprints within the radius, some queries at a time.
+
+    A block is one query against 64 fingerprints; a query's own lane and those before it are not asked for.
+    """
+    n, planes = len(prints), planes_of(prints)
+    for at in range(0, n, QUERIES_AT_ONCE):
+        asked, from_word = prints[at : at + QUERIES_AT_ONCE], at // 64
+        words = planes.shape[1] - from_word
+        out = ~lanes_up_to(n - 64 * from_word, words)
+        over = np.stack([out | lanes_up_to(at + i + 1 - 64 * from_word, words) for i in range(len(asked))])
+
+        def difference(b, blocks, asked=asked, from_word=from_word, words=words):
+            flip = np.where((asked >> np.uint64(b)) & np.uint64(1), FULL, np.uint64(0))
+            return planes[b, from_word + blocks % words] ^ flip[blocks // words]
+
+        blocks, lanes = lanes_within(bits, difference, over.ravel(), radius, tally)
+        block, lane = np.nonzero(unpack(lanes[:, None], 64)) if len(blocks) else (blocks, blocks)
+        yield at + blocks[block] // words, 64 * (from_word + blocks[block] % words) + lane
 
 
 def local_stars(prints: np.ndarray, nodes: np.ndarray, bits: list[int], radius: int) -> list[tuple[int, int]]:
     """Spanning stars (node, its component's smallest node) among one bucket's fingerprints."""
-    n = len(prints)
-    planes, label = planes_of(prints), np.arange(n)
-    ones = np.uint64(0xFFFFFFFFFFFFFFFF)
-    for at in range(0, n, QUERIES_AT_ONCE):
+    label = np.arange(len(prints))
+    for i, j in local_links(prints, bits, radius):
+        cuts = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else i
+        for s, e in zip(cuts, np.append(cuts[1:], len(i))):
+            met = np.unique(np.append(label[j[s:e]], label[i[s]]))
+            if len(met) > 1:
+                label[np.isin(label, met)] = met[0]
         if (label == label[0]).all():
             break
-        asked = prints[at : at + QUERIES_AT_ONCE]
-        from_word = at // 64
-        block = planes[:, from_word:]
-
-        def differences(asked=asked, block=block):
-            for b in bits:
-                flip = np.where((asked >> np.uint64(b)) & np.uint64(1), ones, np.uint64(0))
-                yield block[b][None, :] ^ flip[:, None]
-
-        near = unpack(lanes_within(differences(), (len(asked), block.shape[1]), radius), n - from_word * 64)
-        for i, hits in enumerate(near):
-            met = np.unique(label[from_word * 64 :][hits])
-            if len(met) > 1 or met[0] != label[at + i]:
-                met = np.append(met, label[at + i])
-                label[np.isin(label, met)] = met.min()
     out = []
     for root in np.unique(label):
         own = nodes[label == root]

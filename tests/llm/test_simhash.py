@@ -106,3 +106,39 @@ def test_large_buckets_are_tiled_without_loss(spark):
     low = {x: min(i for i, y in enumerate(label) if y == x) for x in set(label)}
     assert [linked.get(i, i) for i in range(len(prints))] == [low[x] for x in label]
     assert len(set(label)) < 60
+
+
+@pytest.mark.parametrize("n", [17, 64, 65, 100, 128, 700])
+def test_links_of_a_bucket_against_all_pairs(n):
+    rng = np.random.default_rng(n)
+    prints = rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, n, dtype=np.uint64)
+    for k in range(0, n - 3, 3):  # near ones within a block of lanes and across
+        prints[n - 1 - k] = prints[k] ^ np.uint64(int(sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 6), replace=False))))
+    got = {(int(a), int(b)) for i, j in simhash.local_links(prints, list(range(64)), 3) for a, b in zip(i, j)}
+    assert got == {(i, j) for i in range(n) for j in range(i + 1, n) if int(prints[i] ^ prints[j]).bit_count() <= 3}
+    assert len(got) >= 3
+
+
+def test_blocks_are_abandoned():
+    """Random buckets, full and ragged: less than half of the planes are read; the masked-out parts none."""
+    rng = np.random.default_rng(9)
+    mask = simhash.block_masks(3)[0]
+    bits = [b for b in range(64) if not mask >> b & 1]
+    for n in (100, 128, 1000, 5000):
+        prints = rng.integers(0, 2**63, n, dtype=np.uint64) & ~np.uint64(mask)
+        tally, seen = [], 0
+        for at in simhash.local_links(prints, bits, 3, tally):
+            seen += len(at[0])
+        assert seen == 0
+        asked = sum(-(-n // 64) - i // 64 for i in range(n))  # blocks that hold a later fingerprint
+        assert sum(tally) < 0.5 * len(bits) * asked
+        pairs = []
+        simhash.linked_pairs(prints[:-1], prints[1:], bits, 3, pairs)
+        assert sum(pairs) < 0.55 * len(bits) * -(-(n - 1) // 64)
+
+
+def test_a_dense_bucket_is_one_star():
+    base = np.uint64(0x0123456789ABCDEF)
+    near = [base] + [base ^ np.uint64(1 << b) for b in range(40)] + [base ^ np.uint64(3 << b) for b in range(0, 40, 2)]
+    stars = simhash.local_stars(np.array(near, np.uint64), np.arange(len(near)) + 7, list(range(64)), 3)
+    assert sorted(stars) == [(k + 7, 7) for k in range(1, len(near))]
