@@ -172,6 +172,7 @@ def build() -> dict[str, str]:
     gold_ctes = with_(MEMBERS_RAW, members_clean_sql(), HOLDERS_RAW, holders_clean_sql())
     q["gold_consolidated"] = gold_ctes + GOLD_SELECT.format(cond="m.policy_id = h.policy_id")
     q["gold_salted"] = q["gold_consolidated"]
+    q["gold_heavy_hitters"] = q["gold_consolidated"]
     q["gold_by_period"] = gold_ctes + GOLD_SELECT.format(
         cond="m.policy_id = h.policy_id AND m.mov_year = h.mov_year AND m.mov_month = h.mov_month"
     )
@@ -364,6 +365,18 @@ FROM r GROUP BY source_file"""
     )
     q["compacted"] = "SELECT * FROM lineitem"
     q["zordered"] = "SELECT * FROM lineitem"
+    q["sketch_stats"] = "\n  UNION ALL\n".join(
+        f"""  SELECT '{c}' AS col_name, count(*) AS n_rows, count(*) - count({c}) AS num_nulls,
+         {f"CAST(min({c}) AS VARCHAR)" if c != "o_totalprice" else "CAST(NULL AS VARCHAR)"} AS min_value,
+         {f"CAST(max({c}) AS VARCHAR)" if c != "o_totalprice" else "CAST(NULL AS VARCHAR)"} AS max_value,
+         TRUE AS distinct_near, TRUE AS ranks_near FROM orders"""
+        for c in ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    )
+    q["table_files"] = """
+  SELECT 'o_year=' || year(o_orderdate) AS partition, CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows,
+         (SELECT count(DISTINCT year(o_orderdate)) FROM orders) AS partitions,
+         (SELECT count(DISTINCT year(o_orderdate)) FROM orders) AS files, TRUE AS bytes_add_up, CAST(0 AS BIGINT) AS versions
+  FROM orders GROUP BY year(o_orderdate)"""
     q["column_stats"] = """
   SELECT 'o_orderkey' AS col_name, CAST(min(o_orderkey) AS VARCHAR) AS min_value,
          CAST(max(o_orderkey) AS VARCHAR) AS max_value, count(*) - count(o_orderkey) AS num_nulls FROM orders

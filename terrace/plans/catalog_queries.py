@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
-from terrace.operators import frames, layout, upsert
+from terrace.operators import frames, layout, statistics, upsert
 from terrace.plans import bronze, feeds, medallion, report, runs
 from terrace.plans.manifest import Manifest
 from terrace.session import scratch_dir
@@ -74,6 +74,15 @@ def gold_salted(spark, sf_dir):
     return medallion.report_from_raw(members_raw(spark, sf_dir), holders_raw(spark, sf_dir), RUN_DATE, salt=8)
 
 
+@register("gold_heavy_hitters")
+def gold_heavy_hitters(spark, sf_dir):
+    """The reporting join with only the policies of many members split, as a
+    frequent-items sketch finds them; same result as gold_consolidated."""
+    members = medallion.clean_members(members_raw(spark, sf_dir), RUN_DATE, distinct=False)
+    holders = medallion.clean_holders(holders_raw(spark, sf_dir), RUN_DATE, distinct=False)
+    return medallion.consolidate(members, holders, salt=8, hot=medallion.hot_policies(members, support=0.02))
+
+
 @register("gold_by_period")
 def gold_by_period(spark, sf_dir):
     return medallion.report_from_raw(members_raw(spark, sf_dir), holders_raw(spark, sf_dir), RUN_DATE, by_period=True)
@@ -673,6 +682,54 @@ def table_detail(spark, sf_dir):
     return detail.filter(F.col("col_name").isin(orders.columns)).select("col_name", "data_type")
 
 
+@register("sketch_stats")
+def sketch_stats(spark, sf_dir):
+    """Statistics of the orders' columns merged from one load a year; the sketches
+    are held against the exact counts (within 5 % of the distinct values, and of
+    the ranks, where there are over 1,000)."""
+    folder = scratch_dir(spark, "sketches")
+    orders = table(spark, sf_dir, "orders")
+    cols = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+    year = F.year("o_orderdate")
+    for r in orders.select(year.alias("y")).distinct().collect():  # a handful of loads
+        statistics.record(orders.filter(year.eqNullSafe(F.lit(r.y))), cols, folder, str(r.y))
+    merged = statistics.summary(statistics.merge(statistics.recorded(spark, folder)))
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in cols]).unpivot([], cols, "col_name", "exact")
+    q = {r.col_name: r.quantiles for r in merged.collect()}
+    ranks = orders.agg(
+        *[
+            (F.greatest(*[F.abs(F.avg((F.col(c) <= v).cast("double")) - p) for p, v in zip((0.25, 0.5, 0.75), q[c])]) if q[c] else F.lit(None).cast("double")).alias(c)
+            for c in cols
+        ]
+    ).unpivot([], cols, "col_name", "off")
+    near = F.abs(F.col("distinct_estimate") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.05)
+    return merged.join(exact, "col_name").join(ranks, "col_name").select(
+        "col_name", "n_rows", "num_nulls",
+        F.when(F.col("col_name") != "o_totalprice", F.col("min_value")).alias("min_value"),
+        F.when(F.col("col_name") != "o_totalprice", F.col("max_value")).alias("max_value"),
+        near.alias("distinct_near"),
+        F.coalesce((F.col("off") < 0.05) | (F.col("n_rows") < 1000), F.lit(True)).alias("ranks_near"),
+    )
+
+
+@register("table_files")
+def table_files(spark, sf_dir):
+    """Detail of the orders stored by year, from its files: what is counted over
+    the listing must be what the data says (one file a year, all bytes in files)."""
+    folder, name = scratch_dir(spark, "table_files"), f"orders_files_{uuid.uuid4().hex[:10]}"
+    orders = table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    tables.overwrite(orders.repartition("o_year"), name, ["o_year"], location=folder + "/t")
+    per_part = tables.files(spark, name).groupBy("partition").agg(F.count(F.lit(1)).alias("n_files"), F.sum("bytes").alias("part_bytes"))
+    whole = tables.detail(spark, name)
+    rows = spark.table(name).groupBy(F.concat(F.lit("o_year="), F.col("o_year").cast("string")).alias("partition")).agg(F.count(F.lit(1)).alias("n_rows"))
+    total = per_part.agg(F.sum("part_bytes")).scalar()
+    of = lambda c: whole.select(c).scalar()
+    return per_part.join(rows, "partition").select(
+        "partition", "n_files", "n_rows", of("partitions").alias("partitions"), of("files").alias("files"),
+        (of("bytes") == total).alias("bytes_add_up"), of("versions").alias("versions"),
+    )
+
+
 # --- runs: ledger gate, replay ---------------------------------------------
 
 MEMBER_EVENTS = ("signup", "purchase")

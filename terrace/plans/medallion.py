@@ -160,7 +160,29 @@ def clean_holders(
     return out.distinct() if distinct else out
 
 
-def consolidate(members: DataFrame, holders: DataFrame, by_period: bool = False, salt: int = 0) -> DataFrame:
+def hot_policies(members: DataFrame, support: float = 0.005) -> list:
+    """Policies that may hold more than ``support`` of the members: a frequent-items
+    sketch, merged from the partitions, that misses none and keeps at most
+    ``1 / support`` (some may be rarer; that costs a few repeated holders, no row)."""
+    found = members.select("policy_id").stat.freqItems(["policy_id"], support).first()[0]
+    return sorted(p for p in found if p is not None)
+
+
+def salted_sides(m: DataFrame, h: DataFrame, salt: int, hot: list | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt``: a member row gets one value by its hash, a holder row is
+    repeated for each; with ``hot`` only rows of those policies, all others have salt 0."""
+    split = F.pmod(F.xxhash64(*m.columns), F.lit(salt)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(salt - 1))
+    if hot is not None:
+        is_hot = F.col("policy_id").isin(hot) if hot else F.lit(False)
+        split = F.when(is_hot, split).otherwise(F.lit(0))
+        every = F.when(is_hot, every).otherwise(F.array(F.lit(0)))
+    return m.withColumn("_salt", split), h.withColumn("_salt", F.explode(every))
+
+
+def consolidate(
+    members: DataFrame, holders: DataFrame, by_period: bool = False, salt: int = 0, hot: list | None = None
+) -> DataFrame:
     """Members left-joined to holders on policy (and period when asked),
     projected to the reporting columns, de-duplicated.
 
@@ -174,7 +196,9 @@ def consolidate(members: DataFrame, holders: DataFrame, by_period: bool = False,
     join. Where AQE is off, ``salt > 1`` splits every policy explicitly:
     each member row gets one salt from a hash of its columns and the
     de-duplicated holders side is repeated once per salt value, so a
-    member still meets each of its policy's holders exactly once.
+    member still meets each of its policy's holders exactly once. With ``hot``
+    (:func:`hot_policies`) only those policies are split and only their holders
+    repeated; which ones they are never changes the result.
     """
     period = ["mov_year", "mov_month"] if by_period else []
     m_cols = [c for c in GOLD_COLUMNS if c not in ("holder_doc_no", "holder_name")] + period
@@ -182,8 +206,7 @@ def consolidate(members: DataFrame, holders: DataFrame, by_period: bool = False,
     h = holders.select(*h_keys, "holder_doc_no", "holder_name").distinct()
     m = members.select(*m_cols).distinct()
     if salt > 1:
-        m = m.withColumn("_salt", F.pmod(F.xxhash64(*m_cols), F.lit(salt)).cast("int"))
-        h = h.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        m, h = salted_sides(m, h, salt, hot)
         h_keys = h_keys + ["_salt"]
     joined = m.join(h, on=h_keys, how="left").select(*GOLD_COLUMNS)
     # With the period in the join, members differing only in period project

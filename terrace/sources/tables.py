@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @contextmanager
@@ -164,3 +165,36 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 def describe(spark: SparkSession, name: str) -> DataFrame:
     """Table detail as rows (``DESCRIBE TABLE EXTENDED``)."""
     return spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(name)}")
+
+
+def files(spark: SparkSession, name_or_path: str) -> DataFrame:
+    """A stored table's data files as rows: partition folder (below the table's own), file, bytes, modified.
+
+    From the listing alone; no file is opened.
+    """
+    root = location(spark, name_or_path).rstrip("/")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    plain = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/+", "/")
+    below = F.substring(plain(F.col("path")), F.length(plain(F.lit(root))) + F.lit(2), F.length("path"))
+    return listed.select(
+        F.regexp_extract(below, "^(.*)/[^/]*$", 1).alias("partition"),
+        F.element_at(F.split("path", "/"), -1).alias("file"),
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("modified"),
+    )
+
+
+def detail(spark: SparkSession, name: str) -> DataFrame:
+    """One row: files, bytes, partitions, least and greatest file, last change, and versions kept of a versioned table."""
+    kept = versions(spark, name)
+    stored = files(spark, kept[-1] if kept else name)
+    return stored.agg(
+        F.lit(name).alias("table_name"),
+        F.count(F.lit(1)).alias("files"),
+        F.coalesce(F.sum("bytes"), F.lit(0).cast("long")).alias("bytes"),
+        F.count_distinct("partition").alias("partitions"),
+        F.min("bytes").alias("least_file"),
+        F.max("bytes").alias("greatest_file"),
+        F.max("modified").alias("last_change"),
+        F.lit(len(kept)).cast("long").alias("versions"),
+    )
