@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
@@ -56,6 +56,9 @@ GOLD_COLUMNS = (
 # Reporting-table clustering columns.
 GOLD_CLUSTER_BY = ("doc_last_digit", "doc_no")
 # --- end of fixed values ---
+#: Prefix of the raw texts that stand beside the parsed columns while they are counted.
+RAW = "_raw_"
+MEMBER_PARSED = ("policy_id", *MEMBER_DATE_COLUMNS, "mov_year", "mov_month")
 
 
 def clean_members(
@@ -65,9 +68,12 @@ def clean_members(
     full_collapse: bool = False,
     distinct: bool = True,
     carry: tuple[str, ...] = (),
+    watch: Observation | None = None,
 ) -> DataFrame:
     """Raw members → typed, normalised, de-duplicated members. ``carry`` keeps
-    raw columns (the order of arrival) behind the clean ones.
+    raw columns (the order of arrival) behind the clean ones; ``watch`` observes
+    the counts of :func:`member_reject_counts` on the parsed columns, so that
+    nothing is parsed a second time for them.
 
     One projection (Catalyst collapses it with the scan's), one filter on the
     parsed policy id, then a full-row ``distinct`` (skipped with
@@ -93,13 +99,17 @@ def clean_members(
         C.whole_number_via_decimal("mov_month", C.CODE_PRECISION, "int").alias("mov_month"),
         C.stamp_date(run_date).alias("load_date"),
         *carry,
+        *([F.col(c).alias(RAW + c) for c in MEMBER_PARSED] if watch else []),
     )
+    if watch:
+        counts = [_unparsed(RAW + c, F.col(c), c) for c in MEMBER_PARSED]
+        typed = typed.observe(watch, F.count(F.lit(1)).alias("rows"), *counts)
     out = frames.require(typed, "policy_id").select(*MEMBERS.clean_columns, *carry)
     return out.distinct() if distinct else out
 
 
-def _unparsed(text: str, parsed: Column) -> Column:
-    return F.count_if(F.col(text).isNotNull() & parsed.isNull()).alias(f"{text}_unparsed")
+def _unparsed(text: str, parsed: Column, name: str | None = None) -> Column:
+    return F.count_if(F.col(text).isNotNull() & parsed.isNull()).alias(f"{name or text}_unparsed")
 
 
 def member_reject_counts(id_precision: int = C.ID_PRECISION) -> list[Column]:
@@ -141,9 +151,14 @@ def holder_rejects(raw: DataFrame, id_precision: int = C.ID_PRECISION) -> DataFr
 
 
 def clean_holders(
-    raw: DataFrame, run_date, id_precision: int = C.ID_PRECISION, distinct: bool = True, carry: tuple[str, ...] = ()
+    raw: DataFrame,
+    run_date,
+    id_precision: int = C.ID_PRECISION,
+    distinct: bool = True,
+    carry: tuple[str, ...] = (),
+    watch: Observation | None = None,
 ) -> DataFrame:
-    """Raw holders → typed, normalised, de-duplicated holders (``carry`` as for members)."""
+    """Raw holders → typed, normalised, de-duplicated holders (``carry`` and ``watch`` as for members)."""
     doc = C.strip_chars("holder_doc_no")
     label = C.label_code(C.whole_number_via_integer("doc_type"), C.HOLDER_DOC_LABELS, C.HOLDER_DOC_OTHER)
     typed = raw.select(
@@ -155,7 +170,16 @@ def clean_holders(
         C.whole_number_via_integer("mov_month").alias("mov_month"),
         C.stamp_date(run_date).alias("load_date"),
         *carry,
+        *([F.col(c).alias(RAW + c) for c in ("policy_id", "mov_year", "mov_month", "doc_type")] if watch else []),
     )
+    if watch:
+        typed = typed.observe(
+            watch,
+            F.count(F.lit(1)).alias("rows"),
+            *[_unparsed(RAW + c, F.col(c), c) for c in ("policy_id", "mov_year", "mov_month")],
+            _unparsed(RAW + "doc_type", C.whole_number_via_integer(RAW + "doc_type"), "doc_type"),  # the clean one is its label
+            F.count_if(F.col("holder_name").isNull()).alias("holder_name_missing"),
+        )
     out = frames.require(typed, "policy_id", "holder_name").select(*HOLDERS.clean_columns, *carry)
     return out.distinct() if distinct else out
 

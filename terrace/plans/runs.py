@@ -136,7 +136,7 @@ def refresh_feed(
     mode = on_duplicate or ("latest" if arrival else "error")
     seen, kept = Observation(f"raw_{feed.name}"), Observation(f"clean_{feed.name}")
     # "latest" also removes exact duplicates, so the full-row distinct (a shuffle) is skipped
-    source = clean(batch.observe(seen, *counts), run_date, distinct=mode != "latest", carry=arrival)
+    source = clean(batch, run_date, distinct=mode != "latest", carry=arrival, watch=seen)
     source = source.observe(kept, F.count(F.lit(1)).alias("clean_rows"))
     order = arrival or ("load_date",)
     if by_period:
