@@ -65,3 +65,35 @@ def test_odd_rows_and_empty_tables(make_docs, spark):
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
     assert len({r.score for r in got if r.doc_id in (1, 2, 3)}) == 1
     assert mq.digest(make_docs([]), labels).collect() == []
+
+
+def test_every_gradient_against_finite_differences(monkeypatch):
+    """The first Adam step moves each parameter by the rate against its gradient's sign: all seven arrays are checked."""
+    monkeypatch.setattr(mq, "EPOCHS", 1)
+    monkeypatch.setattr(mq, "DECAY", 0.0)
+    rng = np.random.default_rng(17)
+    x, bounds, y = rng.normal(size=(14, 6)), np.array([0, 4, 5, 9]), np.array([1.0, 0, 1, 0])
+    still, stepped = mq.Model(6), mq.Model(6)
+    stepped.fit(x, bounds, y)
+    still.mean, still.scale = stepped.mean, stepped.scale
+
+    def loss():
+        s = still.forward(x, bounds)["score"]
+        return -np.mean(np.log(np.where(y == 1, s, 1 - s)))
+
+    checked = 0
+    for name, values in still.p.items():
+        moved = (stepped.p[name] - values).ravel()
+        flat = values.reshape(-1)
+        for k in range(flat.size):
+            old = flat[k]
+            flat[k] = old + 1e-5
+            above = loss()
+            flat[k] = old - 1e-5
+            below = loss()
+            flat[k] = old
+            slope = (above - below) / 2e-5
+            if abs(slope) > 1e-6:
+                checked += 1
+                assert np.isclose(moved[k], -np.sign(slope) * mq.RATE, rtol=0.02), (name, k)
+    assert checked > 0.8 * sum(v.size for v in still.p.values())
