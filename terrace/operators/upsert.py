@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.operators.frames import dedup_latest, duplicate_keys, observed
@@ -68,15 +68,16 @@ class KeyedSource:
 def _unique_or_fail(salted: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """The rows as they are; a key that repeats fails the job that reads it.
 
-    The check is an aggregate of its own over the key columns alone (combined
-    map-side), whose one value every row is filtered by; the rows go to the merge
-    untouched. Rows with a NULL key part never match, so they may repeat.
+    Counted over a window of the merge join's own keys: its exchange and its sort are
+    the join's, so the source is read, shuffled and sorted once, and the rows go to
+    the merge untouched. Rows with a NULL key part never match, so they may repeat.
     """
-    usable = salted if null_safe else salted.filter(~_any_null(keys))
-    repeated = F.when(F.col("n_rows") > 1, F.to_json(F.struct(*keys)))
-    found = usable.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).agg(F.max(repeated)).scalar()
-    text = F.concat(F.lit("source repeats key "), found)
-    return salted.filter(F.when(found.isNotNull(), F.raise_error(text).cast("boolean")).otherwise(F.lit(True)))
+    by = [*keys, *([] if null_safe else [SALT])]
+    usable = F.lit(True) if null_safe else ~_any_null(keys)
+    text = F.concat(F.lit("source repeats key "), F.to_json(F.struct(*keys)))
+    counted = salted.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by)))
+    once = F.when(usable & (F.col("_n") > 1), F.raise_error(text).cast("boolean")).otherwise(F.lit(True))
+    return counted.filter(once).drop("_n")
 
 
 def split_source(
