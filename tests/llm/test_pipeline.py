@@ -110,7 +110,7 @@ def test_run_gives_the_last_stage(stages, spark):
 
 def test_queries_are_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(E.queries())
 
 
