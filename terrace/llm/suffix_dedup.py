@@ -7,13 +7,16 @@ same place in both texts, so no repeat is missed, and about one suffix in
 eighteen is kept. A kept suffix owns the runs that chose it; its segment is
 the words of all of them.
 
-Suffixes are not sorted: equal beginnings are all that is asked for, and a group
-by their hash brings those together as a sort would.
-
-1. Suffixes are grouped by their first words, then by their segment: a first-words block that lies in one document alone is
-   dropped; suffixes whose whole segment recurs in another document match to
-   both ends of the segment.
-2. Only where segments of a block differ are matches extended to the left and
+The kept suffixes are sorted: by their first words, then by their segment, then
+by document, with hashes in place of the words, so that suffixes that begin alike
+are neighbours. Ranges are cut anywhere, also within the suffixes of one passage.
+
+1. Every suffix is compared with its neighbours. One whose whole segment its neighbour
+   has in another document matches to both ends of the segment. A suffix whose
+   neighbours begin with other words is dropped. What a partition cannot see, the
+   other side of its two ends, comes from the ``heads``: suffixes at the ends, and one
+   for each segment among several that begin alike.
+2. Where segments that begin alike differ, matches are extended to the left and
    right. Comparing with the next suffix only would miss a match
    once three variants meet, so each extension of ``MIN_WORDS`` words (l words left, the rest right) is
    compared with all others that reach as far, by the hash of that stretch:
@@ -22,7 +25,7 @@ by their hash brings those together as a sort would.
 3. Matched stretches of a document are united into spans, which keep every partner
    of their stretches.
 
-Hashes have 64 bits. All grouping is by hash with map-side combining; rows of
+Hashes have 64 bits. A task holds a document's own suffixes of one segment at most, rows of
 a group are never held together. Texts are read twice: for the suffixes, and
 for the extensions.
 
@@ -49,6 +52,7 @@ from terrace.llm.words import Words, chunks, lean, mix, run_hash, run_min, tidy
 U = np.uint64
 MIN_WORDS, KEY_WORDS = 50, 16
 CHUNK = 2 << 20
+COMPARED_ROWS = 1 << 16
 NO_ID = -(2**63)
 _STEP = 0xA0761D6478BD642F | 1
 
@@ -122,6 +126,111 @@ def suffixes(docs: DataFrame, min_words: int, key_words: int) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(tidy(run), "h long, seg long, doc long, a int, b int")
 
 
+class Neighbours:
+    """A sorted partition's suffixes, each compared with those next to it; fed in runs of rows of any length.
+
+    ``feed`` takes and ``finish`` ends; both give (head, h, seg, doc, a, b, lo, hi):
+    a suffix and the neighbouring document with the same segment (``lo`` and ``hi``), or a
+    head: a suffix that stands for its segment (with the first and last document that
+    has it here), or each suffix of a segment that one document alone has here. Segments have heads
+    if others begin alike, or if they lie at an end of the partition.
+    Between runs only the last document's suffixes of the last segment are held.
+    """
+
+    def __init__(self):
+        self.held: list[np.ndarray] | None = None
+        self.before = None  # the document before the held one, with the same segment
+        self.head = None  # that segment's first (doc, a, b), if it is no longer held
+        self.h_before = None  # first words of the segment before
+        self.at_start = True
+
+    def feed(self, rows: list[np.ndarray]) -> list[np.ndarray] | None:
+        return self._compare(rows, False)
+
+    def finish(self) -> list[np.ndarray] | None:
+        return self._compare(None, True)
+
+    def _compare(self, rows, final: bool) -> list[np.ndarray] | None:
+        if self.held is not None:
+            rows = self.held if rows is None else [np.concatenate(x) for x in zip(self.held, rows)]
+        if rows is None or not len(rows[0]):
+            return None
+        again = np.zeros(len(rows[0]), bool)  # repeated rows of one document
+        again[1:] = np.logical_and.reduce([x[1:] == x[:-1] for x in rows])
+        h, seg, doc, a, b = rows = [x[~again] for x in rows]
+        new_seg, new_doc = np.ones(len(h), bool), np.ones(len(h), bool)
+        new_seg[1:] = (h[1:] != h[:-1]) | (seg[1:] != seg[:-1])
+        new_doc[1:] = new_seg[1:] | (doc[1:] != doc[:-1])
+        run, group = np.cumsum(new_seg) - 1, np.cumsum(new_doc) - 1
+        first, group_first = np.flatnonzero(new_seg), np.flatnonzero(new_doc)
+        n_runs, n_groups = len(first), len(group_first)
+        went_on = self.before is not None  # the first run began in an earlier one
+        # documents: the one before, or else the one after, with the same segment
+        group_doc, group_run = doc[group_first], run[group_first]
+        joined = group_run[1:] == group_run[:-1]
+        has_before, has_after = np.append(went_on, joined), np.append(joined, False)
+        near = np.append(group_doc[1:], 0)
+        near[1:][joined] = group_doc[:-1][joined]
+        if went_on:
+            near[0] = self.before
+        closed = np.ones(n_groups, bool)
+        closed[-1] = final
+        met = (closed & (has_before | has_after))[group]
+        out = [[np.zeros(int(met.sum()), bool), *(x[met] for x in rows), near[group][met], near[group][met]]]
+        # segments whose last document is known
+        run_h, last_group = h[first], np.searchsorted(group_run, np.arange(n_runs), "right") - 1
+        alike = run_h[1:] == run_h[:-1]
+        wanted = np.append(self.h_before is not None and run_h[0] == self.h_before, alike) | np.append(alike, False)
+        wanted[0] |= self.at_start
+        wanted[-1] = final
+        alone = last_group == np.searchsorted(group_run, np.arange(n_runs), "left")
+        alone[0] &= not went_on
+        every = (wanted & alone)[run]
+        out.append([np.ones(int(every.sum()), bool), *(x[every] for x in rows), doc[every], doc[every]])
+        many = np.flatnonzero(wanted & ~alone)
+        heads = [x[first[many]] for x in (doc, a, b)]
+        if went_on and len(many) and many[0] == 0:
+            for x, value in zip(heads, self.head):
+                x[0] = value
+        out.append([np.ones(len(many), bool), run_h[many], seg[first[many]], *heads, heads[0], group_doc[last_group[many]]])
+        # what the next run of rows must know
+        if n_runs > 1:
+            self.h_before, self.at_start = run_h[-2], False
+        if not (went_on and n_runs == 1):
+            self.head = tuple(x[first[-1]] for x in (doc, a, b))
+        if n_groups > 1:
+            self.before = group_doc[-2] if joined[-1] else None
+        self.held = [x[group_first[-1] :] for x in rows]
+        return [np.concatenate(x) for x in zip(*out)]
+
+
+def neighbours(kept: DataFrame) -> DataFrame:
+    """(head, h, seg, doc, a, b, lo, hi): the sorted suffixes ``kept`` that a neighbour matches, and the heads."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["head", "h", "seg", "doc", "a", "b", "lo", "hi"]
+        seen, some, n = Neighbours(), [], 0
+        for batch in batches:
+            some.append([c.to_numpy() for c in batch.columns])
+            n += batch.num_rows
+            if n >= COMPARED_ROWS:
+                found = seen.feed([np.concatenate(x) for x in zip(*some)])
+                some, n = [], 0
+                if found:
+                    yield pa.record_batch([pa.array(x) for x in found], names=names)
+        last = [seen.feed([np.concatenate(x) for x in zip(*some)])] if some else []
+        for found in (*last, seen.finish()):
+            if found:
+                yield pa.record_batch([pa.array(x) for x in found], names=names)
+
+    order = ["h", "seg", "doc", "a", "b"]
+    return (
+        kept.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .mapInArrow(tidy(run), "head boolean, h long, seg long, doc long, a int, b int, lo long, hi long")
+    )
+
+
 def extensions(docs: DataFrame, todo: DataFrame, min_words: int) -> DataFrame:
     """(doc, s, g, lo, hi): every run of ``min_words`` words that the suffixes of ``todo`` own."""
     per_doc = todo.groupBy("doc").agg(F.collect_list(F.struct("a", "b", "lo", "hi")).alias("own"))
@@ -175,41 +284,33 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WO
     """(doc, doc_id, start, end, partner): stretches of words that another document has too; they may overlap.
 
     ``doc`` is the ``doc_id``, or a number for a row that has none.
-    ``partner`` is another document with the stretch: the smallest of those whose
-    suffix matched it, or for that one itself the largest. Partners connect all
+    ``partner`` is another document with the stretch: a neighbour in the order of the
+    suffixes, or the first or last one that has it. Partners connect all
     documents that share a passage; pairs between copies are not spelt out.
     """
     texts, n_no_id = keyed(docs)
     known = F.lit(NO_ID + n_no_id)
     kept = stored(suffixes(texts, min_words, key_words), "suffixes")
-    # neighbours in the order of the first words: blocks that lie in more than one document
-    blocks = stored(
-        kept.groupBy("h")
-        .agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), (F.min("seg") != F.max("seg")).alias("mixed"))
-        .where("lo < hi"),
-        "suffix-blocks",
-    )
-    shared = stored(
-        kept.join(blocks, "h").select("h", "seg", "doc", "a", "b", "lo", "hi", "mixed"), "suffix-shared"
-    )
-    whole = shared.where("not mixed").select("doc", "a", (F.col("b") + min_words).alias("e"), "lo", "hi")
-    # neighbours in the order of whole segments, within blocks that have several
+    compared = stored(neighbours(kept), "suffix-order")
+    end = (F.col("b") + min_words).alias("e")
+    same = compared.where("not head").select("doc", "a", end, "lo", "hi")
+    # segments across the ends of partitions, and beside others that begin alike
+    heads = compared.where("head")
     classes = stored(
-        shared.where("mixed")
-        .groupBy("h", "seg")
-        .agg(
-            F.min("doc").alias("lo"),
-            F.max("doc").alias("hi"),
-            F.min(F.struct("doc", "a", "b")).alias("one"),
+        heads.groupBy("h", "seg").agg(
+            F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(F.struct("doc", "a", "b")).alias("one")
         ),
         "suffix-classes",
     )
-    mixed = shared.where("mixed").select("h", "seg", "doc", "a", "b")
     many = classes.where("lo < hi")
-    same = mixed.join(many, ["h", "seg"]).select("doc", "a", (F.col("b") + min_words).alias("e"), "lo", "hi")
-    alone = mixed.join(classes.where("lo = hi").select("h", "seg"), ["h", "seg"], "left_semi")
+    own = heads.select("h", "seg", "doc", "a", "b")
+    cut = own.join(many.drop("one"), ["h", "seg"]).select("doc", "a", end, "lo", "hi")
+    mixed = classes.groupBy("h").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), (F.min("seg") != F.max("seg")).alias("mixed")
+    ).where("mixed and lo < hi").select("h")
+    alone = own.join(classes.where("lo = hi").select("h", "seg"), ["h", "seg"], "left_semi").join(mixed, "h", "left_semi")
     todo = alone.select("doc", "a", "b", F.col("doc").alias("lo"), F.col("doc").alias("hi")).union(
-        many.select("one.doc", "one.a", "one.b", "lo", "hi")
+        many.join(mixed, "h", "left_semi").select("one.doc", "one.a", "one.b", "lo", "hi")
     )
     runs = stored(extensions(texts, todo, min_words), "suffix-runs")
     # classes with the same first and last document are linked already
@@ -226,7 +327,7 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WO
         .join(met, "g")
         .select("doc", F.col("s").alias("a"), (F.col("s") + min_words).alias("e"), "lo", "hi")
     )
-    every = whole.union(same).union(part)
+    every = same.union(cut).union(part)
     return every.select(
         "doc",
         F.when(F.col("doc") >= known, F.col("doc")).alias("doc_id"),

@@ -3,7 +3,10 @@
 import random
 import re
 
+import numpy as np
+
 from terrace.llm import suffix_dedup
+from terrace.sources.tables import setting
 from tests.llm.conftest import odd_rows, prose
 
 
@@ -135,3 +138,65 @@ def test_rows_without_id_are_documents_of_their_own(make_docs):
     got = suffix_dedup.digest(make_docs(rows)).collect()
     assert sorted(r.spans for r in got if r.doc_id is None) == ["0:60", "0:60", "1:61", "2:62"]
     assert [(r.doc_id, r.spans, r.partners) for r in got if r.doc_id] == [(7, "0:60", [None])]
+
+
+def brute_neighbours(parts):
+    """What the compared partitions must say: matched suffixes with partners that hold the segment, and heads."""
+    for rows, found in parts:
+        rows = sorted(set(rows))
+        docs, segs = {}, {}
+        for h, s, d, a, b in rows:
+            docs.setdefault((h, s), []).append(d)
+            segs.setdefault(h, set()).add(s)
+        matched = {r for r in rows if len(set(docs[r[:2]])) > 1}
+        ends = {rows[0][:2], rows[-1][:2]} if rows else set()
+        wanted = {k for k in docs if len(segs[k[0]]) > 1 or k in ends}
+        assert sorted(f[1:6] for f in found if not f[0]) == sorted(matched)
+        for f in found:
+            if not f[0]:
+                assert f[6] == f[7] != f[3] and f[6] in docs[f[1:3]]
+        # neighbours connect all documents of a segment
+        for k, own in docs.items():
+            links = {}
+            for f in found:
+                if not f[0] and f[1:3] == k:
+                    links.setdefault(f[3], set()).add(f[6])
+            assert len(groups(links)) == (len(set(own)) > 1)
+        heads = [f[1:] for f in found if f[0]]
+        single = {r for r in rows if r[:2] in wanted and r not in matched}
+        assert sorted(x[:5] for x in heads if x[5] == x[6]) == sorted(single)
+        shared = sorted((*next(r for r in rows if r[:2] == k), min(docs[k]), max(docs[k])) for k in wanted if len(set(docs[k])) > 1)
+        assert sorted(x for x in heads if x[5] != x[6]) == shared
+
+
+def test_neighbours_in_any_cut_of_the_order():
+    rng = random.Random(41)
+    for trial in range(300):
+        n = rng.choice([0, 1, 2, 40, 200])
+        rows = sorted(
+            (rng.randrange(rng.choice([1, 3, 30])), rng.randrange(rng.choice([1, 2, 5])), rng.randrange(rng.choice([1, 2, 9])), a := rng.randrange(4), a + 2)
+            for _ in range(n)
+        )
+        seen, found, at = suffix_dedup.Neighbours(), [], 0
+        kinds = (np.int64, np.int64, np.int64, np.int32, np.int32)
+        while at < n:
+            to = at + rng.choice([1, 2, 7, 50])
+            found.append(seen.feed([np.array(x, k) for x, k in zip(zip(*rows[at:to]), kinds)]))
+            at = to
+        found.append(seen.finish())
+        brute_neighbours([(rows, [r for f in found if f for r in zip(*(x.tolist() for x in f))])])
+
+
+def test_suffixes_are_sorted_in_ranges_that_cut_a_passage(make_docs, spark, monkeypatch):
+    """Many copies of one passage over more ranges than it needs: links and spans stay whole."""
+    rng = random.Random(42)
+    p = prose(rng, 90, 10**6)
+    rows = [(i, p if i % 3 else f"{prose(rng, 20, 10**6)} {p} {prose(rng, 5, 10**6)} {p}") for i in range(120)]
+    kept = suffix_dedup.suffixes(suffix_dedup.keyed(make_docs(rows))[0], 50, 16)
+    plan = suffix_dedup.neighbours(kept)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(h" in plan and "Sort [h" in plan
+    monkeypatch.setattr(suffix_dedup, "COMPARED_ROWS", 5)
+    with setting(spark, "spark.sql.shuffle.partitions", "31"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        got = suffix_dedup.digest(make_docs(rows)).collect()
+    assert {r.doc_id: (r.dup_words, r.spans) for r in got} == brute(rows, 50)
+    assert groups({r.doc_id: r.partners for r in got}) == brute_groups(rows, 50) == {frozenset(range(120))}
