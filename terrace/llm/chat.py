@@ -8,6 +8,12 @@ tokens the placeholder expands to, in order. Turns are marked
 after their first character (one more if some are there), which
 ``unescape`` takes away again; text without control strings stays as it is.
 
+Plain messages may hold parts as marks in their text: ``![image 4](ref)``, the kind
+(image, audio, document), the units if not one (2 to 9999, no leading zero), the
+reference (no blanks or parentheses). ``marked_parts`` cuts a text at them; what is
+not just so is text. ``with_marks`` puts them back into a formatted conversation, from
+the attachments, so that texts with parts are read back without loss too.
+
 Loss spans are (start, chars) in code points of the formatted text: one for
 each assistant turn, over its content.
 
@@ -33,6 +39,9 @@ UNIT_TOKENS = {"image": 256, "audio": 25, "document": 512}
 #: What may follow the first character of a control string.
 _AFTER_ANGLE = r"\|[A-Za-z_]+\|>|/?s>|unk>|</?SYS>>"
 _AFTER_SQUARE = r"/?INST\]"
+MARK = r"!\[(image|audio|document)(?: ([2-9]|[1-9][0-9]{1,3}))?\]\(([^()\s]*)\)"
+#: An unescaped placeholder of a formatted conversation.
+_HELD = r"<\|(?:image|audio|document)\|>"
 PARTS = "array<struct<kind: string, text: string, ref: string, units: int>>"
 
 
@@ -46,15 +55,42 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(out, rf"(<)\\(\\*)({_AFTER_ANGLE})", "$1$2$3")
 
 
-def text_parts(messages: DataFrame) -> DataFrame:
-    """``messages`` with ``parts``: their text as the only part."""
-    part = F.struct(
-        F.lit("text").alias("kind"),
-        F.col("text").cast("string").alias("text"),
-        F.lit(None).cast("string").alias("ref"),
-        F.lit(None).cast("int").alias("units"),
+def marked_parts(messages: DataFrame) -> DataFrame:
+    """``messages`` with ``parts``: their text, cut at its marks."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+    def part(kind: Column, own: Column, ref: Column, units: Column) -> Column:
+        return F.struct(kind.alias("kind"), own.alias("text"), ref.alias("ref"), units.cast("int").alias("units"))
+
+    def between(piece: Column, mark: Column) -> Column:
+        none = F.lit(None).cast("string")
+        units = F.regexp_extract(mark, MARK, 2)
+        held = part(F.regexp_extract(mark, MARK, 1), none, F.regexp_extract(mark, MARK, 3), F.when(units != "", units).otherwise("1"))
+        own = part(F.lit("text"), piece, none, none)
+        return F.when(mark.isNull(), F.array(own)).otherwise(F.array(own, held))
+
+    pieces, marks = F.split(text, MARK, -1), F.regexp_extract_all(text, F.lit(MARK), F.lit(0))
+    return messages.withColumn("parts", F.flatten(F.zip_with(pieces, marks, between)).cast(PARTS))
+
+
+def mark_of(held: Column) -> Column:
+    """The mark that an attachment was read from."""
+    rate = F.create_map(*[F.lit(x) for pair in UNIT_TOKENS.items() for x in pair])
+    units = (held["tokens"] / F.element_at(rate, held["kind"])).cast("long")
+    count = F.when(units == 1, "").otherwise(F.concat(F.lit(" "), units.cast("string")))
+    return F.concat(F.lit("!["), held["kind"], count, F.lit("]("), held["ref"], F.lit(")"))
+
+
+def with_marks(formatted: Column, held: Column) -> Column:
+    """``formatted`` with its placeholders replaced by the (escaped) marks of the attachments ``held``, in order."""
+    return F.array_join(
+        F.zip_with(
+            F.split(formatted, _HELD, -1),
+            held,
+            lambda piece, one: F.when(one.isNull(), piece).otherwise(F.concat(piece, escape(mark_of(one)))),
+        ),
+        "",
     )
-    return messages.withColumn("parts", F.array(part).cast(PARTS))
 
 
 def visit(parts: Column) -> Column:
@@ -84,9 +120,9 @@ def attachments(parts: Column) -> Column:
 
 
 def render(messages: DataFrame) -> DataFrame:
-    """One row per conversation: conv_id, formatted, loss_spans, attachments, attachment_tokens.
+    """One row per conversation: conv_id, formatted, loss_spans, attachments, attachment_tokens, masked_attachments.
 
-    ``messages``: conv_id, turn, role, parts.
+    ``messages``: conv_id, turn, role, parts. ``masked_attachments`` are those under the loss mask.
     """
     head = F.concat(F.lit(TURN), F.url_encode(F.coalesce(F.col("role").cast("string"), F.lit(""))), F.lit("\n"))
     turns = messages.select(
@@ -118,6 +154,9 @@ def render(messages: DataFrame) -> DataFrame:
         F.array_join(F.transform("turns", lambda t: t["piece"]), "").alias("formatted"),
         F.filter(F.transform("turns", lambda t: t["span"]), lambda s: s.isNotNull()).alias("loss_spans"),
         F.flatten(F.transform("turns", lambda t: t["held"])).alias("attachments"),
+        F.flatten(
+            F.transform(F.filter("turns", lambda t: t["span"].isNotNull()), lambda t: t["held"])
+        ).alias("masked_attachments"),
     ).withColumn(
         "attachment_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda a, x: a + x["tokens"])
     )
@@ -138,14 +177,14 @@ def read_back(formatted: Column) -> Column:
     )
 
 
-def masked_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(
-        F.transform(
-            spans, lambda s: unescape(F.substr(formatted, (s["start"] + 1).cast("int"), s["chars"].cast("int")))
-        ),
-        "",
-    )
+def masked_text(formatted: Column, spans: Column, held: Column | None = None) -> Column:
+    """All text under the loss mask, unescaped, nothing between; marks put back from the attachments ``held`` there."""
+    pieces = F.transform(spans, lambda s: F.substr(formatted, (s["start"] + 1).cast("int"), s["chars"].cast("int")))
+    if held is None:
+        return F.array_join(F.transform(pieces, unescape), "")
+    # joined with a turn mark, which no text holds unescaped, so that nothing forms across two turns
+    whole = F.split(with_marks(F.array_join(pieces, TURN), held), r"<\|turn\|>", -1)
+    return F.array_join(F.transform(whole, unescape), "")
 
 
 def digest(conversations: DataFrame) -> DataFrame:
@@ -155,12 +194,17 @@ def digest(conversations: DataFrame) -> DataFrame:
     rows = conversations.select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")
     ).union(extra)
-    formatted = render(text_parts(rows))
+    formatted = render(marked_parts(rows))
     back = formatted.select(
         "conv_id",
-        read_back(F.col("formatted")).alias("turns"),
-        masked_text(F.col("formatted"), F.col("loss_spans")).alias("masked"),
+        read_back(with_marks(F.col("formatted"), F.col("attachments"))).alias("turns"),
+        masked_text(F.col("formatted"), F.col("loss_spans"), F.col("masked_attachments")).alias("masked"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        F.size("attachments").cast("long").alias("n_attachments"),
+        "attachment_tokens",
+        F.array_join(
+            F.transform("attachments", lambda x: F.concat_ws(":", x["kind"], x["tokens"].cast("string"), x["ref"])), ","
+        ).alias("attachments"),
     )
     said = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
@@ -172,10 +216,14 @@ def digest(conversations: DataFrame) -> DataFrame:
         F.char_length("masked").cast("long").alias("loss_chars"),
         F.sha2("masked", 256).alias("loss_sha256"),
         "formatted_chars",
+        "n_attachments",
+        "attachment_tokens",
+        "attachments",
     )
 
 
 #: The template adds fixed characters to each turn; what escaping adds is counted from the texts.
+#: A mark counts as its placeholder (its kind and four signs).
 DIGEST_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, role, text FROM conversations
@@ -183,14 +231,31 @@ WITH rows AS (
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), clean AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM rows
+), marked AS (
+  SELECT *, regexp_replace(text, '!\[(image|audio|document)(?: ([2-9]|[1-9][0-9]{1,3}))?\]\(([^()\s]*)\)', chr(1), 'g') AS plain,
+         regexp_extract_all(text, '!\[(image|audio|document)(?: ([2-9]|[1-9][0-9]{1,3}))?\]\(([^()\s]*)\)', 1) AS kinds,
+         regexp_extract_all(text, '!\[(image|audio|document)(?: ([2-9]|[1-9][0-9]{1,3}))?\]\(([^()\s]*)\)', 2) AS units,
+         regexp_extract_all(text, '!\[(image|audio|document)(?: ([2-9]|[1-9][0-9]{1,3}))?\]\(([^()\s]*)\)', 3) AS refs
+  FROM clean
+), held AS (
+  SELECT *, list_transform(range(1, len(kinds) + 1), lambda i:
+           CASE kinds[i] WHEN 'image' THEN 256 WHEN 'audio' THEN 25 ELSE 512 END
+           * CASE WHEN coalesce(units[i], '') = '' THEN 1 ELSE CAST(units[i] AS BIGINT) END) AS tokens
+  FROM marked
 )
 SELECT conv_id,
        count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(8 + length(role) + 1 + length(text) + 8
-           + len(regexp_extract_all(text, '<\\*(\|[A-Za-z_]+\|>|/?s>|unk>|</?SYS>>)'))
-           + len(regexp_extract_all(text, '\[\\*/?INST\]'))) AS BIGINT) AS formatted_chars
-FROM clean GROUP BY conv_id
+       CAST(sum(8 + length(role) + 1 + length(plain) + 8
+           + coalesce(list_sum(list_transform(kinds, lambda k: length(k) + 3)), 0)
+           + len(regexp_extract_all(plain, '<\\*(\|[A-Za-z_]+\|>|/?s>|unk>|</?SYS>>)'))
+           + len(regexp_extract_all(plain, '\[\\*/?INST\]'))) AS BIGINT) AS formatted_chars,
+       CAST(sum(len(kinds)) AS BIGINT) AS n_attachments,
+       CAST(sum(coalesce(list_sum(tokens), 0)) AS BIGINT) AS attachment_tokens,
+       coalesce(string_agg(array_to_string(list_transform(range(1, len(kinds) + 1),
+           lambda i: kinds[i] || ':' || tokens[i] || ':' || refs[i]), ','), ',' ORDER BY turn, role, text)
+         FILTER (WHERE len(kinds) > 0), '') AS attachments
+FROM held GROUP BY conv_id
 """

@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from terrace.llm import chat
+from tests.test_oracle import canon
 
 
 def sha(s):
@@ -82,3 +85,59 @@ def test_main_path_is_native(spark):
     df = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     plan = chat.digest(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def marked_rows(rng):
+    bits = [
+        "![image](a.png)", "![image 4](s3://b/1.png)", "![audio 30](x.wav)", "![document 9999](</s>.pdf)", "![document](<|turn|>)", "![audio]()",
+        "![image 1](no)", "![image 04](no)", "![video](no)", "![image 2](no no)", "![image 10000](no)", "![image", "](", "<", "[", "!", "/s>", "|image|>",
+        "<|image|>", "<|turn|>", "</s>", "INST]", "\\", "é", " ", "\n", ")", "<|end|>\n",
+    ]
+    return [
+        (conv, turn, rng.choice(["user", "assistant"]), "".join(rng.choice(bits) for _ in range(rng.randrange(9))))
+        for conv in range(150)
+        for turn in range(rng.randrange(1, 5))
+    ]
+
+
+def test_parts_marked_in_texts_are_read_back_and_counted(spark):
+    rows = marked_rows(random.Random(31))
+    assert got(spark, rows) == brute(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {r.conv_id: r for r in chat.digest(df).collect()}
+    mark = re.compile(r"!\[(image|audio|document)(?: ([2-9]|[1-9][0-9]{1,3}))?\]\(([^()\s]*)\)")
+    rate = {"image": 256, "audio": 25, "document": 512}
+    some = 0
+    for conv in {r[0] for r in rows}:
+        held = [
+            (m[1], rate[m[1]] * int(m[2] or 1), m[3])
+            for r in sorted(r for r in rows if r[0] == conv)
+            for m in mark.finditer(r[3])
+        ]
+        some += len(held)
+        assert found[conv].n_attachments == len(held)
+        assert found[conv].attachment_tokens == sum(t for _, t, _ in held)
+        assert found[conv].attachments == ",".join(f"{k}:{t}:{ref}" for k, t, ref in held)
+    assert some > 300
+
+
+def test_marked_parts_against_sql(spark, tmp_path):
+    rows = marked_rows(random.Random(32))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    frame = df.toPandas()
+    duck = duckdb.connect()
+    duck.register("conversations", frame)
+    rel = duck.sql(chat.DIGEST_SQL)
+    made = chat.digest(df)
+    assert canon(made.columns, [tuple(r) for r in made.collect()]) == canon(rel.columns, rel.fetchall())
+
+
+def test_a_whole_conversation_with_parts(spark):
+    rows = [(1, 0, "user", "see ![image 2](a.png) and ![image](b"), (1, 1, "assistant", "heard: ![audio](c.wav)</s>")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    (row,) = chat.render(chat.marked_parts(df)).collect()
+    assert row.formatted == (
+        "<|turn|>user\nsee <|image|> and ![image](b<|end|>\n<|turn|>assistant\nheard: <|audio|><\\/s><|end|>\n"
+    )
+    assert [tuple(a) for a in row.attachments] == [("image", "a.png", 512), ("audio", "c.wav", 25)]
+    assert [tuple(a) for a in row.masked_attachments] == [("audio", "c.wav", 25)]
