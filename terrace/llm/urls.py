@@ -8,8 +8,11 @@ universe then has an exact answer, which pages get by looking bits up: no join.
 
 A level is one array of 64-bit words, sized from the number of its keys
 (``BITS_PER_KEY``). Keys are split by hash into so many groups that no level
-passes ``MAX_LEVEL_WORDS``; a group has a cascade of its own and pages are
-read once a group. Only the words travel, never the keys.
+passes ``MAX_LEVEL_WORDS``; a group has a cascade of its own, and pages are read
+once, each asking its own group's. Only the words travel, never the keys.
+
+The block list is a table of keys, of any size: it is united with the corpus's keys in
+one aggregate, and only listed keys that occur go into the cascade.
 
 Built-in functions only. Defined cases: a null url, or one without ``://``,
 has empty host and path and is judged like any unlisted host; repeated rows
@@ -139,18 +142,35 @@ def with_listing(rows: DataFrame, universe: DataFrame, key: str, max_words: int
     if groups == 1:
         return rows.withColumn("listed", build(universe).listed(F.col(key)))
     group_of = lambda c: F.pmod(F.xxhash64(F.lit(groups), c), F.lit(groups))
-    parts = []
+    listed = F.lit(None).cast("boolean")
     for g in range(groups):
         cascade = build(stored(universe.where(group_of(F.col("key")) == g), f"url-universe-{g}"))
-        own = rows.where(group_of(F.col(key)) == g)
-        parts.append(own.withColumn("listed", cascade.listed(F.col(key))))
-    return reduce(DataFrame.union, parts)
+        listed = F.when(group_of(F.col(key)) == g, cascade.listed(F.col(key))).otherwise(listed)
+    return rows.withColumn("listed", listed)
+
+
+def universe_of(keys: DataFrame, listed_keys: DataFrame) -> DataFrame:
+    """(key, listed): the distinct keys of ``keys``, and whether ``listed_keys`` has them; first columns count. No join."""
+    corpus = keys.select(F.col(keys.columns[0]).alias("key"), F.lit(True).alias("occurs"), F.lit(False).alias("listed"))
+    listing = listed_keys.select(
+        F.col(listed_keys.columns[0]).cast("string").alias("key"), F.lit(False).alias("occurs"), F.lit(True).alias("listed")
+    )
+    both = corpus.union(listing).groupBy("key").agg(F.bool_or("occurs").alias("occurs"), F.bool_or("listed").alias("listed"))
+    return both.where("occurs").drop("occurs")
 
 
-def judge(pages: DataFrame, rules: list[Rule], listed: Column, max_words: int = MAX_LEVEL_WORDS) -> DataFrame:
-    """``pages`` plus host, path, rule, verdict; ``listed`` says of a ``host`` whether the block list has it."""
+def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame | Column, max_words: int = MAX_LEVEL_WORDS) -> DataFrame:
+    """``pages`` plus host, path, rule, verdict.
+
+    ``listed``: the block list, a table whose first column holds hosts (nulls and
+    repeats are no harm), or a condition on ``host``.
+    """
     placed = with_host_path(pages)
-    universe = placed.select("host").distinct().select(F.col("host").alias("key"), listed.alias("listed"))
+    hosts = placed.select("host")
+    if isinstance(listed, DataFrame):
+        universe = universe_of(hosts, listed)
+    else:
+        universe = hosts.distinct().select(F.col("host").alias("key"), listed.alias("listed"))
     name, verdict = rule_of(rules)
     return (
         with_listing(placed, universe, "host", max_words)
@@ -166,12 +186,18 @@ RULES = [
     Rule("block", "example.com", "/de/"),
     Rule("allow", "org", "/fr/"),
 ]
-#: Host labels of the query's block list.
+#: Host labels that the query's block list is drawn up by.
 LISTED_LABELS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 
 
+def block_list(pages: DataFrame) -> DataFrame:
+    """The query's table of listed keys: whole hosts that carry one of ``LISTED_LABELS``."""
+    hosts = with_host_path(pages).select("host").distinct()
+    return hosts.where(F.arrays_overlap(F.split("host", r"\."), F.array(*map(F.lit, LISTED_LABELS))))
+
+
 def digest(pages: DataFrame) -> DataFrame:
-    listed = F.arrays_overlap(F.split("host", r"\."), F.array(*map(F.lit, LISTED_LABELS)))
+    listed = stored(block_list(pages), "url-list")
     return judge(pages.select("page_id", "url"), RULES, listed).select("page_id", "host", "path", "rule", "verdict")
 
 

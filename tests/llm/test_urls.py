@@ -1,5 +1,7 @@
 """The cascade against plain membership; rules and odd urls by hand."""
 
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,3 +58,32 @@ def test_main_path_is_native(spark):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     plan = urls.digest(pages)._jdf.queryExecution().toString()
     assert "Join" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+HOSTS = [f"h{i}.example.io" for i in range(3000)]
+
+
+def listed_pages(spark):
+    """Pages of hosts whose listing cannot be told from their names; the list has hosts that no page has, too."""
+    pages = spark.createDataFrame([(i, f"http://{h}/p{i}") for i, h in enumerate(HOSTS * 2)], "page_id long, url string")
+    listed = {h for h in HOSTS if zlib.crc32(h.encode()) % 7 == 3}
+    rows = [(h,) for h in [*listed, *sorted(listed)[:50], "unseen.example", None, *(f"u{i}.net" for i in range(4000))]]
+    return pages, listed, spark.createDataFrame(rows, "host string")
+
+
+@pytest.mark.parametrize("max_words", [10**6, 150])
+def test_a_table_of_listed_keys(spark, max_words):
+    pages, listed, table = listed_pages(spark)
+    made = urls.judge(pages, [], table, max_words)
+    got = made.select("page_id", "host", "verdict").collect()
+    assert len(got) == 6000 and {r.host for r in got if r.verdict == "block"} == listed
+    assert all((r.verdict == "block") == (r.host in listed) for r in got)
+    # pages are read once, however many groups the keys are split into, and never joined
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Subqueries")[0].count("Scan ExistingRDD") == 1 and "Join" not in plan
+
+
+def test_empty_lists_and_pages(spark):
+    pages, _, table = listed_pages(spark)
+    assert {r.verdict for r in urls.judge(pages, [], table.limit(0)).collect()} == {"allow"}
+    assert urls.judge(pages.limit(0), urls.RULES, table).collect() == []
