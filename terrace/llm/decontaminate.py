@@ -15,8 +15,10 @@ three random later ones; windows that agree on all four are candidates. Samples
 compared one after the other, so that most windows are given up early, and the
 first, the window's first word, is shared by all repetitions. How often repetitions
 find the group's own items with ``MOST`` of their words edited is measured for every
-length, and as many are taken as reach ``RECALL`` at each; a warning tells the lengths
-that ``MAX_REPETITIONS`` leave below. An unedited item is always found.
+length, and as many are taken as reach ``RECALL`` at each. Items of a length that
+``MAX_REPETITIONS`` leave below are looked for exactly besides: cut into one piece more
+than the edits allowed, one piece is unedited, and every place of every piece is a
+candidate (a warning names the lengths). An unedited item is always found.
 
 Each candidate is verified: the smallest word edit distance between the whole
 item and any stretch of the document around the place must be at most
@@ -44,7 +46,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.words import Words, chunks, kinds_of, mix, pick_text, tidy
+from terrace.llm.words import Words, chunks, kinds_of, mix, pick_text, run_hash, tidy
 
 U = np.uint64
 MOST, RECALL = 0.2, 0.97
@@ -155,9 +157,24 @@ class Items:
             own = self.item[which] == asked[trial[at]]
             found[trial[at][own]] = True
             self.recall = {k: float(found[kind_of[asked] == k].mean()) for k in self.recall}
-        low = {int(self.length[kind_of == k].min()): v for k, v in self.recall.items() if v < recall}
-        if low:
-            warnings.warn(f"recall below {recall} after {len(self.tables)} repetitions, by words of an item: {low}", stacklevel=2)
+        short = [k for k, v in self.recall.items() if v < recall]
+        if short:
+            low = {int(self.length[kind_of == k].min()): self.recall[k] for k in short}
+            note = f"recall below {recall} after {len(self.tables)} repetitions, these are searched exactly; by words of an item: {low}"
+            warnings.warn(note, stacklevel=2)
+        self._cut(np.flatnonzero(np.isin(kind_of, short)))
+
+    def _cut(self, chosen: np.ndarray) -> None:
+        """Pieces of the items ``chosen``, by length: sorted hashes, items, places in the item."""
+        held: dict[int, list[tuple[int, int, int]]] = {}
+        for i in chosen.tolist():
+            n = int(self.length[i]) // (int(self.limit[i]) + 1)
+            hashes = run_hash(self.tokens[i], n)
+            held.setdefault(n, []).extend((int(hashes[k * n]), i, k * n) for k in range(int(self.limit[i]) + 1))
+        self.pieces = {}
+        for n, found in held.items():
+            found.sort()
+            self.pieces[n] = (np.array([f[0] for f in found], U), *(np.array([f[j] for f in found], np.int64) for j in (1, 2)))
 
 
 def bitmap20(item: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -209,6 +226,18 @@ def agreeing(tokens: np.ndarray, begun: np.ndarray, items: Items, r: int) -> tup
     return begun[which].astype(np.int64), order[place]
 
 
+def piece_places(words: Words, items: Items, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, item, place in the item) of every occurrence of the items' pieces of ``length`` words."""
+    hashes, item, offset = items.pieces[length]
+    own = run_hash(words.hash, length) if len(words.hash) >= length else np.zeros(0, U)
+    lo, hi = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
+    hi[np.arange(len(own)) + length > words.first[1:][words.rows()[: len(own)]]] = 0  # past the text's end
+    count = np.maximum(hi - lo, 0)
+    at = np.repeat(np.arange(len(own)), count)
+    which = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count) + lo[at]
+    return at, item[which], offset[which]
+
+
 def candidates(words: Words, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, item, where the item would start) of windows that agree in some repetition, each once."""
     tokens = words.hash
@@ -221,8 +250,12 @@ def candidates(words: Words, items: Items) -> tuple[np.ndarray, np.ndarray, np.n
         found.append(at * n + which)
     pairs = np.unique(np.concatenate(found))
     at, which = pairs // n, pairs % n
+    item, offset = items.item[which], items.offset[which]
+    for length in items.pieces:
+        more = piece_places(words, items, length)
+        at, item, offset = (np.concatenate(x) for x in zip((at, item, offset), more))
     span = len(tokens) + int(items.length.max())
-    key, one = np.unique(items.item[which] * (2 * span) + at - items.offset[which] + span, return_index=True)
+    key, one = np.unique(item * (2 * span) + at - offset + span, return_index=True)
     item, base, at = key // (2 * span), key % (2 * span) - span, at[one]
     row = row_of[at]
     # too few of the item's distinct words around: no need for the exact distance

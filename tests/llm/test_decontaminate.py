@@ -162,3 +162,26 @@ def test_words_that_share_a_code_do_not_drop_a_match():
             return np.zeros(20, np.int64)
 
     assert dc.verified(Texts(), items, *dc.candidates(Texts(), items))[0, 0][0] == 4
+
+
+def test_items_that_repetitions_miss_are_found_exactly(make_docs, spark, monkeypatch):
+    """One repetition reaches hardly any edited item; the pieces find all, at every length, also in odd texts."""
+    monkeypatch.setattr(dc, "MAX_REPETITIONS", 1)
+    rng = random.Random(27)
+    items, rows = [], []
+    for n in [3, 5, 6, 9, 10, 14, 15, 20, 31, 47, 64] * 4:
+        words = [f"v{rng.randrange(10**6)}" for _ in range(n)]
+        k = len(items)
+        items.append((k, " ".join(words)))
+        body = " ".join(edited(rng, words, int(0.2 * n)))
+        rows += [(3 * k, f"{prose(rng, 20)} {body} {prose(rng, 9)}"), (3 * k + 1, body), (3 * k + 2, " ".join(words[: n // 2]))]
+    rows += [(1000 + i, text) for i, (_, text) in enumerate(odd_rows(rng))]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    with pytest.warns(UserWarning, match="searched exactly"):
+        got = {(r.doc_id, r.item_id): r.distance for r in dc.digest(make_docs(rows), frame).collect()}
+    want = {
+        (i, k)
+        for i, k in ((i, k) for k, _ in items for i in (3 * k, 3 * k + 1, 3 * k + 2))
+        if brute_distance(dict(items)[k].split(), dict(rows)[i].split()) <= int(0.2 * len(dict(items)[k].split()))
+    }
+    assert set(got) == want and len(want) >= 80
