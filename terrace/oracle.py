@@ -364,6 +364,14 @@ FROM r GROUP BY source_file"""
         for c in ("l_partkey", "l_suppkey")
     )
     q["compacted"] = "SELECT * FROM lineitem"
+    q["compacted_partitions"] = """
+  SELECT 'o_year=' || year(o_orderdate) AS partition, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files,
+         CAST(CASE WHEN year(o_orderdate) < 1997 THEN 1 ELSE 0 END AS BIGINT) AS files_kept
+  FROM orders GROUP BY year(o_orderdate)"""
+    q["reclustered_partitions"] = """
+  SELECT 'l_year=' || year(l_shipdate) AS partition, count(*) AS n_rows, year(l_shipdate) >= 1997 AS deep_before,
+         TRUE AS narrow, year(l_shipdate) < 1997 AS files_stay
+  FROM lineitem GROUP BY year(l_shipdate)"""
     q["zordered"] = "SELECT * FROM lineitem"
     q["sketch_stats"] = "\n  UNION ALL\n".join(
         f"""  SELECT '{c}' AS col_name, count(*) AS n_rows, count(*) - count({c}) AS num_nulls,

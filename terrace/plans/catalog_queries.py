@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
-from terrace.operators import frames, layout, statistics, upsert
+from terrace.operators import frames, layout, maintenance, statistics, upsert
 from terrace.plans import bronze, feeds, medallion, report, runs
 from terrace.plans.manifest import Manifest
 from terrace.session import scratch_dir
@@ -611,6 +611,7 @@ def load_once(spark, sf_dir):
 
 CLUSTER_COLS = ("l_partkey", "l_suppkey")
 CLUSTER_FILES = 16
+UPKEEP_YEAR = 1997
 
 
 @register("compacted")
@@ -730,6 +731,60 @@ def table_files(spark, sf_dir):
     )
 
 
+def _grown_table(spark, rows: DataFrame, key: str, year: str, appends: int, folder: str, first: DataFrame) -> str:
+    """A table by ``year``: the years before ``UPKEEP_YEAR`` as ``first`` lays them out, the others in ``appends`` loads."""
+    name = f"upkeep_{uuid.uuid4().hex[:10]}"
+    tables.overwrite(first.where(F.col(year) < UPKEEP_YEAR), name, [year], location=folder + "/t")
+    load = F.pmod(F.xxhash64(key), F.lit(appends))
+    for k in range(appends):
+        tables.append(rows.where((F.col(year) >= UPKEEP_YEAR) & (load == k)).repartition(year), name)
+    tables.files(spark, name).select("partition", "file").write.parquet(folder + "/before")
+    return name
+
+
+def _files_kept(spark, name: str, folder: str, year: str) -> DataFrame:
+    """Per partition: rows, files, and how many of the files were there before the upkeep."""
+    before = spark.read.parquet(folder + "/before").withColumn("was", F.lit(1))
+    rows = spark.table(name).groupBy(F.concat(F.lit(year + "="), F.col(year).cast("string")).alias("partition")).agg(F.count(F.lit(1)).alias("n_rows"))
+    per_part = (
+        tables.files(spark, name)
+        .join(before, ["partition", "file"], "left")
+        .groupBy("partition")
+        .agg(F.count(F.lit(1)).alias("n_files"), F.count("was").alias("files_kept"))
+    )
+    return rows.join(per_part, "partition")
+
+
+@register("compacted_partitions")
+def compacted_partitions(spark, sf_dir):
+    """Orders by year, the later years in four loads: their files are packed, those of the other years stay."""
+    folder = scratch_dir(spark, "compact_partitions")
+    orders = table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    name = _grown_table(spark, orders, "o_orderkey", "o_year", 4, folder, orders.repartition("o_year"))
+    maintenance.compact_partitions(spark, name)
+    return _files_kept(spark, name, folder, "o_year").select("partition", "n_rows", "n_files", "files_kept")
+
+
+@register("reclustered_partitions")
+def reclustered_partitions(spark, sf_dir):
+    """Lineitem by year, clustered by part; the later years in five loads that each hold all parts.
+    Only those years are clustered again; then a lookup opens two files of a year at most."""
+    folder = scratch_dir(spark, "recluster_partitions")
+    li = table(spark, sf_dir, "lineitem").withColumn("l_year", F.year("l_shipdate"))
+    first = li.repartitionByRange(24, "l_year", "l_partkey").sortWithinPartitions("l_year", "l_partkey")
+    name = _grown_table(spark, li, "l_orderkey", "l_year", 5, folder, first)
+    deep = maintenance.overlap(spark, name, ["l_partkey"])
+    deep.select(F.concat(F.lit("l_year="), F.col("l_year").cast("string")).alias("partition"), (F.col("depth") > 2).alias("deep_before")).write.parquet(folder + "/deep")
+    maintenance.recluster_partitions(spark, name, ["l_partkey"], tables.stored_bytes(spark, folder + "/t") // 24)
+    after = maintenance.overlap(spark, name, ["l_partkey"]).select(
+        F.concat(F.lit("l_year="), F.col("l_year").cast("string")).alias("partition"), (F.col("depth") <= 2).alias("narrow")
+    )
+    kept = _files_kept(spark, name, folder, "l_year").withColumn("files_stay", F.col("files_kept") == F.col("n_files"))
+    return kept.join(spark.read.parquet(folder + "/deep"), "partition").join(after, "partition").select(
+        "partition", "n_rows", "deep_before", "narrow", "files_stay"
+    )
+
+
 # --- runs: ledger gate, replay ---------------------------------------------
 
 MEMBER_EVENTS = ("signup", "purchase")
