@@ -305,9 +305,14 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, key_words: int = KEY_WO
     many = classes.where("lo < hi")
     own = heads.select("h", "seg", "doc", "a", "b")
     cut = own.join(many.drop("one"), ["h", "seg"]).select("doc", "a", end, "lo", "hi")
-    mixed = classes.groupBy("h").agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), (F.min("seg") != F.max("seg")).alias("mixed")
-    ).where("mixed and lo < hi").select("h")
+    # stored, so that first words with very many segments are split by the skew-join rule
+    mixed = stored(
+        classes.groupBy("h")
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), (F.min("seg") != F.max("seg")).alias("mixed"))
+        .where("mixed and lo < hi")
+        .select("h"),
+        "suffix-mixed",
+    )
     alone = own.join(classes.where("lo = hi").select("h", "seg"), ["h", "seg"], "left_semi").join(mixed, "h", "left_semi")
     todo = alone.select("doc", "a", "b", F.col("doc").alias("lo"), F.col("doc").alias("hi")).union(
         many.join(mixed, "h", "left_semi").select("one.doc", "one.a", "one.b", "lo", "hi")
