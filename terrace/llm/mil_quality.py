@@ -1,13 +1,15 @@
 """Document quality by attention-based multiple-instance learning.
 
 A document is a bag of passages of ``PASSAGE`` words. Every passage of the
-whole text is encoded by ``FEATURES`` counts taken from its characters and words and
+whole text is encoded by ``FEATURES`` counts taken from its characters and words,
+by its words themselves, each hashed with a sign to one of ``SLOTS`` sums, and
 by a learned layer. Gated attention (a tanh branch times a sigmoid branch)
 weighs the passages; the weighted sum of their encodings gives the document's
 score. Only document labels are used: gradients reach passages through the
-attention. Training runs on the driver, on the passages of at most
-``MAX_TRAIN_DOCS`` labelled documents chosen by a hash of the id; scoring runs
-in tasks, over everything.
+attention. Training runs on the driver, on at most ``MAX_TRAIN_DOCS`` labelled
+documents chosen by a hash of the id, and of each on at most
+``MAX_TRAIN_PASSAGES`` passages, evenly spaced; scoring runs in tasks, over
+every passage of everything.
 
 Inputs are the text alone. Labels of documents whose crc32(doc_id as text)
 mod 5 is 0 are held out.
@@ -21,6 +23,7 @@ no label; without usable labels every score is 0.5; an empty table gives none.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +33,15 @@ from pyspark.sql import functions as F
 from terrace.llm.words import Words, blank_bytes, chunks, kinds_of, lean, mix, pick_text, run_hash, tidy
 
 PASSAGE = 64
-MAX_TRAIN_DOCS = 2000
+SLOTS, CALM = 128, 4.0
+MAX_TRAIN_DOCS, MAX_TRAIN_PASSAGES = 2000, 64
 HIDDEN, GATE, EPOCHS, RATE, DECAY = 16, 8, 200, 0.02, 1e-4
 CHUNK = 2 << 20
 FEATURES = (
     "words", "chars_per_word", "upper", "symbols", "marks", "digits", "stops", "commas", "bars", "lines",
     "non_ascii", "same_as_last", "kinds", "seen_before", "runs_seen_before", "short_words", "long_words",
 )
+WIDTH = len(FEATURES) + SLOTS
 
 
 def byte_sets() -> np.ndarray:
@@ -47,8 +52,25 @@ def byte_sets() -> np.ndarray:
     return sets
 
 
+def word_sums(passage: np.ndarray, n_passages: int, word: np.ndarray) -> np.ndarray:
+    """(passages, ``SLOTS``): signed counts of the hashed words over the root of the passage's length."""
+    key = mix(word ^ np.uint64(0xA24BAED4963EE407))
+    slot = passage * SLOTS + (key % np.uint64(SLOTS)).astype(np.int64)
+    sign = np.where(key >> np.uint64(63), 1.0, -1.0)
+    sums = np.bincount(slot, sign, n_passages * SLOTS).reshape(n_passages, SLOTS)
+    return sums / np.sqrt(np.maximum(np.bincount(passage, minlength=n_passages), 1))[:, None]
+
+
+def evenly(row: np.ndarray, most: int) -> np.ndarray:
+    """Which passages stay when each row keeps at most ``most`` of them, evenly spaced; ``row`` ascends."""
+    first = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(row)))
+    nth = np.arange(len(row)) - np.repeat(first, size)
+    return nth * most % np.repeat(size, size) < most
+
+
 def passage_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(passages, features) and the row of each passage; a row without words has one passage of zeros."""
+    """(passages, counts and word sums) and the row of each passage; a row without words has one passage of zeros."""
     words = Words(data, offsets)
     n_rows = len(words.n_words)
     n_passages = np.maximum(1, -(-words.n_words // PASSAGE))
@@ -57,7 +79,7 @@ def passage_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     lo = words.first[row] + nth * PASSAGE
     hi = np.minimum(lo + PASSAGE, words.first[row + 1])
     count = hi - lo
-    out = np.zeros((len(row), len(FEATURES)), np.float32)
+    out = np.zeros((len(row), WIDTH), np.float32)
     n = len(words.starts)
     if not n:
         return out, row
@@ -96,6 +118,7 @@ def passage_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     out[:, 14] = within(~first_in(doc, runs) & inside) * per_word
     out[:, 15] = within(length <= 3) * per_word
     out[:, 16] = within(length >= 15) * per_word
+    out[:, len(FEATURES) :] = word_sums(passage, len(row), words.hash)
     return np.minimum(out, 4), row
 
 
@@ -116,7 +139,7 @@ class Model:
         rng = np.random.default_rng(seed)
         self.mean, self.scale = np.zeros(n_features), np.ones(n_features)
         self.p = {
-            "W": rng.normal(0, 0.3, (n_features, HIDDEN)),
+            "W": rng.normal(0, 0.3, (n_features, HIDDEN)) * min(1, (17 / n_features) ** 0.5),
             "b": np.zeros(HIDDEN),
             "V": rng.normal(0, 0.3, (HIDDEN, GATE)),
             "U": rng.normal(0, 0.3, (HIDDEN, GATE)),
@@ -127,8 +150,10 @@ class Model:
 
     def forward(self, x: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
         """``bounds``: first passage of each document; every document has one at least."""
+        return self.forward_scaled((x - self.mean) / self.scale, bounds)
+
+    def forward_scaled(self, x: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
         p = self.p
-        x = (x - self.mean) / self.scale
         h = np.tanh(x @ p["W"] + p["b"])
         t, g = np.tanh(h @ p["V"]), 1 / (1 + np.exp(-(h @ p["U"])))
         e = (t * g) @ p["w"]
@@ -142,9 +167,11 @@ class Model:
     def fit(self, x: np.ndarray, bounds: np.ndarray, y: np.ndarray) -> None:
         """Adam on the mean log loss of the documents."""
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
+        self.scale[len(FEATURES) :] *= CALM  # many weak inputs beside few strong ones
+        x = (x - self.mean) / self.scale
         p, m, v = self.p, {k: 0.0 for k in self.p}, {k: 0.0 for k in self.p}
         for step in range(1, EPOCHS + 1):
-            f = self.forward(x, bounds)
+            f = self.forward_scaled(x, bounds)
             dz_out = (f["score"] - y) / len(y)
             dz = np.repeat(dz_out[:, None] * p["c"], f["sizes"], axis=0)
             a, h, t, g = f["a"][:, None], f["h"], f["t"], f["g"]
@@ -174,8 +201,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) -> Model | None:
-    """The model of at most ``max_docs`` labelled documents outside the held-out fold; None without labels."""
+def train(
+    docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS, max_passages: int = MAX_TRAIN_PASSAGES
+) -> Model | None:
+    """The model of at most ``max_docs`` labelled documents outside the held-out fold, of each at most
+    ``max_passages`` passages; None without labels."""
     usable = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).where("doc_id is not null")
     sample = (
         usable.select(F.col("doc_id").cast("long").alias("__id"), F.col("quality").cast("int").alias("__y"))
@@ -191,18 +221,20 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) ->
         for batch in batches:
             for at, to, data, offsets in chunks(batch.column(1), CHUNK):
                 x, row = passage_features(data, offsets)
+                some = evenly(row, max_passages)
+                x, row = x[some], row[some]
                 rows = batch.slice(at, to - at)
+                bags = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * WIDTH), pa.array(x.ravel()))
                 yield pa.record_batch(
-                    [rows.column(0).take(pa.array(row)), rows.column(2).take(pa.array(row)), pa.array(x.tolist(), pa.list_(pa.float32()))],
-                    names=["id", "y", "x"],
+                    [rows.column(0).take(pa.array(row)), rows.column(2).take(pa.array(row)), bags], names=["id", "y", "x"]
                 )
 
     got = met.select("__id", "__text", "__y").mapInArrow(tidy(run), "id long, y int, x array<float>").toArrow()
     if not got.num_rows:
         return None
     ids, y = got["id"].to_numpy(), got["y"].to_numpy()
-    x = np.array(got["x"].combine_chunks().flatten()).reshape(-1, len(FEATURES)).astype(np.float64)
-    order = np.lexsort((*x.T, ids))  # the same rows in the same order on every run
+    x = np.array(got["x"].combine_chunks().flatten()).reshape(-1, WIDTH)
+    order = np.lexsort(([crc32(passage.tobytes()) for passage in x], ids))  # the same order on every run
     ids, y, x = ids[order], y[order], x[order]
     bounds = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
     model = Model(x.shape[1])

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from terrace.llm import mil_quality as mq
 from terrace.llm.tables import table
@@ -46,6 +47,44 @@ def test_one_bad_passage_among_many(make_docs):
     assert 0 <= scores[3000] <= 1
 
 
+def test_words_tell_where_counts_do_not(make_docs):
+    """Good and bad texts are drawn alike from two lists of words of the same shape: only the words differ."""
+    rng = random.Random(18)
+    name = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3))
+    pools = [sorted({name() for _ in range(150)}) for _ in range(2)]
+    rows = [(i, " ".join(rng.choices(pools[i % 2], k=130))) for i in range(300)]
+    docs = make_docs(rows)
+    labels = docs.sparkSession.createDataFrame([(i, i % 2, 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    got = mq.digest(docs, labels).where("held_out").collect()
+    assert len(got) > 40
+    assert sum((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in got) > 0.95 * len(got)
+
+
+def test_word_sums_against_a_plain_count():
+    rng = random.Random(19)
+    texts = [prose(rng, 150), "", None, "a b a"]
+    _, _, data, offsets = next(mq.chunks(pa.array(texts)))
+    x, row = mq.passage_features(data, offsets)
+    words = mq.Words(data, offsets)
+    assert row.tolist() == [0, 0, 0, 1, 2, 3]
+    for p in range(len(row)):
+        lo = int(words.first[row[p]]) + 64 * (p - row.tolist().index(row[p]))
+        own = words.hash[lo : min(lo + 64, int(words.first[row[p] + 1]))]
+        plain = np.zeros(mq.SLOTS)
+        for key in mq.mix(own ^ np.uint64(0xA24BAED4963EE407)).tolist():
+            plain[key % mq.SLOTS] += 1 if key >> 63 else -1
+        plain = np.minimum(plain / max(1, len(own)) ** 0.5, 4)
+        assert np.allclose(x[p, len(mq.FEATURES) :], plain, atol=1e-6)
+
+
+def test_training_takes_evenly_spaced_passages():
+    row = np.repeat(np.arange(4), [1, 5, 200, 8])
+    some = mq.evenly(row, 8)
+    assert [int(some[row == k].sum()) for k in range(4)] == [1, 5, 8, 8]
+    assert np.diff(np.flatnonzero(some[row == 2])).tolist() == [25] * 7
+    assert mq.evenly(row[:0], 8).tolist() == []
+
+
 def test_gradient(make_docs):
     rng = np.random.default_rng(15)
     x, bounds, y = rng.normal(size=(12, 5)), np.array([0, 3, 4, 9]), np.array([1.0, 0, 1, 0])
