@@ -42,7 +42,7 @@ MAX_SOURCES = 100_000
 FILL_BLOCKS = 8
 #: how far off its target a source may end, as a share, before a longer document is taken instead of others
 FAR = 0.001
-#: numpy draws hypergeometric numbers from populations below this
+#: numpy draws hypergeometric numbers from populations below 10**9; larger ones are cut into parts
 MAX_DRAWS = 900_000_000
 
 
@@ -65,6 +65,23 @@ def targets(sizes: np.ndarray, weights: np.ndarray, most: float) -> np.ndarray:
     return out
 
 
+def drawn_from(quota: np.ndarray, n: int, rng: np.random.Generator, most: int = MAX_DRAWS) -> np.ndarray:
+    """A multivariate-hypergeometric draw of ``n`` out of ``quota``.
+
+    Over ``most`` in all (more than numpy draws from), ``quota`` is cut into equal parts, each with its share of
+    ``n``, and the parts' draws add up: the counts stay exact, and vary no more than those of one draw.
+    """
+    total = int(quota.sum())
+    parts = max(1, -(-total // most))
+    out, done = np.zeros_like(quota), 0
+    for k in range(parts):
+        part = quota * (k + 1) // parts - quota * k // parts
+        upto = done + int(part.sum())
+        out += rng.multivariate_hypergeometric(part, n * upto // total - n * done // total if total else 0, method="marginals")
+        done = upto
+    return out
+
+
 def split_tree(quotas: np.ndarray, shards: int, seed: int = SEED) -> np.ndarray:
     """(shards, sources): exact block quotas; shard totals differ by one at most."""
     out = np.zeros((shards, len(quotas)), np.int64)
@@ -77,8 +94,7 @@ def split_tree(quotas: np.ndarray, shards: int, seed: int = SEED) -> np.ndarray:
             out[lo] = quota
             continue
         mid = (lo + hi) // 2
-        rng = np.random.default_rng([seed, node])
-        left = rng.multivariate_hypergeometric(quota, cut[mid] - cut[lo], method="marginals")
+        left = drawn_from(quota, cut[mid] - cut[lo], np.random.default_rng([seed, node]))
         todo += [(lo, mid, left, 2 * node), (mid, hi, quota - left, 2 * node + 1)]
     return out
 
@@ -106,8 +122,7 @@ class Plan:
         self.target = targets(sizes, np.array([weights[i % len(weights)] for i in range(n)], float), most)
         self.sizes = sizes
         rows = sources["n"].to_numpy(np.int64)
-        per_block = max(rows_per_block, -(-int(rows.sum() * most) // MAX_DRAWS))
-        self.blocks = np.maximum(1, -(-rows // per_block))
+        self.blocks = np.maximum(1, -(-rows // rows_per_block))
         aim = np.minimum(np.rint(self.target).astype(np.int64), (most * sizes).astype(np.int64))
         self.passes = np.where(sizes > 0, aim // np.maximum(sizes, 1), 0)
         self.rest = np.where(sizes > 0, aim - self.passes * sizes, 0)
@@ -302,7 +317,7 @@ def mix(
     columns = carry or [c for c in docs.columns if c not in made]
     narrow = stored(_sized(docs).select("source", F.col("__size").alias("size"), "__key"), "mix-sizes")
     plan, fill = make_plan(narrow, most, weights, shards, rows_per_block)
-    few = F.broadcast(fill.select("__sid", "__key", F.lit(True).alias("__fill")))  # some documents per source
+    few = fill.select("__sid", "__key", F.lit(True).alias("__fill"))  # broadcast if its stored size is small
     rows = (
         _tagged(_sized(docs), plan)
         .join(few, ["__sid", "__key"], "left")

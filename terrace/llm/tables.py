@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terrace.llm.words import BATCH_ROWS
 from terrace.session import scratch_dir
+from terrace.sources.tables import remove_folder
+
+#: folders stored inside the innermost ``scratch`` block; None outside of any
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,12 +25,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back.
 
     Cuts the lineage: a lost executor re-reads files instead of recomputing.
+    The folder stays, unless this is called inside ``scratch``.
     """
     path = scratch_dir(df.sparkSession, name)
+    if (made := _made.get()) is not None:
+        made.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owns what operators leave behind: on the way out the folders stored inside are removed, also after an
+    error, and the session's batch size is what it was.
+
+    Results of operators read those folders and are lazy, so write or collect them inside.
+    """
+    rows, made = spark.conf.get(BATCH_ROWS, None), []
+    before = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(before)
+        spark.conf.unset(BATCH_ROWS) if rows is None else spark.conf.set(BATCH_ROWS, rows)
+        for path in made:
+            remove_folder(spark, path)
+
+
+def finished(spark: SparkSession, make: Callable[[], DataFrame], path: str) -> DataFrame:
+    """``make()`` written to ``path`` and read back; what it stored on the way is gone."""
+    with scratch(spark):
+        df = make()
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def range_dealt(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``, stored; ``__part`` and ``__at`` give a row's place.
 

@@ -42,6 +42,18 @@ def test_splitting_tree_is_exact_and_fair():
     assert (mixing.split_tree(quotas, 7) == split).all()
 
 
+def test_large_populations_are_drawn_in_parts():
+    quota = np.array([900, 0, 77, 23])
+    draws = np.array([mixing.drawn_from(quota, 300, np.random.default_rng(seed), most=130) for seed in range(300)])
+    assert (draws.sum(axis=1) == 300).all() and (draws <= quota).all() and (draws >= 0).all()
+    assert np.abs(draws.mean(axis=0) - quota * 0.3).max() < 1.5
+    huge = np.array([6 * 10**9, 5, 10**9 + 1])
+    split = mixing.split_tree(huge, 5)
+    assert (split.sum(axis=0) == huge).all() and np.ptp(split.sum(axis=1)) <= 1
+    same = mixing.drawn_from(quota, 300, np.random.default_rng(4))  # one part: numpy's own draw
+    assert (same == np.random.default_rng(4).multivariate_hypergeometric(quota, 300, method="marginals")).all()
+
+
 def corpus(rng):
     rows = []
     for s, n in (("a", 400), ("b", 900), ("c", 30), ("é", 200), (None, 120)):

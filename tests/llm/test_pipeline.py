@@ -1,5 +1,6 @@
 """Every stage against brute force on its own input; the queries with SQL against DuckDB."""
 
+import os
 import random
 
 import duckdb
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 import corpus_pipeline
 from terrace.llm import queries
-from terrace.llm.tables import stored, table
+from terrace.llm.tables import scratch, stored, table
+from terrace.llm.words import BATCH_ROWS
 from tests.conftest import SMOKE
 from tests.llm.conftest import odd_rows, prose
 from tests.llm.test_decontaminate import brute_distance
@@ -108,6 +110,33 @@ def test_run_gives_the_last_stage(stages, spark):
     assert sorted(map(str, got)) == sorted(map(str, stages[-1][1]))
 
 
+def test_run_leaves_one_stage_and_the_numbers_of_the_last(stages, spark):
+    root, rows = spark.conf.get("spark.checkpoint.dir"), spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, "10000")
+    before = set(os.listdir(root))
+    try:
+        corpus_pipeline.run(spark, SMOKE).count()
+        assert spark.conf.get(BATCH_ROWS) == "10000"
+    finally:
+        spark.conf.set(BATCH_ROWS, rows)
+    left = sorted({name.rsplit("-", 1)[0] for name in set(os.listdir(root)) - before})
+    assert "pipeline-3" in left and len(left) == 2
+
+
+@pytest.mark.parametrize("key", ["op1_suffix_dedup", "op7_splitting_tree_mix", "op10_simhash", "op13_spelling_variants"])
+def test_scratch_owns_what_a_query_leaves(spark, key):
+    root, rows = spark.conf.get("spark.checkpoint.dir"), spark.conf.get(BATCH_ROWS)
+    before = set(os.listdir(root))
+    with scratch(spark):
+        inside = queries.QUERIES[key](spark, SMOKE).collect()
+        assert set(os.listdir(root)) > before
+    assert inside and set(os.listdir(root)) == before and spark.conf.get(BATCH_ROWS) == rows
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        stored(spark.range(3), "gone")
+        1 / 0  # noqa: B018
+    assert set(os.listdir(root)) == before
+
+
 def test_queries_are_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
     assert numbers == list(range(1, 14))
