@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import decontaminate, mixing, quality_rules, sharding, simhash
-from terrace.llm.tables import stored, table
+from terrace.llm.tables import finished, table
+from terrace.session import scratch_dir
+from terrace.sources.tables import remove_folder
 
 N_SHARDS = 40
 
@@ -49,10 +51,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs, f"pipeline-{k}")
-    return docs
+    """All stages over documents, each written as Parquet and read again by the next.
+
+    A stage's own intermediates go once it is written, and its output once the next
+    stage is; the last stage's input stays, since the result reads it.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        path = scratch_dir(spark, f"pipeline-{k}")
+        docs = finished(spark, lambda: stage(spark, docs, sf_dir), path)
+        if before is not None:
+            remove_folder(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
