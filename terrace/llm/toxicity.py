@@ -14,7 +14,8 @@ toxic from clean documents and the rest by hash, span the feature space: a sente
 is K(sentence, landmarks) times the inverse root of K(landmarks, landmarks). A linear
 machine with squared hinge loss is trained on sentences. Only documents have
 labels: sentences of clean documents are clean; a sentence of a toxic document is toxic if it
-holds a word that tells, and is left out otherwise. A word's part in a margin does not
+holds a word that tells, and is left out otherwise. ``COPIES`` of such a sentence have a letter
+put into each word that tells, so the machine meets inserted letters. A word's part in a margin does not
 depend on its sentence, so a task computes it once for each distinct word.
 
 A document's score is a logistic function of its highest sentence margin, the
@@ -53,6 +54,8 @@ RIDGE, COST = 1.0, 500.0
 #: Landmarks that weigh less than this share of the heaviest are left out of scoring.
 FAINT = 0.1
 SHARE = 0.35
+#: Training copies of a toxic sentence with letters put in.
+COPIES = 2
 CHUNK = 4 << 20
 #: Word scores a task remembers.
 REMEMBERED = 1 << 20
@@ -354,6 +357,34 @@ def joined(texts: list[bytes]) -> Units:
     return Units(np.frombuffer(b"".join(texts), np.uint8), np.append(0, np.cumsum([len(t) for t in texts])).astype(np.int64))
 
 
+def with_letters(word: bytes) -> list[bytes]:
+    """``word`` with one letter put in: at each place inside it the letter before it again, and one that changes with the place."""
+    word = b"".join(word.split())
+    return [word[:k] + more + word[k:] for k in range(2, len(word)) for more in (word[k - 1 : k], b"%c" % (97 + 7 * (len(word) + k) % 26))] or [word]
+
+
+def altered(units: Units, first: np.ndarray, which: np.ndarray, z: np.ndarray, features, telling: np.ndarray, bounds: list[tuple[int, int]], x: np.ndarray) -> np.ndarray:
+    """``COPIES`` of each sentence (rows of ``x``; ``bounds``: its words) with a letter put into every word that tells.
+
+    ``z``: features of the distinct words; ``features``: those of all words of some units.
+    """
+    words = np.flatnonzero(telling)
+    number, spelt, starts = np.full(len(first), -1), [], [0]
+    number[words] = np.arange(len(words))
+    for at in first[words]:
+        spelt += with_letters(units.data[units.starts[at] : units.ends[at]].tobytes())
+        starts.append(len(spelt))
+    new = features(joined(spelt))
+    out = np.repeat(x, COPIES, axis=0)
+    for i, (lo, hi) in enumerate(bounds):
+        held = which[lo:hi]
+        for word in held[telling[held]]:
+            at, n = starts[number[word]], starts[number[word] + 1] - starts[number[word]]
+            for c in range(COPIES):
+                out[i * COPIES + c, :-1] += new[at + (i * COPIES + c) * 7 % n] - z[word]
+    return out
+
+
 def train_machine(units: Units, toxic: np.ndarray) -> Machine:
     """The machine of labelled rows, without the documents' logistic."""
     first, which = units.distinct()
@@ -375,6 +406,11 @@ def train_machine(units: Units, toxic: np.ndarray) -> Machine:
     y = np.where(bad, 1.0, -1.0)
     used = told | ~bad if (told & bad).any() else np.ones(len(cut), bool)
     x, y = x[used], y[used]
+    bounds = [(lo, hi) for lo, hi, own in zip(cut, np.append(cut[1:], len(which)), told & bad) if own]
+    if bounds:
+        features = lambda some: (marks.kernel(some, np.arange(len(some.starts))) @ root).astype(np.float32)
+        more = altered(units, first, which, z, features, telling, bounds, x[y > 0])
+        x, y = np.concatenate([x, more]), np.append(y, np.ones(len(more)))
     cost = np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())) * COST
     w = squared_hinge(x, y, cost)
     weights = root @ w[:-1]

@@ -96,12 +96,42 @@ def test_held_out_accuracy_and_inserted_characters(spark):
         ("**".join, 0.97),
         (str.upper, 0.97),
         (lambda w: w[:2] + "-" + w[2:], 0.97),
-        (lambda w: w[:3] + w[2] * 2 + w[3:], 0.6),
+        (lambda w: w[:3] + w[2] * 2 + w[3:], 0.8),
+        (lambda w: w[:2] + "z" + w[2:], 0.55),
+        (lambda w: w[: len(w) // 2] + "q" + w[len(w) // 2 :], 0.3),
     ):
         altered = [re.sub("|".join(INSULTS), lambda m: change(m[0]), t) for t in texts]
         assert (machine_scores(altered) >= 0.5).mean() >= least
 
 
+def test_letters_put_in():
+    got = tx.with_letters(b"dolt")
+    assert len(got) == 4 and all(len(w) == 5 and w[:2] == b"do" and any(w[:k] + w[k + 1 :] == b"dolt" for k in range(5)) for w in got)
+    assert tx.with_letters(b"ab") == [b"ab"] and len(tx.with_letters(b"a b c")[0]) == 4
+
+
+def test_altered_sentences_have_the_features_of_their_spelling():
+    """Each copy's features are the sums over the words of a sentence that is spelt out with letters put in."""
+    units = tx.joined([b"you dolt there", b"a nitwit, a dolt", b"fine words"])
+    first, which = units.distinct()
+    spelt = [units.data[units.starts[k] : units.ends[k]].tobytes() for k in first]
+    telling = np.array([w in (b"dolt", b"nitwit,") for w in spelt])
+    marks = tx.Landmarks(units, first)
+    features = lambda u: marks.kernel(u, np.arange(len(u.starts)))
+    z, bounds = marks.kernel(units, first), [(0, 3), (3, 7)]
+    x = np.array([np.append(z[which[lo:hi]].sum(axis=0), 1) for lo, hi in bounds])
+    got = tx.altered(units, first, which, z, features, telling, bounds, x)
+    assert got.shape == (2 * tx.COPIES, x.shape[1]) and (got[:, -1] == 1).all()
+    options = [
+        [f"you {w} there" for w in map(bytes.decode, tx.with_letters(b"dolt"))],
+        [f"a {v} a {w}" for v in map(bytes.decode, tx.with_letters(b"nitwit,")) for w in map(bytes.decode, tx.with_letters(b"dolt"))],
+    ]
+    for i, row in enumerate(got):
+        sums = [features(tx.joined([o.encode()])).sum(axis=0) for o in options[i // tx.COPIES]]
+        assert any(np.allclose(row[:-1], s, atol=1e-4) for s in sums)
+    assert not np.allclose(got[0], got[1])
+
+
 def labelled(rng):
     rows, labels = [], []
     for i in range(240):
