@@ -144,7 +144,7 @@ def _tagged(docs: DataFrame, plan: Plan) -> DataFrame:
     """``docs`` plus ``__sid`` and ``__block``; the table of sources is joined, one row per source."""
     spark = docs.sparkSession
     rows = [(name, i, int(plan.blocks[i])) for i, name in enumerate(plan.names)]
-    known = F.broadcast(spark.createDataFrame(rows, "__source string, __sid int, __blocks long"))
+    known = F.broadcast(spark.createDataFrame(rows, "__source string, __sid int, __blocks long"))  # MAX_SOURCES rows at most
     return (
         docs.join(known, F.col("source").cast("string").eqNullSafe(F.col("__source")))
         .withColumn("__block", F.pmod(F.col("__key"), F.col("__blocks")))
@@ -172,7 +172,7 @@ def _with_positions(df: DataFrame, plan: Plan, turn: np.ndarray) -> DataFrame:
 
 
 def _per_source(spark, sids: np.ndarray, **values: np.ndarray) -> DataFrame:
-    """One row per source of ``sids``: ``__sid`` and long columns."""
+    """One row per source of ``sids`` (``MAX_SOURCES`` at most): ``__sid`` and long columns."""
     rows = [(int(i), *(int(v[i]) for v in values.values())) for i in np.flatnonzero(sids)]
     return F.broadcast(spark.createDataFrame(rows, ", ".join(["__sid int", *(f"{c} long" for c in values)])))
 
