@@ -128,9 +128,10 @@ def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int | None = No
     the number of files follows the number asked for.
     """
     z = zorder_key(df, cols, bits or zorder_bits(files, len(cols)))
-    order = ["_z", *cols, "_h"]
-    tagged = df.withColumn("_z", z).withColumn("_h", F.xxhash64(*df.columns))
-    return tagged.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_z", "_h")
+    h = F.xxhash64(*df.columns)
+    # key and hash are made on either side of the exchange instead of going through it
+    dealt = df.repartitionByRange(files, z, *cols, h)
+    return dealt.withColumn("_z", z).withColumn("_h", h).sortWithinPartitions("_z", *cols, "_h").drop("_z", "_h")
 
 
 def file_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:

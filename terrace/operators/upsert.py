@@ -22,6 +22,8 @@ from terrace.operators.frames import dedup_latest, duplicate_keys, observed
 from terrace.session import scratch_dir
 from terrace.sources import tables
 
+#: Stored bytes that a task reads of a batch; staged batches have row groups of that size.
+SPLIT_BYTES = 16 * 1024 * 1024
 CHANGE = "_change"
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
 
@@ -305,6 +307,12 @@ def co_located(spark: SparkSession, on: bool = True) -> Iterator[None]:
         yield
 
 
+def small_splits(spark: SparkSession):
+    """Scans of writes made inside give a task no more than :data:`SPLIT_BYTES`: ``latest``
+    sorts a split's rows to combine them, and these are 10 to 20 times larger than stored."""
+    return tables.at_most(spark, "spark.sql.files.maxPartitionBytes", SPLIT_BYTES)
+
+
 def upsert_partitions(
     source: DataFrame,
     name: str,
@@ -322,7 +330,8 @@ def upsert_partitions(
     rewriting only the partitions the source touches.
 
     The source is computed once, into a staging folder; everything after
-    reads that. A key's rows always live in one partition, so the merge reads
+    reads that. (A first load by ``latest`` reads it once anyway, for the
+    de-duplication's exchange, and is not staged.) A key's rows always live in one partition, so the merge reads
     only the target partitions with exactly the source's value tuples (as
     many literals as folders that will be rewritten; the driver's listing of
     the table holds those anyway), and dynamic partition overwrite replaces
@@ -345,12 +354,15 @@ def upsert_partitions(
     missing = [c for c in partition_cols if c not in keys]
     if missing:
         raise ValueError(f"partition columns {missing} must be part of the key")
-    folder = scratch_dir(spark, "upsert-stage")
-    source.write.mode("overwrite").parquet(folder)
-    staged = spark.read.schema(source.schema).parquet(folder)
+    first_load = tables.is_empty(spark, name)
+    buckets = buckets_of(spark, name) or buckets
+    folder, staged = None, source
+    if not first_load or on_duplicate != "latest" or buckets:
+        folder = scratch_dir(spark, "upsert-stage")
+        source.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", SPLIT_BYTES).parquet(folder)
+        staged = spark.read.schema(source.schema).parquet(folder)
     src = split_source(staged, keys, on_duplicate, order_by, null_safe, drop_columns)
     order = [*partition_cols, *[k for k in keys if k not in partition_cols]]
-    buckets = buckets_of(spark, name) or buckets
     if buckets and (alien := [c for c in buckets.columns if c not in keys]):
         raise ValueError(f"bucket columns {alien} must be part of the key")
 
@@ -365,16 +377,17 @@ def upsert_partitions(
         with tables.setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
 
-    if tables.is_empty(spark, name):
+    if first_load:
         obs = Observation("first_load")
         first = dealt(src.whole()).observe(obs, F.count(F.lit(1)).alias("n"))
-        if tables.table_exists(spark, name):
-            written(first)
-        else:
-            w = first.write.format("parquet").partitionBy(*partition_cols)
-            if buckets:
-                w = w.bucketBy(buckets.n, *buckets.columns).sortBy(*buckets.columns)
-            (w.option("path", location) if location else w).saveAsTable(name)
+        with small_splits(spark):
+            if tables.table_exists(spark, name):
+                written(first)
+            else:
+                w = first.write.format("parquet").partitionBy(*partition_cols)
+                if buckets:
+                    w = w.bucketBy(buckets.n, *buckets.columns).sortBy(*buckets.columns)
+                (w.option("path", location) if location else w).saveAsTable(name)
         n = observed(obs, lambda: {"n": 0})["n"]
         result = UpsertResult("first_load", name, n, 0, n)
     else:
@@ -384,7 +397,7 @@ def upsert_partitions(
             target = target.filter(partition_filter(list(partition_cols), touched))
         else:
             target = target.limit(0)
-        with co_located(spark, bool(buckets)):
+        with co_located(spark, bool(buckets)), small_splits(spark):
             changes = dealt(merge_changes(target, src, keys, null_safe), in_place=True)
             obs = Observation("merge_partitions")
             ch = F.col(CHANGE)
@@ -396,7 +409,8 @@ def upsert_partitions(
         m = observed(obs, lambda: {"inserted": 0, "updated": 0})
         spark.catalog.refreshTable(name)
         result = UpsertResult("merge_partitions", name, m["inserted"], m["updated"], spark.table(name).count())
-    tables.remove_folder(spark, folder)
+    if folder:
+        tables.remove_folder(spark, folder)
     if history:
         record_history(spark, history, name, result)
     return result

@@ -861,7 +861,7 @@ def replay_holders(spark, sf_dir):
 # --- all layers ------------------------------------------------------------
 
 
-def feed_drop(raw: DataFrame, feed: medallion.Feed, folder: str) -> None:
+def feed_drop(raw: DataFrame, feed: medallion.Feed, folder: str, dealt: bool = False, compression: str | None = None) -> None:
     """Raw feed rows laid out at the feed's column positions, fillers elsewhere."""
     slots = dict(zip(feed.positions, feed.raw_columns))
     cells = F.array(*[F.col(slots[i]) if i in slots else F.lit(str(i)) for i in range(feed.min_width)])
@@ -874,14 +874,17 @@ def feed_drop(raw: DataFrame, feed: medallion.Feed, folder: str) -> None:
             cells.alias("cells"),
         ),
         folder,
+        dealt,
+        compression,
     )
 
 
 @register("layers_end_to_end")
 def layers_end_to_end(spark, sf_dir):
     folder = scratch_dir(spark, "layers")
-    feed_drop(members_raw(spark, sf_dir), medallion.MEMBERS, folder + "/inbox/members")
-    feed_drop(holders_raw(spark, sf_dir), medallion.HOLDERS, folder + "/inbox/holders")
+    lines = drops.deal(table(spark, sf_dir, "lineitem"), F.trunc(F.col("l_shipdate").cast("date"), "month"))
+    feed_drop(feeds.members_raw(lines), medallion.MEMBERS, folder + "/inbox/members", dealt=True, compression="gzip")
+    feed_drop(holders_raw(spark, sf_dir), medallion.HOLDERS, folder + "/inbox/holders", compression="gzip")
     tag = uuid.uuid4().hex[:8]
     cfg = runs.PipelineConfig(
         members_inbox=folder + "/inbox/members",

@@ -30,6 +30,8 @@ from terrace.streaming import incremental
 RUN_ZONE = "America/Lima"
 # --- end of fixed values ---
 ON_DEMAND = -1
+#: Staged bytes of the report per clustered file; one task sorts a file's rows, 10 to 20 times larger, in memory.
+GOLD_FILE_BYTES = 32 * 1024 * 1024
 # Used when a feed's entry cannot be found: assume there is work to do.
 MISSING_DEFAULT = 1
 #: What both clean tables are partitioned by.
@@ -230,8 +232,8 @@ def refresh_gold(
         version = tables.publish_version(joined, gold_table, location_root=table_root)
     else:
         folder = scratch_dir(spark, "report-stage")
-        joined.write.mode("overwrite").parquet(folder)
-        n = files or max(1, -(-tables.stored_bytes(spark, folder) // layout.DEFAULT_FILE_BYTES))
+        joined.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+        n = files or max(1, -(-tables.stored_bytes(spark, folder) // GOLD_FILE_BYTES))
         stage = spark.read.schema(joined.schema).parquet(folder)
         clustered = layout.zorder(stage, medallion.GOLD_CLUSTER_BY, n)
         version = tables.publish_version(clustered, gold_table, location_root=table_root)

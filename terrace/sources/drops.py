@@ -10,18 +10,34 @@ read has row number -1 and a problem.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.sources import tables
+
 LINE_SCHEMA = "sheet string, sheet_no int, row_no long, cells array<string>, file string"
+#: Shuffled bytes of dealt rows per task; the texts derived from them are many times larger.
+DEALT_BYTES = 4 * 1024 * 1024
 BAD_LINE = "line without a row number"
 
 
-def write_drop(rows: DataFrame, folder: str) -> None:
-    """``rows``: file, sheet, sheet_no, row_no, cells. Files are written as large as they come, a hot one by many tasks."""
+def write_drop(rows: DataFrame, folder: str, dealt: bool = False, compression: str | None = None) -> None:
+    """``rows``: file, sheet, sheet_no, row_no, cells. Files are written as large as they come, a hot one by many tasks.
+
+    ``dealt``: the rows come by file already (:func:`deal`), so that their texts are not shuffled.
+    """
     cols = [c.split()[0] for c in LINE_SCHEMA.split(", ")]
-    rows.select(*cols).hint("rebalance", "file").write.mode("append").partitionBy("file").json(folder)
+    rows = rows.select(*cols) if dealt else rows.select(*cols).hint("rebalance", "file")
+    with tables.at_most(rows.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", DEALT_BYTES) if dealt else nullcontext():
+        rows.write.mode("append").partitionBy("file").json(folder, compression=compression)
+
+
+def deal(rows: DataFrame, by: Column) -> DataFrame:
+    """``rows`` that a drop is derived from, by what tells its files apart: numbers are
+    shuffled instead of the texts made of them, a hot file over many tasks."""
+    return rows.withColumn("_file", by).hint("rebalance", "_file").drop("_file")
 
 
 def part_file() -> list[Column]:

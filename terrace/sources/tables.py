@@ -28,6 +28,14 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
         spark.conf.unset(key) if old is None else spark.conf.set(key, old)
 
 
+@contextmanager
+def at_most(spark: SparkSession, key: str, size: int) -> Iterator[None]:
+    """A session setting in bytes, lowered to ``size`` for the writes inside; a smaller one stays."""
+    have = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    with setting(spark, key, f"{min(have, size)}b"):
+        yield
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan over the cluster's cores when it plans fewer splits
     than there are cores.
