@@ -286,6 +286,15 @@ class Buckets:
     columns: tuple[str, ...]
 
 
+#: Rows per bucket: a task merges or joins a whole bucket, which AQE cannot split.
+ROWS_PER_BUCKET = 500_000
+
+
+def bucket_count(rows: int, least: int) -> int:
+    """Buckets for a table of that many rows: ``least``, and more where a bucket would outgrow a task."""
+    return max(least, -(-rows // ROWS_PER_BUCKET))
+
+
 def buckets_of(spark: SparkSession, name: str) -> Buckets | None:
     """A stored table's buckets; None if it has none or is not there."""
     if not tables.table_exists(spark, name):

@@ -941,23 +941,31 @@ def upsert_bucketed(spark, sf_dir):
     year = F.year("o_orderdate").alias("o_year")
     name = f"orders_bucketed_{uuid.uuid4().hex[:10]}"
     loc = scratch_dir(spark, "orders_bucketed")
-    keys, parts, buckets = ("o_orderkey", "o_year"), ("o_year",), upsert.Buckets(8, ("o_orderkey",))
+    keys, parts = ("o_orderkey", "o_year"), ("o_year",)
+    buckets = upsert.Buckets(upsert.bucket_count(target.count(), 8), ("o_orderkey",))
     for rows in (target, source):
         upsert.upsert_partitions(rows.select("*", year), name, keys, parts, location=loc, buckets=buckets)
     return spark.table(name)
 
 
+def clean_buckets(spark, sf_dir) -> upsert.Buckets:
+    """How both clean tables are dealt: alike, so that they join where they lie, and by the larger one's rows."""
+    rows = max(table(spark, sf_dir, t).count() for t in ("lineitem", "orders"))  # from the files' footers
+    return upsert.Buckets(upsert.bucket_count(rows, 8), ("policy_id",))
+
+
 def bucketed_clean(spark, sf_dir) -> tuple[str, str]:
     """Both clean tables by period, dealt by policy."""
     folder, tag = scratch_dir(spark, "clean_bucketed"), uuid.uuid4().hex[:10]
-    made = []
+    buckets, made = clean_buckets(spark, sf_dir), []
     for feed, clean, raw in (
         (medallion.MEMBERS, medallion.clean_members, members_raw),
         (medallion.HOLDERS, medallion.clean_holders, holders_raw),
     ):
         name = f"{feed.name}_bucketed_{tag}"
-        rows = clean(raw(spark, sf_dir), RUN_DATE).repartition(8, "policy_id")
-        w = rows.write.partitionBy(*runs.PERIOD).bucketBy(8, "policy_id").sortBy("policy_id")
+        # equal rows share a bucket, so they are made one there, by the one exchange
+        rows = clean(raw(spark, sf_dir), RUN_DATE, distinct=False).repartition(buckets.n, *buckets.columns).distinct()
+        w = rows.write.partitionBy(*runs.PERIOD).bucketBy(buckets.n, *buckets.columns).sortBy(*buckets.columns)
         w.option("path", f"{folder}/{feed.name}").format("parquet").saveAsTable(name)
         made.append(name)
     return tuple(made)
@@ -976,6 +984,7 @@ def gold_incremental(spark, sf_dir):
     tables and brought into the report by its policies."""
     folder, tag = scratch_dir(spark, "gold_incremental"), uuid.uuid4().hex[:10]
     members, holders, gold = (f"{n}_{tag}" for n in ("m_inc", "h_inc", "g_inc"))
+    buckets = clean_buckets(spark, sf_dir)
     arrival = ("source_file", "sheet_no", "row_no")
     for load, months in enumerate(((1, 6), (5, 9), (9, 12))):
         for feed, clean, raw, name in (
@@ -986,7 +995,7 @@ def gold_incremental(spark, sf_dir):
             batch = rows.filter(F.col("mov_month").between(*months) | F.col("mov_month").isNull())
             upsert.upsert_partitions(
                 batch, name, feed.keys, runs.PERIOD, on_duplicate="latest", order_by=arrival, drop_columns=arrival,
-                location=f"{folder}/{name}", buckets=upsert.Buckets(8, ("policy_id",)),
+                location=f"{folder}/{name}", buckets=buckets,
             )
             report.note_changes(batch, folder + "/changes", f"{feed.name}-{load}")
         report.refresh_changed(spark, members, holders, gold, folder + "/changes", parts=16, location=f"{folder}/{gold}")

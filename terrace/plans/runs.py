@@ -191,6 +191,9 @@ def refresh_silver(
     load touches; otherwise each upsert writes a new full version (z-ordered
     on the key when ``cluster_files`` is set).
     """
+    if buckets:  # one count for both tables, so that they join where they lie
+        sizes = [load_slice(raw, run_date).count() for raw in (members_raw, holders_raw) if raw is not None]
+        buckets = upsert.bucket_count(max(sizes, default=0), buckets)
     options = {"history": history} | ({} if by_period else {"cluster_files": cluster_files})
     results, rejects = {}, {}
     for feed, raw, table in (
@@ -262,7 +265,7 @@ class PipelineConfig:
     cluster_files: int = 0  # z-order the clean tables on their keys (full-version mode)
     stats_columns: tuple[str, ...] = ("policy_id",)
     by_period: bool = True  # partition the clean tables by period, rewrite touched periods only
-    buckets: int = 0  # deal the clean tables by policy into that many buckets (by period only)
+    buckets: int = 0  # deal the clean tables by policy into that many buckets, or more for a large first load (by period only)
     report_parts: int = 0  # keep the report by changed policies, in that many parts (0: build it anew each run)
     table_root: str | None = None  # folder for the clean and reporting tables' files (default: warehouse)
     manifest: str | None = None  # folder of the record of loaded files (None: beside the ledger)
