@@ -21,7 +21,7 @@ from terrace.functions import columns as C
 from terrace.plans import bronze, medallion, report
 from terrace.plans.bronze import ARRIVAL
 from terrace.plans.manifest import Manifest
-from terrace.session import scratch_dir, size_shuffle_partitions
+from terrace.session import PACKED_BYTES_PER_PARTITION, scratch_dir, size_shuffle_partitions
 from terrace.sources import tables
 from terrace.streaming import incremental
 
@@ -339,7 +339,7 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
                 for t, raw in raws.items()
                 if raw is not None
             )
-            size_shuffle_partitions(spark, raw_bytes)
+            size_shuffle_partitions(spark, raw_bytes, PACKED_BYTES_PER_PARTITION)
             try:
                 silver = refresh_silver(
                     spark,
@@ -364,7 +364,9 @@ def run_all(spark: SparkSession, cfg: PipelineConfig, run_date=None, on_demand:
         # partitioned table itself).
         clean = [r for r in (silver.members, silver.holders) if r]
         size_shuffle_partitions(
-            spark, sum(tables.stored_bytes(spark, tables.location(spark, r.version)) for r in clean)
+            spark,
+            sum(tables.stored_bytes(spark, tables.location(spark, r.version)) for r in clean),
+            PACKED_BYTES_PER_PARTITION,
         )
         try:
             if changes is None:

@@ -88,10 +88,12 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return path
 
 
-# Stored (compressed parquet) bytes per shuffle partition. Decoded rows of many
-# short texts are 10 to 20 times larger in a sort, which lands near the 256 MB
-# per task that stay in an executor's memory without spilling.
-STORED_BYTES_PER_PARTITION = 16 * 1024 * 1024
+# Stored (compressed parquet) bytes per shuffle partition. Decoded and
+# projected rows in a shuffle are a few times larger, which lands near the
+# 256-512 MB per task that keeps sorts and hash tables in executor memory.
+STORED_BYTES_PER_PARTITION = 128 * 1024 * 1024
+# The same for rows of many short texts, which are 10 to 20 times larger in a sort.
+PACKED_BYTES_PER_PARTITION = 16 * 1024 * 1024
 
 
 def size_shuffle_partitions(

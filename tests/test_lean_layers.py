@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from terrace import session
 from terrace.operators import layout, upsert
-from terrace.plans import bronze, catalog_queries as Q, feeds, medallion
+from terrace.plans import bronze, catalog_queries as Q, feeds, medallion, runs
 from terrace.sources import drops
 
 from .conftest import SMOKE
+from .test_layout_runs import drop_config, small_feeds
 
 
 def plan(df):
@@ -70,10 +71,11 @@ def test_clustering_key_does_not_go_through_the_exchange(spark):
     assert " AS _h" not in shuffled and " AS _z" not in shuffled
 
 
-def test_shuffle_partitions_of_packed_texts_fit_a_task(spark):
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    try:
-        assert session.size_shuffle_partitions(spark, 1 << 30) >= 64
-    finally:
-        spark.conf.set(key, old)
+def test_a_run_sizes_its_shuffles_for_packed_texts(spark, scratch, monkeypatch):
+    m_raw, h_raw = small_feeds(spark)
+    cfg, sized = drop_config(scratch), []
+    Q.feed_drop(m_raw, medallion.MEMBERS, cfg.members_inbox)
+    Q.feed_drop(h_raw, medallion.HOLDERS, cfg.holders_inbox)
+    monkeypatch.setattr(runs, "size_shuffle_partitions", lambda s, n, per=session.STORED_BYTES_PER_PARTITION: sized.append((n, per)))
+    runs.run_all(spark, cfg, "2026-01-15")
+    assert len(sized) == 2 and all(n > 0 and per <= 16 << 20 for n, per in sized)
