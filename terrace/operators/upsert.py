@@ -305,6 +305,18 @@ def buckets_of(spark: SparkSession, name: str) -> Buckets | None:
     return Buckets(int(said["Num Buckets"]), tuple(re.findall(r"`([^`]+)`", said["Bucket Columns"])))
 
 
+@contextmanager
+def dealt_alike(spark: SparkSession, buckets: Buckets | None) -> Iterator[None]:
+    """Shuffles made inside have as many partitions as there are buckets (the caller's, without
+    any): their number follows the rows, and with more of them than buckets Spark would
+    shuffle the bucketed side as well, after which every task writes into every bucket."""
+    if not buckets:
+        yield
+        return
+    with tables.setting(spark, "spark.sql.shuffle.partitions", str(buckets.n)):
+        yield
+
+
 @contextmanager
 def co_located(spark: SparkSession, on: bool = True) -> Iterator[None]:
     """Plans made inside keep a bucketed side where it lies: a join on more columns than
@@ -357,7 +369,8 @@ def upsert_partitions(
     With ``buckets`` the table is created bucketed on part of the key, and a
     table that is bucketed already (whatever is passed) is merged where it lies: the
     source alone is shuffled, to the target's buckets, and the merged rows are
-    written from there, sorted, one file for each bucket and partition.
+    written from there, sorted, one file for each bucket and partition. Shuffles
+    have as many partitions as buckets, whatever the session asks for.
     """
     spark = source.sparkSession
     missing = [c for c in partition_cols if c not in keys]
@@ -368,7 +381,8 @@ def upsert_partitions(
     folder, staged = None, source
     if not first_load or on_duplicate != "latest" or buckets:
         folder = scratch_dir(spark, "upsert-stage")
-        source.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", SPLIT_BYTES).parquet(folder)
+        with dealt_alike(spark, buckets):
+            source.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", SPLIT_BYTES).parquet(folder)
         staged = spark.read.schema(source.schema).parquet(folder)
     src = split_source(staged, keys, on_duplicate, order_by, null_safe, drop_columns)
     order = [*partition_cols, *[k for k in keys if k not in partition_cols]]
@@ -389,7 +403,7 @@ def upsert_partitions(
     if first_load:
         obs = Observation("first_load")
         first = dealt(src.whole()).observe(obs, F.count(F.lit(1)).alias("n"))
-        with small_splits(spark):
+        with dealt_alike(spark, buckets), small_splits(spark):
             if tables.table_exists(spark, name):
                 written(first)
             else:
@@ -406,7 +420,7 @@ def upsert_partitions(
             target = target.filter(partition_filter(list(partition_cols), touched))
         else:
             target = target.limit(0)
-        with co_located(spark, bool(buckets)), small_splits(spark):
+        with dealt_alike(spark, buckets), co_located(spark, bool(buckets)), small_splits(spark):
             changes = dealt(merge_changes(target, src, keys, null_safe), in_place=True)
             obs = Observation("merge_partitions")
             ch = F.col(CHANGE)

@@ -997,7 +997,8 @@ def gold_incremental(spark, sf_dir):
                 batch, name, feed.keys, runs.PERIOD, on_duplicate="latest", order_by=arrival, drop_columns=arrival,
                 location=f"{folder}/{name}", buckets=buckets,
             )
-            report.note_changes(batch, folder + "/changes", f"{feed.name}-{load}")
+            with upsert.dealt_alike(spark, buckets):
+                report.note_changes(batch, folder + "/changes", f"{feed.name}-{load}")
         report.refresh_changed(spark, members, holders, gold, folder + "/changes", parts=16, location=f"{folder}/{gold}")
     return spark.table(gold).select(*medallion.GOLD_COLUMNS)
 

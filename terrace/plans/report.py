@@ -16,10 +16,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.operators.upsert import co_located
+from terrace.operators.upsert import Buckets, buckets_of, co_located, dealt_alike
 from terrace.plans import medallion
 from terrace.plans.manifest import missing
-from terrace.session import scratch_dir
+from terrace.session import PACKED_BYTES_PER_PARTITION, scratch_dir
 from terrace.sources import tables
 
 POLICY, PART = "policy_id", "policy_part"
@@ -73,13 +73,18 @@ def refresh_changed(
     parts: int = 64,
     location: str | None = None,
 ) -> Refresh:
-    """Bring the report up to date with the noted changes; the first call builds it whole."""
+    """Bring the report up to date with the noted changes; the first call builds it whole.
+
+    Over bucketed clean tables a task holds a bucket of them at most, whatever number
+    of shuffle partitions the session asks for; the report's own rows are
+    sorted in shuffles sized by what is stored of them.
+    """
     members, holders = spark.read.table(members_table), spark.read.table(holders_table)
     scratch = scratch_dir(spark, "report-changes")
     pending_changes(spark, changes).write.parquet(scratch + "/pending")
     noted = spark.read.schema(CHANGE_SCHEMA).parquet(scratch + "/pending")
     first = not tables.table_exists(spark, report_table)
-    with co_located(spark):
+    with dealt_alike(spark, fewest_buckets(spark, members_table, holders_table)), co_located(spark):
         if first:
             fresh = medallion.consolidate(members, holders).withColumn(PART, part_of(F.col(POLICY), parts))
             result = _replace(fresh, None, report_table, scratch, location, True, parts)
@@ -101,6 +106,12 @@ def refresh_changed(
     return result
 
 
+def fewest_buckets(spark: SparkSession, *names: str) -> Buckets | None:
+    """Of the tables that have buckets, the fewest: no more partitions than these, or Spark shuffles that table too."""
+    found = [b for b in (buckets_of(spark, n) for n in names) if b]
+    return min(found, key=lambda b: b.n, default=None)
+
+
 def stored_parts(spark: SparkSession, name: str) -> int:
     """The number of parts the table was made with."""
     said = spark.sql(f"SHOW TBLPROPERTIES {name} ('{PARTS_PROPERTY}')").first()
@@ -120,14 +131,17 @@ def _replace(fresh: DataFrame, kept: DataFrame | None, name: str, scratch: str,
         taken = old.count()
         stage = stage.unionByName(old)
     by = [F.col(c) for c in (PART, *medallion.GOLD_CLUSTER_BY)] + [F.xxhash64(*cols)]
-    rows = stage.repartitionByRange(*by).sortWithinPartitions(*by)
     n_parts = stage.select(PART).distinct().count()
-    if first:
-        w = rows.write.format("parquet").partitionBy(PART)
-        (w.option("path", location) if location else w).saveAsTable(name)
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PARTS_PROPERTY}' = '{parts}')")
-    else:
-        with tables.setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            rows.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
-        spark.catalog.refreshTable(name)
+    stored = tables.stored_bytes(spark, scratch + "/fresh") + tables.stored_bytes(spark, scratch + "/kept")
+    key = "spark.sql.shuffle.partitions"
+    with tables.setting(spark, key, str(max(int(spark.conf.get(key)), -(-stored // PACKED_BYTES_PER_PARTITION)))):
+        rows = stage.repartitionByRange(*by).sortWithinPartitions(*by)
+        if first:
+            w = rows.write.format("parquet").partitionBy(PART)
+            (w.option("path", location) if location else w).saveAsTable(name)
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PARTS_PROPERTY}' = '{parts}')")
+        else:
+            with tables.setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+                rows.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+            spark.catalog.refreshTable(name)
     return Refresh(n_parts, 0, joined, taken, first)
