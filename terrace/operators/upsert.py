@@ -10,7 +10,7 @@ so a key with a NULL part never matches and such rows are always inserted
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
@@ -346,6 +346,7 @@ def upsert_partitions(
     drop_columns: Sequence[str] = (),
     history: str | None = None,
     buckets: Buckets | None = None,
+    merged: Callable[[DataFrame], None] | None = None,
 ) -> UpsertResult:
     """Upsert into a table partitioned by columns that are part of the key,
     rewriting only the partitions the source touches.
@@ -364,11 +365,12 @@ def upsert_partitions(
     ``drop_columns`` (say, an order of arrival for ``latest``) are used for
     de-duplication and left out of the table. The first load creates the
     table (at ``location`` when given) or fills an empty one. ``total`` is
-    the whole table's row count.
+    the whole table's row count. ``merged`` is called with the batch once it is in the
+    table, before its stage goes: what else is to be known of it is not computed a second time.
 
     With ``buckets`` the table is created bucketed on part of the key, and a
     table that is bucketed already (whatever is passed) is merged where it lies: the
-    source alone is shuffled, to the target's buckets, and the merged rows are
+    source alone is shuffled, once, to the target's buckets (``latest`` is found there), and the merged rows are
     written from there, sorted, one file for each bucket and partition. Shuffles
     have as many partitions as buckets, whatever the session asks for.
     """
@@ -381,13 +383,16 @@ def upsert_partitions(
     folder, staged = None, source
     if not first_load or on_duplicate != "latest" or buckets:
         folder = scratch_dir(spark, "upsert-stage")
-        with dealt_alike(spark, buckets):
+        with dealt_alike(spark, buckets), tables.compiled(spark):
             source.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", SPLIT_BYTES).parquet(folder)
         staged = spark.read.schema(source.schema).parquet(folder)
-    src = split_source(staged, keys, on_duplicate, order_by, null_safe, drop_columns)
-    order = [*partition_cols, *[k for k in keys if k not in partition_cols]]
     if buckets and (alien := [c for c in buckets.columns if c not in keys]):
         raise ValueError(f"bucket columns {alien} must be part of the key")
+    # a key's rows share a bucket, so the latest of them is found where the bucket is merged and written
+    by_bucket = bool(buckets) and on_duplicate == "latest"
+    rows = staged.repartition(buckets.n, *buckets.columns) if by_bucket else staged
+    src = split_source(rows, keys, on_duplicate, order_by, null_safe, drop_columns)
+    order = [*partition_cols, *[k for k in keys if k not in partition_cols]]
 
     def dealt(df: DataFrame, in_place: bool = False) -> DataFrame:
         """Rows by partition and key, or by bucket where the table has some."""
@@ -402,8 +407,8 @@ def upsert_partitions(
 
     if first_load:
         obs = Observation("first_load")
-        first = dealt(src.whole()).observe(obs, F.count(F.lit(1)).alias("n"))
-        with dealt_alike(spark, buckets), small_splits(spark):
+        first = dealt(src.whole(), in_place=by_bucket).observe(obs, F.count(F.lit(1)).alias("n"))
+        with dealt_alike(spark, buckets), small_splits(spark), tables.compiled(spark):
             if tables.table_exists(spark, name):
                 written(first)
             else:
@@ -416,22 +421,27 @@ def upsert_partitions(
     else:
         touched = [tuple(r) for r in staged.select(*partition_cols).distinct().collect()]
         target = spark.table(name)
-        if touched:
-            target = target.filter(partition_filter(list(partition_cols), touched))
-        else:
-            target = target.limit(0)
+        here = partition_filter(list(partition_cols), touched) if touched else F.lit(False)
+        rest = target.filter(~F.coalesce(here, F.lit(False))).select(*partition_cols)
+        target = target.filter(here) if touched else target.limit(0)
         with dealt_alike(spark, buckets), co_located(spark, bool(buckets)), small_splits(spark):
             changes = dealt(merge_changes(target, src, keys, null_safe), in_place=True)
             obs = Observation("merge_partitions")
             ch = F.col(CHANGE)
             # observed after the exchange: the range bounds' sampling pass does not count
             watched = changes.observe(
-                obs, F.count_if(ch == INSERT).alias("inserted"), F.count_if(ch == UPDATE).alias("updated")
+                obs,
+                F.count_if(ch == INSERT).alias("inserted"),
+                F.count_if(ch == UPDATE).alias("updated"),
+                F.count(F.lit(1)).alias("total"),
             ).drop(CHANGE)
             written(watched)
-        m = observed(obs, lambda: {"inserted": 0, "updated": 0})
+        m = observed(obs, lambda: {"inserted": 0, "updated": 0, "total": 0})
         spark.catalog.refreshTable(name)
-        result = UpsertResult("merge_partitions", name, m["inserted"], m["updated"], spark.table(name).count())
+        # the partitions that were not written still hold what they held
+        result = UpsertResult("merge_partitions", name, m["inserted"], m["updated"], m["total"] + rest.count())
+    if merged:
+        merged(staged)
     if folder:
         tables.remove_folder(spark, folder)
     if history:

@@ -122,14 +122,15 @@ def write_run(rows: DataFrame, target: str, partition_by: Sequence[str] = PARTIT
     """
     guard_schema(rows, target, partition_by)
     spark, rows = rows.sparkSession, rows.hint("rebalance") if rebalance else rows
-    if "/" in target:
-        w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-        w.parquet(target)
-    elif tables.table_exists(spark, target):
-        with tables.setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            rows.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
-    else:
-        rows.write.format("parquet").partitionBy(*partition_by).saveAsTable(target)
+    with tables.compiled(spark):
+        if "/" in target:
+            w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+            w.parquet(target)
+        elif tables.table_exists(spark, target):
+            with tables.setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+                rows.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+        else:
+            rows.write.format("parquet").partitionBy(*partition_by).saveAsTable(target)
 
 
 def rejects_of(target: str) -> str:

@@ -993,12 +993,15 @@ def gold_incremental(spark, sf_dir):
         ):
             rows = clean(raw(spark, sf_dir), RUN_DATE, distinct=False, carry=arrival)
             batch = rows.filter(F.col("mov_month").between(*months) | F.col("mov_month").isNull())
+
+            def note(merged: DataFrame, run: str = f"{feed.name}-{load}") -> None:
+                with upsert.dealt_alike(spark, buckets):
+                    report.note_changes(merged, folder + "/changes", run)
+
             upsert.upsert_partitions(
                 batch, name, feed.keys, runs.PERIOD, on_duplicate="latest", order_by=arrival, drop_columns=arrival,
-                location=f"{folder}/{name}", buckets=buckets,
+                location=f"{folder}/{name}", buckets=buckets, merged=note,
             )
-            with upsert.dealt_alike(spark, buckets):
-                report.note_changes(batch, folder + "/changes", f"{feed.name}-{load}")
         report.refresh_changed(spark, members, holders, gold, folder + "/changes", parts=16, location=f"{folder}/{gold}")
     return spark.table(gold).select(*medallion.GOLD_COLUMNS)
 

@@ -44,9 +44,11 @@ def part_of(policy: Column, parts: int) -> Column:
 def note_changes(batch: DataFrame, folder: str, run: str) -> None:
     """Note the policies of an upserted batch (a key holds its policy, so an update never moves a row to another)."""
     noted = batch.select(F.col(POLICY).cast("long").alias(POLICY)).where(F.col(POLICY).isNotNull()).distinct()
-    noted.withColumn("change_run", F.lit(run)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("change_run").parquet(f"{folder.rstrip('/')}/noted")
+    lines = noted.withColumn("change_run", F.lit(run))
+    with tables.compiled(batch.sparkSession):
+        lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("change_run").parquet(
+            f"{folder.rstrip('/')}/noted"
+        )
 
 
 def _read(spark: SparkSession, folder: str, part: str) -> DataFrame:

@@ -30,7 +30,8 @@ def write_drop(rows: DataFrame, folder: str, dealt: bool = False, compression: s
     """
     cols = [c.split()[0] for c in LINE_SCHEMA.split(", ")]
     rows = rows.select(*cols) if dealt else rows.select(*cols).hint("rebalance", "file")
-    with tables.at_most(rows.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", DEALT_BYTES) if dealt else nullcontext():
+    parts = tables.at_most(rows.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes", DEALT_BYTES) if dealt else nullcontext()
+    with parts, tables.compiled(rows.sparkSession):
         rows.write.mode("append").partitionBy("file").json(folder, compression=compression)
 
 

@@ -16,6 +16,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.session import BASE_CONF
+
 
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
@@ -36,6 +38,15 @@ def at_most(spark: SparkSession, key: str, size: int) -> Iterator[None]:
         yield
 
 
+@contextmanager
+def compiled(spark: SparkSession) -> Iterator[None]:
+    """For the writes inside, stages too large to JIT take Spark's non-fused path in any session,
+    also one that :func:`terrace.session.get_session` did not make; a lower limit stays."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    with setting(spark, key, str(min(int(spark.conf.get(key)), int(BASE_CONF[key])))):
+        yield
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan over the cluster's cores when it plans fewer splits
     than there are cores.
@@ -95,7 +106,8 @@ def overwrite(df: DataFrame, name: str, partition_by: list[str] | None = None, l
         w = w.partitionBy(*partition_by)
     if location:
         w = w.option("path", location)
-    w.saveAsTable(name)
+    with compiled(df.sparkSession):
+        w.saveAsTable(name)
 
 
 def _ident(name: str) -> str:
