@@ -39,7 +39,10 @@ ID_PRECISION = 20
 
 # Leading/trailing white space as Python's str.strip() sees it: every Unicode
 # white-space character plus the four ASCII separators U+001C..U+001F.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_EDGE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _c(c: str | Column) -> Column:
@@ -126,47 +129,9 @@ def _shape(fmt: str) -> str | None:
     return shapes.get(fmt)
 
 
-#: Shape of a date text and the order of its year, month and day.
-_Y, _M = "([0-9]{4})", "([0-9]{2})"
-_PARTS = {
-    "yyyy-MM-dd": (f"{_Y}-{_M}-{_M}", "ymd"),
-    "dd/MM/yyyy": (f"{_M}/{_M}/{_Y}", "dmy"),
-    "dd-MM-yyyy": (f"{_M}-{_M}-{_Y}", "dmy"),
-    "yyyy/MM/dd": (f"{_Y}/{_M}/{_M}", "ymd"),
-    "yyyyMMdd": (f"{_Y}{_M}{_M}", "ymd"),
-    "dd/MM/yy": (f"{_M}/{_M}/{_M}", "dmy"),
-}
-#: Texts left to ``yyyyMMdd``'s own parser: room for a wider year (:func:`_shape`).
-_WIDE_YEAR = "^[0-9]{9,10}$"
-
-
-def _as_iso(head: Column, formats: list[str]) -> Column:
-    """Texts of any of the formats' shapes as ``yyyy-MM-dd``, all others as text that is no date.
-
-    One replacement finds the shape and orders the parts: a group that took no part in
-    the match adds nothing, so each slot lists the groups of all shapes. Years of two
-    digits leave a text of eight characters, which the padding makes ``20yy``.
-    """
-    shapes = [_PARTS[f] for f in formats]
-    slots = {part: "".join(f"${3 * i + order.index(part) + 1}" for i, (_, order) in enumerate(shapes)) for part in "ymd"}
-    pattern = r"(?s)^(?:" + "|".join(shape for shape, _ in shapes) + r"|.*)\z"
-    return F.lpad(F.regexp_replace(head, pattern, "{y}-{m}-{d}".format(**slots)), 10, "20")
-
-
 def parse_date(c: str | Column, formats: Iterable[str] = DATE_FORMATS, guard: bool = True) -> Column:
-    """First ``DATE_PREFIX_LEN`` characters parsed by the first matching format.
-
-    Shapes of the known formats exclude each other, so their order does not matter: a text is
-    put in ISO order by one replacement and cast, which costs a third of the formats'
-    own parsers (and of the code generated for them). Unknown formats and ``guard=False`` try one after the other.
-    """
-    formats = list(formats)
+    """First ``DATE_PREFIX_LEN`` characters parsed by the first matching format."""
     head = F.substring(_c(c), 1, DATE_PREFIX_LEN)
-    if guard and formats and all(f in _PARTS for f in formats):
-        found = _as_iso(head, formats).try_cast("date")
-        if "yyyyMMdd" not in formats:
-            return found
-        return F.coalesce(found, F.when(head.rlike(_WIDE_YEAR), F.try_to_date(head, "yyyyMMdd")))
     tries = []
     for fmt in formats:
         attempt = F.try_to_date(head, fmt)
@@ -177,8 +142,8 @@ def parse_date(c: str | Column, formats: Iterable[str] = DATE_FORMATS, guard: bo
 
 def strip_space(c: str | Column) -> Column:
     """Remove leading and trailing white space of every kind (tabs, newlines,
-    no-break and ideographic spaces), not only blanks."""
-    return F.regexp_replace(_c(c), _EDGE_SPACE, "")
+    no-break and ideographic spaces), not only blanks. Only the edges are looked at."""
+    return F.btrim(_c(c), F.lit(_EDGE_SPACE))
 
 
 def stamp_date(run_date) -> Column:

@@ -1,4 +1,4 @@
-"""What loads cost: methods the JIT compiles, dates by one pattern, a batch computed, shuffled and counted once."""
+"""What loads cost: methods the JIT compiles, a batch computed, shuffled and counted once, cells trimmed once."""
 
 import uuid
 
@@ -10,6 +10,7 @@ from terrace.functions import columns as C
 from terrace.operators import upsert
 from terrace.plans import bronze, catalog_queries as Q, report
 from terrace.sources import drops, tables
+from terrace.sources import workbooks as wb
 
 from .conftest import SMOKE
 
@@ -36,13 +37,6 @@ def writes(spark, monkeypatch):
         assert spark.conf.get(HUGE) == "65535"
 
 
-def test_a_date_is_read_by_one_pattern(spark):
-    text = spark.createDataFrame([("31/12/99",), ("0000-01-31",), ("20240230",), ("123450131",), ("2024-1-01",), (None,)], "x string")
-    got = text.select(C.parse_date("x").alias("d"))
-    assert plan(got).count("gettimestamp") <= 1  # for texts of more than eight digits
-    assert [r[0] for r in got.select(F.col("d").cast("string")).collect()] == ["2099-12-31", "0000-01-31", None, None, None, None]
-
-
 def test_writes_fall_back_before_a_method_is_too_large_to_compile(spark, scratch, writes):
     rows = spark.createDataFrame([(1, 1, "a")], "k long, p int, v string")
     for _ in range(2):
@@ -91,3 +85,21 @@ def test_gold_incremental_notes_the_staged_batch(spark, monkeypatch):
     with pytest.raises(StopIteration):  # after the first load of both feeds
         Q.gold_incremental(spark, SMOKE)
     assert len(noted) == 2 and all("upsert-stage" in p and "lineitem" not in p and "orders" not in p for p in noted)
+
+
+def test_edge_space_is_stripped_as_python_strips_it(spark):
+    space = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    texts = [s + "a" + t + "b" + s for s in space for t in (" ", "\n")] + ["", "".join(space), " a", "b\n", "퟿​", None]
+    got = spark.createDataFrame([(t,) for t in texts], "x string").select(C.strip_space("x").alias("y"))
+    assert [r[0] for r in got.collect()] == [t if t is None else t.strip() for t in texts]
+    assert "regexp_replace" not in plan(got)  # a pattern is tried at every place of a text
+
+
+def test_rows_are_trimmed_once_and_blank_ones_found_by_their_first_text(spark):
+    cells = [["a", None], [" \t", "b "], ["　", ""], [None, None], [" c", " "]]
+    rows = spark.createDataFrame([("d/f", "S", 0, i, 2, c, None) for i, c in enumerate(cells, 1)], (
+        "path string, sheet string, sheet_no int, row_no long, width int, cells array<string>, problem string"
+    )).withColumn("accepted", F.lit(True))
+    got = wb.to_rows(rows, [0, 1], ["x", "y"])
+    assert sorted(map(str, got.select("x", "y").collect())) == sorted(["Row(x='a', y=None)", "Row(x='', y='b')", "Row(x='c', y='')"])
+    assert "concat_ws" not in plan(got) and plan(got).count("trim(both") + plan(got).count("btrim(") <= 4
